@@ -1,0 +1,223 @@
+"""Micro-batch landing pipeline (W23) and multi-table load.
+
+One Structured Streaming query per table: a file-source stream (new files
+only, remembered in the checkpoint), a ``foreachBatch`` that lines the
+batch up with the contract (capture, recover, cast) and writes it as the
+batch's own partition. Replays after a failure overwrite that partition.
+"""
+
+from __future__ import annotations
+
+import time
+from dataclasses import dataclass, field
+from functools import reduce
+from typing import Mapping, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strandline.contracts import TableContract
+from strandline.functions.columns import (BATCH_ID, RESCUED, capture, cast_to_contract, lineage,
+                                          recover)
+from strandline.operators.metrics import FAILED, SUCCESS, count_exprs, observed
+from strandline.operators.sink import ParquetTable, align_to_table
+from strandline.sources.landing import (discover_stream, infer_schema, parquet_stream, read_landing,
+                                       schema_groups)
+
+LOAD_RESULT_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("batches", T.LongType()),
+    T.StructField("rows_read", T.LongType()),
+    T.StructField("rows_written", T.LongType()),
+    T.StructField("rows_rescued_in_load", T.LongType()),
+    T.StructField("rescued_pct", T.DoubleType()),
+    T.StructField("rows_total", T.LongType()),
+    T.StructField("rows_rescued", T.LongType()),
+    T.StructField("duration_secs", T.DoubleType()),
+    T.StructField("error", T.StringType()),
+])
+
+
+@dataclass
+class LoadResult:
+    table_name: str
+    status: str
+    batches: int = 0
+    rows_read: int = 0
+    rows_written: int = 0
+    rows_rescued_in_load: int = 0
+    rows_total: int = 0
+    rows_rescued: int = 0
+    duration_secs: float = 0.0
+    error: str | None = None
+
+    @property
+    def rescued_pct(self) -> float:
+        return self.rows_rescued_in_load / self.rows_read if self.rows_read > 0 else 0.0
+
+    def as_row(self) -> tuple:
+        return (self.table_name, self.status, self.batches, self.rows_read, self.rows_written,
+                self.rows_rescued_in_load, self.rescued_pct, self.rows_total, self.rows_rescued,
+                self.duration_secs, self.error)
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path).schema  # noqa: B018  (lists the folder)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
+
+
+def prepare_batch(df: DataFrame, c: TableContract, table_schema: T.StructType | None) -> DataFrame:
+    """The per-batch transform shared by stream and batch loads:
+    lineage time, recovery of the contract's rescued columns (W8), cast to
+    the contract (W9), table types kept for undeclared columns."""
+    df = lineage(df, file_col=None)
+    if RESCUED in df.columns and c.rescued:
+        df = recover(df, c.rescued_types(), residual="none")
+    df = cast_to_contract(df, c.types)
+    return align_to_table(df, table_schema)
+
+
+@dataclass
+class LandingLoad:
+    """W1 + W23 (+ W2-W4, W7-W9, W16, W17, W21) for one contract."""
+    spark: SparkSession
+    contract: TableContract
+    source: str
+    table: ParquetTable
+    checkpoint: str
+    mode: str = "discover"            # "discover": mixed schemas; "parquet": one schema
+    glob: str = "*.parquet"
+    evolve: bool = True
+    trigger: str = "available_now"    # or "processing_time"
+    processing_time: str = "30 seconds"
+    max_files_per_trigger: int | None = None
+    reset: bool = False
+    batches: list = field(default_factory=list)
+    _schema: T.StructType | None = None
+    _offset: int = 0
+
+    def _check_start(self) -> None:
+        has_table = self.table.exists(self.spark)
+        self._schema = self.table.schema(self.spark) if has_table else None
+        if has_table and not _path_exists(self.spark, f"{self.checkpoint}/offsets"):
+            if not self.reset:
+                raise RuntimeError(
+                    f"{self.table.path} has data but checkpoint {self.checkpoint} is empty; "
+                    "batch ids would restart and replace stored batches. Pass reset=True.")
+            top = self.table.read(self.spark).agg(F.max(BATCH_ID)).collect()[0][0]
+            self._offset = 0 if top is None else int(top) + 1
+
+    def _stream(self) -> DataFrame:
+        if self.mode == "discover":
+            return discover_stream(self.spark, self.source, self.glob, self.max_files_per_trigger)
+        schema = infer_schema(self.spark, self.source, self.glob)
+        return parquet_stream(self.spark, self.source, schema, self.glob, self.max_files_per_trigger)
+
+    def process_batch(self, batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        c = self.contract
+        if self.mode == "discover":
+            df = read_landing(spark, schema_groups(batch_df), c.types, self._schema, self.evolve)
+            if df is None:
+                return
+        else:
+            declared = {k: v for k, v in c.types.items() if k in batch_df.columns}
+            df = capture(batch_df, declared)
+        df = prepare_batch(df, c, self._schema)
+        df, obs = observed(df)
+        self.table.write_batch(df, self._offset + batch_id)
+        m = obs.get
+        self.batches.append({"batch_id": self._offset + batch_id, "rows": int(m["rows"]),
+                             "rescued": int(m["rescued"])})
+        new = df.schema
+        if self._schema is None:
+            self._schema = new
+        else:
+            known = {f.name for f in self._schema.fields}
+            extra = [f for f in new.fields if f.name not in known and f.name != BATCH_ID]
+            self._schema = T.StructType(self._schema.fields + extra)
+
+    def start(self):
+        self._check_start()
+        w = (self._stream().writeStream.foreachBatch(self.process_batch)
+             .option("checkpointLocation", self.checkpoint))
+        w = (w.trigger(availableNow=True) if self.trigger == "available_now"
+             else w.trigger(processingTime=self.processing_time))
+        return w.start()
+
+    def summary(self, status: str, duration: float, error: str | None = None) -> LoadResult:
+        return LoadResult(self.contract.name, status, len(self.batches),
+                          sum(b["rows"] for b in self.batches), sum(b["rows"] for b in self.batches),
+                          sum(b["rescued"] for b in self.batches), duration_secs=duration, error=error)
+
+    def run(self) -> LoadResult:
+        t0 = time.time()
+        q = self.start()
+        q.awaitTermination()
+        res = self.summary(SUCCESS, time.time() - t0)
+        if self.table.exists(self.spark):
+            r = self.table.read(self.spark)
+            tot = r.agg(*count_exprs(r)).collect()[0]
+            res.rows_total, res.rows_rescued = int(tot["rows_total"]), int(tot["rows_rescued"])
+        return res
+
+
+def load_table(spark: SparkSession, contract: TableContract, source_root: str, table_root: str,
+               checkpoint_root: str, **kw) -> LandingLoad:
+    parts = (BATCH_ID,) + ((contract.partition,) if contract.partition else ())
+    ptypes = {contract.partition: contract.types[contract.partition]} \
+        if contract.partition and contract.partition in contract.types else {}
+    return LandingLoad(spark=spark, contract=contract,
+                       source=f"{source_root.rstrip('/')}/{contract.folder}",
+                       table=ParquetTable(f"{table_root.rstrip('/')}/{contract.name}", parts, ptypes),
+                       checkpoint=f"{checkpoint_root.rstrip('/')}/{contract.name}", **kw)
+
+
+def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, TableContract],
+            source_root: str | None = None, table_root: str | None = None,
+            checkpoint_root: str | None = None, raise_on_failure: bool = True, **kw) -> DataFrame:
+    """Start one query per table (independent queries overlap), then
+    await each. A table that fails, at start or while running, is reported
+    FAILED and the others go on. Table totals come from one unioned job.
+    Raises at the end naming the failed tables, unless told not to.
+
+    ``loads`` is a list of prepared ``LandingLoad``s, or contracts to build
+    them from under the three roots."""
+    if isinstance(loads, Mapping):
+        loads = [load_table(spark, c, source_root, table_root, checkpoint_root, **kw)
+                 for c in loads.values()]
+    by_name = {ld.contract.name: ld for ld in loads}
+    running, results = {}, {}
+    for name, ld in by_name.items():
+        try:
+            running[name] = (ld.start(), time.time())
+        except Exception as e:  # missing folder etc. raise at load/start
+            results[name] = LoadResult(name, FAILED, error=str(e)[:2000])
+    for name, (q, started) in running.items():
+        try:
+            q.awaitTermination()
+            results[name] = by_name[name].summary(SUCCESS, time.time() - started)
+        except Exception as e:
+            results[name] = by_name[name].summary(FAILED, time.time() - started, str(e)[:2000])
+    ok = [n for n, r in results.items() if r.status == SUCCESS and by_name[n].table.exists(spark)]
+    if ok:
+        parts = []
+        for n in ok:
+            r = by_name[n].table.read(spark)
+            parts.append(r.agg(*count_exprs(r)).select(F.lit(n).alias("t"), "*"))
+        for row in reduce(DataFrame.unionByName, parts).collect():
+            results[row["t"]].rows_total = int(row["rows_total"])
+            results[row["t"]].rows_rescued = int(row["rows_rescued"])
+    ordered = [results[n] for n in by_name]
+    failed = [r.table_name for r in ordered if r.status == FAILED]
+    if failed and raise_on_failure:
+        raise RuntimeError(f"landing failed for: {failed}")
+    return spark.createDataFrame([r.as_row() for r in ordered], LOAD_RESULT_SCHEMA)
