@@ -27,7 +27,9 @@ _SIMPLE_TYPES = {
     "timestamp_ntz": T.TimestampNTZType(), "binary": T.BinaryType(),
 }
 _NEW = "__sl_new_rescued"
-_EMPTY = "__sl_empty"
+_MAP_COL = "__sl_map"
+_LEFT = "__sl_left"
+_NAMES = "__sl_resolved"
 _MAP = "map<string,string>"
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -153,28 +155,9 @@ def capture(df: DataFrame, target: Mapping[str, object],
 # W8 / W11 recover, W12 clear, W9 cast, W10 filter
 # ---------------------------------------------------------------------------
 
-def _recovered_key(k: Column) -> Column:
-    """A rescued entry whose value is now in its column (see ``recover``)."""
-    return F.array_contains(F.col(_EMPTY), k)
-
-
-def _residual_json(types, rescued_col, residual, m) -> Column:
-    raw = col(rescued_col)
-    if residual == "clear":
-        return F.lit(None).cast(T.StringType())
-    if residual == "none":
-        return raw
-    left = F.map_filter(m, lambda k, v: ~_recovered_key(k))
-    return (F.when(raw.isNull(), F.lit(None))
-            .when(m.isNull(), raw)                      # not a JSON object: keep the text
-            .when(F.size(left) == 0, F.lit(None))
-            .when(F.size(left) == F.size(m), raw)        # nothing recovered: text unchanged
-            .otherwise(F.to_json(left))).cast(T.StringType())
-
-
 def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
             rescued_col: str = RESCUED, guard: Column | None = None) -> DataFrame:
-    """Put rescued values back, in one projection.
+    """Put rescued values back.
 
     For each column in ``types``: the existing value wins, else the rescued
     text cast to the type (``try_cast``), else NULL. A column missing from
@@ -184,50 +167,64 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
     ``"none"`` leaves it as it was (ingest), ``"keep"`` removes only the
     entries now held by their column (text casts, and the column was empty
     or already has that value; a different value is a conflict and stays),
-    ``"clear"`` sets it to NULL.
-    ``guard`` limits the change to rows where it is true (others unchanged).
+    ``"clear"`` sets it to NULL. Text that is not a JSON object is kept
+    except in ``"clear"``. ``guard`` limits all changes to rows where it
+    is true.
+
+    The JSON is parsed once per row (staged projections; Spark does not
+    merge a stage whose costly result is used several times).
     """
     if rescued_col not in df.columns or not types:
         return df
     if residual not in ("none", "keep", "clear"):
         raise ValueError(f"residual must be none, keep or clear, not {residual!r}")
     dtypes = {n: to_type(t) for n, t in types.items()}
-    present = set(df.columns)
-    m = rescued_map(rescued_col)
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    base = [c for c in df.columns]
+    raw = col(rescued_col)
+    parsed = rescued_map(rescued_col)
+    # stage 1: the map (NULL outside the guard, so those rows stay as they are)
+    s1 = df.select(*[col(c) for c in base],
+                   (parsed if guard is None else F.when(guard, parsed)).alias(_MAP_COL))
+    m = F.col(_MAP_COL)
+
+    def have(n: str) -> Column:
+        return col(n) if schema[n] == dtypes[n] else col(n).try_cast(dtypes[n])
+
+    def found(n: str) -> Column:
+        return m.getItem(n).try_cast(dtypes[n])
+
+    # stage 2: recovered columns
+    out2 = []
+    for name in base:
+        out2.append(F.coalesce(have(name), found(name)).alias(name) if name in dtypes
+                    else col(name))
+    out2 += [found(n).alias(n) for n in dtypes if n not in schema]
+    if residual != "none":
+        out2.append(m)
+    s2 = s1.select(*out2)
     if residual == "keep":
-        # names whose rescued text casts and ends up in the column: it was
-        # empty, or already holds the same value (recovered at ingest)
-        def resolved(n, dtype):
-            found = m.getItem(n).try_cast(dtype)
-            if n not in present:
-                return F.when(found.isNotNull(), F.lit(n))
-            have = col(n) if df.schema[n].dataType == dtype else col(n).try_cast(dtype)
-            return F.when(found.isNotNull() & (have.isNull() | (have == found)), F.lit(n))
-        names = F.array_compact(F.array(*[resolved(n, t) for n, t in dtypes.items()]))
-        df = df.select(*[col(c) for c in df.columns], names.alias(_EMPTY))
-
-    def guarded(new: Column, old: Column) -> Column:
-        return new if guard is None else F.when(guard, new).otherwise(old)
-
-    out = []
-    for name in df.columns:
-        if name == _EMPTY:
-            continue
-        if name == rescued_col:
-            new = _residual_json(dtypes, rescued_col, residual, m)
-            out.append(guarded(new, col(name)).alias(name))
-        elif name in dtypes:
-            dtype = dtypes[name]
-            have = col(name) if df.schema[name].dataType == dtype else col(name).try_cast(dtype)
-            found = m.getItem(name).try_cast(dtype)
-            out.append(guarded(F.coalesce(have, found), have).alias(name))
-        else:
-            out.append(col(name))
-    for name, dtype in dtypes.items():
-        if name not in present:
-            out.append(guarded(m.getItem(name).try_cast(dtype),
-                               F.lit(None).cast(dtype)).alias(name))
-    return df.select(*out)
+        # stage 3: an entry is resolved when its text casts to the column's
+        # type and equals the column's value after recovery (it was empty,
+        # or already held that value); the rest stays rescued
+        names = F.array_compact(F.array(*[
+            F.when(found(n).isNotNull() & (col(n) == found(n)), F.lit(n)) for n in dtypes]))
+        left = F.map_filter(m, lambda k, v: ~F.array_contains(F.col(_NAMES), k))
+        s2 = (s2.select(*[col(c) for c in s2.columns], names.alias(_NAMES))
+              .select(*[col(c) for c in s2.columns], left.alias(_LEFT)))
+    cols = [c for c in s2.columns if c not in (_MAP_COL, _LEFT)]
+    if residual == "none":
+        return s2.select(*[col(c) for c in cols])
+    if residual == "clear":
+        new = F.lit(None) if guard is None else F.when(~guard | guard.isNull(), raw)
+    else:
+        m, left = F.col(_MAP_COL), F.col(_LEFT)
+        new = (F.when(raw.isNull() | m.isNull(), raw)     # untouched, or not a JSON object
+               .when(F.size(left) == 0, F.lit(None))
+               .when(F.size(left) == F.size(m), raw)      # nothing recovered: text unchanged
+               .otherwise(F.to_json(left)))
+    return s2.select(*[new.cast(T.StringType()).alias(c) if c == rescued_col else col(c)
+                       for c in cols])
 
 
 def clear_rescued(df: DataFrame, rescued_col: str = RESCUED) -> DataFrame:
