@@ -7,6 +7,7 @@ batch DataFrame, a streaming micro-batch or a repair projection.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -105,7 +106,7 @@ def capture(df: DataFrame, target: Mapping[str, object],
     the new captures (new text wins on a repeated name). No value is lost.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
-    out, entries, names = [], [], []
+    out, entries = [], []
     for name, src_type in schema.items():
         if name == rescued_col:
             continue
@@ -114,39 +115,43 @@ def capture(df: DataFrame, target: Mapping[str, object],
             continue
         if target[name] is None:
             # a column the table does not take (evolution off): text only
-            entries.append(F.struct(F.lit(name).alias("key"),
-                                    col(name).cast(T.StringType()).alias("value")))
+            entries.append((name, col(name).cast(T.StringType())))
             continue
         dst_type = to_type(target[name])
         if src_type == dst_type:
             out.append(col(name))
             continue
         cast = col(name).try_cast(dst_type)
-        out.append(cast.alias(name))
         miss = _misfit(col(name), src_type, cast, dst_type)
+        out.append(F.when(~miss, cast).alias(name))       # a misfit leaves the column NULL
         text = col(name).cast(T.StringType())
-        entries.append(F.struct(F.lit(name).alias("key"),
-                                F.when(miss, text).alias("value")))
-        names.append(name)
+        entries.append((name, F.when(miss, text)))
     had = rescued_col in schema
     if not entries:
         rescued = col(rescued_col) if had else F.lit(None).cast(T.StringType())
         return df.select(*out, rescued.alias(rescued_col))
-    # Step 1 computes the new captures under a private name; step 2 merges.
-    # (A lambda must not see a same-named alias of the select it sits in.)
-    new_map = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
-    staged = df.select(*out, *([col(rescued_col)] if had else []), new_map.alias(_NEW))
+    any_miss = reduce(lambda a, b: a | b, [t.isNotNull() for _, t in entries])
+    if not had:
+        # fast path: to_json of a struct leaves out NULL fields; clean rows
+        # (no misfit) build nothing
+        obj = F.struct(*[t.alias(n) for n, t in entries])
+        json = F.when(any_miss, F.to_json(obj))
+        return df.select(*out, json.cast(T.StringType()).alias(rescued_col))
+    # Step 1 computes the new captures under a private name; step 2 merges
+    # them into the incoming object. (A lambda must not see a same-named
+    # alias of the select it sits in.)
+    new_map = F.when(any_miss, F.map_from_entries(
+        F.filter(F.array(*[F.struct(F.lit(n).alias("key"), t.alias("value")) for n, t in entries]),
+                 lambda e: e["value"].isNotNull())))
+    staged = df.select(*out, col(rescued_col), new_map.alias(_NEW))
     nm = F.col(_NEW)
-    if had:
-        raw = col(rescued_col)
-        old = rescued_map(rescued_col)
-        keep_old = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(nm), k))
-        json = (F.when(raw.isNotNull() & old.isNull(),          # not a JSON object: keep the text
-                       F.when(F.size(nm) == 0, raw).otherwise(F.to_json(nm)))
-                .when(F.size(nm) + F.coalesce(F.size(keep_old), F.lit(0)) > 0,
-                      F.to_json(F.map_concat(F.coalesce(keep_old, F.create_map().cast(_MAP)), nm))))
-    else:
-        json = F.when(F.size(nm) > 0, F.to_json(nm))
+    raw = col(rescued_col)
+    old = rescued_map(rescued_col)
+    keep_old = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(nm), k))
+    json = (F.when(nm.isNull(), raw)                     # nothing new: incoming text as is
+            .when(raw.isNotNull() & old.isNull(), F.to_json(nm))   # incoming text not an object
+            .otherwise(F.to_json(F.map_concat(F.coalesce(keep_old, F.create_map().cast(_MAP)),
+                                              nm))))
     return staged.select(*[col(c) for c in staged.columns if c not in (_NEW, rescued_col)],
                          json.cast(T.StringType()).alias(rescued_col))
 

@@ -82,6 +82,13 @@ ORACLES = {
                  - count(*) FILTER (WHERE o_orderkey % 70 = 0) AS rows_repaired,
                'SUCCESS' AS status
         FROM orders""",
+    "repair_by_merge": """
+        SELECT count(*) FILTER (WHERE o_orderkey % 7 = 0) AS rows_rescued_before,
+               count(*) FILTER (WHERE o_orderkey % 70 = 0) AS rows_rescued_after,
+               count(*) FILTER (WHERE o_orderkey % 7 = 0)
+                 - count(*) FILTER (WHERE o_orderkey % 70 = 0) AS rows_repaired,
+               'SUCCESS' AS status
+        FROM orders""",
     "self_repair_rows": """
         SELECT CASE WHEN o_orderkey % 70 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
                o_custkey,

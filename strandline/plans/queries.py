@@ -15,8 +15,8 @@ from strandline.functions.columns import (RESCUED, SOURCE_FILE, cast_to_contract
                                           recover, rescued_filter)
 from strandline.operators.metrics import (log_rows, run_metrics, table_counts,
                                           threshold_alerts)
-from strandline.operators.repair import (repair_results, repair_worklist, self_repair_table,
-                                         update_table_by_key)
+from strandline.operators.repair import (repair_results, repair_source, repair_worklist,
+                                         self_repair_table, update_table_by_key)
 from strandline.operators.sink import ParquetTable
 from strandline.plans.fixtures import (CUSTOMER, EVENTS, LINEITEM, ORDERS, PLAN_CONTRACTS,
                                        dirty_orders, events_flagship_landing, events_landing,
@@ -214,6 +214,17 @@ def self_repair_rows(spark, sf_dir):
                                 F.col(RESCUED).isNotNull().alias("is_rescued"))
 
 
+def repair_by_merge(spark, sf_dir):
+    """The join form of the repair: the table's own rescued rows, recovered,
+    cleared and projected to key + columns (W10-W13), merged back by key
+    (W14). Same answer as ``self_repair_clear``, with a shuffle join."""
+    t = _stored_dirty(spark, sf_dir, work_root(spark, "repair_by_merge"), with_null_keys=True)
+    src = repair_source(t.read(spark), ORDERS.key, ORDERS.rescued_types(), residual="clear")
+    res = update_table_by_key(spark, t, "orders", ORDERS.key, src, list(ORDERS.rescued))
+    return repair_results(spark, [res]).select("rows_rescued_before", "rows_rescued_after",
+                                               "rows_repaired", "status")
+
+
 def update_by_key(spark, sf_dir):
     """Corrected rows (keys that are multiples of 3 or 7, price + 1) merged
     into the stored dirty table: only rescued rows take them."""
@@ -298,6 +309,7 @@ QUERIES = {
     "self_repair_keep": self_repair_keep,
     "self_repair_clear": self_repair_clear,
     "self_repair_rows": self_repair_rows,
+    "repair_by_merge": repair_by_merge,
     "update_by_key": update_by_key,
     "run_metrics": run_metrics_query,
     "threshold_alerts": threshold_alerts_query,

@@ -1,0 +1,119 @@
+"""Self repair, update by key, laws and plans."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from strandline.contracts import TableContract
+from strandline.operators.repair import (DuplicateKeyError, self_repair, self_repair_table,
+                                         update_by_key, update_table_by_key)
+from strandline.operators.sink import ParquetTable
+from strandline.plans.fixtures import ORDERS, dirty_orders, null_keys
+
+SMOKE = "/root/testdata/sf0.001"
+
+
+def stored(spark, tmp, nulls=True):
+    d = dirty_orders(spark.read.parquet(f"{SMOKE}/orders.parquet"))
+    if nulls:
+        d = null_keys(d)
+    t = ParquetTable(f"{tmp}/orders")
+    t.write_batch(d.filter(F.col("o_orderkey") % 3 == 0), 0)
+    t.write_batch(d.filter(~(F.col("o_orderkey") % 3 == 0) | F.col("o_orderkey").isNull()), 1)
+    return t, d
+
+
+def snapshot(t, spark):
+    rows = [tuple(r) for r in t.read(spark).select(
+        "o_orderkey", "o_totalprice", "_rescued_data", "_batch_id").collect()]
+    return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_self_repair_balance_and_idempotence(spark, tmp):
+    t, d = stored(spark, tmp)
+    n = d.count()
+    k = F.coalesce(F.col("o_orderkey"), F.lit(0))
+    r1 = self_repair_table(spark, t, ORDERS, residual="keep")
+    assert r1.status == "SUCCESS"
+    assert r1.rows_rescued_before == r1.rows_rescued_after + r1.rows_repaired
+    assert r1.rows_rescued_before == d.filter(F.col("_rescued_data").isNotNull()).count()
+    first = snapshot(t, spark)
+    r2 = self_repair_table(spark, t, ORDERS, residual="keep")
+    assert r2.rows_rescued_before == r1.rows_rescued_after and r2.rows_repaired == 0
+    assert snapshot(t, spark) == first                        # repair twice = repair once
+    assert t.read(spark).count() == n                         # rows in = rows out
+    left = t.read(spark).filter(F.col("_rescued_data").isNotNull())
+    # what stays: 'N/A' texts, and rows whose key is NULL
+    assert left.filter(~((k % 49 == 0) | F.col("o_orderkey").isNull())).count() == 0
+
+
+def test_self_repair_skips(spark, tmp):
+    t = ParquetTable(f"{tmp}/clean")
+    t.write_batch(spark.createDataFrame([(1, 1.0, None)], "o_orderkey long, o_totalprice double, "
+                                                          "_rescued_data string"), 0)
+    assert self_repair_table(spark, t, ORDERS).status == "SKIPPED"
+    u = ParquetTable(f"{tmp}/norescue")
+    u.write_batch(spark.createDataFrame([(1, 1.0)], "o_orderkey long, o_totalprice double"), 0)
+    assert self_repair_table(spark, u, ORDERS).status == "SKIPPED"
+
+
+def test_repair_rewrites_only_touched_partitions(spark, tmp):
+    import os
+    t = ParquetTable(f"{tmp}/p")
+    rows = spark.createDataFrame([(1, None, '{"o_totalprice":"2.5"}')],
+                                 "o_orderkey long, o_totalprice double, _rescued_data string")
+    t.write_batch(rows, 0)
+    t.write_batch(spark.createDataFrame([(2, 1.0, None)], rows.schema), 1)
+    p1 = f"{tmp}/p/_batch_id=1"
+    before = {f: os.path.getmtime(f"{p1}/{f}") for f in os.listdir(p1)}
+    r = self_repair_table(spark, t, ORDERS)
+    assert (r.rows_repaired, r.rows_rescued_after) == (1, 0)
+    assert {f: os.path.getmtime(f"{p1}/{f}") for f in os.listdir(p1)} == before
+    assert t.read(spark).filter("o_orderkey = 1").first()["o_totalprice"] == 2.5
+
+
+def test_update_by_key_semantics(spark):
+    target = spark.createDataFrame([
+        (1, None, '{"p":"x"}'), (2, 5.0, None), (3, None, '{"p":"y"}'), (None, None, '{"p":"z"}'),
+    ], "id long, p double, _rescued_data string")
+    source = spark.createDataFrame([(1, 10.0), (2, 20.0), (None, 30.0), (9, 90.0)],
+                                   "id long, p double")
+    out = update_by_key(target, source, "id", ["p"])
+    got = sorted([tuple(r) for r in out.collect()], key=lambda r: (r[0] is None, r[0]))
+    assert got == [(1, 10.0, None), (2, 5.0, None), (3, None, '{"p":"y"}'), (None, None, '{"p":"z"}')]
+    assert out.columns == target.columns
+
+
+def test_update_by_key_rejects_duplicate_source_keys(spark, tmp):
+    target = spark.createDataFrame([(1, None, '{"p":"x"}')], "id long, p double, _rescued_data string")
+    source = spark.createDataFrame([(1, 10.0), (1, 11.0)], "id long, p double")
+    with pytest.raises(DuplicateKeyError):
+        update_by_key(target, source, "id", ["p"]).collect()
+    t = ParquetTable(f"{tmp}/dup")
+    t.write_batch(target, 0)
+    assert update_table_by_key(spark, t, "t", "id", source, ["p"]).status == "FAILED"
+
+
+def test_plan_self_repair_has_no_exchange(spark, tmp):
+    t, _ = stored(spark, tmp, nulls=False)
+    plan = self_repair(t.read(spark), "o_orderkey", {"o_totalprice": "double"}) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_plan_rescued_filter_is_pushed(spark, tmp):
+    t, _ = stored(spark, tmp, nulls=False)
+    plan = t.read(spark).filter(F.col("_rescued_data").isNotNull()).select("o_orderkey") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(_rescued_data)]" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,_rescued_data:string>" in plan
+
+
+def test_contract_lookup():
+    from strandline.contracts import REGISTRY, contract, rescued_contracts
+    assert len(REGISTRY) == 15
+    assert sum(len(c.types) for c in REGISTRY.values()) == 161
+    assert len(rescued_contracts()) == 7
+    assert contract("transactions").partition == "transaction_date"
+    with pytest.raises(KeyError):
+        contract("nope")
+    assert isinstance(ORDERS, TableContract)
