@@ -69,20 +69,33 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
     """Target rows with ``key`` equal to a source row's and a rescued
     value take the source's ``columns`` and rescued value (NULL if the source
     has none). Nothing is inserted or deleted; NULL keys never match.
-    Result has the target's columns, in the target's order."""
-    if unique:
-        check_unique(source, key)
+    Result has the target's columns, in the target's order.
+
+    Plan: the source is aggregated by key once (partial aggregation first,
+    so a hot key costs one row per task), keeping a row count; the join
+    reuses that hash partitioning, so the source is shuffled once. Only the
+    target's rescued rows with a key enter the join; the rest bypass it.
+    With ``unique`` a repeated source key that meets a rescued target row
+    fails the job (its new value would be ambiguous); ``check_unique``
+    rejects any repeated key up front instead.
+    """
     guard = repair_guard(key, rescued_col)
     untouched = target.filter(~guard | guard.isNull())
     candidates = target.filter(guard)
     src_cols = [c for c in columns if c != key]
-    src = source.select(col(key).alias(key),
-                        *[col(c).alias(f"__src_{c}") for c in src_cols],
-                        (col(rescued_col) if rescued_col in source.columns
-                         else F.lit(None).cast(T.StringType())).alias("__src_rescued"),
-                        F.lit(True).alias("__matched"))
+    rescued_src = (col(rescued_col) if rescued_col in source.columns
+                   else F.lit(None).cast(T.StringType()))
+    src = (source.filter(col(key).isNotNull())
+           .groupBy(col(key).alias(key))
+           .agg(F.count(F.lit(1)).alias("__n"),
+                *[F.first(col(c)).alias(f"__src_{c}") for c in src_cols],
+                F.first(rescued_src).alias("__src_rescued")))
     joined = candidates.join(src, on=key, how="left")
-    m = F.col("__matched").isNotNull()
+    n = F.col("__n")
+    m = n.isNotNull()
+    if unique:
+        m = F.when(n > 1, F.raise_error(F.concat(F.lit(f"DUPLICATE_SOURCE_KEY: {key}="),
+                                                 col(key).cast("string")))).otherwise(m)
     out = []
     for f in target.schema.fields:
         if f.name in src_cols:
@@ -182,8 +195,8 @@ def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableC
     with a type other than the contract's is recovered into the stored
     type, so the table's files keep one schema."""
     cols = [c for c in (columns or contract.rescued or list(contract.types)) if c]
-    stored = table.schema(spark)
-    have = {f.name: f.dataType for f in stored.fields} if stored is not None else {}
+    have = {f.name: f.dataType for f in table.read(spark).schema.fields} \
+        if table.exists(spark) else {}
     types = {c: have.get(c, contract.type_of(c)) for c in cols}
     return repair_table(spark, table, contract.name, contract.key,
                         lambda d: self_repair(d, contract.key, types, residual, rescued_col),
@@ -193,14 +206,11 @@ def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableC
 def update_table_by_key(spark: SparkSession, table: ParquetTable, name: str, key: str,
                         source: DataFrame, columns: Sequence[str],
                         rescued_col: str = RESCUED) -> RepairResult:
-    """W14 on a stored table: check the source's keys, then rewrite only
-    partitions with rescued rows."""
-    try:
-        check_unique(source, key)
-    except DuplicateKeyError as e:
-        return RepairResult(name, -1, -1, 0, 0.0, FAILED, str(e))
+    """W14 on a stored table: rewrite only partitions with rescued rows. A
+    repeated source key that meets a rescued row fails the write job before
+    anything is committed, and the repair is reported FAILED."""
     return repair_table(spark, table, name, key,
-                        lambda d: update_by_key(d, source, key, columns, rescued_col, unique=False),
+                        lambda d: update_by_key(d, source, key, columns, rescued_col, unique=True),
                         rescued_col)
 
 

@@ -29,12 +29,18 @@ class ParquetTable:
     path: str
     partition_cols: tuple[str, ...] = (BATCH_ID,)
     partition_types: dict = field(default_factory=dict)
+    # the table's schema once known: later reads pass it instead of merging
+    # every footer again; our own writes keep it current
+    _schema: T.StructType | None = field(default=None, repr=False, compare=False)
 
     # -- read ---------------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:
-        """The whole table. Footers are merged so columns added by later
-        batches appear (NULL in older files). Partition columns get their
-        declared types back (``_batch_id`` is a long)."""
+        """The whole table. The first read merges footers, so columns added
+        by later batches appear (NULL in older files); partition columns
+        get their declared types (``_batch_id`` is a long). Later reads use
+        that schema directly."""
+        if self._schema is not None:
+            return spark.read.schema(self._schema).parquet(self.path)
         df = spark.read.option("mergeSchema", "true").parquet(self.path)
         fixes = {BATCH_ID: T.LongType(), **{k: to_type(v) for k, v in self.partition_types.items()}}
         out = []
@@ -42,9 +48,27 @@ class ParquetTable:
             want = fixes.get(f.name)
             out.append(col(f.name).cast(want).alias(f.name) if want is not None and want != f.dataType
                        else col(f.name))
-        return df.select(*out)
+        df = df.select(*out)
+        self._schema = df.schema
+        return df
+
+    def refresh(self) -> None:
+        """Forget the remembered schema (another writer changed the table)."""
+        self._schema = None
+
+    def _remember(self, df: DataFrame) -> None:
+        if self._schema is None:
+            return          # learnt from the files on the next read
+        known = {f.name for f in self._schema.fields}
+        extra = [f for f in df.schema.fields if f.name not in known]
+        if extra:
+            data = [f for f in self._schema.fields if f.name not in self.partition_cols]
+            parts = [f for f in self._schema.fields if f.name in self.partition_cols]
+            self._schema = T.StructType(data + extra + parts)
 
     def exists(self, spark: SparkSession) -> bool:
+        if self._schema is not None:
+            return True
         try:
             spark.read.parquet(self.path).schema  # noqa: B018  (lists the folder)
             return True
@@ -74,15 +98,18 @@ class ParquetTable:
         if BATCH_ID not in df.columns:
             raise ValueError(f"{BATCH_ID} is needed to write a batch idempotently")
         self._writer(df, "overwrite").parquet(self.path)
+        self._remember(df)
 
     def append(self, df: DataFrame) -> None:
         """Plain append (run log and other tables without batch replay)."""
         self._writer(df, "append").parquet(self.path)
+        self._remember(df)
 
     def overwrite_partitions(self, df: DataFrame) -> None:
         """Rewrite exactly the partitions present in ``df`` (dynamic mode);
         ``df`` must hold all rows of each of them."""
         self._writer(df, "overwrite").parquet(self.path)
+        self._remember(df)
 
 
 def align_to_table(df: DataFrame, table_schema: T.StructType | None) -> DataFrame:

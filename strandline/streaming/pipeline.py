@@ -98,7 +98,7 @@ class LandingLoad:
     evolve: bool = True
     trigger: str = "available_now"    # or "processing_time"
     processing_time: str = "30 seconds"
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int | None = 10_000   # bounds paths per batch on the driver
     reset: bool = False
     batches: list = field(default_factory=list)
     _schema: T.StructType | None = None

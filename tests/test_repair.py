@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.contracts import TableContract
-from strandline.operators.repair import (DuplicateKeyError, self_repair, self_repair_table,
+from strandline.operators.repair import (DuplicateKeyError, check_unique, self_repair,
+                                         self_repair_table,
                                          update_by_key, update_table_by_key)
 from strandline.operators.sink import ParquetTable
 from strandline.plans.fixtures import ORDERS, dirty_orders, null_keys
@@ -84,13 +85,38 @@ def test_update_by_key_semantics(spark):
 
 
 def test_update_by_key_rejects_duplicate_source_keys(spark, tmp):
-    target = spark.createDataFrame([(1, None, '{"p":"x"}')], "id long, p double, _rescued_data string")
+    target = spark.createDataFrame([(1, None, '{"p":"x"}'), (2, 3.0, None)],
+                                   "id long, p double, _rescued_data string")
     source = spark.createDataFrame([(1, 10.0), (1, 11.0)], "id long, p double")
-    with pytest.raises(DuplicateKeyError):
+    with pytest.raises(Exception, match="DUPLICATE_SOURCE_KEY"):
         update_by_key(target, source, "id", ["p"]).collect()
+    with pytest.raises(DuplicateKeyError):
+        check_unique(source, "id")
+    # a repeated key that meets no rescued row is harmless
+    ok = spark.createDataFrame([(1, 10.0), (2, 20.0), (2, 21.0)], "id long, p double")
+    got = sorted(tuple(r) for r in update_by_key(target, ok, "id", ["p"]).collect())
+    assert got == [(1, 10.0, None), (2, 3.0, None)]
     t = ParquetTable(f"{tmp}/dup")
     t.write_batch(target, 0)
-    assert update_table_by_key(spark, t, "t", "id", source, ["p"]).status == "FAILED"
+    r = update_table_by_key(spark, t, "t", "id", source, ["p"])
+    assert r.status == "FAILED" and "DUPLICATE_SOURCE_KEY" in r.error
+    assert sorted(tuple(x) for x in t.read(spark).select("id", "p").collect()) == \
+        [(1, None), (2, 3.0)]                                  # nothing committed
+
+
+def test_update_by_key_plan_shuffles_source_once(spark, tmp):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        target = spark.read.parquet(f"{SMOKE}/orders.parquet").select(
+            "o_orderkey", "o_totalprice", F.lit('{"o_totalprice":"1"}').alias("_rescued_data"))
+        source = spark.read.parquet(f"{SMOKE}/orders.parquet").select("o_orderkey", "o_totalprice")
+        plan = update_by_key(target, source, "o_orderkey", ["o_totalprice"]) \
+            ._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2   # one per side, none extra
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_plan_self_repair_has_no_exchange(spark, tmp):
