@@ -67,15 +67,26 @@ class ParquetTable:
             self._schema = T.StructType(data + extra + parts)
 
     def exists(self, spark: SparkSession) -> bool:
+        """Whether the table has data. Looks for the commit marker our writes
+        leave at the root first (one file, no listing of the table); only a
+        folder without it is listed."""
         if self._schema is not None:
             return True
-        try:
-            spark.read.parquet(self.path).schema  # noqa: B018  (lists the folder)
-            return True
-        except AnalysisException as e:
-            if _missing_path(e):
-                return False
-            raise
+        for probe in (lambda: spark.read.text(f"{self.path}/_SUCCESS"),
+                      lambda: spark.read.parquet(self.path).schema):
+            try:
+                probe()
+                return True
+            except AnalysisException as e:
+                if not _missing_path(e):
+                    raise
+        return False
+
+    def as_view(self, spark: SparkSession, name: str) -> DataFrame:
+        """W5 by name: the table as a temporary view for SQL users."""
+        df = self.read(spark)
+        df.createOrReplaceTempView(name)
+        return df
 
     def schema(self, spark: SparkSession) -> T.StructType | None:
         return self.read(spark).schema if self.exists(spark) else None

@@ -101,6 +101,11 @@ ORACLES = {
                CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice,
                CAST(NULL AS VARCHAR) AS _rescued_data
         FROM orders""",
+    "load_metrics": f"""
+        SELECT CAST(event_id % 2 AS BIGINT) AS batch_id, count(*) AS rows_read,
+               count(*) FILTER (WHERE {_RESCUED_EVENT}) AS rows_rescued,
+               CAST(count(*) FILTER (WHERE {_RESCUED_EVENT}) AS DOUBLE) / count(*) AS rescued_pct
+        FROM events GROUP BY event_id % 2""",
     "run_metrics": _METRICS,
     "threshold_alerts": f"""
         SELECT event_type, 'rescued_pct' AS rule, rescued_pct AS observed, 0.05::DOUBLE AS threshold

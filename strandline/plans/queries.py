@@ -246,6 +246,20 @@ def _landed_events(spark, sf_dir, label):
     return land_folder(spark, f"{root}/landing/events", EVENTS.types)
 
 
+def load_metrics(spark, sf_dir):
+    """Events landed in two drops (even ids, then odd ids), one stream run
+    each; per-batch rows and rescued rows as observed during the writes."""
+    root = work_root(spark, "load_metrics")
+    ev = events_landing(table(spark, sf_dir, "events"))
+    src = f"{root}/landing/events"
+    ld = _load(spark, EVENTS, src, root)
+    write_drop(ev.filter(F.col("event_id") % 2 == 0), src)
+    ld.run()
+    write_drop(ev.filter(F.col("event_id") % 2 == 1), src)
+    ld.run()
+    return ld.batch_metrics().select("batch_id", "rows_read", "rows_rescued", "rescued_pct")
+
+
 def run_metrics_query(spark, sf_dir):
     return run_metrics(_landed_events(spark, sf_dir, "run_metrics"), ["event_type"])
 
@@ -311,6 +325,7 @@ QUERIES = {
     "self_repair_rows": self_repair_rows,
     "repair_by_merge": repair_by_merge,
     "update_by_key": update_by_key,
+    "load_metrics": load_metrics,
     "run_metrics": run_metrics_query,
     "threshold_alerts": threshold_alerts_query,
     "run_log": run_log,

@@ -41,6 +41,15 @@ LOAD_RESULT_SCHEMA = T.StructType([
 ])
 
 
+BATCH_METRICS_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("rows_read", T.LongType()),
+    T.StructField("rows_rescued", T.LongType()),
+    T.StructField("rescued_pct", T.DoubleType()),
+])
+
+
 @dataclass
 class LoadResult:
     table_name: str
@@ -100,6 +109,7 @@ class LandingLoad:
     processing_time: str = "30 seconds"
     max_files_per_trigger: int | None = 10_000   # bounds paths per batch on the driver
     reset: bool = False
+    totals: bool = True               # count the whole table after a run (one pass)
     batches: list = field(default_factory=list)
     _schema: T.StructType | None = None
     _offset: int = 0
@@ -153,6 +163,13 @@ class LandingLoad:
              else w.trigger(processingTime=self.processing_time))
         return w.start()
 
+    def batch_metrics(self) -> DataFrame:
+        """W19 per micro-batch, as measured in flight by ``observe`` while the
+        batch was written: one row per batch of this run."""
+        rows = [(self.contract.name, b["batch_id"], b["rows"], b["rescued"],
+                 b["rescued"] / b["rows"] if b["rows"] else 0.0) for b in self.batches]
+        return self.spark.createDataFrame(rows, BATCH_METRICS_SCHEMA)
+
     def summary(self, status: str, duration: float, error: str | None = None) -> LoadResult:
         return LoadResult(self.contract.name, status, len(self.batches),
                           sum(b["rows"] for b in self.batches), sum(b["rows"] for b in self.batches),
@@ -163,7 +180,7 @@ class LandingLoad:
         q = self.start()
         q.awaitTermination()
         res = self.summary(SUCCESS, time.time() - t0)
-        if self.table.exists(self.spark):
+        if self.totals and self.table.exists(self.spark):
             r = self.table.read(self.spark)
             tot = r.agg(*count_exprs(r)).collect()[0]
             res.rows_total, res.rows_rescued = int(tot["rows_total"]), int(tot["rows_rescued"])
@@ -207,7 +224,8 @@ def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, Tab
             results[name] = by_name[name].summary(SUCCESS, time.time() - started)
         except Exception as e:
             results[name] = by_name[name].summary(FAILED, time.time() - started, str(e)[:2000])
-    ok = [n for n, r in results.items() if r.status == SUCCESS and by_name[n].table.exists(spark)]
+    ok = [n for n, r in results.items() if r.status == SUCCESS and by_name[n].totals
+          and by_name[n].table.exists(spark)]
     if ok:
         parts = []
         for n in ok:

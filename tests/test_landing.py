@@ -108,3 +108,23 @@ def test_evolution_off_rescues_new_columns(spark, tmp):
     t = ld.table.read(spark)
     assert "note" not in t.columns
     assert t.filter("id = 2").first()["_rescued_data"] == '{"note":"n"}'
+
+
+def test_processing_time_trigger_and_view(spark, tmp):
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0)], "id long, amount double")
+    ld = make_load(spark, tmp, trigger="processing_time", processing_time="1 second")
+    q = ld.start()
+    try:
+        q.processAllAvailable()
+        drop(spark, src, [(2, "2.5")], "id long, amount string")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sum(b["rows"] for b in ld.batches) == 2
+    ld.table.as_view(spark, "landed_t")
+    assert spark.sql("SELECT sum(amount) AS s FROM landed_t").first()["s"] == 3.5
+
+
+def test_missing_table_does_not_exist(spark, tmp):
+    assert not ParquetTable(f"{tmp}/nothing").exists(spark)
