@@ -244,3 +244,35 @@ def repair_worklist(spark: SparkSession, tables: Mapping[str, DataFrame],
     return (all_counts.filter(F.col("rows_rescued") > 0)
             .join(F.broadcast(items), "table_name")
             .select("table_name", "primary_key", "rescued_cols", "rows_rescued"))
+
+
+# ---------------------------------------------------------------------------
+# Per-item repair (the worklist's consumer)
+# ---------------------------------------------------------------------------
+
+def parse_item(item) -> tuple[str, str, list[str]]:
+    """A worklist item (dict, Row or JSON text) as (table, key, columns).
+    An empty column list means the contract's columns."""
+    import json
+    if isinstance(item, str):
+        item = json.loads(item)
+    elif hasattr(item, "asDict"):
+        item = item.asDict()
+    cols = [c.strip() for c in (item.get("rescued_cols") or "").split(",") if c.strip()]
+    return item["table"] if "table" in item else item["table_name"], item["primary_key"], cols
+
+
+def repair_items(spark: SparkSession, items, tables: Mapping[str, ParquetTable],
+                 contracts: Mapping[str, TableContract], residual: str = "keep") -> DataFrame:
+    """Repair each worklist item's table in place, one after another (each
+    repair is its own distributed job); a failing table does not stop the
+    rest. ``items`` is a worklist DataFrame (one row per table) or a list."""
+    rows = items.collect() if isinstance(items, DataFrame) else list(items)
+    results = []
+    for it in rows:
+        name, key, cols = parse_item(it)
+        base = contracts[name]
+        c = TableContract(base.name, base.folder, base.target, key, base.types,
+                          base.rescued, base.partition, base.description)
+        results.append(self_repair_table(spark, tables[name], c, cols or None, residual))
+    return repair_results(spark, results)

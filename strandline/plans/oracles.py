@@ -124,6 +124,17 @@ ORACLES = {
         UNION ALL SELECT 'customer', 'SUCCESS', count(*) FROM customer
         UNION ALL SELECT 'events', 'SUCCESS', count(*) FROM events
         UNION ALL SELECT 'missing_feed', 'FAILED', CAST(0 AS BIGINT)""",
+    "repair_from_worklist": f"""
+        SELECT 'orders' AS table_name,
+               count(*) FILTER (WHERE o_orderkey % 7 = 0) AS rows_rescued_before,
+               count(*) FILTER (WHERE o_orderkey % 49 = 0) AS rows_rescued_after,
+               count(*) FILTER (WHERE o_orderkey % 7 = 0 AND o_orderkey % 49 <> 0) AS rows_repaired,
+               'SUCCESS' AS status
+        FROM orders
+        UNION ALL
+        SELECT 'events', count(*) FILTER (WHERE {_RESCUED_EVENT}),
+               count(*) FILTER (WHERE {_RESCUED_EVENT}), CAST(0 AS BIGINT), 'SUCCESS'
+        FROM events""",
     "repair_worklist": f"""
         SELECT * FROM (
             SELECT 'orders' AS table_name, 'o_orderkey' AS primary_key, 'o_totalprice' AS rescued_cols,

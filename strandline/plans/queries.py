@@ -15,8 +15,8 @@ from strandline.functions.columns import (RESCUED, SOURCE_FILE, cast_to_contract
                                           recover, rescued_filter)
 from strandline.operators.metrics import (log_rows, run_metrics, table_counts,
                                           threshold_alerts)
-from strandline.operators.repair import (repair_results, repair_source, repair_worklist,
-                                         self_repair_table, update_table_by_key)
+from strandline.operators.repair import (repair_items, repair_results, repair_source,
+                                         repair_worklist, self_repair_table, update_table_by_key)
 from strandline.operators.sink import ParquetTable
 from strandline.plans.fixtures import (CUSTOMER, EVENTS, LINEITEM, ORDERS, PLAN_CONTRACTS,
                                        dirty_orders, events_flagship_landing, events_landing,
@@ -306,6 +306,21 @@ def repair_worklist_query(spark, sf_dir):
     return repair_worklist(spark, {"orders": o, "events": e, "customer": c}, PLAN_CONTRACTS)
 
 
+def repair_from_worklist(spark, sf_dir):
+    """Worklist over stored tables (dirty orders, events with 'n/a' values,
+    clean customers), then each listed table repaired in place."""
+    root = work_root(spark, "repair_from_worklist")
+    orders = _stored_dirty(spark, sf_dir, root)
+    events = ParquetTable(f"{root}/events")
+    events.write_batch(_landed_events(spark, sf_dir, "repair_from_worklist_src"), 0)
+    customer = ParquetTable(f"{root}/customer")
+    customer.write_batch(table(spark, sf_dir, "customer"), 0)
+    tables = {"orders": orders, "events": events, "customer": customer}
+    items = repair_worklist(spark, {n: t.read(spark) for n, t in tables.items()}, PLAN_CONTRACTS)
+    return repair_items(spark, items, tables, PLAN_CONTRACTS).select(
+        "table_name", "rows_rescued_before", "rows_rescued_after", "rows_repaired", "status")
+
+
 QUERIES = {
     "landing_flagship": landing_flagship,
     "incremental_ingest": incremental_ingest,
@@ -332,4 +347,5 @@ QUERIES = {
     "source_inventory": source_inventory_query,
     "multi_table_load": multi_table_load,
     "repair_worklist": repair_worklist_query,
+    "repair_from_worklist": repair_from_worklist,
 }

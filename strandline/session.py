@@ -40,13 +40,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     checkpoint dir). Only when neither is set (local tests) a private
     folder is created and registered, so later calls agree on it.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:       # a remote session has no context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="strandline-chk-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", d)
+    if sc is None:
+        return d.rstrip("/")
     sc.setCheckpointDir(d)
     return (sc.getCheckpointDir() or d).rstrip("/")
 

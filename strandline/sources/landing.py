@@ -76,11 +76,12 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
     executors; only (path, schema key) pairs come back, grouped. Groups and
     paths are in path order, so 'first seen' is stable."""
     keyed = files.select("path").mapInPandas(_footer_keys, "path string, schema_key string")
-    rows = (keyed.groupBy("schema_key")
-            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .collect())
-    groups = [list(r["paths"]) for r in rows]
-    return sorted(groups, key=lambda g: g[0])
+    # The driver needs the paths anyway (one read per group); collecting the
+    # pairs avoids gathering a dominant schema's paths in a single task.
+    by_key: dict[str, list[str]] = {}
+    for r in keyed.collect():
+        by_key.setdefault(r["schema_key"], []).append(r["path"])
+    return sorted((sorted(g) for g in by_key.values()), key=lambda g: g[0])
 
 
 def resolve_types(declared: Mapping[str, object], table: T.StructType | None,

@@ -143,3 +143,10 @@ def test_contract_lookup():
     with pytest.raises(KeyError):
         contract("nope")
     assert isinstance(ORDERS, TableContract)
+
+
+def test_parse_item():
+    from strandline.operators.repair import parse_item
+    assert parse_item('{"table": "t", "primary_key": "id", "rescued_cols": ""}') == ("t", "id", [])
+    assert parse_item({"table_name": "t", "primary_key": "id", "rescued_cols": "a, b,"}) == \
+        ("t", "id", ["a", "b"])
