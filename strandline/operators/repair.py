@@ -83,13 +83,15 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
     untouched = target.filter(~guard | guard.isNull())
     candidates = target.filter(guard)
     src_cols = [c for c in columns if c != key]
-    rescued_src = (col(rescued_col) if rescued_col in source.columns
-                   else F.lit(None).cast(T.StringType()))
+    # Only a source that brings its own rescued column carries it through the
+    # aggregate (a string buffer makes Spark sort instead of hash);
+    # otherwise matched rows get NULL after the join.
+    has_rescued = rescued_col in source.columns
     src = (source.filter(col(key).isNotNull())
            .groupBy(col(key).alias(key))
            .agg(F.count(F.lit(1)).alias("__n"),
                 *[F.first(col(c)).alias(f"__src_{c}") for c in src_cols],
-                F.first(rescued_src).alias("__src_rescued")))
+                *([F.first(col(rescued_col)).alias("__src_rescued")] if has_rescued else [])))
     joined = candidates.join(src, on=key, how="left")
     n = F.col("__n")
     m = n.isNotNull()
@@ -102,7 +104,8 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
             out.append(F.when(m, F.col(f"__src_{f.name}").cast(f.dataType)).otherwise(col(f.name))
                        .alias(f.name))
         elif f.name == rescued_col:
-            out.append(F.when(m, F.col("__src_rescued")).otherwise(col(f.name)).alias(f.name))
+            new = F.col("__src_rescued") if has_rescued else F.lit(None).cast(T.StringType())
+            out.append(F.when(m, new).otherwise(col(f.name)).alias(f.name))
         else:
             out.append(col(f.name))
     return untouched.unionByName(joined.select(*out))
