@@ -32,6 +32,7 @@ class ParquetTable:
     # the table's schema once known: later reads pass it instead of merging
     # every footer again; our own writes keep it current
     _schema: T.StructType | None = field(default=None, repr=False, compare=False)
+    _empty: bool = field(default=False, repr=False, compare=False)   # probed: no data yet
 
     # -- read ---------------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:
@@ -56,9 +57,21 @@ class ParquetTable:
         """Forget the remembered schema (another writer changed the table)."""
         self._schema = None
 
+    def _layout(self, schema: T.StructType) -> T.StructType:
+        """The schema a read returns for files written from ``schema``:
+        data columns, then partition columns with their declared types."""
+        fixes = {BATCH_ID: T.LongType(), **{k: to_type(v) for k, v in self.partition_types.items()}}
+        by_name = {f.name: f for f in schema.fields}
+        data = [f for f in schema.fields if f.name not in self.partition_cols]
+        parts = [T.StructField(c, fixes.get(c, by_name[c].dataType), True)
+                 for c in self.partition_cols if c in by_name]
+        return T.StructType(data + parts)
+
     def _remember(self, df: DataFrame) -> None:
         if self._schema is None:
-            return          # learnt from the files on the next read
+            if self._empty:     # first write into a new table: its schema is this one
+                self._schema, self._empty = self._layout(df.schema), False
+            return              # otherwise learnt from the files on the next read
         known = {f.name for f in self._schema.fields}
         extra = [f for f in df.schema.fields if f.name not in known]
         if extra:
@@ -80,6 +93,7 @@ class ParquetTable:
             except AnalysisException as e:
                 if not _missing_path(e):
                     raise
+        self._empty = True
         return False
 
     def as_view(self, spark: SparkSession, name: str) -> DataFrame:

@@ -40,6 +40,7 @@ def _load(spark, contract, source, root, mode="discover", glob="*.parquet", part
 def _stored_dirty(spark, sf_dir, root, with_null_keys=False) -> ParquetTable:
     """dirty(orders) stored as a table, in two batches (even / odd keys)."""
     t = ParquetTable(f"{root}/orders_dirty")
+    t.exists(spark)
     d = dirty_orders(table(spark, sf_dir, "orders"))
     if with_null_keys:
         d = null_keys(d)
