@@ -56,26 +56,29 @@ def infer_schema(spark: SparkSession, folder: str, glob: str = "*.parquet") -> T
 # W2 footers
 # ---------------------------------------------------------------------------
 
-def _footer_keys(batches):
-    import pandas as pd
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        keys = []
-        for p in pdf["path"]:
-            uri = "file://" + p[5:] if p.startswith("file:") and not p.startswith("file://") else p
-            fs, rel = pafs.FileSystem.from_uri(uri)
-            sch = pq.read_schema(rel, filesystem=fs)
-            keys.append("|".join(f"{f.name}:{f.type}" for f in sch))
-        yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
-
-
 def schema_groups(files: DataFrame) -> list[list[str]]:
     """Group file paths by their Parquet schema. Footers are read on the
     executors; only (path, schema key) pairs come back, grouped. Groups and
     paths are in path order, so 'first seen' is stable."""
-    keyed = files.select("path").mapInPandas(_footer_keys, "path string, schema_key string")
+    def footer_keys(batches):
+        # defined here so it travels to executors by value, without needing
+        # this package installed there
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            keys = []
+            for p in pdf["path"]:
+                uri = "file://" + p[5:] if p.startswith("file:") and not p.startswith("file://") else p
+                if uri.startswith(("s3a://", "s3n://")):
+                    uri = "s3://" + uri.split("://", 1)[1]
+                fs, rel = pafs.FileSystem.from_uri(uri)
+                sch = pq.read_schema(rel, filesystem=fs)
+                keys.append("|".join(f"{f.name}:{f.type}" for f in sch))
+            yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
+
+    keyed = files.select("path").mapInPandas(footer_keys, "path string, schema_key string")
     # The driver needs the paths anyway (one read per group); collecting the
     # pairs avoids gathering a dominant schema's paths in a single task.
     by_key: dict[str, list[str]] = {}
