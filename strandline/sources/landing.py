@@ -25,24 +25,45 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+# A file older than ``maxFileAge`` (relative to the newest file seen) is
+# skipped by the file stream source after its first batch; Spark's default of
+# 7 days would silently drop back-filled files. Keep it beyond any real age
+# (the seen-file map then grows with the files seen: ~100-200 MB of driver
+# memory per million files), and keep the folder small with
+# ``clean_source`` ("archive" or "delete").
+DEFAULT_MAX_FILE_AGE = "36500d"
+
+
+def _file_stream(reader, glob, max_files_per_trigger, max_file_age, clean_source, archive_dir):
+    r = reader.option("pathGlobFilter", glob).option("maxFileAge", max_file_age)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if clean_source:
+        r = r.option("cleanSource", clean_source)
+        if archive_dir:
+            r = r.option("sourceArchiveDir", archive_dir)
+    return r
+
+
 def discover_stream(spark: SparkSession, folder: str, glob: str = "*.parquet",
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None,
+                    max_file_age: str = DEFAULT_MAX_FILE_AGE, clean_source: str | None = None,
+                    archive_dir: str | None = None) -> DataFrame:
     """A stream of files not seen before under ``folder``: ``path``,
     ``length``. The content column is pruned from the scan."""
-    r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-         .option("pathGlobFilter", glob))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    r = _file_stream(spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA), glob,
+                     max_files_per_trigger, max_file_age, clean_source, archive_dir)
     return r.load(folder).select("path", "length")
 
 
 def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType,
-                   glob: str = "*.parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+                   glob: str = "*.parquet", max_files_per_trigger: int | None = None,
+                   max_file_age: str = DEFAULT_MAX_FILE_AGE, clean_source: str | None = None,
+                   archive_dir: str | None = None) -> DataFrame:
     """W1 for a folder whose files share one schema: a Parquet stream with
     the source file selected on the scan (W7)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    r = _file_stream(spark.readStream.schema(schema), glob, max_files_per_trigger,
+                     max_file_age, clean_source, archive_dir)
     df = r.parquet(folder)
     return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 

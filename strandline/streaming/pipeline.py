@@ -23,8 +23,8 @@ from strandline.functions.columns import (BATCH_ID, RESCUED, capture, cast_to_co
                                           recover)
 from strandline.operators.metrics import FAILED, SUCCESS, count_exprs, observed
 from strandline.operators.sink import ParquetTable, align_to_table
-from strandline.sources.landing import (discover_stream, infer_schema, parquet_stream, read_landing,
-                                       schema_groups)
+from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
+                                       parquet_stream, read_landing, schema_groups)
 
 LOAD_RESULT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -109,6 +109,9 @@ class LandingLoad:
     processing_time: str = "30 seconds"
     max_files_per_trigger: int | None = 10_000   # bounds paths per batch on the driver
     reset: bool = False
+    max_file_age: str = DEFAULT_MAX_FILE_AGE
+    clean_source: str | None = None   # "archive" (to archive_dir) or "delete" after commit
+    archive_dir: str | None = None
     totals: bool = True               # count the whole table after a run (one pass)
     batches: list = field(default_factory=list)
     _schema: T.StructType | None = None
@@ -126,10 +129,13 @@ class LandingLoad:
             self._offset = 0 if top is None else int(top) + 1
 
     def _stream(self) -> DataFrame:
+        opts = dict(max_files_per_trigger=self.max_files_per_trigger,
+                    max_file_age=self.max_file_age, clean_source=self.clean_source,
+                    archive_dir=self.archive_dir)
         if self.mode == "discover":
-            return discover_stream(self.spark, self.source, self.glob, self.max_files_per_trigger)
+            return discover_stream(self.spark, self.source, self.glob, **opts)
         schema = infer_schema(self.spark, self.source, self.glob)
-        return parquet_stream(self.spark, self.source, schema, self.glob, self.max_files_per_trigger)
+        return parquet_stream(self.spark, self.source, schema, self.glob, **opts)
 
     def process_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession

@@ -128,3 +128,38 @@ def test_processing_time_trigger_and_view(spark, tmp):
 
 def test_missing_table_does_not_exist(spark, tmp):
     assert not ParquetTable(f"{tmp}/nothing").exists(spark)
+
+
+def test_old_file_dropped_late_is_still_read(spark, tmp):
+    import os
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0)], "id long, amount double")
+    ld = make_load(spark, tmp)
+    ld.run()
+    drop(spark, f"{tmp}/stage", [(2, 2.0)], "id long, amount double")
+    for f in os.listdir(f"{tmp}/stage"):
+        if f.endswith(".parquet"):
+            old = 1_000_000_000                           # 2001: far older than 7 days
+            os.utime(f"{tmp}/stage/{f}", (old, old))
+            os.rename(f"{tmp}/stage/{f}", f"{src}/late-{f}")
+    ld.batches.clear()
+    assert ld.run().rows_read == 1
+
+
+def test_empty_folder_loads_nothing(spark, tmp):
+    import os
+    os.makedirs(f"{tmp}/land")
+    r = make_load(spark, tmp).run()
+    assert (r.status, r.rows_read, r.batches) == ("SUCCESS", 0, 0)
+
+
+def test_clean_source_archives_processed_files(spark, tmp):
+    import os
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0)], "id long, amount double")
+    ld = make_load(spark, tmp, clean_source="archive", archive_dir=f"{tmp}/archive")
+    ld.run()
+    drop(spark, src, [(2, 2.0)], "id long, amount double")
+    ld.batches.clear()
+    ld.run()
+    assert ld.table.read(spark).count() == 2
