@@ -118,15 +118,28 @@ class LandingLoad:
     _offset: int = 0
 
     def _check_start(self) -> None:
+        """Batch ids restart at 0 with a new checkpoint. On a table that has
+        data that would replace stored batches, so a new checkpoint is
+        refused unless ``reset``; then ids continue above the highest stored
+        one, and that offset is kept beside the checkpoint for later runs."""
         has_table = self.table.exists(self.spark)
         self._schema = self.table.schema(self.spark) if has_table else None
-        if has_table and not _path_exists(self.spark, f"{self.checkpoint}/offsets"):
-            if not self.reset:
-                raise RuntimeError(
-                    f"{self.table.path} has data but checkpoint {self.checkpoint} is empty; "
-                    "batch ids would restart and replace stored batches. Pass reset=True.")
-            top = self.table.read(self.spark).agg(F.max(BATCH_ID)).collect()[0][0]
-            self._offset = 0 if top is None else int(top) + 1
+        marker = f"{self.checkpoint}/_strandline_batch_offset"
+        if not has_table:
+            return
+        if _path_exists(self.spark, f"{self.checkpoint}/offsets"):
+            if _path_exists(self.spark, marker):
+                self._offset = int(self.spark.read.schema("offset long").json(marker)
+                                   .first()["offset"])
+            return
+        if not self.reset:
+            raise RuntimeError(
+                f"{self.table.path} has data but checkpoint {self.checkpoint} is empty; "
+                "batch ids would restart and replace stored batches. Pass reset=True.")
+        top = self.table.read(self.spark).agg(F.max(BATCH_ID)).collect()[0][0]
+        self._offset = 0 if top is None else int(top) + 1
+        self.spark.createDataFrame([(self._offset,)], "offset long").coalesce(1) \
+            .write.mode("overwrite").json(marker)
 
     def _stream(self) -> DataFrame:
         opts = dict(max_files_per_trigger=self.max_files_per_trigger,

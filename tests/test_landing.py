@@ -96,6 +96,13 @@ def test_refuses_lost_checkpoint_unless_reset(spark, tmp):
     again.run()
     t = ParquetTable(f"{tmp}/table").read(spark)
     assert t.count() == 2 and t.select("_batch_id").distinct().count() == 2   # nothing replaced
+    # a later run on the new checkpoint keeps counting above the old batches
+    drop(spark, src, [(3, 3.0)], "id long, amount double")
+    later = LandingLoad(spark=spark, contract=C, source=src, table=ParquetTable(f"{tmp}/table"),
+                        checkpoint=f"{tmp}/chk_new")
+    later.run()
+    t = ParquetTable(f"{tmp}/table").read(spark)
+    assert t.count() == 3 and t.select("_batch_id").distinct().count() == 3
 
 
 def test_evolution_off_rescues_new_columns(spark, tmp):
