@@ -142,17 +142,19 @@ REPAIR_RESULT_SCHEMA = T.StructType([
 
 
 def _partition_filter(values: list[dict]) -> Column:
-    """A filter on partition columns that keeps exactly the listed partitions
-    (Spark prunes the other folders)."""
-    keys = list(values[0])
-    if len(keys) == 1:
-        k = keys[0]
-        vals = [v[k] for v in values]
-        inlist = col(k).isin(*[x for x in vals if x is not None])
-        return inlist | col(k).isNull() if any(x is None for x in vals) else inlist
-    return reduce(lambda a, b: a | b,
-                  [reduce(lambda x, y: x & y,
-                          [col(k).eqNullSafe(F.lit(v[k])) for k in keys]) for v in values])
+    """A filter on partition columns that keeps the listed partitions, as
+    one ``IN`` list per column (Spark prunes the other folders). With several
+    partition columns this may admit a few partitions without rescued rows;
+    they are read whole and written back unchanged, so the result is the
+    same and the expression stays small however many partitions there are."""
+    cond = None
+    for k in values[0]:
+        vals = {v[k] for v in values}
+        c = col(k).isin(*[x for x in vals if x is not None])
+        if None in vals:
+            c = c | col(k).isNull()
+        cond = c if cond is None else cond & c
+    return cond
 
 
 def repair_table(spark: SparkSession, table: ParquetTable, name: str, key: str,

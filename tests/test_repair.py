@@ -150,3 +150,16 @@ def test_parse_item():
     assert parse_item('{"table": "t", "primary_key": "id", "rescued_cols": ""}') == ("t", "id", [])
     assert parse_item({"table_name": "t", "primary_key": "id", "rescued_cols": "a, b,"}) == \
         ("t", "id", ["a", "b"])
+
+
+def test_repair_on_two_partition_columns(spark, tmp):
+    t = ParquetTable(f"{tmp}/two", ("_batch_id", "day"))
+    rows = spark.createDataFrame([
+        (1, "a", None, '{"o_totalprice":"1.5"}'), (2, "b", 2.0, None), (3, None, None, '{"o_totalprice":"x"}'),
+    ], "o_orderkey long, day string, o_totalprice double, _rescued_data string")
+    t.write_batch(rows, 0)
+    t.write_batch(rows.withColumn("o_orderkey", F.col("o_orderkey") + 10), 1)
+    r = self_repair_table(spark, t, ORDERS)
+    assert (r.rows_rescued_before, r.rows_rescued_after, r.rows_repaired) == (4, 2, 2)
+    got = {x["o_orderkey"]: x["o_totalprice"] for x in t.read(spark).collect()}
+    assert got == {1: 1.5, 2: 2.0, 3: None, 11: 1.5, 12: 2.0, 13: None}
