@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.functions.columns import BATCH_ID, col, to_type
+from strandline.functions.columns import BATCH_ID, capture, col, to_type
 
 
 def _missing_path(e: Exception) -> bool:
@@ -138,19 +138,15 @@ class ParquetTable:
 
 
 def align_to_table(df: DataFrame, table_schema: T.StructType | None) -> DataFrame:
-    """Order of columns does not matter for Parquet; this only makes sure a
-    column already in the table keeps the table's type. Values that do not
-    fit are expected to have been captured before (see ``capture``)."""
+    """Keep a column already in the table at the table's type, so the
+    table's files keep one schema. A value that does not fit that type is
+    captured into the rescued column (see ``capture``), never just nulled.
+    All-NULL columns of no type take the table's type (or string)."""
     if table_schema is None:
         return df
     types = {f.name: f.dataType for f in table_schema.fields}
-    out = []
-    for f in df.schema.fields:
-        want = types.get(f.name)
-        if want is not None and want != f.dataType and f.dataType != T.NullType():
-            out.append(col(f.name).try_cast(want).alias(f.name))
-        elif f.dataType == T.NullType():
-            out.append(col(f.name).cast(want or T.StringType()).alias(f.name))
-        else:
-            out.append(col(f.name))
-    return df.select(*out)
+    fixed = df.select(*[col(f.name).cast(types.get(f.name, T.StringType())).alias(f.name)
+                        if f.dataType == T.NullType() else col(f.name) for f in df.schema.fields])
+    differing = {f.name: types[f.name] for f in fixed.schema.fields
+                 if f.name in types and types[f.name] != f.dataType}
+    return capture(fixed, differing) if differing else fixed

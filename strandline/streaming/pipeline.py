@@ -24,7 +24,7 @@ from strandline.functions.columns import (BATCH_ID, RESCUED, capture, cast_to_co
 from strandline.operators.metrics import FAILED, SUCCESS, count_exprs, observed
 from strandline.operators.sink import ParquetTable, align_to_table
 from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
-                                       parquet_stream, read_landing, schema_groups)
+                                       parquet_stream, read_landing, resolve_types, schema_groups)
 
 LOAD_RESULT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -158,8 +158,10 @@ class LandingLoad:
             if df is None:
                 return
         else:
-            declared = {k: v for k, v in c.types.items() if k in batch_df.columns}
-            df = capture(batch_df, declared)
+            # every column gets a target type (declared, else the table's, else
+            # its own), so a value that does not fit is captured, never nulled
+            df = capture(batch_df, resolve_types(c.types, self._schema, [batch_df.schema],
+                                                 self.evolve))
         df = prepare_batch(df, c, self._schema)
         df, obs = observed(df)
         self.table.write_batch(df, self._offset + batch_id)

@@ -170,3 +170,16 @@ def test_clean_source_archives_processed_files(spark, tmp):
     ld.batches.clear()
     ld.run()
     assert ld.table.read(spark).count() == 2
+
+
+def test_parquet_mode_captures_undeclared_type_change(spark, tmp):
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0, 5)], "id long, amount double, qty long")
+    make_load(spark, tmp, mode="parquet").run()
+    # the folder's schema changes: qty now arrives as text
+    drop(spark, f"{tmp}/land2", [(2, 2.0, "seven")], "id long, amount double, qty string")
+    ld = LandingLoad(spark=spark, contract=C, source=f"{tmp}/land2", table=ParquetTable(f"{tmp}/table"),
+                     checkpoint=f"{tmp}/chk2", mode="parquet", reset=True)
+    ld.run()
+    got = {r["id"]: (r["qty"], r["_rescued_data"]) for r in ld.table.read(spark).collect()}
+    assert got == {1: (5, None), 2: (None, '{"qty":"seven"}')}
