@@ -177,7 +177,8 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
     is true.
 
     The JSON is parsed once per row (staged projections; Spark does not
-    merge a stage whose costly result is used several times).
+    merge a stage whose costly result is used several times): into a struct
+    of just the wanted names, or, in ``"keep"``, into a map of all entries.
     """
     if rescued_col not in df.columns or not types:
         return df
@@ -187,8 +188,13 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
     schema = {f.name: f.dataType for f in df.schema.fields}
     base = [c for c in df.columns]
     raw = col(rescued_col)
-    parsed = rescued_map(rescued_col)
-    # stage 1: the map (NULL outside the guard, so those rows stay as they are)
+    if residual == "keep":
+        # the whole object as a map: entries not recovered must be kept
+        parsed = rescued_map(rescued_col)
+    else:
+        # only the wanted names, as a struct: faster to parse than a map
+        parsed = F.from_json(raw, T.StructType([T.StructField(n, T.StringType()) for n in dtypes]))
+    # stage 1: parse once (NULL outside the guard, so those rows stay as they are)
     s1 = df.select(*[col(c) for c in base],
                    (parsed if guard is None else F.when(guard, parsed)).alias(_MAP_COL))
     m = F.col(_MAP_COL)
@@ -197,7 +203,8 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
         return col(n) if schema[n] == dtypes[n] else col(n).try_cast(dtypes[n])
 
     def found(n: str) -> Column:
-        return m.getItem(n).try_cast(dtypes[n])
+        text = m.getItem(n) if residual == "keep" else m.getField(n)
+        return text.try_cast(dtypes[n])
 
     # stage 2: recovered columns
     out2 = []
