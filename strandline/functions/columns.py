@@ -239,6 +239,29 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
                        for c in cols])
 
 
+def unrecovered_flag(df: DataFrame, types: Mapping[str, object], name: str,
+                     rescued_col: str = RESCUED) -> DataFrame:
+    """Adds boolean ``name``: the row carries rescued text that its columns do
+    not hold (what a keep-mode repair would leave). Apply after recovery.
+    Only rows with rescued text are parsed."""
+    if rescued_col not in df.columns:
+        return df.withColumn(name, F.lit(False))
+    raw = col(rescued_col)
+    if not types:
+        return df.withColumn(name, raw.isNotNull())
+    dtypes = {n: to_type(t) for n, t in types.items() if n in df.columns}
+    staged = df.select(*[col(c) for c in df.columns],
+                       F.when(raw.isNotNull(), rescued_map(rescued_col)).alias(_MAP_COL))
+    m = F.col(_MAP_COL)
+    names = F.array_compact(F.array(*[
+        F.when(m.getItem(n).try_cast(t).isNotNull() & (col(n) == m.getItem(n).try_cast(t)),
+               F.lit(n)) for n, t in dtypes.items()]))
+    staged = staged.select(*[col(c) for c in staged.columns], names.alias(_NAMES))
+    left = F.map_filter(m, lambda k, v: ~F.array_contains(F.col(_NAMES), k))
+    flag = raw.isNotNull() & (m.isNull() | (F.size(left) > 0))
+    return staged.select(*[col(c) for c in df.columns], flag.alias(name))
+
+
 def clear_rescued(df: DataFrame, rescued_col: str = RESCUED) -> DataFrame:
     """W12 in the reference's form: the rescued value becomes a string NULL."""
     return df.withColumn(rescued_col, F.lit(None).cast(T.StringType()))

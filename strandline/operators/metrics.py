@@ -65,13 +65,16 @@ def share(part: Column, whole: Column) -> Column:
         .otherwise(F.lit(0.0))
 
 
-def observed(df: DataFrame, name: str | None = None, rescued_col: str = RESCUED):
+def observed(df: DataFrame, name: str | None = None, rescued_col: str = RESCUED,
+             extra: dict | None = None):
     """W19 in flight: the same counts measured while ``df`` is written.
-    Returns (df with the observation attached, Observation)."""
+    ``extra`` adds named aggregate expressions. Returns (df with the
+    observation attached, Observation)."""
     obs = Observation(name or f"load_{uuid.uuid4().hex[:8]}")
     rescued = (F.count_if(rescued_flag(rescued_col)) if rescued_col in df.columns
                else F.lit(0).cast(T.LongType()))
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"), rescued.alias("rescued")), obs
+    more = [e.alias(k) for k, e in (extra or {}).items()]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), rescued.alias("rescued"), *more), obs
 
 
 def run_metrics(df: DataFrame, group_cols: list[str], rescued_col: str = RESCUED) -> DataFrame:

@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 
 from strandline.contracts import TableContract
 from strandline.functions.columns import (BATCH_ID, RESCUED, capture, cast_to_contract, lineage,
-                                          recover)
+                                          recover, unrecovered_flag)
+
+_UNRECOVERED = "__sl_unrecovered"
 from strandline.operators.metrics import FAILED, SUCCESS, count_exprs, observed
 from strandline.operators.sink import ParquetTable, align_to_table
 from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
@@ -33,6 +35,7 @@ LOAD_RESULT_SCHEMA = T.StructType([
     T.StructField("rows_read", T.LongType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("rows_rescued_in_load", T.LongType()),
+    T.StructField("rows_unrecovered_in_load", T.LongType()),
     T.StructField("rescued_pct", T.DoubleType()),
     T.StructField("rows_total", T.LongType()),
     T.StructField("rows_rescued", T.LongType()),
@@ -46,6 +49,7 @@ BATCH_METRICS_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("rows_read", T.LongType()),
     T.StructField("rows_rescued", T.LongType()),
+    T.StructField("rows_unrecovered", T.LongType()),
     T.StructField("rescued_pct", T.DoubleType()),
 ])
 
@@ -58,6 +62,7 @@ class LoadResult:
     rows_read: int = 0
     rows_written: int = 0
     rows_rescued_in_load: int = 0
+    rows_unrecovered_in_load: int = 0
     rows_total: int = 0
     rows_rescued: int = 0
     duration_secs: float = 0.0
@@ -69,8 +74,8 @@ class LoadResult:
 
     def as_row(self) -> tuple:
         return (self.table_name, self.status, self.batches, self.rows_read, self.rows_written,
-                self.rows_rescued_in_load, self.rescued_pct, self.rows_total, self.rows_rescued,
-                self.duration_secs, self.error)
+                self.rows_rescued_in_load, self.rows_unrecovered_in_load, self.rescued_pct,
+                self.rows_total, self.rows_rescued, self.duration_secs, self.error)
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -163,11 +168,12 @@ class LandingLoad:
             df = capture(batch_df, resolve_types(c.types, self._schema, [batch_df.schema],
                                                  self.evolve))
         df = prepare_batch(df, c, self._schema)
-        df, obs = observed(df)
-        self.table.write_batch(df, self._offset + batch_id)
+        flagged = unrecovered_flag(df, c.rescued_types(), _UNRECOVERED)
+        watched, obs = observed(flagged, extra={"unrecovered": F.count_if(F.col(_UNRECOVERED))})
+        self.table.write_batch(watched.drop(_UNRECOVERED), self._offset + batch_id)
         m = obs.get
         self.batches.append({"batch_id": self._offset + batch_id, "rows": int(m["rows"]),
-                             "rescued": int(m["rescued"])})
+                             "rescued": int(m["rescued"]), "unrecovered": int(m["unrecovered"])})
         new = df.schema
         if self._schema is None:
             self._schema = new
@@ -187,14 +193,16 @@ class LandingLoad:
     def batch_metrics(self) -> DataFrame:
         """W19 per micro-batch, as measured in flight by ``observe`` while the
         batch was written: one row per batch of this run."""
-        rows = [(self.contract.name, b["batch_id"], b["rows"], b["rescued"],
+        rows = [(self.contract.name, b["batch_id"], b["rows"], b["rescued"], b["unrecovered"],
                  b["rescued"] / b["rows"] if b["rows"] else 0.0) for b in self.batches]
         return self.spark.createDataFrame(rows, BATCH_METRICS_SCHEMA)
 
     def summary(self, status: str, duration: float, error: str | None = None) -> LoadResult:
-        return LoadResult(self.contract.name, status, len(self.batches),
-                          sum(b["rows"] for b in self.batches), sum(b["rows"] for b in self.batches),
-                          sum(b["rescued"] for b in self.batches), duration_secs=duration, error=error)
+        rows = sum(b["rows"] for b in self.batches)
+        return LoadResult(self.contract.name, status, len(self.batches), rows, rows,
+                          sum(b["rescued"] for b in self.batches),
+                          sum(b["unrecovered"] for b in self.batches),
+                          duration_secs=duration, error=error)
 
     def run(self) -> LoadResult:
         t0 = time.time()

@@ -183,3 +183,15 @@ def test_parquet_mode_captures_undeclared_type_change(spark, tmp):
     ld.run()
     got = {r["id"]: (r["qty"], r["_rescued_data"]) for r in ld.table.read(spark).collect()}
     assert got == {1: (5, None), 2: (None, '{"qty":"seven"}')}
+
+
+def test_unrecovered_rows_are_counted_in_flight(spark, tmp):
+    src = f"{tmp}/land"
+    rows = [(1, None, '{"amount":"2.5"}'),       # recovered at ingest
+            (2, None, '{"amount":"n/a"}'),       # cannot be recovered
+            (3, 1.0, '{"other":"x"}'),           # an entry no column holds
+            (4, 4.0, None)]
+    drop(spark, src, rows, "id long, amount double, _rescued_data string")
+    r = make_load(spark, tmp).run()
+    assert (r.rows_read, r.rows_rescued_in_load, r.rows_unrecovered_in_load) == (4, 3, 2)
+    assert r.rows_rescued == 3                         # rescued text kept at ingest
