@@ -24,7 +24,7 @@ from strandline.plans.fixtures import (CUSTOMER, EVENTS, LINEITEM, ORDERS, PLAN_
 from strandline.session import work_root
 from strandline.sources.inventory import source_inventory
 from strandline.sources.landing import land_folder
-from strandline.streaming.pipeline import LandingLoad, run_all
+from strandline.streaming.loads import LandingLoad, run_all
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]

@@ -1,4 +1,4 @@
-"""Micro-batch landing pipeline (W23) and multi-table load.
+"""Micro-batch landing loads (W23) and multi-table load.
 
 One Structured Streaming query per table: a file-source stream (new files
 only, remembered in the checkpoint), a ``foreachBatch`` that lines the

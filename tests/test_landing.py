@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strandline.contracts import TableContract
 from strandline.operators.sink import ParquetTable
 from strandline.sources.landing import land_folder, list_files, resolve_types, schema_groups
-from strandline.streaming.pipeline import LandingLoad
+from strandline.streaming.loads import LandingLoad
 
 C = TableContract("t", "t", "bronze.t", "id", {"amount": "double"}, ("amount",))
 

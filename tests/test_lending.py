@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from strandline.contracts import REGISTRY
 from strandline.operators.repair import repair_worklist, self_repair_table
 from strandline.sources.inventory import source_inventory
-from strandline.streaming.pipeline import load_table, run_all
+from strandline.streaming.loads import load_table, run_all
 
 SPARK_TYPES = {"double": T.DoubleType(), "long": T.LongType(), "boolean": T.BooleanType()}
 

@@ -22,7 +22,7 @@ from strandline.plans.fixtures import (EVENTS, ORDERS, events_flagship_landing,
 from strandline.plans.queries import _stored_dirty  # noqa: E402
 from strandline.session import build_session, work_root  # noqa: E402
 from strandline.sources.landing import list_files, read_landing, schema_groups  # noqa: E402
-from strandline.streaming.pipeline import prepare_batch  # noqa: E402
+from strandline.streaming.loads import prepare_batch  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
