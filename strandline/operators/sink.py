@@ -42,7 +42,16 @@ class ParquetTable:
         that schema directly."""
         if self._schema is not None:
             return spark.read.schema(self._schema).parquet(self.path)
-        df = spark.read.option("mergeSchema", "true").parquet(self.path)
+        # Partition values come back as their folder text (no guessing of
+        # dates or numbers, which would read '001' as 1), then get the
+        # declared types; the setting is restored right after the listing.
+        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = spark.conf.get(key, "true")
+        spark.conf.set(key, "false")
+        try:
+            df = spark.read.option("mergeSchema", "true").parquet(self.path)
+        finally:
+            spark.conf.set(key, before)
         fixes = {BATCH_ID: T.LongType(), **{k: to_type(v) for k, v in self.partition_types.items()}}
         out = []
         for f in df.schema.fields:
@@ -59,11 +68,12 @@ class ParquetTable:
 
     def _layout(self, schema: T.StructType) -> T.StructType:
         """The schema a read returns for files written from ``schema``:
-        data columns, then partition columns with their declared types."""
+        data columns, then partition columns with their declared types
+        (undeclared ones are read back as their folder text)."""
         fixes = {BATCH_ID: T.LongType(), **{k: to_type(v) for k, v in self.partition_types.items()}}
         by_name = {f.name: f for f in schema.fields}
         data = [f for f in schema.fields if f.name not in self.partition_cols]
-        parts = [T.StructField(c, fixes.get(c, by_name[c].dataType), True)
+        parts = [T.StructField(c, fixes.get(c, T.StringType()), True)
                  for c in self.partition_cols if c in by_name]
         return T.StructType(data + parts)
 

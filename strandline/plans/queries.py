@@ -144,7 +144,7 @@ def mixed_schema_landing(spark, sf_dir):
 def partitioned_append(spark, sf_dir):
     """Two appends to a table partitioned by order year; rows per day."""
     root = work_root(spark, "partitioned_append")
-    t = ParquetTable(f"{root}/orders_by_year", ("_batch_id", "order_year"))
+    t = ParquetTable(f"{root}/orders_by_year", ("_batch_id", "order_year"), {"order_year": "int"})
     o = (table(spark, sf_dir, "orders")
          .select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("order_year")))
     t.write_batch(o.filter(F.col("o_orderkey") % 2 == 0), 0)

@@ -20,16 +20,19 @@ MISSING, EMPTY, PRESENT = "MISSING", "EMPTY", "PRESENT"
 
 def _source_of(path_col, root: str, layout: str):
     """Source name of a file: its folder relative to ``root`` ("folder"
-    layout) or its file name without extension ("file" layout)."""
-    rel = F.regexp_replace(path_col, r"^.*?" + _escape(root.rstrip("/")) + "/", "")
+    layout) or its file name without extension ("file" layout). The root
+    is matched without its scheme and leading slashes, so 'file:///x',
+    '/x' and 's3://bucket/x' roots all line up with listed paths."""
+    rel = F.regexp_replace(path_col, r"^.*?" + _escape(root) + "/", "")
     if layout == "file":
         return F.regexp_replace(F.element_at(F.split(rel, "/"), -1), r"\.[^.]*$", "")
     return F.regexp_replace(rel, r"/[^/]*$", "")
 
 
-def _escape(s: str) -> str:
+def _escape(root: str) -> str:
     import re
-    return re.escape(s[len("file:"):] if s.startswith("file:") else s)
+    tail = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", root.rstrip("/")).lstrip("/")
+    return re.escape(tail)
 
 
 def _folder_exists(spark: SparkSession, path: str) -> bool:

@@ -80,3 +80,13 @@ def test_lending_load_inventory_worklist_repair(spark, tmp):
     assert (r.status, r.rows_rescued_before, r.rows_rescued_after) == ("SUCCESS", 2, 2)
     r = self_repair_table(spark, tables["bureau_pulls"], REGISTRY["bureau_pulls"], residual="clear")
     assert (r.rows_rescued_after, r.rows_repaired) == (0, 2)
+
+
+def test_inventory_root_forms(spark, tmp):
+    import os
+    os.makedirs(f"{tmp}/land/a")
+    spark.createDataFrame([(1,)], "x long").coalesce(1).write.parquet(f"{tmp}/land/a/part")
+    for root in (f"{tmp}/land", f"file://{tmp}/land", f"file:{tmp}/land/"):
+        inv = {r["source"]: (r["files"], r["rows"], r["status"])
+               for r in source_inventory(spark, root, ["a/part", "b"]).collect()}
+        assert inv == {"a/part": (1, 1, "PRESENT"), "b": (0, 0, "MISSING")}, root

@@ -163,3 +163,16 @@ def test_repair_on_two_partition_columns(spark, tmp):
     assert (r.rows_rescued_before, r.rows_rescued_after, r.rows_repaired) == (4, 2, 2)
     got = {x["o_orderkey"]: x["o_totalprice"] for x in t.read(spark).collect()}
     assert got == {1: 1.5, 2: 2.0, 3: None, 11: 1.5, 12: 2.0, 13: None}
+
+
+def test_partition_values_read_back_as_written(spark, tmp):
+    t = ParquetTable(f"{tmp}/codes", ("_batch_id", "code"))
+    t.exists(spark)
+    t.write_batch(spark.createDataFrame([(1, "001"), (2, "2024-01-05")], "id long, code string"), 0)
+    fresh = ParquetTable(f"{tmp}/codes", ("_batch_id", "code"))          # another process
+    for tab in (t, fresh):
+        got = sorted((r["id"], r["code"]) for r in tab.read(spark).collect())
+        assert got == [(1, "001"), (2, "2024-01-05")]
+        assert dict(tab.read(spark).dtypes)["code"] == "string"
+    typed = ParquetTable(f"{tmp}/codes", ("_batch_id", "code"), {"code": "string"})
+    assert typed.read(spark).count() == 2
