@@ -158,6 +158,10 @@ class LandingLoad:
     def process_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         c = self.contract
+        try:    # with FAIR scheduling, concurrent tables share the cluster
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landing_{c.name}")
+        except Exception:
+            pass
         if self.mode == "discover":
             df = read_landing(spark, schema_groups(batch_df), c.types, self._schema, self.evolve)
             if df is None:
