@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.contracts import TableContract
 from strandline.functions.columns import (RESCUED, SOURCE_FILE, cast_to_contract, lineage,
                                           recover, rescued_filter)
 from strandline.operators.metrics import (log_rows, run_metrics, table_counts,
@@ -81,7 +82,6 @@ def replay_idempotent(spark, sf_dir):
     ld.run()
     again = (spark.read.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
              .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
-    ld._offset = 0
     ld.process_batch(again, 0)
     return ld.table.read(spark).agg(F.count(F.lit(1)).alias("row_count"),
                                     F.count_distinct("_batch_id").alias("batches"))
@@ -292,7 +292,7 @@ def source_inventory_query(spark, sf_dir):
 
 def multi_table_load(spark, sf_dir):
     root = work_root(spark, "multi_table_load")
-    missing = ORDERS.__class__("missing_feed", "missing_feed", "bronze.missing_feed", "id")
+    missing = TableContract("missing_feed", "missing_feed", "bronze.missing_feed", "id")
     loads = [_load(spark, c, sf_dir, root, mode="parquet", glob=f"{c.name}.parquet")
              for c in (ORDERS, CUSTOMER, EVENTS)]
     loads.append(_load(spark, missing, f"{root}/no_such_folder", root, mode="parquet"))
