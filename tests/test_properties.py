@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -39,3 +41,34 @@ def test_capture_loses_nothing_and_recovers_text(spark, values, typ):
         v = values[r["i"]]
         if got[r["i"]][1] is not None:
             assert r["v"] == v and r["_rescued_data"] is None
+
+
+keys = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(keys, st.one_of(st.none(), st.floats(-5, 5)), st.booleans()),
+                min_size=1, max_size=25),
+       st.lists(st.tuples(keys, st.floats(-5, 5)), max_size=10))
+def test_update_by_key_matches_a_brute_force_model(spark, target, source):
+    from strandline.operators.repair import update_by_key
+    t = spark.createDataFrame([(i, k, p, '{"p":"x"}' if r else None)
+                               for i, (k, p, r) in enumerate(target)],
+                              "i long, k long, p double, _rescued_data string")
+    s = spark.createDataFrame(source, "k long, p double")
+    by_key = {}
+    for k, p in source:
+        if k is not None:
+            by_key.setdefault(k, []).append(p)
+    ambiguous = any(k is not None and r and len(by_key.get(k, [])) > 1 for k, _, r in target)
+    out = update_by_key(t, s, "k", ["p"])
+    if ambiguous:
+        with pytest.raises(Exception, match="DUPLICATE_SOURCE_KEY"):
+            out.collect()
+        return
+    got = {r["i"]: (r["k"], r["p"], r["_rescued_data"]) for r in out.collect()}
+    want = {}
+    for i, (k, p, r) in enumerate(target):
+        hit = r and k is not None and k in by_key
+        want[i] = (k, by_key[k][0], None) if hit else (k, p, '{"p":"x"}' if r else None)
+    assert got == want
