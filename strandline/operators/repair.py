@@ -157,17 +157,24 @@ def _partition_filter(values: list[dict]) -> Column:
     return cond
 
 
+_BEFORE = "__sl_before"
+
+
 def repair_table(spark: SparkSession, table: ParquetTable, name: str, key: str,
                  transform: Callable[[DataFrame], DataFrame],
-                 rescued_col: str = RESCUED) -> RepairResult:
+                 rescued_col: str = RESCUED, detect_changes: bool = True) -> RepairResult:
     """Apply ``transform`` (a DataFrame -> DataFrame repair) to the partitions
-    of ``table`` that hold rescued rows and write them back in place.
-
-    Job 1 (aggregate, pushed ``IsNotNull``) lists touched partitions and
-    counts rescued rows before; job 2 rewrites those partitions and counts
-    rescued rows after in flight. Untouched partitions had none, so the
-    counts are the table's. Rerunning is harmless: it finds fewer or the
-    same rows and leaves them as they are.
+    of ``table`` where it changes rows, and write them back in place.
+
+    Job 1 reads only rescued rows (``IsNotNull`` pushed to the scan), runs the
+    transform on them and counts, per partition, rescued rows and rows the
+    transform would change; only this small per-partition summary reaches
+    the driver. Job 2 rewrites just the partitions with changes (all their
+    rows) and counts rescued rows after in flight. Partitions without
+    changes keep their files. A repair that can recover nothing writes
+    nothing. With ``detect_changes=False`` (a transform too costly to run
+    twice, such as a join) every partition with rescued rows is rewritten.
+    Rerunning is harmless: repaired rows no longer change.
     """
     t0 = time.time()
     try:
@@ -177,16 +184,32 @@ def repair_table(spark: SparkSession, table: ParquetTable, name: str, key: str,
         parts = [c for c in table.partition_cols if c in df.columns]
         if not parts:
             raise ValueError("in-place repair needs a partitioned table")
-        touched = (df.filter(col(rescued_col).isNotNull()).groupBy(*parts)
-                   .agg(F.count(F.lit(1)).alias("n")).collect())
-        before = sum(r["n"] for r in touched)
+        rescued = df.filter(col(rescued_col).isNotNull())
+        if detect_changes:
+            data = [c for c in df.columns if c not in parts]
+            snap = F.struct(*[col(c).alias(c) for c in data])
+            probe = transform(rescued.withColumn(_BEFORE, snap))
+            changed = ~F.struct(*[col(c).alias(c) for c in data]).eqNullSafe(F.col(_BEFORE))
+            for c in probe.columns:        # a column the repair creates
+                if c not in df.columns and c != _BEFORE:
+                    changed = changed | col(c).isNotNull()
+            stats = (probe.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"),
+                                                F.count_if(changed).alias("changed")).collect())
+        else:
+            stats = (rescued.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+                     .withColumn("changed", F.col("n")).collect())
+        before = sum(r["n"] for r in stats)
         if before == 0:
             return RepairResult(name, 0, 0, 0, time.time() - t0, SKIPPED)
-        values = [{c: r[c] for c in parts} for r in touched]
+        todo = [r for r in stats if r["changed"] > 0]
+        kept = sum(r["n"] for r in stats if r["changed"] == 0)
+        if not todo:
+            return RepairResult(name, before, before, 0, time.time() - t0, SUCCESS)
+        values = [{c: r[c] for c in parts} for r in todo]
         scope = df.filter(_partition_filter(values))
         fixed, obs = observed(transform(scope), rescued_col=rescued_col)
         table.overwrite_partitions(fixed)
-        after = int(obs.get["rescued"])
+        after = int(obs.get["rescued"]) + kept
         return RepairResult(name, before, after, before - after, time.time() - t0, SUCCESS)
     except Exception as e:  # a failed repair is reported, like a failed load
         return RepairResult(name, -1, -1, 0, time.time() - t0, FAILED, str(e)[:2000])
@@ -216,7 +239,7 @@ def update_table_by_key(spark: SparkSession, table: ParquetTable, name: str, key
     anything is committed, and the repair is reported FAILED."""
     return repair_table(spark, table, name, key,
                         lambda d: update_by_key(d, source, key, columns, rescued_col, unique=True),
-                        rescued_col)
+                        rescued_col, detect_changes=False)
 
 
 def repair_results(spark: SparkSession, results: Sequence[RepairResult]) -> DataFrame:

@@ -176,3 +176,20 @@ def test_partition_values_read_back_as_written(spark, tmp):
         assert dict(tab.read(spark).dtypes)["code"] == "string"
     typed = ParquetTable(f"{tmp}/codes", ("_batch_id", "code"), {"code": "string"})
     assert typed.read(spark).count() == 2
+
+
+def test_repair_that_changes_nothing_writes_nothing(spark, tmp):
+    import os
+    t = ParquetTable(f"{tmp}/nochange")
+    rows = spark.createDataFrame([(1, None, '{"o_totalprice":"n/a"}'), (2, 1.0, None)],
+                                 "o_orderkey long, o_totalprice double, _rescued_data string")
+    t.write_batch(rows, 0)
+    t.write_batch(spark.createDataFrame([(3, None, '{"o_totalprice":"4.5"}')], rows.schema), 1)
+    p0 = f"{tmp}/nochange/_batch_id=0"
+    before = {f: os.path.getmtime(f"{p0}/{f}") for f in os.listdir(p0)}
+    r = self_repair_table(spark, t, ORDERS)
+    assert (r.rows_rescued_before, r.rows_rescued_after, r.rows_repaired) == (2, 1, 1)
+    assert {f: os.path.getmtime(f"{p0}/{f}") for f in os.listdir(p0)} == before
+    r2 = self_repair_table(spark, t, ORDERS)
+    assert (r2.status, r2.rows_rescued_before, r2.rows_rescued_after, r2.rows_repaired) == \
+        ("SUCCESS", 1, 1, 0)
