@@ -243,7 +243,9 @@ def unrecovered_flag(df: DataFrame, types: Mapping[str, object], name: str,
                      rescued_col: str = RESCUED) -> DataFrame:
     """Adds boolean ``name``: the row carries rescued text that its columns do
     not hold (what a keep-mode repair would leave). Apply after recovery.
-    Only rows with rescued text are parsed."""
+    Only rows with rescued text are parsed; other rows take a constant
+    branch. Columns pass through unchanged, so the lambda below cannot bind
+    to a same-named alias."""
     if rescued_col not in df.columns:
         return df.withColumn(name, F.lit(False))
     raw = col(rescued_col)
@@ -253,12 +255,16 @@ def unrecovered_flag(df: DataFrame, types: Mapping[str, object], name: str,
     staged = df.select(*[col(c) for c in df.columns],
                        F.when(raw.isNotNull(), rescued_map(rescued_col)).alias(_MAP_COL))
     m = F.col(_MAP_COL)
-    names = F.array_compact(F.array(*[
-        F.when(m.getItem(n).try_cast(t).isNotNull() & (col(n) == m.getItem(n).try_cast(t)),
-               F.lit(n)) for n, t in dtypes.items()]))
-    staged = staged.select(*[col(c) for c in staged.columns], names.alias(_NAMES))
-    left = F.map_filter(m, lambda k, v: ~F.array_contains(F.col(_NAMES), k))
-    flag = raw.isNotNull() & (m.isNull() | (F.size(left) > 0))
+
+    def held(k: Column, v: Column) -> Column:
+        out = F.lit(False)
+        for n, t in dtypes.items():
+            out = out | ((k == F.lit(n)) & v.try_cast(t).isNotNull() & (col(n) == v.try_cast(t)))
+        return out
+
+    flag = F.when(raw.isNull(), F.lit(False)).when(m.isNull(), F.lit(True)) \
+        .otherwise(F.exists(F.map_entries(m),
+                            lambda e: ~held(e["key"], e["value"])))
     return staged.select(*[col(c) for c in df.columns], flag.alias(name))
 
 

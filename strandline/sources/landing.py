@@ -132,12 +132,16 @@ def resolve_types(declared: Mapping[str, object], table: T.StructType | None,
 
 def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping[str, object],
                  table: T.StructType | None = None, evolve: bool = True,
-                 lineage: bool = True) -> DataFrame | None:
+                 lineage: bool = True, info: dict | None = None) -> DataFrame | None:
     """Read each schema group, capture misfits against the resolved
-    types, and union by name (a column missing from a group is NULL)."""
+    types, and union by name (a column missing from a group is NULL).
+    ``info["incoming_rescued"]`` tells whether any file brought its own
+    rescued column."""
     if not groups:
         return None
     reads = [spark.read.parquet(*paths) for paths in groups]
+    if info is not None:
+        info["incoming_rescued"] = any(RESCUED in r.columns for r in reads)
     if lineage:
         reads = [r.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)) for r in reads]
     target = resolve_types(declared, table, [r.schema for r in reads], evolve)

@@ -88,12 +88,17 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def prepare_batch(df: DataFrame, c: TableContract, table_schema: T.StructType | None) -> DataFrame:
+def prepare_batch(df: DataFrame, c: TableContract, table_schema: T.StructType | None,
+                  incoming_rescued: bool = True) -> DataFrame:
     """The per-batch transform shared by stream and batch loads:
     lineage time, recovery of the contract's rescued columns (W8), cast to
-    the contract (W9), table types kept for undeclared columns."""
+    the contract (W9), table types kept for undeclared columns.
+
+    Recovery only runs when the files brought rescued text of their own:
+    text captured from this batch already failed the same cast to the same
+    contract type, so trying it again could not recover anything."""
     df = lineage(df, file_col=None)
-    if RESCUED in df.columns and c.rescued:
+    if incoming_rescued and RESCUED in df.columns and c.rescued:
         df = recover(df, c.rescued_types(), residual="none")
     df = cast_to_contract(df, c.types)
     return align_to_table(df, table_schema)
@@ -162,22 +167,26 @@ class LandingLoad:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landing_{c.name}")
         except Exception:
             pass
+        info: dict = {}
         if self.mode == "discover":
-            df = read_landing(spark, schema_groups(batch_df), c.types, self._schema, self.evolve)
+            df = read_landing(spark, schema_groups(batch_df), c.types, self._schema, self.evolve,
+                              info=info)
             if df is None:
                 return
         else:
+            info["incoming_rescued"] = RESCUED in batch_df.columns
             # every column gets a target type (declared, else the table's, else
             # its own), so a value that does not fit is captured, never nulled
             df = capture(batch_df, resolve_types(c.types, self._schema, [batch_df.schema],
                                                  self.evolve))
-        df = prepare_batch(df, c, self._schema)
-        flagged = unrecovered_flag(df, c.rescued_types(), _UNRECOVERED)
-        watched, obs = observed(flagged, extra={"unrecovered": F.count_if(F.col(_UNRECOVERED))})
-        self.table.write_batch(watched.drop(_UNRECOVERED), self._offset + batch_id)
+        df = prepare_batch(df, c, self._schema, info.get("incoming_rescued", True))
+        watched, obs = observed(df)
+        bid = self._offset + batch_id
+        self.table.write_batch(watched, bid)
         m = obs.get
-        self.batches.append({"batch_id": self._offset + batch_id, "rows": int(m["rows"]),
-                             "rescued": int(m["rescued"]), "unrecovered": int(m["unrecovered"])})
+        rescued = int(m["rescued"])
+        self.batches.append({"batch_id": bid, "rows": int(m["rows"]), "rescued": rescued,
+                             "unrecovered": self._unrecovered(bid) if rescued else 0})
         new = df.schema
         if self._schema is None:
             self._schema = new
@@ -186,6 +195,15 @@ class LandingLoad:
             extra = [f for f in new.fields if f.name not in known and f.name != BATCH_ID]
             self._schema = T.StructType(self._schema.fields + extra)
 
+    def _unrecovered(self, bid: int) -> int:
+        """Rows of batch ``bid`` whose rescued text no column holds. A small
+        job after the write: one partition (pruned), rescued rows only
+        (pushed filter), so the write itself stays a plain codegen'd copy."""
+        t = self.table.read(self.spark)
+        rows = t.filter((F.col(BATCH_ID) == F.lit(bid)) & F.col(RESCUED).isNotNull())
+        flagged = unrecovered_flag(rows, self.contract.rescued_types(), _UNRECOVERED)
+        return int(flagged.agg(F.count_if(F.col(_UNRECOVERED))).first()[0])
+
     def start(self):
         self._check_start()
         w = (self._stream().writeStream.foreachBatch(self.process_batch)
