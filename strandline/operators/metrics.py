@@ -48,7 +48,7 @@ def rescued_flag(rescued_col: str = RESCUED) -> Column:
 def count_exprs(df: DataFrame, rescued_col: str = RESCUED) -> list[Column]:
     """W16 + W17 as aggregate expressions for one pass: total rows and
     rescued rows (0 when the table has no rescued column)."""
-    rescued = (F.count_if(rescued_flag(rescued_col)) if rescued_col in df.columns
+    rescued = (F.count(col(rescued_col)) if rescued_col in df.columns   # non-NULL values
                else F.lit(0).cast(T.LongType()))
     return [F.count(F.lit(1)).alias("rows_total"), rescued.alias("rows_rescued")]
 
@@ -71,7 +71,7 @@ def observed(df: DataFrame, name: str | None = None, rescued_col: str = RESCUED,
     ``extra`` adds named aggregate expressions. Returns (df with the
     observation attached, Observation)."""
     obs = Observation(name or f"load_{uuid.uuid4().hex[:8]}")
-    rescued = (F.count_if(rescued_flag(rescued_col)) if rescued_col in df.columns
+    rescued = (F.count(col(rescued_col)) if rescued_col in df.columns   # non-NULL values
                else F.lit(0).cast(T.LongType()))
     more = [e.alias(k) for k, e in (extra or {}).items()]
     return df.observe(obs, F.count(F.lit(1)).alias("rows"), rescued.alias("rescued"), *more), obs
@@ -81,7 +81,7 @@ def run_metrics(df: DataFrame, group_cols: list[str], rescued_col: str = RESCUED
     """Per group rows read, rescued rows and rescued share. Partial
     aggregation runs before the shuffle, so a hot group costs one row per
     task, not a third of the data."""
-    rescued = (F.count_if(rescued_flag(rescued_col)) if rescued_col in df.columns
+    rescued = (F.count(col(rescued_col)) if rescued_col in df.columns   # non-NULL values
                else F.lit(0).cast(T.LongType()))
     agg = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rows_read"),
                                       rescued.alias("rows_rescued"))

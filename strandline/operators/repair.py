@@ -258,7 +258,7 @@ def repair_worklist(spark: SparkSession, tables: Mapping[str, DataFrame],
     into one job; the contract list is a small, bounded lookup."""
     counts = []
     for name, df in tables.items():
-        n = (F.count_if(col(rescued_col).isNotNull()) if rescued_col in df.columns
+        n = (F.count(col(rescued_col)) if rescued_col in df.columns
              else F.lit(0).cast(T.LongType()))
         counts.append(df.agg(n.alias("rows_rescued")).select(F.lit(name).alias("table_name"),
                                                              "rows_rescued"))
