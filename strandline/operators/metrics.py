@@ -41,10 +41,6 @@ RUN_LOG_SCHEMA = T.StructType([
 ])
 
 
-def rescued_flag(rescued_col: str = RESCUED) -> Column:
-    return col(rescued_col).isNotNull()
-
-
 def count_exprs(df: DataFrame, rescued_col: str = RESCUED) -> list[Column]:
     """W16 + W17 as aggregate expressions for one pass: total rows and
     rescued rows (0 when the table has no rescued column)."""
