@@ -291,16 +291,24 @@ def parse_item(item) -> tuple[str, str, list[str]]:
 
 
 def repair_items(spark: SparkSession, items, tables: Mapping[str, ParquetTable],
-                 contracts: Mapping[str, TableContract], residual: str = "keep") -> DataFrame:
-    """Repair each worklist item's table in place, one after another (each
-    repair is its own distributed job); a failing table does not stop the
-    rest. ``items`` is a worklist DataFrame (one row per table) or a list."""
+                 contracts: Mapping[str, TableContract], residual: str = "keep",
+                 parallel: int = 4) -> DataFrame:
+    """Repair each worklist item's table in place. Items are different
+    tables, so up to ``parallel`` repairs run at once (each is its own set
+    of distributed jobs); a failing table does not stop the rest. ``items``
+    is a worklist DataFrame (one row per table, a bounded list) or a list.
+    Results keep the items' order."""
+    from concurrent.futures import ThreadPoolExecutor
+
     rows = items.collect() if isinstance(items, DataFrame) else list(items)
-    results = []
-    for it in rows:
+
+    def one(it) -> RepairResult:
         name, key, cols = parse_item(it)
         base = contracts[name]
         c = TableContract(base.name, base.folder, base.target, key, base.types,
                           base.rescued, base.partition, base.description)
-        results.append(self_repair_table(spark, tables[name], c, cols or None, residual))
+        return self_repair_table(spark, tables[name], c, cols or None, residual)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        results = list(pool.map(one, rows))
     return repair_results(spark, results)

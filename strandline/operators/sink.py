@@ -130,8 +130,10 @@ class ParquetTable:
         ``batch_id`` the column is set here; otherwise ``df`` carries it."""
         if batch_id is not None:
             df = df.withColumn(BATCH_ID, F.lit(int(batch_id)).cast(T.LongType()))
-        if BATCH_ID not in df.columns:
-            raise ValueError(f"{BATCH_ID} is needed to write a batch idempotently")
+        if BATCH_ID not in df.columns or BATCH_ID not in self.partition_cols:
+            # without the batch partition an overwrite would replace the table
+            raise ValueError(f"{BATCH_ID} must be a column and a partition column to write "
+                             "a batch idempotently")
         self._writer(df, "overwrite").parquet(self.path)
         self._remember(df)
 

@@ -213,8 +213,9 @@ class LandingLoad:
         return w.start()
 
     def batch_metrics(self) -> DataFrame:
-        """W19 per micro-batch, as measured in flight by ``observe`` while the
-        batch was written: one row per batch of this run."""
+        """W19 per micro-batch: rows and rescued rows measured in flight by
+        ``observe`` while the batch was written, unrecovered rows by the
+        small follow-up job; one row per batch of this run."""
         rows = [(self.contract.name, b["batch_id"], b["rows"], b["rescued"], b["unrecovered"],
                  b["rescued"] / b["rows"] if b["rows"] else 0.0) for b in self.batches]
         return self.spark.createDataFrame(rows, BATCH_METRICS_SCHEMA)
