@@ -103,7 +103,9 @@ def capture(df: DataFrame, target: Mapping[str, object],
     rescued JSON object under the column name. Columns not in ``target``
     pass through unchanged; a column mapped to ``None`` is dropped and its
     text rescued. An incoming rescued object is kept, merged with
-    the new captures (new text wins on a repeated name). No value is lost.
+    the new captures (new text wins on a repeated name); incoming text that
+    is not an object is kept under the rescued column's name. No value is
+    lost.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
     out, entries = [], []
@@ -148,8 +150,11 @@ def capture(df: DataFrame, target: Mapping[str, object],
     raw = col(rescued_col)
     old = rescued_map(rescued_col)
     keep_old = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(nm), k))
+    # incoming text that is not a JSON object is kept whole under the rescued
+    # column's own name (no captured column can have that name)
+    kept_text = F.create_map(F.lit(rescued_col), raw)
     json = (F.when(nm.isNull(), raw)                     # nothing new: incoming text as is
-            .when(raw.isNotNull() & old.isNull(), F.to_json(nm))   # incoming text not an object
+            .when(raw.isNotNull() & old.isNull(), F.to_json(F.map_concat(kept_text, nm)))
             .otherwise(F.to_json(F.map_concat(F.coalesce(keep_old, F.create_map().cast(_MAP)),
                                               nm))))
     return staged.select(*[col(c) for c in staged.columns if c not in (_NEW, rescued_col)],

@@ -33,7 +33,7 @@ def test_capture_merges_incoming_rescued(spark):
     got = rows(capture(df, {"n": "long"}), "k", "n", "_rescued_data")
     assert json.loads(got[0][2]) == {"a": "1", "n": "x"}   # new text wins on its name
     assert got[1] == (2, 5, "not json")                   # incoming text kept as is
-    assert json.loads(got[2][2]) == {"n": "y"}
+    assert json.loads(got[2][2]) == {"_rescued_data": "not json", "n": "y"}   # nothing lost
     assert got[3] == (4, 6, None)
     assert got[4] == (5, None, '{"n":"z"}')
 
