@@ -9,6 +9,7 @@ groups are unioned by name.
 
 from __future__ import annotations
 
+import json
 from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,12 +79,15 @@ def infer_schema(spark: SparkSession, folder: str, glob: str = "*.parquet") -> T
 # ---------------------------------------------------------------------------
 
 def schema_groups(files: DataFrame) -> list[list[str]]:
-    """Group file paths by their Parquet schema. Footers are read on the
-    executors; only (path, schema key) pairs come back, grouped. Groups and
-    paths are in path order, so 'first seen' is stable."""
+    """Group file paths so each group can be read as one: footers are read
+    on the executors, only (path, schema key) pairs come back; schemas
+    without a type conflict share a group. Groups and paths are in path
+    order, so 'first seen' is stable."""
     def footer_keys(batches):
         # defined here so it travels to executors by value, without needing
         # this package installed there
+        import json
+
         import pandas as pd
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
@@ -96,7 +100,7 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
                     uri = "s3://" + uri.split("://", 1)[1]
                 fs, rel = pafs.FileSystem.from_uri(uri)
                 sch = pq.read_schema(rel, filesystem=fs)
-                keys.append("|".join(f"{f.name}:{f.type}" for f in sch))
+                keys.append(json.dumps([[f.name, str(f.type)] for f in sch]))
             yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
 
     keyed = files.select("path").mapInPandas(footer_keys, "path string, schema_key string")
@@ -105,7 +109,21 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
     by_key: dict[str, list[str]] = {}
     for r in keyed.collect():
         by_key.setdefault(r["schema_key"], []).append(r["path"])
-    return sorted((sorted(g) for g in by_key.values()), key=lambda g: g[0])
+    # Schemas that only add or omit columns share one read (footers merged
+    # by Spark); only a type conflict on a shared name needs its own group.
+    # This keeps the number of reads, and the union, small even when every
+    # file brings a different extra column.
+    groups: list[tuple[dict, list[str]]] = []
+    for key in sorted(by_key, key=lambda k: min(by_key[k])):
+        types = {n: t for n, t in json.loads(key)}
+        for g_types, g_paths in groups:
+            if all(g_types.get(n, t) == t for n, t in types.items()):
+                g_types.update(types)
+                g_paths.extend(by_key[key])
+                break
+        else:
+            groups.append((dict(types), list(by_key[key])))
+    return sorted((sorted(p) for _, p in groups), key=lambda g: g[0])
 
 
 def resolve_types(declared: Mapping[str, object], table: T.StructType | None,
@@ -139,7 +157,7 @@ def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping
     rescued column."""
     if not groups:
         return None
-    reads = [spark.read.parquet(*paths) for paths in groups]
+    reads = [spark.read.option("mergeSchema", "true").parquet(*paths) for paths in groups]
     if info is not None:
         info["incoming_rescued"] = any(RESCUED in r.columns for r in reads)
     if lineage:
