@@ -242,3 +242,13 @@ def test_many_extra_columns_stay_one_read(spark, tmp):
     out = land_folder(spark, src, C.types)
     assert out.count() == 12 and len([c for c in out.columns if c.startswith("extra_")]) == 12
     assert out.filter("extra_5 = 5").count() == 1
+
+
+def test_file_with_no_rows(spark, tmp):
+    src = f"{tmp}/land"
+    spark.createDataFrame([], "id long, amount string").coalesce(1).write.mode("append").parquet(src)
+    for mode in ("discover", "parquet"):
+        ld = LandingLoad(spark=spark, contract=C, source=src, table=ParquetTable(f"{tmp}/t_{mode}"),
+                         checkpoint=f"{tmp}/chk_{mode}", mode=mode)
+        r = ld.run()
+        assert (r.status, r.rows_read) == ("SUCCESS", 0)
