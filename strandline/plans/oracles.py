@@ -40,6 +40,11 @@ ORACLES = {
                CASE WHEN o_orderkey % 2 = 1 THEN '{"o_orderpriority":"' || o_orderpriority || '"}'
                END AS _rescued_data
         FROM orders""",
+    "capture_fractional": """
+        SELECT l_orderkey, l_linenumber,
+               CASE WHEN l_discount = floor(l_discount) THEN CAST(l_discount AS BIGINT) END AS l_discount,
+               (l_discount <> floor(l_discount)) AS is_rescued
+        FROM lineitem""",
     "mixed_schema_landing": """
         SELECT o_orderkey,
                CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice
@@ -104,6 +109,7 @@ ORACLES = {
     "load_metrics": f"""
         SELECT CAST(event_id % 2 AS BIGINT) AS batch_id, count(*) AS rows_read,
                count(*) FILTER (WHERE {_RESCUED_EVENT}) AS rows_rescued,
+               count(*) FILTER (WHERE {_RESCUED_EVENT}) AS rows_unrecovered,
                CAST(count(*) FILTER (WHERE {_RESCUED_EVENT}) AS DOUBLE) / count(*) AS rescued_pct
         FROM events GROUP BY event_id % 2""",
     "run_metrics": _METRICS,

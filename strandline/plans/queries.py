@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.contracts import TableContract
-from strandline.functions.columns import (RESCUED, SOURCE_FILE, cast_to_contract, lineage,
-                                          recover, rescued_filter)
+from strandline.functions.columns import (RESCUED, SOURCE_FILE, capture, cast_to_contract,
+                                          lineage, recover, rescued_filter)
 from strandline.operators.metrics import (log_rows, run_metrics, table_counts,
                                           threshold_alerts)
 from strandline.operators.repair import (repair_items, repair_results, repair_source,
@@ -123,6 +123,15 @@ def rescue_capture(spark, sf_dir):
     return ld.table.read(spark).select("o_orderkey", "o_orderpriority", RESCUED)
 
 
+def capture_fractional(spark, sf_dir):
+    """W4's fractional rule: lineitem discounts declared bigint. Whole
+    values fit; fractional ones are rescued (truncating would lose them)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
+    out = capture(li, {"l_discount": "long"})
+    return out.select("l_orderkey", "l_linenumber", "l_discount",
+                      F.col(RESCUED).isNotNull().alias("is_rescued"))
+
+
 def mixed_schema_landing(spark, sf_dir):
     """Two file schemas in one folder: ``o_totalprice`` double (even keys) and
     string with 'bad' where the key is a multiple of 5, plus
@@ -258,7 +267,8 @@ def load_metrics(spark, sf_dir):
     ld.run()
     write_drop(ev.filter(F.col("event_id") % 2 == 1), src)
     ld.run()
-    return ld.batch_metrics().select("batch_id", "rows_read", "rows_rescued", "rescued_pct")
+    return ld.batch_metrics().select("batch_id", "rows_read", "rows_rescued", "rows_unrecovered",
+                                     "rescued_pct")
 
 
 def run_metrics_query(spark, sf_dir):
@@ -329,6 +339,7 @@ QUERIES = {
     "source_lineage": source_lineage,
     "schema_evolution": schema_evolution,
     "rescue_capture": rescue_capture,
+    "capture_fractional": capture_fractional,
     "mixed_schema_landing": mixed_schema_landing,
     "rescue_recover": rescue_recover,
     "json_field": json_field,
