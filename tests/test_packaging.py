@@ -28,3 +28,17 @@ def test_footer_grouping_from_outside_the_repo(tmp_path):
     r = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
                        capture_output=True, text=True, timeout=300)
     assert "ROWS [(1, 1.5, None), (2, None, '{\"v\":\"x\"}')]" in r.stdout, r.stderr[-3000:]
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    env.update(BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="4")
+    r = subprocess.run([sys.executable, os.path.join(REPO, "bench.py"), "rescued_count",
+                        "json_field"], cwd=str(tmp_path), env=env, capture_output=True, text=True,
+                       timeout=600)
+    lines = [x for x in r.stdout.splitlines() if x.strip()]
+    assert len(lines) == 1, r.stdout + r.stderr[-2000:]
+    out = json.loads(lines[0])
+    assert out["unit"] == "sec" and set(out["queries"]) == {"rescued_count", "json_field"}
+    assert out["sf"] == 0.001 and "errors" not in out
