@@ -58,15 +58,21 @@ def source_inventory(spark: SparkSession, root: str, expected: Sequence[str],
                                     F.sum("length").alias("bytes")))
     scan = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
             .parquet(root).select(F.col("_metadata.file_path").alias("path")))
-    rows = (scan.select(_source_of(F.col("path"), root, layout).alias("source"))
-            .groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
-    wanted = files.filter(F.col("source").isin(list(expected)))
-    found = {r["source"]: r for r in wanted.join(rows, "source", "left").collect()}
+    # rows per file first (partial aggregation), so the path-to-source
+    # expressions run once per file, not once per row
+    per_file = scan.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    rows = (per_file.select(_source_of(F.col("path"), root, layout).alias("source"), "n")
+            .groupBy("source").agg(F.sum("n").alias("rows")))
+    # both summaries hold one row per expected source: combined here
+    wanted = list(expected)
+    found = {r["source"]: r for r in files.filter(F.col("source").isin(wanted)).collect()}
+    counted = {r["source"]: r["rows"] for r in rows.filter(F.col("source").isin(wanted)).collect()}
     out = []
     for name in expected:
         r = found.get(name)
         if r is not None:
-            out.append((name, int(r["files"]), int(r["bytes"]), int(r["rows"] or 0), PRESENT))
+            out.append((name, int(r["files"]), int(r["bytes"]), int(counted.get(name) or 0),
+                        PRESENT))
         elif layout == "folder" and _folder_exists(spark, f"{root.rstrip('/')}/{name}"):
             out.append((name, 0, 0, 0, EMPTY))
         else:
