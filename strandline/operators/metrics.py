@@ -155,3 +155,17 @@ def log_rows(metrics: DataFrame, alerts: DataFrame | None, task_name: str,
             now.alias("logged_at"), F.lit(notebook_path).cast("string").alias("notebook_path"))
         out = out.unionByName(alert_part)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG_SCHEMA.fields])
+
+
+def repair_log_rows(results: DataFrame, task_name: str, run_id: str | None = None,
+                    job_run_id: str | None = None) -> DataFrame:
+    """Run-log rows for repair results: one METRIC row per table (rescued
+    rows left after the repair) and a WARN row where some remain, since
+    those may be genuine data-quality violations."""
+    metrics = results.select("table_name", F.col("rows_rescued_after").alias("rows_rescued"),
+                             "duration_secs", "status", "error")
+    remaining = (results.filter(F.col("rows_rescued_after") > 0)
+                 .select("table_name", F.lit("rows_rescued_after").alias("rule"),
+                         F.col("rows_rescued_after").cast(T.DoubleType()).alias("observed"),
+                         F.lit(0.0).alias("threshold")))
+    return log_rows(metrics, remaining, task_name, run_id, job_run_id)

@@ -53,8 +53,14 @@ def test_lending_load_inventory_worklist_repair(spark, tmp):
     assert inv["empty_feed"]["status"] == "EMPTY"
     assert inv["cdc/loan_status"]["status"] == "PRESENT" and inv["cdc/loan_status"]["rows"] == 6
 
-    res = {r["table_name"]: r for r in run_all(spark, REGISTRY, land, f"{tmp}/tables", f"{tmp}/chk",
-                                                raise_on_failure=False).collect()}
+    loaded = run_all(spark, REGISTRY, land, f"{tmp}/tables", f"{tmp}/chk", raise_on_failure=False)
+    res = {r["table_name"]: r for r in loaded.collect()}
+    # the load results go to the run log; 2 of 6 rows rescued is above 5 %
+    from strandline.operators.metrics import log_rows, threshold_alerts
+    log = log_rows(loaded, threshold_alerts(loaded, ["table_name"]), "bronze_landing").collect()
+    warned = {r["table_name"] for r in log if r["log_level"] == "WARN"}
+    assert {n for n, c in REGISTRY.items() if c.rescued} <= warned
+    assert sum(r["log_level"] == "METRIC" for r in log) == len(REGISTRY)
     assert res["nach_bounces"]["status"] == "FAILED"
     ok = [n for n in REGISTRY if n != "nach_bounces"]
     assert all(res[n]["status"] == "SUCCESS" and res[n]["rows_written"] == 6 for n in ok)

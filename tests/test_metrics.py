@@ -41,3 +41,16 @@ def test_run_metrics_and_log(spark, tmp):
     msg = back.filter("log_level = 'METRIC' AND table_name = 'x'").first()["message"]
     assert msg == "table=x read=2 written=0 rescued=1 rescued_pct=50.00% duration=0.0s"
     assert back.filter(F.col("logged_at").isNull()).count() == 0
+
+
+def test_repair_and_load_log_rows(spark):
+    from strandline.operators.metrics import repair_log_rows
+    from strandline.operators.repair import RepairResult, repair_results
+    res = repair_results(spark, [RepairResult("a", 10, 0, 10, 1.0, "SUCCESS"),
+                                 RepairResult("b", 5, 2, 3, 1.0, "SUCCESS"),
+                                 RepairResult("c", -1, -1, 0, 0.5, "FAILED", "boom")])
+    rows = repair_log_rows(res, "repair").collect()
+    levels = sorted((r["table_name"], r["log_level"]) for r in rows)
+    assert levels == [("a", "METRIC"), ("b", "METRIC"), ("b", "WARN"), ("c", "METRIC")]
+    failed = [r for r in rows if r["table_name"] == "c"][0]
+    assert (failed["status"], failed["error_message"]) == ("FAILED", "boom")
