@@ -96,3 +96,19 @@ def test_inventory_root_forms(spark, tmp):
         inv = {r["source"]: (r["files"], r["rows"], r["status"])
                for r in source_inventory(spark, root, ["a/part", "b"]).collect()}
         assert inv == {"a/part": (1, 1, "PRESENT"), "b": (0, 0, "MISSING")}, root
+
+
+def test_declared_partition_type(spark, tmp):
+    from strandline.contracts import contract
+    from strandline.operators.sink import ParquetTable
+    base = contract("transactions")
+    c = base.with_types(transaction_date="date")
+    land = f"{tmp}/landing"
+    cols, rows = landing_rows(base, n=3)
+    spark.createDataFrame(rows, ", ".join(f"`{x}` string" for x in cols)) \
+        .coalesce(1).write.parquet(f"{land}/{c.folder}")
+    ld = load_table(spark, c, land, f"{tmp}/tables", f"{tmp}/chk")
+    ld.run()
+    fresh = ParquetTable(ld.table.path, ld.table.partition_cols, ld.table.partition_types)
+    assert dict(fresh.read(spark).dtypes)["transaction_date"] == "date"
+    assert fresh.read(spark).count() == 3
