@@ -74,10 +74,12 @@ def lineage(df: DataFrame, file_col: str | None = "_metadata.file_path",
     ``foreachBatch`` callback; pass ``file_col=None`` when the source file is
     already a column."""
     extra = []
-    if file_col is not None and SOURCE_FILE not in df.columns:
+    replaced = {INGESTION_TIME}
+    if file_col is not None:            # the file's own path replaces any carried value
         extra.append(F.col(file_col).alias(SOURCE_FILE))
+        replaced.add(SOURCE_FILE)
     extra.append((now if now is not None else F.current_timestamp()).alias(INGESTION_TIME))
-    keep = [col(c) for c in df.columns if c != INGESTION_TIME]
+    keep = [col(c) for c in df.columns if c not in replaced]
     return df.select(*keep, *extra)
 
 

@@ -66,7 +66,14 @@ def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType,
     r = _file_stream(spark.readStream.schema(schema), glob, max_files_per_trigger,
                      max_file_age, clean_source, archive_dir)
     df = r.parquet(folder)
-    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return with_source_file(df)
+
+
+def with_source_file(df: DataFrame) -> DataFrame:
+    """W7 on the scan: ``_source_file`` from file metadata (replacing a column
+    of that name the files may already carry)."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != SOURCE_FILE],
+                     F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def infer_schema(spark: SparkSession, folder: str, glob: str = "*.parquet") -> T.StructType:
@@ -161,7 +168,7 @@ def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping
     if info is not None:
         info["incoming_rescued"] = any(RESCUED in r.columns for r in reads)
     if lineage:
-        reads = [r.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)) for r in reads]
+        reads = [with_source_file(r) for r in reads]
     target = resolve_types(declared, table, [r.schema for r in reads], evolve)
     aligned = [capture(r, target) for r in reads]
     out = aligned[0]

@@ -252,3 +252,14 @@ def test_file_with_no_rows(spark, tmp):
                          checkpoint=f"{tmp}/chk_{mode}", mode=mode)
         r = ld.run()
         assert (r.status, r.rows_read) == ("SUCCESS", 0)
+
+
+def test_files_that_already_carry_lineage_columns(spark, tmp):
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0, "elsewhere.csv", 99)], "id long, amount double, _source_file string, _batch_id long")
+    for mode in ("discover", "parquet"):
+        ld = LandingLoad(spark=spark, contract=C, source=src, table=ParquetTable(f"{tmp}/t_{mode}"),
+                         checkpoint=f"{tmp}/chk_{mode}", mode=mode)
+        ld.run()
+        r = ld.table.read(spark).first()
+        assert r["_source_file"].endswith(".parquet") and r["_batch_id"] == 0
