@@ -292,12 +292,15 @@ def parse_item(item) -> tuple[str, str, list[str]]:
 
 def repair_items(spark: SparkSession, items, tables: Mapping[str, ParquetTable],
                  contracts: Mapping[str, TableContract], residual: str = "keep",
-                 parallel: int = 4) -> DataFrame:
+                 parallel: int = 4, log_table: ParquetTable | None = None,
+                 task_name: str = "bronze_repair") -> DataFrame:
     """Repair each worklist item's table in place. Items are different
     tables, so up to ``parallel`` repairs run at once (each is its own set
     of distributed jobs); a failing table does not stop the rest. ``items``
     is a worklist DataFrame (one row per table, a bounded list) or a list.
-    Results keep the items' order."""
+    Results keep the items' order; with ``log_table`` they are also
+    appended to the run log (metric rows, and warnings where rescued rows
+    remain)."""
     from concurrent.futures import ThreadPoolExecutor
 
     rows = items.collect() if isinstance(items, DataFrame) else list(items)
@@ -311,4 +314,8 @@ def repair_items(spark: SparkSession, items, tables: Mapping[str, ParquetTable],
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(one, rows))
-    return repair_results(spark, results)
+    out = repair_results(spark, results)
+    if log_table is not None:   # W22: one append per run
+        from strandline.operators.metrics import repair_log_rows
+        log_table.append(repair_log_rows(out, task_name))
+    return out

@@ -23,7 +23,8 @@ from strandline.functions.columns import (BATCH_ID, RESCUED, capture, cast_to_co
                                           recover, unrecovered_flag)
 
 _UNRECOVERED = "__sl_unrecovered"
-from strandline.operators.metrics import FAILED, SUCCESS, count_exprs, observed
+from strandline.operators.metrics import (FAILED, SUCCESS, count_exprs, log_rows, observed,
+                                          threshold_alerts)
 from strandline.operators.sink import ParquetTable, align_to_table
 from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
                                        parquet_stream, read_landing, resolve_types, schema_groups)
@@ -255,11 +256,14 @@ def load_table(spark: SparkSession, contract: TableContract, source_root: str, t
 
 def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, TableContract],
             source_root: str | None = None, table_root: str | None = None,
-            checkpoint_root: str | None = None, raise_on_failure: bool = True, **kw) -> DataFrame:
+            checkpoint_root: str | None = None, raise_on_failure: bool = True,
+            log_table: ParquetTable | None = None, task_name: str = "bronze_landing",
+            **kw) -> DataFrame:
     """Start one query per table (independent queries overlap), then
     await each. A table that fails, at start or while running, is reported
     FAILED and the others go on. Table totals come from one unioned job.
-    Raises at the end naming the failed tables, unless told not to.
+    Raises at the end naming the failed tables, unless told not to. With
+    ``log_table`` the run's metric and alert rows are appended to it.
 
     ``loads`` is a list of prepared ``LandingLoad``s, or contracts to build
     them from under the three roots."""
@@ -294,7 +298,10 @@ def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, Tab
             for n in ok:
                 results[n].rows_total, results[n].rows_rescued = -1, -1
     ordered = [results[n] for n in by_name]
+    out = spark.createDataFrame([r.as_row() for r in ordered], LOAD_RESULT_SCHEMA)
+    if log_table is not None:   # W22: metric and alert rows, one append per run
+        log_table.append(log_rows(out, threshold_alerts(out, ["table_name"]), task_name))
     failed = [r.table_name for r in ordered if r.status == FAILED]
     if failed and raise_on_failure:
         raise RuntimeError(f"landing failed for: {failed}")
-    return spark.createDataFrame([r.as_row() for r in ordered], LOAD_RESULT_SCHEMA)
+    return out

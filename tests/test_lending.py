@@ -87,6 +87,18 @@ def test_lending_load_inventory_worklist_repair(spark, tmp):
     r = self_repair_table(spark, tables["bureau_pulls"], REGISTRY["bureau_pulls"], residual="clear")
     assert (r.rows_rescued_after, r.rows_repaired) == (0, 2)
 
+    # the worklist repaired as a run, logged to the run log with the loads
+    from strandline.operators.repair import repair_items
+    from strandline.operators.sink import ParquetTable
+    log = ParquetTable(f"{tmp}/run_log", ())
+    run_all(spark, REGISTRY, land, f"{tmp}/tables", f"{tmp}/chk", raise_on_failure=False,
+            log_table=log)
+    done = repair_items(spark, wl, tables, REGISTRY, log_table=log).collect()
+    assert len(done) == len(items)
+    levels = {(r["task_name"], r["log_level"]) for r in log.read(spark).collect()}
+    assert {("bronze_landing", "METRIC"), ("bronze_repair", "METRIC"),
+            ("bronze_repair", "WARN")} <= levels
+
 
 def test_inventory_root_forms(spark, tmp):
     import os
