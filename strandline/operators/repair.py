@@ -64,8 +64,16 @@ def check_unique(source: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"source has duplicate key {key}={dup[0]['k']!r}")
 
 
+def hot_keys(candidates: DataFrame, key: str, min_rows: int) -> list:
+    """Keys holding at least ``min_rows`` rows: a partial aggregation, of
+    which only keys above the bound come back (at most rows / min_rows)."""
+    return [r["k"] for r in candidates.groupBy(col(key).alias("k")).count()
+            .filter(F.col("count") >= min_rows).select("k").collect()]
+
+
 def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str],
-                  rescued_col: str = RESCUED, unique: bool = True) -> DataFrame:
+                  rescued_col: str = RESCUED, unique: bool = True,
+                  hot_key_rows: int | None = None) -> DataFrame:
     """Target rows with ``key`` equal to a source row's and a rescued
     value take the source's ``columns`` and rescued value (NULL if the source
     has none). Nothing is inserted or deleted; NULL keys never match.
@@ -78,6 +86,12 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
     With ``unique`` a repeated source key that meets a rescued target row
     fails the job (its new value would be ambiguous); ``check_unique``
     rejects any repeated key up front instead.
+
+    With ``hot_key_rows`` the keys holding that many rescued rows are split
+    off first (one small job): their rows join the matching source rows
+    (one per key, so the broadcast is bounded by the number of hot keys)
+    without a shuffle, and only the other rows go through the shuffle join.
+    A key with a third of all rows then never lands in one task.
     """
     guard = repair_guard(key, rescued_col)
     untouched = target.filter(~guard | guard.isNull())
@@ -92,7 +106,14 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
            .agg(F.count(F.lit(1)).alias("__n"),
                 *[F.first(col(c)).alias(f"__src_{c}") for c in src_cols],
                 *([F.first(col(rescued_col)).alias("__src_rescued")] if has_rescued else [])))
-    joined = candidates.join(src, on=key, how="left")
+    hot = hot_keys(candidates, key, hot_key_rows) if hot_key_rows else []
+    if hot:
+        is_hot = col(key).isin(*hot)
+        joined = (candidates.filter(~is_hot).join(src.filter(~is_hot), on=key, how="left")
+                  .unionByName(candidates.filter(is_hot)
+                               .join(F.broadcast(src.filter(is_hot)), on=key, how="left")))
+    else:
+        joined = candidates.join(src, on=key, how="left")
     n = F.col("__n")
     m = n.isNotNull()
     if unique:
@@ -233,12 +254,14 @@ def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableC
 
 def update_table_by_key(spark: SparkSession, table: ParquetTable, name: str, key: str,
                         source: DataFrame, columns: Sequence[str],
-                        rescued_col: str = RESCUED) -> RepairResult:
+                        rescued_col: str = RESCUED, hot_key_rows: int | None = 5_000_000
+                        ) -> RepairResult:
     """W14 on a stored table: rewrite only partitions with rescued rows. A
     repeated source key that meets a rescued row fails the write job before
     anything is committed, and the repair is reported FAILED."""
     return repair_table(spark, table, name, key,
-                        lambda d: update_by_key(d, source, key, columns, rescued_col, unique=True),
+                        lambda d: update_by_key(d, source, key, columns, rescued_col, unique=True,
+                                                hot_key_rows=hot_key_rows),
                         rescued_col, detect_changes=False)
 
 

@@ -49,8 +49,9 @@ keys = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(keys, st.one_of(st.none(), st.floats(-5, 5)), st.booleans()),
                 min_size=1, max_size=25),
-       st.lists(st.tuples(keys, st.floats(-5, 5)), max_size=10))
-def test_update_by_key_matches_a_brute_force_model(spark, target, source):
+       st.lists(st.tuples(keys, st.floats(-5, 5)), max_size=10),
+       st.sampled_from([None, 1, 2, 3]))
+def test_update_by_key_matches_a_brute_force_model(spark, target, source, hot):
     from strandline.operators.repair import update_by_key
     t = spark.createDataFrame([(i, k, p, '{"p":"x"}' if r else None)
                                for i, (k, p, r) in enumerate(target)],
@@ -61,7 +62,7 @@ def test_update_by_key_matches_a_brute_force_model(spark, target, source):
         if k is not None:
             by_key.setdefault(k, []).append(p)
     ambiguous = any(k is not None and r and len(by_key.get(k, [])) > 1 for k, _, r in target)
-    out = update_by_key(t, s, "k", ["p"])
+    out = update_by_key(t, s, "k", ["p"], hot_key_rows=hot)   # hot-key split must not change it
     if ambiguous:
         with pytest.raises(Exception, match="DUPLICATE_SOURCE_KEY"):
             out.collect()

@@ -193,3 +193,18 @@ def test_repair_that_changes_nothing_writes_nothing(spark, tmp):
     r2 = self_repair_table(spark, t, ORDERS)
     assert (r2.status, r2.rows_rescued_before, r2.rows_rescued_after, r2.rows_repaired) == \
         ("SUCCESS", 1, 1, 0)
+
+
+def test_hot_key_goes_around_the_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.createDataFrame([(0 if i % 3 else i, None, '{"p":"x"}') for i in range(60)],
+                                       "id long, p double, _rescued_data string")
+        source = spark.createDataFrame([(i, float(i) + 0.5) for i in range(60)], "id long, p double")
+        out = update_by_key(target, source, "id", ["p"], hot_key_rows=10)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        got = out.collect()
+        assert len(got) == 60 and all(r["p"] == r["id"] + 0.5 for r in got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
