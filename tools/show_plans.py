@@ -57,6 +57,13 @@ def main():
     add("W14 update by key (broadcast off)", "Source aggregated by key once; the join reuses "
         "that partitioning; healthy and NULL-key rows bypass the join through the union.",
         update_by_key(d, fixes, ORDERS.key, ["o_totalprice"]))
+    hot = (d.withColumn("o_custkey", F.lit(0))      # one key holding every rescued row
+           .select(F.col("o_custkey").alias("k"), "o_totalprice", "_rescued_data"))
+    hot_src = fixes.select(F.col("o_orderkey").alias("k"), "o_totalprice")
+    add("W14 update by key with a hot key (broadcast off)", "Keys with at least "
+        "`hot_key_rows` rescued rows meet their source rows in a broadcast join (one row per "
+        "hot key); the others go through the shuffle join.",
+        update_by_key(hot, hot_src, "k", ["o_totalprice"], hot_key_rows=100))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     write_drop(events_flagship_landing(table(spark, SF, "events")), f"{root}/land")
     batch = read_landing(spark, schema_groups(list_files(spark, f"{root}/land")), EVENTS.types)
