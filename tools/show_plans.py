@@ -57,8 +57,8 @@ def main():
     add("W14 update by key (broadcast off)", "Source aggregated by key once; the join reuses "
         "that partitioning; healthy and NULL-key rows bypass the join through the union.",
         update_by_key(d, fixes, ORDERS.key, ["o_totalprice"]))
-    hot = (d.withColumn("o_custkey", F.lit(0))      # one key holding every rescued row
-           .select(F.col("o_custkey").alias("k"), "o_totalprice", "_rescued_data"))
+    shared = F.when(F.col("o_orderkey") % 2 == 0, F.lit(0)).otherwise(F.col("o_orderkey"))
+    hot = d.select(shared.alias("k"), "o_totalprice", "_rescued_data")   # key 0: half the rows
     hot_src = fixes.select(F.col("o_orderkey").alias("k"), "o_totalprice")
     add("W14 update by key with a hot key (broadcast off)", "Keys with at least "
         "`hot_key_rows` rescued rows meet their source rows in a broadcast join (one row per "
