@@ -276,7 +276,7 @@ def unrecovered_flag(df: DataFrame, types: Mapping[str, object], name: str,
 
 
 def clear_rescued(df: DataFrame, rescued_col: str = RESCUED) -> DataFrame:
-    """W12 in the reference's form: the rescued value becomes a string NULL."""
+    """W12 in the source system's form: the rescued value becomes a string NULL."""
     return df.withColumn(rescued_col, F.lit(None).cast(T.StringType()))
 
 
