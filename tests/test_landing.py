@@ -263,3 +263,27 @@ def test_files_that_already_carry_lineage_columns(spark, tmp):
         ld.run()
         r = ld.table.read(spark).first()
         assert r["_source_file"].endswith(".parquet") and r["_batch_id"] == 0
+
+
+def test_land_files_from_a_path_list(spark, tmp):
+    import glob
+    from strandline.sources.landing import land_files
+    drop(spark, f"{tmp}/a", [(1, 1.5)], "id long, amount double")
+    drop(spark, f"{tmp}/b", [(2, "oops")], "id long, amount string")
+    paths = sorted(glob.glob(f"{tmp}/a/*.parquet") + glob.glob(f"{tmp}/b/*.parquet"))
+    out = land_files(spark, paths, C.types)
+    got = {r["id"]: (r["amount"], r["_rescued_data"]) for r in out.collect()}
+    assert got == {1: (1.5, None), 2: (None, '{"amount":"oops"}')}
+    assert land_files(spark, [], C.types) is None
+
+
+def test_run_all_raises_naming_failed_tables(spark, tmp):
+    from strandline.streaming.loads import run_all
+    drop(spark, f"{tmp}/land", [(1, 1.0)], "id long, amount double")
+    good = make_load(spark, tmp)
+    bad = LandingLoad(spark=spark, contract=TableContract("gone", "gone", "bronze.gone", "id"),
+                      source=f"{tmp}/missing", table=ParquetTable(f"{tmp}/t_gone"),
+                      checkpoint=f"{tmp}/chk_gone", mode="parquet")
+    with pytest.raises(RuntimeError, match="gone"):
+        run_all(spark, [good, bad])
+    assert good.table.read(spark).count() == 1           # the healthy table still loaded
