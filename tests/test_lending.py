@@ -124,3 +124,18 @@ def test_declared_partition_type(spark, tmp):
     fresh = ParquetTable(ld.table.path, ld.table.partition_cols, ld.table.partition_types)
     assert dict(fresh.read(spark).dtypes)["transaction_date"] == "date"
     assert fresh.read(spark).count() == 3
+
+
+def test_files_per_partition_value(spark, tmp):
+    import glob
+    from strandline.contracts import contract
+    c = contract("transactions")
+    land = f"{tmp}/landing"
+    cols, rows = landing_rows(c, n=60)
+    spark.createDataFrame(rows, ", ".join(f"`{x}` string" for x in cols)) \
+        .repartition(6).write.parquet(f"{land}/{c.folder}")          # 6 input files, 3 dates each
+    ld = load_table(spark, c, land, f"{tmp}/tables", f"{tmp}/chk", files_per_partition_value=2)
+    r = ld.run()
+    assert r.rows_read == 60 and ld.table.read(spark).count() == 60
+    for day in glob.glob(f"{tmp}/tables/transactions/_batch_id=0/transaction_date=*"):
+        assert len(glob.glob(f"{day}/*.parquet")) <= 2, day
