@@ -287,3 +287,16 @@ def test_run_all_raises_naming_failed_tables(spark, tmp):
     with pytest.raises(RuntimeError, match="gone"):
         run_all(spark, [good, bad])
     assert good.table.read(spark).count() == 1           # the healthy table still loaded
+
+
+def test_clean_source_delete(spark, tmp):
+    import glob
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0)], "id long, amount double")
+    ld = make_load(spark, tmp, clean_source="delete")
+    ld.run()
+    drop(spark, src, [(2, 2.0)], "id long, amount double")
+    ld.batches.clear()
+    ld.run()                                  # the first file is removed once committed
+    assert ld.table.read(spark).count() == 2
+    assert len(glob.glob(f"{src}/*.parquet")) <= 1
