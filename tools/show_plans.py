@@ -70,6 +70,12 @@ def main():
     add("W1-W4, W7-W9, W19 landing batch", "Scan with `_metadata.file_path`, capture, recover, "
         "cast, in-flight metrics; no Exchange.",
         observed(prepare_batch(batch, EVENTS, None))[0])
+    from strandline.streaming.loads import cluster_by_partition
+    dated = table(spark, SF, "orders").withColumn("order_date", F.to_date("o_orderdate"))
+    add("W21 clustered partitioned write (opt-in)", "`files_per_partition_value=k`: one "
+        "hash exchange on (partition value, key hash mod k), so each value gets at most k "
+        "files and a hot value is written by k tasks.",
+        cluster_by_partition(dated, "order_date", "o_orderkey", 4))
     add("W8 recover", "`from_json` once per row into a map; keys looked up.",
         recover(table(spark, SF, "events"), {"k": "long"}, rescued_col="props"))
     add("W19 run metrics", "Partial aggregation per group before the shuffle.",
