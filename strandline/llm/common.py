@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def filesystem(uri: str):
+    """(file system, path) of a folder's URI, for code in tasks."""
+    import pyarrow.fs as pafs
+    if uri.startswith("file:") or "://" not in uri:
+        return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage,
     survives lost executors, and gives later plans its true size."""
@@ -63,7 +73,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
                .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
                .distinct(), label)
     seen = None
-    while True:
+    while not e.isEmpty():
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").filter(F.col("v") > F.col("u"))
@@ -75,5 +85,9 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         e = stored(small, label)
         now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == seen:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            break
         seen = now
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need no install
