@@ -10,15 +10,12 @@
    of the set; one row per class goes on, however many copies it has.
 3. **Banding.** 42 bands of 6 registers. Two sets of Jaccard similarity 0.8 meet in no
    band with a probability of 3e-6.
-4. **Hubs.** In each bucket a member drawn by hash is the hub. Each class is
-   compared with the hub it shares most bands with, first by the estimate,
-   which corrects for registers that agree by chance, then on full sets.
-   Components of these links come next. A second round does so with all hubs in
-   components other than the class's own, and a last one compares *all* members of a
-   bucket that are still in different components. So every pair that shares
-   a band is either in one component already or compared, without listing
-   all pairs of a large group.
-5. **Components** by distributed union-find (``common.components``).
+4. **Verification** of candidate pairs: sizes, then the estimate, which corrects
+   for registers that agree by chance, then the full sets.
+5. **Components** by ``banding``: classes are compared with a few hubs of their
+   buckets, and all members of a bucket only where they are still in
+   different components; so every pair that shares a band is in one
+   component or was compared, without listing all pairs of a large group.
 
 No count or bucket is capped. What is collected on the driver: nothing but
 row counts.
@@ -27,6 +24,7 @@ row counts.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +32,11 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import components, stored
+from strandline.llm.banding import banded_components
+from strandline.llm.common import stored
 
 BUCKETS, BANDS, ROWS, MANTISSA = 256, 42, 6, 10
+SAMPLE = 128        # registers compared by frequency in the last round
 #: Fixed value: expected chance agreements of HyperMinHash registers are
 #: about this constant times 2**(p - r), for sets of equal size.
 CHANCE = 0.1699194871597391
@@ -191,6 +191,19 @@ def _fingerprint(s):
             for x in (s + np.uint64(1), s ^ np.uint64(0xA5A5A5A5A5A5A5A5))]
 
 
+def register_tokens(classes: DataFrame) -> DataFrame:
+    """(class, regs) -> (class, token): SAMPLE registers, each with its place."""
+    def run(batches):
+        step = BUCKETS // SAMPLE
+        place = np.arange(SAMPLE, dtype=np.int64) << 16
+        for batch in batches:
+            r = np.frombuffer(b"".join(batch.column("regs").to_pylist()), "<u2").reshape(-1, BUCKETS)
+            own = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), SAMPLE)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array((r[:, ::step] + place).ravel())],
+                                             names=["class", "token"])
+    return classes.select("class", "regs").mapInArrow(run, "class long, token long")
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, text) -> (doc_id, n, f1, f2, regs); nulls and n = 0
     for a text without words."""
@@ -256,7 +269,7 @@ def estimates(pairs: DataFrame) -> DataFrame:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
+def _linked(pairs: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int,
             share: tuple[int, int], label: str) -> DataFrame:
     """Of pairs (a, b) of classes those with similarity of at least
     ``share``: sizes first, then the estimate, then the full sets."""
@@ -306,45 +319,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = d.join(named, F.col("doc_id").eqNullSafe(F.col("c_id")))
         return found.select("key", "text")
 
-    keys = band_keys(classes)
-    drawn = F.struct(F.xxhash64("class", "key"), "class")
-    hubs = (keys.groupBy("key").agg(F.min(drawn).alias("m"), F.count(F.lit(1)).alias("c"))
-            .filter(F.col("c") > 1).select("key", F.col("m.class").alias("hub")))
-    members = stored(keys.join(hubs, "key"), "near-buckets")
-    to_hub = (members.filter(F.col("class") != F.col("hub"))
-              .groupBy("class", "hub").agg(F.count(F.lit(1)).alias("shared")))
-    to_hub = stored(to_hub, "near-hubs")
-
-    def ordered(p: DataFrame, a: str, b: str) -> DataFrame:
-        return p.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-
-    best = to_hub.groupBy("class").agg(F.max(F.struct("shared", "hub")).alias("m"))
-    links = _linked(ordered(best.select("class", F.col("m.hub").alias("hub")), "class", "hub"),
-                    classes, texts, width, share, "near1")
-    parts = components(links, "near-parts")
-
-    def part_of(df: DataFrame, col: str, name: str) -> DataFrame:
-        return (df.join(parts.select(F.col("id").alias(col), F.col("component").alias(name)), col, "left")
-                .withColumn(name, F.coalesce(name, col)))
-
-    open_ = part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q"))
-    more = _linked(ordered(open_, "class", "hub"), classes, texts, width, share, "near2")
-    links = links.unionByName(more)
-    parts = components(links, "near-parts")
-
-    m = part_of(members.select("class", "key"), "class", "p")
-    split = m.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).filter("lo <> hi").select("key")
-    m = stored(m.join(split, "key").join(classes.select("class", "n"), "class"), "near-open")
-    x, y = m.alias("x"), m.alias("y")
-    num, den = share
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class"))
-                   & (F.col("x.p") != F.col("y.p"))
-                   & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num))
-            .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
-    links = links.unionByName(_linked(rest, classes, texts, width, share, "near3"))
-    parts = components(links, "near-components")
-
-    group = part_of(classes.select("class", "doc_id"), "class", "p")
+    def verify(pairs: DataFrame, label: str) -> DataFrame:
+        return _linked(pairs, classes, texts, width, share, label)
+
+    def sample(open_: DataFrame) -> DataFrame:
+        # The registers in which a linked pair agrees, less 5 standard deviations.
+        # Those of a small set repeat each other: they count as 0.7 times its size (of the
+        # smaller one, at most a fifth smaller than this).
+        j = share[0] / share[1]
+        apart = F.sqrt(j * (1 - j) / (0.7 * F.least(F.lit(float(SAMPLE)), j * F.col("n"))))
+        least = F.greatest(F.lit(1), F.floor(SAMPLE * (j - 5 * apart)).cast("int"))
+        some = classes.join(open_, "class")
+        return register_tokens(some).join(some.select("class", least.alias("least")), "class")
+    parts = banded_components(band_keys(classes), classes.select("class", "n"), share, verify, "near",
+                              sample, SAMPLE)
+
+    group = (classes.select("class", "doc_id").join(parts.withColumnRenamed("id", "class"), "class", "left")
+             .withColumn("p", F.coalesce("component", "class")))
     least = group.groupBy("p").agg(F.min("doc_id").alias("component_id"))
     named = group.join(least, "p").select("class", F.col("component_id").alias("c"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "class").join(named, "class", "left")

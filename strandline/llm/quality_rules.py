@@ -126,17 +126,17 @@ def cutoffs(labelled: DataFrame, risk: float = RISK, delta: float = DELTA, ladde
             .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")))
     rule_steps = F.create_map(*[x for r, s in ladder.items() for x in (
         F.lit(r), F.array(*[F.lit(float(c)) for c in s]))])
-    # every step of every ladder met, with what lies above it (a text above j cutoffs
-    # is rejected by the first j)
+    # every step of every ladder met, with the labelled texts that it rejects
     cells = (seen.withColumn("cuts", F.element_at(rule_steps, F.col("rule")))
              .groupBy("stratum", "rule", "cuts").agg(
                  F.sum("good").alias("n"), F.collect_list(F.struct("above", "good", "bad")).alias("h"))
-             .select("stratum", "rule", "n", "h", F.posexplode("cuts").alias("j", "cutoff")))
+             .select("stratum", "rule", "n", "h", "cuts", F.posexplode("cuts").alias("j", "cutoff")))
 
     def rejected(what):
-        return F.aggregate(F.filter("h", lambda x: x["above"] > F.col("j")), F.lit(0).cast("long"),
+        # a text above k cutoffs lies above the k strictest, the last of the ladder
+        return F.aggregate(F.filter("h", lambda x: x["above"] + F.col("j") >= F.size("cuts")), F.lit(0).cast("long"),
                            lambda a, x: a + x[what])
-    cells = cells.withColumn("k", rejected("good")).withColumn("caught", rejected("bad")).drop("h")
+    cells = cells.withColumn("k", rejected("good")).withColumn("caught", rejected("bad")).drop("h", "cuts")
     strata = Window.partitionBy()
     cells = (cells.withColumn("tests", F.size(F.collect_set("stratum").over(strata))
                               + F.max(F.col("stratum").isNull().cast("int")).over(strata))

@@ -10,6 +10,7 @@ from strandline.llm.chat_format import format_conversations, read_conversations
 from strandline.llm.common import read, stored, word_count
 from strandline.llm.decontaminate import leaks
 from strandline.llm.lang_id import held_out, identify, train
+from strandline.llm.line_dedup import line_report
 from strandline.llm.mixing import mix
 from strandline.llm.near_dup import near_duplicates
 from strandline.llm.quality_rules import judge
@@ -78,6 +79,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
@@ -88,6 +93,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontaminate": op9_decontaminate,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
