@@ -6,14 +6,14 @@
   Only rescued rows with a key go through the join; everything else passes
   around it, so neither the healthy majority nor a NULL-key pile is shuffled.
 * ``repair_table``: runs either one on a stored table, rewriting only the
-  partitions that hold rescued rows (dynamic overwrite); before/after counts
-  come from the same scan and write.
+  partitions in which it changes rows, by way of a committed stage; counts
+  come from the probe and from the write itself.
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Callable, Mapping, Sequence
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.contracts import TableContract
-from strandline.functions.columns import RESCUED, col, merge_projection, recover, rescued_filter
+from strandline.functions.columns import RESCUED, _q, col, merge_projection, recover, rescued_filter
 from strandline.operators.metrics import FAILED, SKIPPED, SUCCESS, observed
 from strandline.operators.sink import ParquetTable
 
@@ -64,34 +64,35 @@ def check_unique(source: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"source has duplicate key {key}={dup[0]['k']!r}")
 
 
-def hot_keys(candidates: DataFrame, key: str, min_rows: int) -> list:
-    """Keys holding at least ``min_rows`` rows: a partial aggregation, of
-    which only keys above the bound come back (at most rows / min_rows)."""
-    return [r["k"] for r in candidates.groupBy(col(key).alias("k")).count()
-            .filter(F.col("count") >= min_rows).select("k").collect()]
+#: A key is hot when it holds at least this share of the rows to update, so
+#: there are at most HOT_PARTS hot keys whatever the table's size; each is
+#: dealt over SALTS tasks.
+HOT_PARTS = 1000
+SALTS = 64
+
+
+def hot_keys(candidates: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
+    """Keys (column ``k``) holding at least one in ``parts`` of the rows: at
+    most ``parts`` rows, from a partial aggregation by key."""
+    counts = candidates.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    total = candidates.agg(F.count(F.lit(1))).scalar()
+    return counts.filter((F.col("n") > 1) & (F.col("n") * parts >= total)).select("k")
 
 
 def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str],
-                  rescued_col: str = RESCUED, unique: bool = True,
-                  hot_key_rows: int | None = None) -> DataFrame:
+                  rescued_col: str = RESCUED, parts: int = HOT_PARTS) -> DataFrame:
     """Target rows with ``key`` equal to a source row's and a rescued
     value take the source's ``columns`` and rescued value (NULL if the source
     has none). Nothing is inserted or deleted; NULL keys never match.
     Result has the target's columns, in the target's order.
 
-    Plan: the source is aggregated by key once (partial aggregation first,
-    so a hot key costs one row per task), keeping a row count; the join
-    reuses that hash partitioning, so the source is shuffled once. Only the
-    target's rescued rows with a key enter the join; the rest bypass it.
-    With ``unique`` a repeated source key that meets a rescued target row
-    fails the job (its new value would be ambiguous); ``check_unique``
-    rejects any repeated key up front instead.
-
-    With ``hot_key_rows`` the keys holding that many rescued rows are split
-    off first (one small job): their rows join the matching source rows
-    (one per key, so the broadcast is bounded by the number of hot keys)
-    without a shuffle, and only the other rows go through the shuffle join.
-    A key with a third of all rows then never lands in one task.
+    The source is aggregated by key (partial aggregation first, so a hot key
+    costs one row per task), keeping a row count; a repeated source key that
+    meets a rescued target row fails the job, since its new value would be
+    ambiguous. Only the target's rescued rows with a key enter the join; the
+    rest bypass it. The join is always on (key, salt): rows of a hot key are
+    dealt over ``SALTS`` salts by a hash of the row and its one source row is
+    copied to each; every other row has salt 0.
     """
     guard = repair_guard(key, rescued_col)
     untouched = target.filter(~guard | guard.isNull())
@@ -106,19 +107,19 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
            .agg(F.count(F.lit(1)).alias("__n"),
                 *[F.first(col(c)).alias(f"__src_{c}") for c in src_cols],
                 *([F.first(col(rescued_col)).alias("__src_rescued")] if has_rescued else [])))
-    hot = hot_keys(candidates, key, hot_key_rows) if hot_key_rows else []
-    if hot:
-        is_hot = col(key).isin(*hot)
-        joined = (candidates.filter(~is_hot).join(src.filter(~is_hot), on=key, how="left")
-                  .unionByName(candidates.filter(is_hot)
-                               .join(F.broadcast(src.filter(is_hot)), on=key, how="left")))
-    else:
-        joined = candidates.join(src, on=key, how="left")
+    hot = F.broadcast(hot_keys(candidates, key, parts))         # at most ``parts`` rows
+    spread = F.pmod(F.xxhash64(*[col(c) for c in target.columns
+                                 if not isinstance(target.schema[c].dataType, T.MapType)]), F.lit(SALTS))
+    salted = (candidates.join(hot, col(key) == F.col("k"), "left")
+              .withColumn("__salt", F.when(F.col("k").isNotNull(), spread).otherwise(F.lit(0).cast("long")))
+              .drop("k"))
+    copies = F.when(F.col("k").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))) \
+        .otherwise(F.array(F.lit(0).cast("long")))
+    src = src.join(hot, col(key) == F.col("k"), "left").withColumn("__salt", F.explode(copies)).drop("k")
+    joined = salted.join(src, on=[key, "__salt"], how="left")
     n = F.col("__n")
-    m = n.isNotNull()
-    if unique:
-        m = F.when(n > 1, F.raise_error(F.concat(F.lit(f"DUPLICATE_SOURCE_KEY: {key}="),
-                                                 col(key).cast("string")))).otherwise(m)
+    m = F.when(n > 1, F.raise_error(F.concat(F.lit(f"DUPLICATE_SOURCE_KEY: {key}="),
+                                             col(key).cast("string")))).otherwise(n.isNotNull())
     out = []
     for f in target.schema.fields:
         if f.name in src_cols:
@@ -162,78 +163,86 @@ REPAIR_RESULT_SCHEMA = T.StructType([
 ])
 
 
-def _partition_filter(values: list[dict]) -> Column:
-    """A filter on partition columns that keeps the listed partitions, as
-    one ``IN`` list per column (Spark prunes the other folders). With several
-    partition columns this may admit a few partitions without rescued rows;
-    they are read whole and written back unchanged, so the result is the
-    same and the expression stays small however many partitions there are."""
-    cond = None
-    for k in values[0]:
-        vals = {v[k] for v in values}
-        c = col(k).isin(*[x for x in vals if x is not None])
-        if None in vals:
-            c = c | col(k).isNull()
-        cond = c if cond is None else cond & c
-    return cond
+_BEFORE, _CHANGED = "__sl_before", "__sl_changed"
+
+
+def changed_by(transform: Callable[[DataFrame], DataFrame], columns: Sequence[str],
+               rescued_col: str = RESCUED) -> Callable[[DataFrame], DataFrame]:
+    """Marks the rescued rows that a narrow ``transform`` would change. Only
+    ``columns`` (those it reads or writes) are compared, so only they are
+    read."""
+    def mark(rows: DataFrame) -> DataFrame:
+        have = [c for c in dict.fromkeys([*columns, rescued_col]) if c in rows.columns]
+        snap = F.struct(*[col(c).alias(c) for c in have])
+        probe = transform(rows.withColumn(_BEFORE, snap))
+        changed = ~F.struct(*[col(c).alias(c) for c in have]).eqNullSafe(F.col(_BEFORE))
+        for c in probe.columns:        # a column the repair creates
+            if c not in rows.columns and c != _BEFORE:
+                changed = changed | col(c).isNotNull()
+        return probe.withColumn(_CHANGED, changed)
+    return mark
+
 
+def matched_by(source: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
+    """Marks the rescued rows whose key a source row has."""
+    def mark(rows: DataFrame) -> DataFrame:
+        keys = source.select(col(key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
+        return (rows.join(keys, col(key) == F.col("__k"), "left")
+                .withColumn(_CHANGED, F.col("__k").isNotNull()))
+    return mark
 
-_BEFORE = "__sl_before"
 
+def _same_partition(a: str, b: str, parts: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{_q(c)}").eqNullSafe(F.col(f"{b}.{_q(c)}")) for c in parts])
 
-def repair_table(spark: SparkSession, table: ParquetTable, name: str, key: str,
+
+def repair_table(spark: SparkSession, table: ParquetTable, name: str,
                  transform: Callable[[DataFrame], DataFrame],
-                 rescued_col: str = RESCUED, detect_changes: bool = True) -> RepairResult:
+                 mark: Callable[[DataFrame], DataFrame], reads: Sequence[str],
+                 rescued_col: str = RESCUED) -> RepairResult:
     """Apply ``transform`` (a DataFrame -> DataFrame repair) to the partitions
     of ``table`` where it changes rows, and write them back in place.
 
-    Job 1 reads only rescued rows (``IsNotNull`` pushed to the scan), runs the
-    transform on them and counts, per partition, rescued rows and rows the
-    transform would change; only this small per-partition summary reaches
-    the driver. Job 2 rewrites just the partitions with changes (all their
-    rows) and counts rescued rows after in flight. Partitions without
-    changes keep their files. A repair that can recover nothing writes
-    nothing. With ``detect_changes=False`` (a transform too costly to run
-    twice, such as a join) every partition with rescued rows is rewritten.
-    Rerunning is harmless: repaired rows no longer change.
+    Job 1 reads only rescued rows (``IsNotNull`` pushed to the scan) and of
+    them only the columns in ``reads``; ``mark`` says which would change. Its
+    summary, a row for each partition with rescued rows, is written beside
+    the table, not collected. Job 2 reads exactly the partitions with
+    changes (a semi join with the summary, which prunes the other folders),
+    writes them repaired into a stage folder and counts rescued rows in
+    flight; job 3 replaces the partitions from the stage. A stage whose
+    replacing was cut short is finished first (``ParquetTable.finish_stage``).
+    Partitions without changes keep their files, and a repair that can
+    recover nothing writes nothing.
     """
     t0 = time.time()
     try:
+        table.finish_stage(spark)
         df = table.read(spark)
         if rescued_col not in df.columns:
             return RepairResult(name, 0, 0, 0, time.time() - t0, SKIPPED)
         parts = [c for c in table.partition_cols if c in df.columns]
         if not parts:
             raise ValueError("in-place repair needs a partitioned table")
-        rescued = df.filter(col(rescued_col).isNotNull())
-        if detect_changes:
-            data = [c for c in df.columns if c not in parts]
-            snap = F.struct(*[col(c).alias(c) for c in data])
-            probe = transform(rescued.withColumn(_BEFORE, snap))
-            changed = ~F.struct(*[col(c).alias(c) for c in data]).eqNullSafe(F.col(_BEFORE))
-            for c in probe.columns:        # a column the repair creates
-                if c not in df.columns and c != _BEFORE:
-                    changed = changed | col(c).isNotNull()
-            stats = (probe.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"),
-                                                F.count_if(changed).alias("changed")).collect())
-        else:
-            stats = (rescued.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
-                     .withColumn("changed", F.col("n")).collect())
-        before = sum(r["n"] for r in stats)
+        need = [c for c in dict.fromkeys([*parts, *reads, rescued_col]) if c in df.columns]
+        rescued = df.filter(col(rescued_col).isNotNull()).select(*[col(c) for c in need])
+        stats = (mark(rescued).groupBy(*[col(c) for c in parts])
+                 .agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(_CHANGED)).alias("__changed")))
+        stats = table.summary(stats)
+        sums = stats.agg(F.sum("__n"), F.sum(F.when(F.col("__changed") == 0, F.col("__n")).otherwise(0)),
+                         F.sum("__changed")).first()
+        before, kept, changes = (int(x or 0) for x in sums)
         if before == 0:
             return RepairResult(name, 0, 0, 0, time.time() - t0, SKIPPED)
-        todo = [r for r in stats if r["changed"] > 0]
-        kept = sum(r["n"] for r in stats if r["changed"] == 0)
-        if not todo:
+        if changes == 0:
             return RepairResult(name, before, before, 0, time.time() - t0, SUCCESS)
-        values = [{c: r[c] for c in parts} for r in todo]
-        scope = df.filter(_partition_filter(values))
+        todo = stats.filter(F.col("__changed") > 0)
+        scope = df.alias("a").join(todo.alias("b"), _same_partition("a", "b", parts), "left_semi")
         fixed, obs = observed(transform(scope), rescued_col=rescued_col)
-        table.overwrite_partitions(fixed)
+        table.replace_partitions(fixed)
         after = int(obs.get["rescued"]) + kept
         return RepairResult(name, before, after, before - after, time.time() - t0, SUCCESS)
     except Exception as e:  # a failed repair is reported, like a failed load
-        return RepairResult(name, -1, -1, 0, time.time() - t0, FAILED, str(e)[:2000])
+        return RepairResult(name, -1, -1, 0, time.time() - t0, FAILED, str(e))
 
 
 def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableContract,
@@ -243,26 +252,30 @@ def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableC
     columns (or, if it has none, every declared column). A column stored
     with a type other than the contract's is recovered into the stored
     type, so the table's files keep one schema."""
-    cols = [c for c in (columns or contract.rescued or list(contract.types)) if c]
-    have = {f.name: f.dataType for f in table.read(spark).schema.fields} \
-        if table.exists(spark) else {}
-    types = {c: have.get(c, contract.type_of(c)) for c in cols}
-    return repair_table(spark, table, contract.name, contract.key,
-                        lambda d: self_repair(d, contract.key, types, residual, rescued_col),
-                        rescued_col)
+    try:
+        cols = [c for c in (columns or contract.rescued or list(contract.types)) if c]
+        have = {f.name: f.dataType for f in table.read(spark).schema.fields} \
+            if table.exists(spark) else {}
+        types = {c: have.get(c, contract.type_of(c)) for c in cols}
+    except Exception as e:
+        return RepairResult(contract.name, -1, -1, 0, 0.0, FAILED, str(e))
+
+    def fix(d: DataFrame) -> DataFrame:
+        return self_repair(d, contract.key, types, residual, rescued_col)
+    reads = [contract.key, *types]
+    return repair_table(spark, table, contract.name, fix, changed_by(fix, reads, rescued_col), reads, rescued_col)
 
 
 def update_table_by_key(spark: SparkSession, table: ParquetTable, name: str, key: str,
                         source: DataFrame, columns: Sequence[str],
-                        rescued_col: str = RESCUED, hot_key_rows: int | None = 5_000_000
-                        ) -> RepairResult:
-    """W14 on a stored table: rewrite only partitions with rescued rows. A
-    repeated source key that meets a rescued row fails the write job before
-    anything is committed, and the repair is reported FAILED."""
-    return repair_table(spark, table, name, key,
-                        lambda d: update_by_key(d, source, key, columns, rescued_col, unique=True,
-                                                hot_key_rows=hot_key_rows),
-                        rescued_col, detect_changes=False)
+                        rescued_col: str = RESCUED) -> RepairResult:
+    """W14 on a stored table: rewrite only partitions in which a rescued row
+    meets a source row. A repeated source key that meets a rescued row fails
+    the write job before anything is committed, and the repair is reported
+    FAILED."""
+    return repair_table(spark, table, name,
+                        lambda d: update_by_key(d, source, key, columns, rescued_col),
+                        matched_by(source, key), [key], rescued_col)
 
 
 def repair_results(spark: SparkSession, results: Sequence[RepairResult]) -> DataFrame:
@@ -329,16 +342,19 @@ def repair_items(spark: SparkSession, items, tables: Mapping[str, ParquetTable],
     rows = items.collect() if isinstance(items, DataFrame) else list(items)
 
     def one(it) -> RepairResult:
-        name, key, cols = parse_item(it)
-        base = contracts[name]
-        c = TableContract(base.name, base.folder, base.target, key, base.types,
-                          base.rescued, base.partition, base.description)
-        return self_repair_table(spark, tables[name], c, cols or None, residual)
+        name = str(it)
+        try:
+            name, key, cols = parse_item(it)
+            return self_repair_table(spark, tables[name], replace(contracts[name], key=key), cols or None, residual)
+        except KeyError as e:
+            return RepairResult(name, -1, -1, 0, 0.0, FAILED, f"unknown table or missing field: {e}")
+        except Exception as e:
+            return RepairResult(name, -1, -1, 0, 0.0, FAILED, str(e))
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(one, rows))
     out = repair_results(spark, results)
     if log_table is not None:   # W22: one append per run
-        from strandline.operators.metrics import repair_log_rows
-        log_table.append(repair_log_rows(out, task_name))
+        from strandline.operators.metrics import append_log, repair_log_rows
+        append_log(log_table, repair_log_rows(out, task_name))
     return out

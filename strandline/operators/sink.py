@@ -9,6 +9,8 @@ replaces itself instead of appending twice.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -36,10 +38,12 @@ class ParquetTable:
 
     # -- read ---------------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:
-        """The whole table. The first read merges footers, so columns added
-        by later batches appear (NULL in older files); partition columns
-        get their declared types (``_batch_id`` is a long). Later reads use
-        that schema directly."""
+        """The whole table, by the schema kept beside it; columns added by
+        later batches are NULL in older files. A table without a kept schema
+        (written by others) has its footers merged once, and partition
+        columns get their declared types (``_batch_id`` is a long)."""
+        if self._schema is None:
+            self._schema = self._kept_schema(spark)
         if self._schema is not None:
             return spark.read.schema(self._schema).parquet(self.path)
         # Partition values come back as their folder text (no guessing of
@@ -62,10 +66,47 @@ class ParquetTable:
         self._schema = df.schema
         return df
 
+    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """One batch of the table; only its own folder is listed."""
+        path = f"{self.path}/{BATCH_ID}={int(batch_id)}"
+        r = spark.read.option("basePath", self.path)
+        if self._schema is None:
+            self.read(spark)
+        return r.schema(self._schema).parquet(path)
+
     def refresh(self) -> None:
-        """Forget the remembered schema (another writer changed the table)."""
+        """Forget the remembered schema (another of our writers changed the
+        table; it keeps the schema beside it up to date)."""
         self._schema = None
 
+    @property
+    def _schema_path(self) -> str:
+        return f"{self.path}/_schema"
+
+    def _kept_schema(self, spark: SparkSession) -> T.StructType | None:
+        try:
+            row = spark.read.schema("value string").text(self._schema_path, wholetext=True).first()
+        except AnalysisException as e:
+            if not _missing_path(e):
+                raise
+            return None
+        return T.StructType.fromJson(json.loads(row["value"])) if row and row["value"] else None
+
+    def _keep_schema(self, df: DataFrame) -> None:
+        """Keep the schema that ``df`` brings beside the table, before its data
+        is written: a column that no file has yet is read as NULL. Only for
+        tables whose schema is known to be complete (new, or kept already)."""
+        spark = df.sparkSession
+        old = self._schema or self._kept_schema(spark)
+        if old is None and not self._empty and self.exists(spark):
+            return
+        self._schema = old
+        self._empty = old is None
+        self._remember(df)
+        if self._schema != old:
+            (spark.createDataFrame([(self._schema.json(),)], "value string").coalesce(1)
+             .write.mode("overwrite").text(self._schema_path))
+
     def _layout(self, schema: T.StructType) -> T.StructType:
         """The schema a read returns for files written from ``schema``:
         data columns, then partition columns with their declared types
@@ -134,19 +175,76 @@ class ParquetTable:
             # without the batch partition an overwrite would replace the table
             raise ValueError(f"{BATCH_ID} must be a column and a partition column to write "
                              "a batch idempotently")
+        self._keep_schema(df)
         self._writer(df, "overwrite").parquet(self.path)
-        self._remember(df)
 
     def append(self, df: DataFrame) -> None:
         """Plain append (run log and other tables without batch replay)."""
+        self._keep_schema(df)
         self._writer(df, "append").parquet(self.path)
-        self._remember(df)
 
     def overwrite_partitions(self, df: DataFrame) -> None:
         """Rewrite exactly the partitions present in ``df`` (dynamic mode);
-        ``df`` must hold all rows of each of them."""
+        ``df`` must hold all rows of each of them and must not be read from
+        them (``replace_partitions`` is for that)."""
+        self._keep_schema(df)
         self._writer(df, "overwrite").parquet(self.path)
-        self._remember(df)
+
+    # -- replacing partitions by what is read from them ---------------------
+    # Folders that begin with "_" and are no partition are not part of a read.
+    @property
+    def _pointer(self) -> str:
+        return f"{self.path}/_stage/pointer"
+
+    def _point(self, spark: SparkSession, stage: str, state: str) -> None:
+        (spark.createDataFrame([(stage, state)], "stage string, state string").coalesce(1)
+         .write.mode("overwrite").json(self._pointer))
+
+    def summary(self, df: DataFrame) -> DataFrame:
+        """A small frame about the table, written beside it and read back."""
+        path = f"{self.path}/_stage/summary-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def replace_partitions(self, df: DataFrame) -> None:
+        """Replace the partitions present in ``df`` by its rows, where ``df``
+        is read from these partitions.
+
+        The rows are first written to a stage folder in full; only when that
+        write is committed, and a pointer says so, are partitions replaced
+        from the stage. Whatever stops in between, either the table or the
+        committed stage holds every row, and ``finish_stage`` completes it.
+        """
+        spark = df.sparkSession
+        stage = uuid.uuid4().hex[:12]
+        self._keep_schema(df)
+        self._writer(df, "overwrite").parquet(f"{self.path}/_stage/{stage}")
+        self._point(spark, stage, "replace")
+        self._apply(spark, stage, df.schema)
+
+    def _apply(self, spark: SparkSession, stage: str, schema: T.StructType) -> None:
+        path = f"{self.path}/_stage/{stage}"
+        layout = self._layout(schema)
+        self._writer(spark.read.schema(layout).parquet(path), "overwrite").parquet(self.path)
+        self._point(spark, stage, "done")
+        # the stage's files are no longer needed: an empty frame takes their place
+        spark.createDataFrame([], layout).write.mode("overwrite").parquet(path)
+
+    def finish_stage(self, spark: SparkSession) -> bool:
+        """Complete a replacement that was cut short after its stage was
+        committed; whether there was one."""
+        try:
+            at = spark.read.schema("stage string, state string").json(self._pointer).first()
+        except AnalysisException as e:
+            if not _missing_path(e):
+                raise
+            return False
+        if at is None or at["state"] != "replace":
+            return False
+        files = spark.read.option("mergeSchema", "true").parquet(f"{self.path}/_stage/{at['stage']}")
+        self._apply(spark, at["stage"], files.schema)
+        self.refresh()
+        return True
 
 
 def align_to_table(df: DataFrame, table_schema: T.StructType | None) -> DataFrame:

@@ -104,7 +104,7 @@ def test_update_by_key_rejects_duplicate_source_keys(spark, tmp):
         [(1, None), (2, 3.0)]                                  # nothing committed
 
 
-def test_update_by_key_plan_shuffles_source_once(spark, tmp):
+def test_update_by_key_plan(spark, tmp):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -113,7 +113,8 @@ def test_update_by_key_plan_shuffles_source_once(spark, tmp):
         source = spark.read.parquet(f"{SMOKE}/orders.parquet").select("o_orderkey", "o_totalprice")
         plan = update_by_key(target, source, "o_orderkey", ["o_totalprice"]) \
             ._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 2   # one per side, none extra
+        # the source by key, then both sides by (key, salt); the hot-key count by key
+        assert plan.count("Exchange hashpartitioning(o_orderkey#") >= 3 and "CartesianProduct" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -135,13 +136,11 @@ def test_plan_rescued_filter_is_pushed(spark, tmp):
 
 
 def test_contract_lookup():
-    from strandline.contracts import REGISTRY, contract, rescued_contracts
+    from strandline.contracts import REGISTRY
     assert len(REGISTRY) == 15
     assert sum(len(c.types) for c in REGISTRY.values()) == 161
-    assert len(rescued_contracts()) == 7
-    assert contract("transactions").partition == "transaction_date"
-    with pytest.raises(KeyError):
-        contract("nope")
+    assert sum(bool(c.rescued) for c in REGISTRY.values()) == 7
+    assert REGISTRY["transactions"].partition == "transaction_date"
     assert isinstance(ORDERS, TableContract)
 
 
@@ -195,16 +194,113 @@ def test_repair_that_changes_nothing_writes_nothing(spark, tmp):
         ("SUCCESS", 1, 1, 0)
 
 
-def test_hot_key_goes_around_the_shuffle(spark):
+def test_hot_key_is_dealt_over_salts(spark):
+    from strandline.operators.repair import SALTS, hot_keys
+    target = spark.createDataFrame([(0 if i % 3 else i, None, '{"p":"x"}', i) for i in range(3000)],
+                                   "id long, p double, _rescued_data string, n long")
+    assert [r["k"] for r in hot_keys(target, "id", 10).collect()] == [0]
+    source = spark.createDataFrame([(i, float(i) + 0.5) for i in range(3000)], "id long, p double")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        target = spark.createDataFrame([(0 if i % 3 else i, None, '{"p":"x"}') for i in range(60)],
-                                       "id long, p double, _rescued_data string")
-        source = spark.createDataFrame([(i, float(i) + 0.5) for i in range(60)], "id long, p double")
-        out = update_by_key(target, source, "id", ["p"], hot_key_rows=10)
+        out = update_by_key(target, source, "id", ["p"], parts=10)
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        assert "__salt" in plan and SALTS > 1
         got = out.collect()
-        assert len(got) == 60 and all(r["p"] == r["id"] + 0.5 for r in got)
+        assert len(got) == 3000 and all(r["p"] == r["id"] + 0.5 and r["_rescued_data"] is None for r in got)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def times(folder):
+    import os
+    return {f"{d}/{f}": os.path.getmtime(f"{d}/{f}") for d, _, fs in os.walk(folder) for f in fs if "=" in d}
+
+
+def test_partitions_that_share_values_with_changed_ones_keep_their_files(spark, tmp):
+    """Changed: (0, a) and (1, b). (0, b) and (1, a) share batch and day with
+    them and hold rescued rows that nothing can repair."""
+    t = ParquetTable(f"{tmp}/grid", ("_batch_id", "day"))
+    good, bad = '{"o_totalprice":"1.5"}', '{"o_totalprice":"x"}'
+    schema = "o_orderkey long, day string, o_totalprice double, _rescued_data string"
+    t.write_batch(spark.createDataFrame([(1, "a", None, good), (2, "b", None, bad)], schema), 0)
+    t.write_batch(spark.createDataFrame([(3, "a", None, bad), (4, "b", None, good), (5, None, None, good)], schema), 1)
+    before = times(f"{tmp}/grid")
+    r = self_repair_table(spark, t, ORDERS)
+    assert (r.rows_rescued_before, r.rows_rescued_after, r.rows_repaired) == (5, 2, 3)
+    after = times(f"{tmp}/grid")
+    same = {p.split("/grid/")[1].rsplit("/", 1)[0] for p in before if after.get(p) == before[p]}
+    assert same == {"_batch_id=0/day=b", "_batch_id=1/day=a"}
+    got = {x["o_orderkey"]: x["o_totalprice"] for x in t.read(spark).collect()}
+    assert got == {1: 1.5, 2: None, 3: None, 4: 1.5, 5: 1.5}
+
+
+def test_update_rewrites_matched_partitions_only(spark, tmp):
+    t = ParquetTable(f"{tmp}/upd")
+    schema = "id long, p double, _rescued_data string"
+    for b in range(3):
+        t.write_batch(spark.createDataFrame([(b, None, '{"p":"x"}'), (10 + b, 1.0, None)], schema), b)
+    before = times(f"{tmp}/upd")
+    r = update_table_by_key(spark, t, "t", "id", spark.createDataFrame([(1, 7.0), (11, 8.0)], "id long, p double"), ["p"])
+    assert (r.rows_rescued_before, r.rows_rescued_after, r.rows_repaired) == (3, 2, 1)
+    after = times(f"{tmp}/upd")
+    assert {p.split("/upd/")[1].split("/")[0] for p in before if p not in after} == {"_batch_id=1"}
+    assert sorted((x["id"], x["p"]) for x in t.read(spark).filter("p is not null").collect()) == \
+        [(1, 7.0), (10, 1.0), (11, 1.0), (12, 1.0)]
+
+
+@pytest.mark.parametrize("where", ["before_pointer", "after_pointer", "during_replace"])
+def test_a_repair_that_stops_halfway_loses_no_row(spark, tmp, monkeypatch, where):
+    import shutil
+    t, d = stored(spark, tmp)
+    n, keys = d.count(), sorted(r[0] or -1 for r in d.select("o_orderkey").collect())
+
+    class Stop(Exception):
+        pass
+
+    point, apply = ParquetTable._point, ParquetTable._apply
+
+    def stop_point(self, spark, stage, state):
+        if where == "before_pointer":
+            raise Stop("here")
+        point(self, spark, stage, state)
+
+    def stop_apply(self, spark, stage, schema):
+        if where == "during_replace":       # one partition is gone, its new files not yet there
+            shutil.rmtree(f"{self.path}/_batch_id=0")
+        raise Stop("here")
+    with monkeypatch.context() as m:
+        m.setattr(ParquetTable, "_point", stop_point)
+        m.setattr(ParquetTable, "_apply", stop_apply)
+        r = self_repair_table(spark, t, ORDERS)
+        assert r.status == "FAILED" and "here" in r.error
+    fresh = ParquetTable(f"{tmp}/orders")      # another process
+    r = self_repair_table(spark, fresh, ORDERS)
+    assert r.status == "SUCCESS"
+    back = fresh.read(spark)
+    assert back.count() == n and sorted(x[0] or -1 for x in back.select("o_orderkey").collect()) == keys
+    k = F.coalesce(F.col("o_orderkey"), F.lit(0))
+    assert back.filter(F.col("_rescued_data").isNotNull() & ~((k % 49 == 0) | F.col("o_orderkey").isNull())).count() == 0
+    assert not fresh.finish_stage(spark)
+
+
+def test_the_probe_reads_only_what_a_repair_can_change(spark, tmp, monkeypatch):
+    t, _ = stored(spark, tmp)
+    seen = []
+    summary = ParquetTable.summary
+    monkeypatch.setattr(ParquetTable, "summary", lambda self, df: (
+        seen.append(df._jdf.queryExecution().executedPlan().toString()), summary(self, df))[1])
+    assert self_repair_table(spark, t, ORDERS).status == "SUCCESS"
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,_rescued_data:string>" in seen[0]
+    assert "PushedFilters: [IsNotNull(_rescued_data)]" in seen[0]
+
+
+def test_a_worklist_with_an_unknown_table_keeps_the_other_results(spark, tmp):
+    from strandline.operators.repair import repair_items
+    t, _ = stored(spark, tmp)
+    items = [{"table": "nope", "primary_key": "id", "rescued_cols": ""}, {"primary_key": "x"},
+             {"table": "orders", "primary_key": "o_orderkey", "rescued_cols": "o_totalprice"}]
+    log = ParquetTable(f"{tmp}/log", ())
+    out = [(r["table_name"], r["status"]) for r in
+           repair_items(spark, items, {"orders": t}, {"orders": ORDERS}, log_table=log).collect()]
+    assert out[0] == ("nope", "FAILED") and out[1][1] == "FAILED" and out[2] == ("orders", "SUCCESS")
+    assert log.read(spark).filter("log_level = 'ERROR'").count() == 2
