@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,12 +29,16 @@ _SIMPLE_TYPES = {
     "timestamp_ntz": T.TimestampNTZType(), "binary": T.BinaryType(),
 }
 _NEW = "__sl_new_rescued"
+_BOTH = "__sl_both_rescued"
+_ENTRIES = "array<struct<key:string,value:string>>"
 _MAP_COL = "__sl_map"
 _LEFT = "__sl_left"
 _NAMES = "__sl_resolved"
 _MAP = "map<string,string>"
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-_FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
+#: Types whose values can be cast to one another and compared.
+_PLAIN = (*_INTEGRAL, T.DoubleType, T.FloatType, T.DecimalType, T.BooleanType, T.DateType,
+          T.TimestampType, T.TimestampNTZType)
 
 
 def to_type(t) -> T.DataType:
@@ -88,12 +93,41 @@ def lineage(df: DataFrame, file_col: str | None = "_metadata.file_path",
 # ---------------------------------------------------------------------------
 
 def _misfit(src: Column, src_type: T.DataType, cast: Column, dst_type: T.DataType) -> Column:
-    """True where a non-NULL source value does not survive the cast."""
-    lost = src.isNotNull() & cast.isNull()
-    if isinstance(dst_type, _INTEGRAL) and isinstance(src_type, _FRACTIONAL):
-        # fractional number into an integral column: truncation is a misfit
-        lost = lost | (src.isNotNull() & (cast.cast(T.DoubleType()) != src.cast(T.DoubleType())))
-    return lost
+    """True where a non-NULL source value does not survive the cast there
+    and back.
+
+    Text is held to the value it states, not to its spelling: '1.50' fits a
+    double and 'yes' a boolean, but a number with more digits than a decimal
+    column keeps, or a time of day in a date column, is a misfit. A value
+    always fits text.
+    """
+    lost = cast.isNull()
+    if isinstance(src_type, T.StringType):
+        if isinstance(dst_type, T.DecimalType):
+            wide = T.DecimalType(38, min(18, max(dst_type.scale, 18)))
+            lost = lost | ~src.try_cast(wide).eqNullSafe(cast.cast(wide))
+        elif isinstance(dst_type, T.DateType):
+            lost = lost | ~F.coalesce(src.try_cast(T.TimestampNTZType()) == cast.cast(T.TimestampNTZType()),
+                                      F.lit(True))
+    elif isinstance(src_type, _PLAIN) and isinstance(dst_type, _PLAIN):
+        lost = lost | ~cast.try_cast(src_type).eqNullSafe(src)
+    return src.isNotNull() & lost
+
+
+def _castable(df: DataFrame, name: str, dst_type: T.DataType) -> bool:
+    """Whether Spark knows a cast of the column to the type at all."""
+    try:
+        df.select(col(name).try_cast(dst_type)).schema  # noqa: B018  (analysis only)
+        return True
+    except AnalysisException:
+        return False
+
+
+def _text_of(name: str, src_type: T.DataType) -> Column:
+    """A value as text: nested values as JSON."""
+    if isinstance(src_type, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(col(name))
+    return col(name).cast(T.StringType())
 
 
 def capture(df: DataFrame, target: Mapping[str, object],
@@ -119,17 +153,21 @@ def capture(df: DataFrame, target: Mapping[str, object],
             continue
         if target[name] is None:
             # a column the table does not take (evolution off): text only
-            entries.append((name, col(name).cast(T.StringType())))
+            entries.append((name, _text_of(name, src_type)))
             continue
         dst_type = to_type(target[name])
         if src_type == dst_type:
             out.append(col(name))
             continue
+        if not _castable(df, name, dst_type):
+            # such as a struct that has gained a field: the whole value as JSON
+            out.append(F.lit(None).cast(dst_type).alias(name))
+            entries.append((name, _text_of(name, src_type)))
+            continue
         cast = col(name).try_cast(dst_type)
         miss = _misfit(col(name), src_type, cast, dst_type)
         out.append(F.when(~miss, cast).alias(name))       # a misfit leaves the column NULL
-        text = col(name).cast(T.StringType())
-        entries.append((name, F.when(miss, text)))
+        entries.append((name, F.when(miss, _text_of(name, src_type))))
     had = rescued_col in schema
     if not entries:
         rescued = col(rescued_col) if had else F.lit(None).cast(T.StringType())
@@ -144,22 +182,24 @@ def capture(df: DataFrame, target: Mapping[str, object],
     # Step 1 computes the new captures under a private name; step 2 merges
     # them into the incoming object. (A lambda must not see a same-named
     # alias of the select it sits in.)
-    new_map = F.when(any_miss, F.map_from_entries(
-        F.filter(F.array(*[F.struct(F.lit(n).alias("key"), t.alias("value")) for n, t in entries]),
-                 lambda e: e["value"].isNotNull())))
-    staged = df.select(*out, col(rescued_col), new_map.alias(_NEW))
-    nm = F.col(_NEW)
+    new = F.when(any_miss, F.filter(
+        F.array(*[F.struct(F.lit(n).alias("key"), t.alias("value")) for n, t in entries]),
+        lambda e: e["value"].isNotNull()))
+    staged = df.select(*out, col(rescued_col), new.alias(_NEW))
     raw = col(rescued_col)
-    old = rescued_map(rescued_col)
-    keep_old = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(nm), k))
+    old = F.map_entries(rescued_map(rescued_col))
     # incoming text that is not a JSON object is kept whole under the rescued
     # column's own name (no captured column can have that name)
-    kept_text = F.create_map(F.lit(rescued_col), raw)
-    json = (F.when(nm.isNull(), raw)                     # nothing new: incoming text as is
-            .when(raw.isNotNull() & old.isNull(), F.to_json(F.map_concat(kept_text, nm)))
-            .otherwise(F.to_json(F.map_concat(F.coalesce(keep_old, F.create_map().cast(_MAP)),
-                                              nm))))
-    return staged.select(*[col(c) for c in staged.columns if c not in (_NEW, rescued_col)],
+    kept_text = F.array(F.struct(F.lit(rescued_col).alias("key"), raw.alias("value")))
+    both = F.concat(F.when(raw.isNull(), F.array().cast(_ENTRIES)).otherwise(F.coalesce(old, kept_text)),
+                    F.col(_NEW))
+    # Entries, not maps, are joined: a name may come twice (in the incoming
+    # text, or there and here), and then its last text wins.
+    staged = staged.select(*[col(c) for c in staged.columns], both.cast(_ENTRIES).alias(_BOTH))
+    names = F.transform(F.col(_BOTH), lambda e: e["key"])
+    last = F.filter(F.col(_BOTH), lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+    json = F.when(F.col(_NEW).isNull(), raw).otherwise(F.to_json(F.map_from_entries(last)))
+    return staged.select(*[col(c) for c in staged.columns if c not in (_NEW, _BOTH, rescued_col)],
                          json.cast(T.StringType()).alias(rescued_col))
 
 

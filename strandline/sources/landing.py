@@ -77,8 +77,10 @@ def with_source_file(df: DataFrame) -> DataFrame:
 
 
 def infer_schema(spark: SparkSession, folder: str, glob: str = "*.parquet") -> T.StructType:
-    """Schema of the files in ``folder`` as Spark reads them (one footer)."""
-    return spark.read.option("pathGlobFilter", glob).parquet(folder).schema
+    """Schema of all files in ``folder`` (their footers merged), so a column
+    that only some of them have is not left behind."""
+    return (spark.read.option("mergeSchema", "true").option("pathGlobFilter", glob)
+            .parquet(folder).schema)
 
 
 # ---------------------------------------------------------------------------
@@ -87,42 +89,57 @@ def infer_schema(spark: SparkSession, folder: str, glob: str = "*.parquet") -> T
 
 def schema_groups(files: DataFrame) -> list[list[str]]:
     """Group file paths so each group can be read as one: footers are read
-    on the executors, only (path, schema key) pairs come back; schemas
-    without a type conflict share a group. Groups and paths are in path
-    order, so 'first seen' is stable."""
+    on the executors; what comes back is each path with a short hash of its
+    schema, and each distinct schema once. Schemas without a conflict (of
+    types, or of names that differ in case only) share a group. Groups and
+    paths are in path order, so 'first seen' is stable."""
     def footer_keys(batches):
         # defined here so it travels to executors by value, without needing
         # this package installed there
+        import hashlib
         import json
 
         import pandas as pd
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
+        opened: dict = {}       # one file system of a scheme and host per task
+        said = set()
         for pdf in batches:
-            keys = []
+            keys, texts = [], []
             for p in pdf["path"]:
                 uri = "file://" + p[5:] if p.startswith("file:") and not p.startswith("file://") else p
                 if uri.startswith(("s3a://", "s3n://")):
                     uri = "s3://" + uri.split("://", 1)[1]
-                fs, rel = pafs.FileSystem.from_uri(uri)
-                sch = pq.read_schema(rel, filesystem=fs)
-                keys.append(json.dumps([[f.name, str(f.type)] for f in sch]))
-            yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
-
-    keyed = files.select("path").mapInPandas(footer_keys, "path string, schema_key string")
+                where = uri.split("://", 1)[0] + "://" + uri.split("://", 1)[-1].split("/", 1)[0]
+                if where not in opened:
+                    opened[where], rel = pafs.FileSystem.from_uri(uri)
+                else:
+                    rel = pafs.FileSystem.from_uri(uri)[1] if not uri.startswith("file:") else uri[7:]
+                sch = pq.read_schema(rel, filesystem=opened[where])
+                text = json.dumps([[f.name, str(f.type)] for f in sch])
+                key = hashlib.md5(text.encode()).hexdigest()
+                keys.append(key)
+                texts.append(None if key in said else text)     # a schema once per task
+                said.add(key)
+            yield pd.DataFrame({"path": pdf["path"], "schema_key": keys, "schema_text": texts})
+
+    keyed = files.select("path").mapInPandas(footer_keys, "path string, schema_key string, schema_text string")
     # The driver needs the paths anyway (one read per group); collecting the
     # pairs avoids gathering a dominant schema's paths in a single task.
     by_key: dict[str, list[str]] = {}
+    schema_of: dict[str, str] = {}
     for r in keyed.collect():
         by_key.setdefault(r["schema_key"], []).append(r["path"])
+        if r["schema_text"]:
+            schema_of[r["schema_key"]] = r["schema_text"]
     # Schemas that only add or omit columns share one read (footers merged
     # by Spark); only a type conflict on a shared name needs its own group.
     # This keeps the number of reads, and the union, small even when every
     # file brings a different extra column.
     groups: list[tuple[dict, list[str]]] = []
     for key in sorted(by_key, key=lambda k: min(by_key[k])):
-        types = {n: t for n, t in json.loads(key)}
+        types = {n.lower(): (n, t) for n, t in json.loads(schema_of[key])}
         for g_types, g_paths in groups:
             if all(g_types.get(n, t) == t for n, t in types.items()):
                 g_types.update(types)
@@ -169,6 +186,7 @@ def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping
         info["incoming_rescued"] = any(RESCUED in r.columns for r in reads)
     if lineage:
         reads = [with_source_file(r) for r in reads]
+    reads = one_spelling(spark, reads, [*declared, *(table.names if table is not None else [])])
     target = resolve_types(declared, table, [r.schema for r in reads], evolve)
     aligned = [capture(r, target) for r in reads]
     out = aligned[0]
@@ -177,6 +195,17 @@ def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping
     return out
 
 
+def one_spelling(spark: SparkSession, reads: list[DataFrame], first: Iterable[str]) -> list[DataFrame]:
+    """Columns whose names differ in case only are one column (unless the
+    session is case-sensitive), spelt as in ``first`` or else as first read."""
+    if spark.conf.get("spark.sql.caseSensitive", "false") == "true":
+        return reads
+    spelt: dict[str, str] = {}
+    for name in [*first, RESCUED, SOURCE_FILE, *(c for r in reads for c in r.columns)]:
+        spelt.setdefault(name.lower(), name)
+    return [r.select(*[F.col(f"`{c}`").alias(spelt[c.lower()]) for c in r.columns]) for r in reads]
+
+
 def land_files(spark: SparkSession, paths: list[str], declared: Mapping[str, object],
                table: T.StructType | None = None, evolve: bool = True) -> DataFrame | None:
     """Batch form of W1-W4 over an explicit file list (paths are grouped by

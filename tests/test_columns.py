@@ -122,3 +122,27 @@ def test_clear_and_filter_and_lineage(spark):
     e = lineage(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
     r = e.select("_source_file", "_ingestion_time").first()
     assert r["_source_file"].endswith("events.parquet") and r["_ingestion_time"] is not None
+
+
+def test_capture_keeps_what_a_cast_would_lose(spark):
+    df = spark.sql("""SELECT 2 AS b, 0.3D AS b2, 9007199254740993L AS d, TIMESTAMP '2024-01-01 10:00:00' AS t,
+                             CAST(1.2345 AS DECIMAL(10,4)) AS p, '1.2345' AS tp, '2024-01-01 10:00' AS td,
+                             '1.50' AS fits, 'yes' AS flag, '2024-01-01' AS day, 1 AS one""")
+    out = capture(df, {"b": "boolean", "b2": "boolean", "d": "double", "t": "date", "p": "decimal(10,2)",
+                       "tp": "decimal(10,2)", "td": "date", "fits": "double", "flag": "boolean", "day": "date",
+                       "one": "boolean"}).first()
+    import json
+    lost = json.loads(out["_rescued_data"])
+    assert set(lost) == {"b", "b2", "d", "t", "p", "tp", "td"} and lost["d"] == "9007199254740993"
+    assert all(out[c] is None for c in lost)
+    assert (out["fits"], out["flag"], str(out["day"]), out["one"]) == (1.5, True, "2024-01-01", True)
+
+
+def test_capture_with_a_repeated_json_name(spark):
+    df = spark.createDataFrame([("x", '{"a":"1","a":"2","v":"old"}'), ("7", '{"a":"1","a":"2"}'), ("y", "no json")],
+                               "v string, _rescued_data string")
+    import json
+    got = [(r["v"], r["_rescued_data"]) for r in capture(df, {"v": "long"}).collect()]
+    assert got[0][0] is None and json.loads(got[0][1]) == {"a": "2", "v": "x"}
+    assert got[1] == (7, '{"a":"1","a":"2"}')
+    assert json.loads(got[2][1]) == {"_rescued_data": "no json", "v": "y"}
