@@ -33,12 +33,23 @@ def build_session(master: str = "local[8]", app: str = "strandline",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``)."""
+    try:
+        master = spark.sparkContext.master
+    except Exception:       # a remote session
+        return False
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set (local tests) a private
-    folder is created and registered, so later calls agree on it.
+    checkpoint dir). When neither is set, a private folder is made and
+    registered where driver and executors are one process (local master, as
+    in tests); on a cluster that is an error, since a folder of one machine
+    is not seen by the others.
     """
     try:
         sc = spark.sparkContext
@@ -49,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="strandline-chk-")
         if sc is None:

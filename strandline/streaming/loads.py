@@ -9,6 +9,7 @@ batch's own partition. Replays after a failure overwrite that partition.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Mapping, Sequence
@@ -19,16 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.contracts import TableContract
-from strandline.functions.columns import (BATCH_ID, RESCUED, capture, cast_to_contract, lineage,
-                                          recover, unrecovered_flag)
-
-_UNRECOVERED = "__sl_unrecovered"
-from strandline.operators.metrics import (FAILED, SUCCESS, count_exprs, log_rows, observed,
+from strandline.functions.columns import (BATCH_ID, RESCUED, SOURCE_FILE, capture, cast_to_contract,
+                                          lineage, recover, unrecovered_flag)
+from strandline.operators.metrics import (FAILED, SUCCESS, append_log, count_exprs, log_rows, observed,
                                           threshold_alerts)
 from strandline.operators.sink import ParquetTable, align_to_table
 from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
                                        parquet_stream, read_landing, resolve_types, schema_groups)
 
+_UNRECOVERED = "__sl_unrecovered"
+
 LOAD_RESULT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("status", T.StringType()),
@@ -138,7 +139,8 @@ class LandingLoad:
     # value per batch (one shuffle). Default: narrow write, one file per task
     # and partition value.
     files_per_partition_value: int | None = None
-    batches: list = field(default_factory=list)
+    # what this run wrote, by batch id: a batch that is delivered again counts once
+    batches: dict = field(default_factory=dict)
     _schema: T.StructType | None = None
     _offset: int = 0
 
@@ -190,6 +192,8 @@ class LandingLoad:
                 return
         else:
             info["incoming_rescued"] = RESCUED in batch_df.columns
+            if self.trigger != "available_now":
+                self._refuse_unknown_columns(batch_df)
             # every column gets a target type (declared, else the table's, else
             # its own), so a value that does not fit is captured, never nulled
             df = capture(batch_df, resolve_types(c.types, self._schema, [batch_df.schema],
@@ -202,8 +206,8 @@ class LandingLoad:
         self.table.write_batch(watched, bid)
         m = obs.get
         rescued = int(m["rescued"])
-        self.batches.append({"batch_id": bid, "rows": int(m["rows"]), "rescued": rescued,
-                             "unrecovered": self._unrecovered(bid) if rescued else 0})
+        self.batches[bid] = {"batch_id": bid, "rows": int(m["rows"]), "rescued": rescued,
+                             "unrecovered": self._unrecovered(bid) if rescued else 0}
         new = df.schema
         if self._schema is None:
             self._schema = new
@@ -212,16 +216,30 @@ class LandingLoad:
             extra = [f for f in new.fields if f.name not in known and f.name != BATCH_ID]
             self._schema = T.StructType(self._schema.fields + extra)
 
+    def _refuse_unknown_columns(self, batch_df: DataFrame) -> None:
+        """A stream of one schema reads only the columns it started with;
+        files that have landed since with others fail the batch by name."""
+        files = batch_df.select(F.col(SOURCE_FILE).alias("path")).distinct()
+        known = {c.lower() for c in batch_df.columns}
+        seen = {c for group in schema_groups(files)
+                for c in batch_df.sparkSession.read.option("mergeSchema", "true").parquet(*group).columns}
+        extra = sorted(c for c in seen if c.lower() not in known)
+        if extra:
+            raise RuntimeError(f"columns {extra} have landed that the running stream does not read; "
+                               'restart the load, or use mode="discover"')
+
     def _unrecovered(self, bid: int) -> int:
         """Rows of batch ``bid`` whose rescued text no column holds. A small
-        job after the write: one partition (pruned), rescued rows only
-        (pushed filter), so the write itself stays a plain codegen'd copy."""
-        t = self.table.read(self.spark)
-        rows = t.filter((F.col(BATCH_ID) == F.lit(bid)) & F.col(RESCUED).isNotNull())
+        job after the write: only the batch's own folder is listed, only
+        rescued rows are read (pushed filter), so the write itself stays a
+        plain codegen'd copy."""
+        rows = self.table.read_batch(self.spark, bid).filter(F.col(RESCUED).isNotNull())
         flagged = unrecovered_flag(rows, self.contract.rescued_types(), _UNRECOVERED)
         return int(flagged.agg(F.count_if(F.col(_UNRECOVERED))).first()[0])
 
     def start(self):
+        self.batches.clear()
+        self.table.finish_stage(self.spark)
         self._check_start()
         w = (self._stream().writeStream.foreachBatch(self.process_batch)
              .option("checkpointLocation", self.checkpoint))
@@ -234,28 +252,37 @@ class LandingLoad:
         ``observe`` while the batch was written, unrecovered rows by the
         small follow-up job; one row per batch of this run."""
         rows = [(self.contract.name, b["batch_id"], b["rows"], b["rescued"], b["unrecovered"],
-                 b["rescued"] / b["rows"] if b["rows"] else 0.0) for b in self.batches]
+                 b["rescued"] / b["rows"] if b["rows"] else 0.0) for b in self.batches.values()]
         return self.spark.createDataFrame(rows, BATCH_METRICS_SCHEMA)
 
     def summary(self, status: str, duration: float, error: str | None = None) -> LoadResult:
-        rows = sum(b["rows"] for b in self.batches)
-        return LoadResult(self.contract.name, status, len(self.batches), rows, rows,
-                          sum(b["rescued"] for b in self.batches),
-                          sum(b["unrecovered"] for b in self.batches),
+        done = list(self.batches.values())
+        rows = sum(b["rows"] for b in done)
+        return LoadResult(self.contract.name, status, len(done), rows, rows,
+                          sum(b["rescued"] for b in done), sum(b["unrecovered"] for b in done),
                           duration_secs=duration, error=error)
 
-    def run(self) -> LoadResult:
+    def run(self, raise_on_failure: bool = True) -> LoadResult:
+        """Run to the end of what has landed. A failure is raised, or with
+        ``raise_on_failure=False`` returned as a FAILED result with the
+        batches written before it."""
         t0 = time.time()
-        q = self.start()
-        q.awaitTermination()
+        try:
+            q = self.start()
+            q.awaitTermination()
+        except Exception as e:
+            if raise_on_failure:
+                raise
+            return self.summary(FAILED, time.time() - t0, str(e))
         res = self.summary(SUCCESS, time.time() - t0)
         if self.totals and self.table.exists(self.spark):
             try:
                 r = self.table.read(self.spark)
                 tot = r.agg(*count_exprs(r)).collect()[0]
                 res.rows_total, res.rows_rescued = int(tot["rows_total"]), int(tot["rows_rescued"])
-            except Exception:   # the load stands; its counts are unknown
+            except Exception as e:   # the load stands; its counts are unknown
                 res.rows_total, res.rows_rescued = -1, -1
+                res.error = f"table totals could not be counted: {e}"
         return res
 
 
@@ -270,53 +297,61 @@ def load_table(spark: SparkSession, contract: TableContract, source_root: str, t
                        checkpoint=f"{checkpoint_root.rstrip('/')}/{contract.name}", **kw)
 
 
+def _run_one(ld: LandingLoad) -> LoadResult:
+    """One load to its end, without table totals (they are counted together)."""
+    started = time.time()
+    try:
+        ld.start().awaitTermination()
+        return ld.summary(SUCCESS, time.time() - started)
+    except Exception as e:  # a missing folder raises at start
+        return ld.summary(FAILED, time.time() - started, str(e))
+
+
 def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, TableContract],
             source_root: str | None = None, table_root: str | None = None,
             checkpoint_root: str | None = None, raise_on_failure: bool = True,
             log_table: ParquetTable | None = None, task_name: str = "bronze_landing",
-            **kw) -> DataFrame:
-    """Start one query per table (independent queries overlap), then
-    await each. A table that fails, at start or while running, is reported
-    FAILED and the others go on. Table totals come from one unioned job.
-    Raises at the end naming the failed tables, unless told not to. With
-    ``log_table`` the run's metric and alert rows are appended to it.
+            parallel: int = 16, **kw) -> DataFrame:
+    """One query per load, up to ``parallel`` of them at once. A load
+    that fails, at start or while running, is reported FAILED and the others
+    go on. Table totals come from one unioned job. Raises at the end naming
+    the failed tables, unless told not to. With ``log_table`` the run's
+    metric, error and alert rows are appended to it.
+
+    Results are one row per load in the order given, also where two loads
+    share a contract. Two loads that share a target or a checkpoint would
+    overwrite each other and are refused before any starts.
 
     ``loads`` is a list of prepared ``LandingLoad``s, or contracts to build
     them from under the three roots."""
     if isinstance(loads, Mapping):
         loads = [load_table(spark, c, source_root, table_root, checkpoint_root, **kw)
                  for c in loads.values()]
-    by_name = {ld.contract.name: ld for ld in loads}
-    running, results = {}, {}
-    for name, ld in by_name.items():
-        try:
-            running[name] = (ld.start(), time.time())
-        except Exception as e:  # missing folder etc. raise at load/start
-            results[name] = LoadResult(name, FAILED, error=str(e)[:2000])
-    for name, (q, started) in running.items():
-        try:
-            q.awaitTermination()
-            results[name] = by_name[name].summary(SUCCESS, time.time() - started)
-        except Exception as e:
-            results[name] = by_name[name].summary(FAILED, time.time() - started, str(e)[:2000])
-    ok = [n for n, r in results.items() if r.status == SUCCESS and by_name[n].totals
-          and by_name[n].table.exists(spark)]
+    loads = list(loads)
+    for what, of in (("target", lambda ld: ld.table.path), ("checkpoint", lambda ld: ld.checkpoint)):
+        paths = [of(ld).rstrip("/") for ld in loads]
+        twice = sorted({p for p in paths if paths.count(p) > 1})
+        if twice:
+            raise ValueError(f"several loads have the {what} {twice}")
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        ordered = list(pool.map(_run_one, loads))
+    ok = [k for k, r in enumerate(ordered) if r.status == SUCCESS and loads[k].totals and loads[k].table.exists(spark)]
     if ok:
         try:
             parts = []
-            for n in ok:
-                r = by_name[n].table.read(spark)
-                parts.append(r.agg(*count_exprs(r)).select(F.lit(n).alias("t"), "*"))
+            for k in ok:
+                r = loads[k].table.read(spark)
+                parts.append(r.agg(*count_exprs(r)).select(F.lit(k).alias("k"), "*"))
             for row in reduce(DataFrame.unionByName, parts).collect():
-                results[row["t"]].rows_total = int(row["rows_total"])
-                results[row["t"]].rows_rescued = int(row["rows_rescued"])
-        except Exception:       # loads stand; their table counts are unknown
-            for n in ok:
-                results[n].rows_total, results[n].rows_rescued = -1, -1
-    ordered = [results[n] for n in by_name]
+                ordered[row["k"]].rows_total = int(row["rows_total"])
+                ordered[row["k"]].rows_rescued = int(row["rows_rescued"])
+        except Exception as e:       # loads stand; their table counts are unknown
+            for k in ok:
+                ordered[k].rows_total, ordered[k].rows_rescued = -1, -1
+                ordered[k].error = f"table totals could not be counted: {e}"
     out = spark.createDataFrame([r.as_row() for r in ordered], LOAD_RESULT_SCHEMA)
     if log_table is not None:   # W22: metric and alert rows, one append per run
-        log_table.append(log_rows(out, threshold_alerts(out, ["table_name"]), task_name))
+        append_log(log_table, log_rows(out, threshold_alerts(out, ["table_name"]), task_name))
     failed = [r.table_name for r in ordered if r.status == FAILED]
     if failed and raise_on_failure:
         raise RuntimeError(f"landing failed for: {failed}")

@@ -54,11 +54,9 @@ def test_stream_two_drops_rerun_and_evolution(spark, tmp):
     r1 = ld.run()
     assert (r1.rows_read, r1.rows_total, r1.rows_rescued) == (2, 2, 0)
     # rerun with nothing new reads nothing
-    ld.batches.clear()
     assert ld.run().rows_read == 0
     # a new drop with a new column and a bad value
     drop(spark, src, [(3, "bad", "x")], "id long, amount string, note string")
-    ld.batches.clear()
     r3 = ld.run()
     assert (r3.rows_read, r3.rows_total, r3.rows_rescued) == (1, 3, 1)
     t = ld.table.read(spark)
@@ -129,7 +127,7 @@ def test_processing_time_trigger_and_view(spark, tmp):
         q.processAllAvailable()
     finally:
         q.stop()
-    assert sum(b["rows"] for b in ld.batches) == 2
+    assert sum(b["rows"] for b in ld.batches.values()) == 2
     ld.table.as_view(spark, "landed_t")
     assert spark.sql("SELECT sum(amount) AS s FROM landed_t").first()["s"] == 3.5
 
@@ -150,7 +148,6 @@ def test_old_file_dropped_late_is_still_read(spark, tmp):
             old = 1_000_000_000                           # 2001: far older than 7 days
             os.utime(f"{tmp}/stage/{f}", (old, old))
             os.rename(f"{tmp}/stage/{f}", f"{src}/late-{f}")
-    ld.batches.clear()
     assert ld.run().rows_read == 1
 
 
@@ -168,7 +165,6 @@ def test_clean_source_archives_processed_files(spark, tmp):
     ld = make_load(spark, tmp, clean_source="archive", archive_dir=f"{tmp}/archive")
     ld.run()
     drop(spark, src, [(2, 2.0)], "id long, amount double")
-    ld.batches.clear()
     ld.run()
     assert ld.table.read(spark).count() == 2
 
@@ -296,7 +292,90 @@ def test_clean_source_delete(spark, tmp):
     ld = make_load(spark, tmp, clean_source="delete")
     ld.run()
     drop(spark, src, [(2, 2.0)], "id long, amount double")
-    ld.batches.clear()
     ld.run()                                  # the first file is removed once committed
     assert ld.table.read(spark).count() == 2
     assert len(glob.glob(f"{src}/*.parquet")) <= 1
+
+
+def test_loads_of_one_contract_and_refused_doubles(spark, tmp):
+    from dataclasses import replace
+
+    from strandline.streaming.loads import run_all
+    drop(spark, f"{tmp}/land", [(1, 1.0)], "id long, amount double")
+    drop(spark, f"{tmp}/land2", [(2, 2.0), (3, 3.0)], "id long, amount double")
+    a = make_load(spark, tmp)
+    b = replace(a, source=f"{tmp}/land2", table=ParquetTable(f"{tmp}/table2"), checkpoint=f"{tmp}/chk2", batches={})
+    out = [(r["table_name"], r["status"], r["rows_written"], r["rows_total"]) for r in run_all(spark, [a, b], parallel=1).collect()]
+    assert out == [("t", "SUCCESS", 1, 1), ("t", "SUCCESS", 2, 2)]
+    for twin, what in ((replace(b, checkpoint=a.checkpoint), "checkpoint"), (replace(b, table=a.table), "target")):
+        with pytest.raises(ValueError, match=what):
+            run_all(spark, [a, twin])
+
+
+def test_a_single_load_can_return_its_failure(spark, tmp):
+    ld = LandingLoad(spark=spark, contract=C, source=f"{tmp}/missing", table=ParquetTable(f"{tmp}/t"),
+                     checkpoint=f"{tmp}/chk", mode="parquet")
+    r = ld.run(raise_on_failure=False)
+    assert r.status == "FAILED" and "missing" in r.error and r.rows_written == 0
+    with pytest.raises(Exception):
+        ld.run()
+
+
+def test_metrics_are_of_the_run(spark, tmp):
+    src = f"{tmp}/land"
+    drop(spark, src, [(1, 1.0), (2, 2.0)], "id long, amount double")
+    ld = make_load(spark, tmp)
+    assert ld.run().rows_read == 2
+    drop(spark, src, [(3, 3.0)], "id long, amount double")
+    assert ld.run().rows_read == 1
+    r = ld.run()
+    assert (r.rows_read, r.batches, ld.batch_metrics().count()) == (0, 0, 0)
+
+
+def test_files_that_cannot_be_cast_do_not_block_the_stream(spark, tmp):
+    src = f"{tmp}/land"
+    ld = make_load(spark, tmp)
+    spark.sql("SELECT 1L AS id, named_struct('a', 1) AS s, 5 AS v").coalesce(1).write.mode("append").parquet(src)
+    ld.run()
+    spark.sql("SELECT 2L AS id, named_struct('a', 2, 'b', 3) AS s, 6 AS V").coalesce(1).write.mode("append").parquet(src)
+    spark.sql("SELECT 3L AS id, named_struct('a', 4) AS s, 7 AS v").coalesce(1).write.mode("append").parquet(src)
+    ld.run()
+    spark.sql("SELECT 4L AS id, named_struct('a', 9) AS s, 8 AS v").coalesce(1).write.mode("append").parquet(src)
+    assert ld.run().status == "SUCCESS"
+    got = {r["id"]: (r["s"] and r["s"]["a"], r["v"], r["_rescued_data"]) for r in ld.table.read(spark).collect()}
+    assert got[1] == (1, 5, None) and got[3] == (4, 7, None) and got[4] == (9, 8, None)
+    assert got[2][:2] == (None, 6) and '\\"b\\":3' in got[2][2]
+
+
+def test_schema_is_kept_beside_the_table_and_batches_are_read_alone(spark, tmp, monkeypatch):
+    import os
+    t = ParquetTable(f"{tmp}/kept")
+    t.write_batch(spark.createDataFrame([(1, "a")], "id long, x string"), 0)
+    t.write_batch(spark.createDataFrame([(2, "b", 1.5)], "id long, x string, y double"), 1)
+    fresh = ParquetTable(f"{tmp}/kept")
+    for f in os.listdir(f"{tmp}/kept/_batch_id=0"):      # no footer is opened to learn the schema
+        if f.endswith(".parquet"):
+            os.rename(f"{tmp}/kept/_batch_id=0/{f}", f"{tmp}/gone.parquet")
+    assert fresh.read(spark).columns == ["id", "x", "y", "_batch_id"]
+    one = fresh.read_batch(spark, 1)
+    assert [tuple(r) for r in one.collect()] == [(2, "b", 1.5, 1)]
+    assert all("_batch_id=1" in f for f in one.inputFiles())
+
+
+def test_no_checkpoint_folder_is_an_error_on_a_cluster(monkeypatch):
+    from strandline import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
