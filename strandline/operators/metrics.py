@@ -5,6 +5,7 @@ belong to one load come from one pass (or from ``observe`` on the write)."""
 from __future__ import annotations
 
 import uuid
+import warnings
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from strandline.functions.columns import RESCUED, col
 
 # ---------------------------------------------------------------------------
-# Alert thresholds and log levels of the run log.
+# Alert thresholds, log levels and the run log's columns.
 # ---------------------------------------------------------------------------
 MAX_RESCUED_PCT = 0.05        # alert if more than 5 % of rows are rescued
 MAX_DURATION_SECONDS = 3600   # alert if a task runs longer than an hour
@@ -111,30 +112,56 @@ def _pct_text(c: Column) -> Column:
 
 def metric_message(table: Column, read: Column, written: Column, rescued: Column,
                    pct: Column, duration: Column) -> Column:
-    return F.format_string("table=%s read=%,d written=%,d rescued=%,d rescued_pct=%s duration=%.1fs",
-                           table, F.coalesce(read, F.lit(0)), F.coalesce(written, F.lit(0)),
-                           F.coalesce(rescued, F.lit(0)), _pct_text(F.coalesce(pct, F.lit(0.0))),
-                           F.coalesce(duration, F.lit(0.0)))
+    """One line for people; a measure that was not taken is left out."""
+    parts = [F.concat(F.lit("wrote "), F.format_string("%,d", written), F.lit(" of ")),
+             F.concat(F.format_string("%,d", read), F.lit(" rows")),
+             F.concat(F.lit(", "), F.format_string("%,d", rescued), F.lit(" rescued")),
+             F.concat(F.lit(" ("), _pct_text(pct), F.lit(")")),
+             F.concat(F.lit(" in "), F.format_string("%.1f s", duration))]
+    kept = [F.when(c.isNotNull(), p) for c, p in zip((written, read, rescued, pct, duration), parts)]
+    return F.concat(F.coalesce(table.cast("string"), F.lit("?")), F.lit(": "),
+                    F.concat_ws("", *kept))
+
+
+def alert_message(rule: Column, observed: Column, threshold: Column) -> Column:
+    side = F.when(observed < threshold, F.lit(" is below the least ")).otherwise(F.lit(" is above the most "))
+    return F.concat(rule, F.lit(" "), observed.cast("string"), side, threshold.cast("string"))
+
+
+def append_log(table, rows: DataFrame) -> bool:
+    """Append run-log rows; a log that cannot be written is reported as a
+    warning and does not replace the run's own result."""
+    try:
+        table.append(rows)
+        return True
+    except Exception as e:
+        warnings.warn(f"run log {table.path} was not written: {e}", RuntimeWarning, stacklevel=2)
+        return False
 
 
 def log_rows(metrics: DataFrame, alerts: DataFrame | None, task_name: str,
              run_id: str | None = None, job_run_id: str | None = None,
              table_col: str = "table_name", notebook_path: str | None = None) -> DataFrame:
-    """Metric rows and alert rows in the run-log schema, one DataFrame
-    per run (one append, not one job per message)."""
+    """One row per table and one per alert in the run-log schema, one
+    DataFrame per run (one append, not one job per message). A table whose
+    status is FAILED has level ERROR, with the error's whole text; others
+    have level METRIC, alerts WARN."""
     run_id = run_id or str(uuid.uuid4())
     now = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast(T.TimestampType())
 
     def m(name, t):
         return (F.col(name) if name in metrics.columns else F.lit(None)).cast(t)
 
+    failed = F.coalesce(m("status", "string") == FAILED, F.lit(False))
     metric_part = metrics.select(
         F.lit(run_id).alias("run_id"), F.lit(job_run_id).cast("string").alias("job_run_id"),
         F.lit(task_name).alias("task_name"), F.col(table_col).cast("string").alias("table_name"),
-        F.lit(LEVEL_METRIC).alias("log_level"),
-        metric_message(F.col(table_col), m("rows_read", "long"), m("rows_written", "long"),
-                       m("rows_rescued", "long"), m("rescued_pct", "double"),
-                       m("duration_secs", "double")).alias("message"),
+        F.when(failed, F.lit(LEVEL_ERROR)).otherwise(F.lit(LEVEL_METRIC)).alias("log_level"),
+        F.when(failed, F.concat(F.col(table_col).cast("string"), F.lit(" failed: "),
+                                F.coalesce(m("error", "string"), F.lit("no reason given"))))
+        .otherwise(metric_message(F.col(table_col), m("rows_read", "long"), m("rows_written", "long"),
+                                  m("rows_rescued", "long"), m("rescued_pct", "double"),
+                                  m("duration_secs", "double"))).alias("message"),
         m("rows_read", "long").alias("rows_read"), m("rows_written", "long").alias("rows_written"),
         m("rows_rescued", "long").alias("rows_rescued"), m("rescued_pct", "double").alias("rescued_pct"),
         m("duration_secs", "double").alias("duration_secs"),
@@ -147,9 +174,7 @@ def log_rows(metrics: DataFrame, alerts: DataFrame | None, task_name: str,
             F.lit(run_id).alias("run_id"), F.lit(job_run_id).cast("string").alias("job_run_id"),
             F.lit(task_name).alias("task_name"), F.col(table_col).cast("string").alias("table_name"),
             F.lit(LEVEL_WARN).alias("log_level"),
-            F.format_string("%s %s exceeds threshold %s", F.col("rule"),
-                            F.col("observed").cast("string"), F.col("threshold").cast("string"))
-            .alias("message"),
+            alert_message(F.col("rule"), F.col("observed"), F.col("threshold")).alias("message"),
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields[6:11]],
             F.lit(LEVEL_WARN).alias("status"), F.lit(None).cast("string").alias("error_message"),
             now.alias("logged_at"), F.lit(notebook_path).cast("string").alias("notebook_path"))
@@ -159,9 +184,9 @@ def log_rows(metrics: DataFrame, alerts: DataFrame | None, task_name: str,
 
 def repair_log_rows(results: DataFrame, task_name: str, run_id: str | None = None,
                     job_run_id: str | None = None) -> DataFrame:
-    """Run-log rows for repair results: one METRIC row per table (rescued
-    rows left after the repair) and a WARN row where some remain, since
-    those may be genuine data-quality violations."""
+    """Run-log rows for repair results: one row per table (rescued rows left
+    after the repair, or its failure) and a WARN row where some are left:
+    values that no column of their table can hold."""
     metrics = results.select("table_name", F.col("rows_rescued_after").alias("rows_rescued"),
                              "duration_secs", "status", "error")
     remaining = (results.filter(F.col("rows_rescued_after") > 0)

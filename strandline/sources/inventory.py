@@ -1,21 +1,28 @@
 """Source inventory (W6): for each expected source, whether it is missing,
-empty or present, with its file count, bytes and rows.
+empty, unreadable or present, with its file count, bytes and rows, and a
+gate that turns states into a failure or warnings.
 
-One listing job (``binaryFile``, content pruned) and one Parquet job that
-reads only row-group row counts (no data column is selected), both
-aggregated per source before anything reaches the driver. Only folders
-with no file at all are checked one by one, to tell MISSING from EMPTY.
+One listing (``binaryFile``, content pruned) gives the files; their footers
+are read on the executors, so a file that is no Parquet file is counted as
+unreadable and hides no other. Both are aggregated per source before
+anything reaches the driver. Only folders with no file at all are checked
+one by one, to tell MISSING from EMPTY.
 """
 
 from __future__ import annotations
 
+import warnings
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MISSING, EMPTY, PRESENT = "MISSING", "EMPTY", "PRESENT"
+MISSING, EMPTY, UNREADABLE, PRESENT = "MISSING", "EMPTY", "UNREADABLE", "PRESENT"
+
+
+class InventoryError(RuntimeError):
+    pass
 
 
 def _source_of(path_col, root: str, layout: str):
@@ -35,7 +42,7 @@ def _escape(root: str) -> str:
     return re.escape(tail)
 
 
-def _folder_exists(spark: SparkSession, path: str) -> bool:
+def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path).schema  # noqa: B018  (lists the folder)
         return True
@@ -45,36 +52,76 @@ def _folder_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def _footer_rows(files: DataFrame) -> DataFrame:
+    """(path, length) -> with ``rows`` of each file's footer, NULL where it
+    cannot be read as Parquet."""
+    def run(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            rows = []
+            for p in pdf["path"]:
+                uri = "file://" + p[5:] if p.startswith("file:") and not p.startswith("file://") else p
+                if uri.startswith(("s3a://", "s3n://")):
+                    uri = "s3://" + uri.split("://", 1)[1]
+                try:
+                    fs, rel = pafs.FileSystem.from_uri(uri)
+                    rows.append(pq.read_metadata(rel, filesystem=fs).num_rows)
+                except Exception:       # no Parquet file, or torn: reported as unreadable
+                    rows.append(None)
+            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"],
+                                "rows": pd.array(rows, dtype="Int64")})
+    return files.mapInPandas(run, "path string, length long, rows long")
+
+
 def source_inventory(spark: SparkSession, root: str, expected: Sequence[str],
                      layout: str = "folder", glob: str = "*.parquet") -> DataFrame:
-    """Per expected source: ``source``, ``files``, ``bytes``, ``rows``,
-    ``status``. ``layout="folder"``: a source is a folder under ``root``
-    (files below it, nested folders such as ``cdc/loan_status`` allowed);
-    ``layout="file"``: a source is ``root/<name>.<ext>``."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-               .option("recursiveFileLookup", "true").load(root).select("path", "length"))
-    files = (listing.select(_source_of(F.col("path"), root, layout).alias("source"), "length")
-             .groupBy("source").agg(F.count(F.lit(1)).alias("files"),
-                                    F.sum("length").alias("bytes")))
-    scan = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-            .parquet(root).select(F.col("_metadata.file_path").alias("path")))
-    # rows per file first (partial aggregation), so the path-to-source
-    # expressions run once per file, not once per row
-    per_file = scan.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-    rows = (per_file.select(_source_of(F.col("path"), root, layout).alias("source"), "n")
-            .groupBy("source").agg(F.sum("n").alias("rows")))
-    # both summaries hold one row per expected source: combined here
-    wanted = list(expected)
-    found = {r["source"]: r for r in files.filter(F.col("source").isin(wanted)).collect()}
-    counted = {r["source"]: r["rows"] for r in rows.filter(F.col("source").isin(wanted)).collect()}
+    """Per expected source: ``source``, ``files``, ``unreadable`` (files),
+    ``bytes``, ``rows`` (of the readable files), ``status``.
+    ``layout="folder"``: a source is a folder under ``root`` (files below
+    it, nested folders such as ``cdc/loan_status`` allowed);
+    ``layout="file"``: a source is ``root/<name>.<ext>``.
+
+    A missing root makes every source MISSING; a source with any file that
+    is not readable Parquet is UNREADABLE.
+    """
+    found = {}
+    if _exists(spark, root):
+        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                   .option("recursiveFileLookup", "true").load(root).select("path", "length"))
+        per_source = (_footer_rows(listing).select(_source_of(F.col("path"), root, layout).alias("source"),
+                                                   "length", "rows")
+                      .groupBy("source").agg(F.count(F.lit(1)).alias("files"),
+                                             F.count_if(F.col("rows").isNull()).alias("unreadable"),
+                                             F.sum("length").alias("bytes"),
+                                             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")))
+        # one row per expected source
+        found = {r["source"]: r for r in per_source.filter(F.col("source").isin(list(expected))).collect()}
     out = []
     for name in expected:
         r = found.get(name)
         if r is not None:
-            out.append((name, int(r["files"]), int(r["bytes"]), int(counted.get(name) or 0),
-                        PRESENT))
-        elif layout == "folder" and _folder_exists(spark, f"{root.rstrip('/')}/{name}"):
-            out.append((name, 0, 0, 0, EMPTY))
+            out.append((name, int(r["files"]), int(r["unreadable"]), int(r["bytes"]), int(r["rows"]),
+                        UNREADABLE if r["unreadable"] else PRESENT))
+        elif layout == "folder" and _exists(spark, f"{root.rstrip('/')}/{name}"):
+            out.append((name, 0, 0, 0, 0, EMPTY))
         else:
-            out.append((name, 0, 0, 0, MISSING))
-    return spark.createDataFrame(out, "source string, files long, bytes long, rows long, status string")
+            out.append((name, 0, 0, 0, 0, MISSING))
+    return spark.createDataFrame(out, "source string, files long, unreadable long, bytes long, rows long, "
+                                      "status string")
+
+
+def gate(inventory: DataFrame, fail: Sequence[str] = (MISSING, UNREADABLE),
+         warn: Sequence[str] = (EMPTY,)) -> list[str]:
+    """Hold a run back: raises ``InventoryError`` naming every source whose
+    status is in ``fail``; for those in ``warn`` a warning is given. Returns
+    the warnings."""
+    rows = inventory.select("source", "status").collect()       # a row per expected source
+    said = [f"source {r['source']} is {r['status']}" for r in rows if r["status"] in warn]
+    for s in said:
+        warnings.warn(s, RuntimeWarning, stacklevel=2)
+    bad = [f"{r['source']} ({r['status']})" for r in rows if r["status"] in fail]
+    if bad:
+        raise InventoryError("sources not ready: " + ", ".join(bad))
+    return said

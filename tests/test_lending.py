@@ -60,7 +60,8 @@ def test_lending_load_inventory_worklist_repair(spark, tmp):
     log = log_rows(loaded, threshold_alerts(loaded, ["table_name"]), "bronze_landing").collect()
     warned = {r["table_name"] for r in log if r["log_level"] == "WARN"}
     assert {n for n, c in REGISTRY.items() if c.rescued} <= warned
-    assert sum(r["log_level"] == "METRIC" for r in log) == len(REGISTRY)
+    assert sum(r["log_level"] == "METRIC" for r in log) == len(REGISTRY) - 1
+    assert [r["table_name"] for r in log if r["log_level"] == "ERROR"] == ["nach_bounces"]
     assert res["nach_bounces"]["status"] == "FAILED"
     ok = [n for n in REGISTRY if n != "nach_bounces"]
     assert all(res[n]["status"] == "SUCCESS" and res[n]["rows_written"] == 6 for n in ok)
@@ -111,9 +112,9 @@ def test_inventory_root_forms(spark, tmp):
 
 
 def test_declared_partition_type(spark, tmp):
-    from strandline.contracts import contract
+    from strandline.contracts import REGISTRY
     from strandline.operators.sink import ParquetTable
-    base = contract("transactions")
+    base = REGISTRY["transactions"]
     c = base.with_types(transaction_date="date")
     land = f"{tmp}/landing"
     cols, rows = landing_rows(base, n=3)
@@ -128,8 +129,8 @@ def test_declared_partition_type(spark, tmp):
 
 def test_files_per_partition_value(spark, tmp):
     import glob
-    from strandline.contracts import contract
-    c = contract("transactions")
+    from strandline.contracts import REGISTRY
+    c = REGISTRY["transactions"]
     land = f"{tmp}/landing"
     cols, rows = landing_rows(c, n=60)
     spark.createDataFrame(rows, ", ".join(f"`{x}` string" for x in cols)) \
@@ -139,3 +140,28 @@ def test_files_per_partition_value(spark, tmp):
     assert r.rows_read == 60 and ld.table.read(spark).count() == 60
     for day in glob.glob(f"{tmp}/tables/transactions/_batch_id=0/transaction_date=*"):
         assert len(glob.glob(f"{day}/*.parquet")) <= 2, day
+
+
+def test_inventory_states_and_gate(spark, tmp):
+    import os
+
+    import pytest
+    from strandline.sources.inventory import InventoryError, gate
+    gone = source_inventory(spark, f"{tmp}/nowhere", ["a", "b"])
+    assert {(r["source"], r["status"]) for r in gone.collect()} == {("a", "MISSING"), ("b", "MISSING")}
+    os.makedirs(f"{tmp}/land/hollow")
+    only = source_inventory(spark, f"{tmp}/land", ["hollow"])
+    assert only.first()["status"] == "EMPTY"
+    with pytest.warns(RuntimeWarning, match="hollow"):
+        assert gate(only) == ["source hollow is EMPTY"]
+    spark.createDataFrame([(1,), (2,)], "x long").coalesce(1).write.parquet(f"{tmp}/land/good")
+    spark.createDataFrame([(1,)], "x long").coalesce(1).write.parquet(f"{tmp}/land/torn")
+    with open(f"{tmp}/land/torn/junk.parquet", "wb") as f:
+        f.write(b"no parquet")
+    inv = source_inventory(spark, f"{tmp}/land", ["good", "torn", "hollow", "lost"])
+    got = {r["source"]: (r["files"], r["unreadable"], r["rows"], r["status"]) for r in inv.collect()}
+    assert got == {"good": (1, 0, 2, "PRESENT"), "torn": (2, 1, 1, "UNREADABLE"),
+                   "hollow": (0, 0, 0, "EMPTY"), "lost": (0, 0, 0, "MISSING")}
+    with pytest.raises(InventoryError, match="torn .UNREADABLE., lost .MISSING."):
+        gate(inv, warn=())
+    assert gate(inv.filter("source = 'good'")) == []

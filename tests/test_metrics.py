@@ -39,7 +39,7 @@ def test_run_metrics_and_log(spark, tmp):
     back = log.read(spark)
     assert back.count() == 6
     msg = back.filter("log_level = 'METRIC' AND table_name = 'x'").first()["message"]
-    assert msg == "table=x read=2 written=0 rescued=1 rescued_pct=50.00% duration=0.0s"
+    assert msg == "x: 2 rows, 1 rescued (50.00%)"
     assert back.filter(F.col("logged_at").isNull()).count() == 0
 
 
@@ -51,6 +51,27 @@ def test_repair_and_load_log_rows(spark):
                                  RepairResult("c", -1, -1, 0, 0.5, "FAILED", "boom")])
     rows = repair_log_rows(res, "repair").collect()
     levels = sorted((r["table_name"], r["log_level"]) for r in rows)
-    assert levels == [("a", "METRIC"), ("b", "METRIC"), ("b", "WARN"), ("c", "METRIC")]
+    assert levels == [("a", "METRIC"), ("b", "METRIC"), ("b", "WARN"), ("c", "ERROR")]
     failed = [r for r in rows if r["table_name"] == "c"][0]
     assert (failed["status"], failed["error_message"]) == ("FAILED", "boom")
+
+
+def test_log_levels_texts_and_a_log_that_fails(spark, tmp):
+    import pytest
+    from strandline.operators.metrics import append_log
+    long = "trace " * 3000
+    m = spark.createDataFrame([("ok", 5, 0, "SUCCESS", None), ("bad", 0, 9, "FAILED", long)],
+                              "table_name string, rows_read long, rows_written long, status string, error string")
+    rows = {(r["table_name"], r["log_level"]): r for r in
+            log_rows(m, threshold_alerts(m, ["table_name"]), "t").collect()}
+    assert set(rows) == {("ok", "METRIC"), ("ok", "WARN"), ("bad", "ERROR")}
+    assert rows["ok", "WARN"]["message"] == "rows_written 0.0 is below the least 1.0"
+    assert rows["bad", "ERROR"]["error_message"] == long and long in rows["bad", "ERROR"]["message"]
+
+    class Broken:
+        path = "nowhere"
+
+        def append(self, df):
+            raise OSError("disk full")
+    with pytest.warns(RuntimeWarning, match="disk full"):
+        assert append_log(Broken(), log_rows(m, None, "t")) is False
