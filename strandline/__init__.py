@@ -4,6 +4,6 @@ Every transform is a DataFrame -> DataFrame function (or a Column builder)
 so the same code serves batch reads, streaming micro-batches and repairs.
 """
 
-from strandline.contracts import REGISTRY, TableContract, contract, rescued_contracts
+from strandline.contracts import REGISTRY, TableContract
 
-__all__ = ["REGISTRY", "TableContract", "contract", "rescued_contracts"]
+__all__ = ["REGISTRY", "TableContract"]

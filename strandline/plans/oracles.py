@@ -18,8 +18,8 @@ _METRICS = f"""
 _INVENTORY = " UNION ALL ".join(
     [f"SELECT '{t}' AS source, CAST(1 AS BIGINT) AS files, count(*) AS rows, "
      f"'PRESENT' AS status FROM {t}" for t in TABLES]
-    + ["SELECT 'transactions' AS source, CAST(0 AS BIGINT) AS files, CAST(0 AS BIGINT) AS rows, "
-       "'MISSING' AS status"])
+    + [f"SELECT '{s}' AS source, CAST(0 AS BIGINT) AS files, CAST(0 AS BIGINT) AS rows, "
+       f"'MISSING' AS status" for s in ("transactions", "absent_root")])
 
 ORACLES = {
     "landing_flagship": """
@@ -45,6 +45,29 @@ ORACLES = {
                CASE WHEN l_discount = floor(l_discount) THEN CAST(l_discount AS BIGINT) END AS l_discount,
                (l_discount <> floor(l_discount)) AS is_rescued
         FROM lineitem""",
+    "capture_lossy": """
+        SELECT l_orderkey, l_linenumber,
+               CASE l_linenumber % 3 WHEN 0 THEN false WHEN 1 THEN true END AS flag,
+               CASE WHEN l_linenumber % 2 = 0 THEN 9007199254740992 END AS big,
+               CASE WHEN l_linenumber % 2 = 0 THEN DATE '2024-01-01' END AS day,
+               CASE WHEN l_linenumber % 2 = 0 THEN round(l_quantity) END AS price,
+               l_linenumber % 3 = 2 AS flag_rescued, l_linenumber % 2 = 1 AS big_rescued,
+               l_linenumber % 2 = 1 AS day_rescued, l_linenumber % 2 = 1 AS price_rescued
+        FROM lineitem""",
+    "nested_evolution": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_custkey END AS c,
+               CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS rescued_s
+        FROM orders""",
+    "evolving_parquet_load": """
+        SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
+        FROM orders""",
+    "self_repair_partitioned": """
+        WITH d AS (SELECT o_orderkey, o_orderkey % 49 = 0 OR o_orderkey % 2 = year(o_orderdate) % 2 AS stays
+                   FROM orders WHERE o_orderkey % 7 = 0)
+        SELECT count(*) AS rows_rescued_before, count(*) FILTER (WHERE stays) AS rows_rescued_after,
+               count(*) FILTER (WHERE NOT stays) AS rows_repaired, 'SUCCESS' AS status,
+               (SELECT count(*) FROM orders) AS rows_total, count(*) FILTER (WHERE stays) AS rows_left
+        FROM d""",
     "mixed_schema_landing": """
         SELECT o_orderkey,
                CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice
@@ -107,29 +130,35 @@ ORACLES = {
                CAST(NULL AS VARCHAR) AS _rescued_data
         FROM orders""",
     "load_metrics": f"""
-        SELECT CAST(event_id % 2 AS BIGINT) AS batch_id, count(*) AS rows_read,
+        SELECT CAST(event_id % 2 AS BIGINT) AS run, CAST(event_id % 2 AS BIGINT) AS batch_id, count(*) AS rows_read,
                count(*) FILTER (WHERE {_RESCUED_EVENT}) AS rows_rescued,
                count(*) FILTER (WHERE {_RESCUED_EVENT}) AS rows_unrecovered,
-               CAST(count(*) FILTER (WHERE {_RESCUED_EVENT}) AS DOUBLE) / count(*) AS rescued_pct
-        FROM events GROUP BY event_id % 2""",
+               CAST(count(*) FILTER (WHERE {_RESCUED_EVENT}) AS DOUBLE) / count(*) AS rescued_pct,
+               false AS few_rows_alert
+        FROM events GROUP BY event_id % 2
+        UNION ALL SELECT 2, NULL, 0, 0, 0, 0.0, true""",
     "run_metrics": _METRICS,
     "threshold_alerts": f"""
         SELECT event_type, 'rescued_pct' AS rule, rescued_pct AS observed, 0.05::DOUBLE AS threshold
         FROM ({_METRICS}) m WHERE rescued_pct > 0.05""",
     "run_log": f"""
         SELECT 'landing_events' AS task_name, event_type AS table_name, 'METRIC' AS log_level,
-               rows_read, rows_rescued, rescued_pct, 'SUCCESS' AS status
+               rows_read, rows_rescued, rescued_pct, 'SUCCESS' AS status, CAST(NULL AS BIGINT) AS error_chars
         FROM ({_METRICS}) m
         UNION ALL
         SELECT 'landing_events', event_type, 'WARN', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-               CAST(NULL AS DOUBLE), 'WARN'
-        FROM ({_METRICS}) m WHERE rescued_pct > 0.05""",
+               CAST(NULL AS DOUBLE), 'WARN', CAST(NULL AS BIGINT)
+        FROM ({_METRICS}) m WHERE rescued_pct > 0.05
+        UNION ALL
+        SELECT 'landing_events', 'broken_feed', 'ERROR', 0, 0, 0.0, 'FAILED',
+               CAST(length('a long trace ') * 500 AS BIGINT)""",
     "source_inventory": _INVENTORY,
     "multi_table_load": """
         SELECT 'orders' AS table_name, 'SUCCESS' AS status, count(*) AS rows_written FROM orders
         UNION ALL SELECT 'customer', 'SUCCESS', count(*) FROM customer
         UNION ALL SELECT 'events', 'SUCCESS', count(*) FROM events
-        UNION ALL SELECT 'missing_feed', 'FAILED', CAST(0 AS BIGINT)""",
+        UNION ALL SELECT 'missing_feed', 'FAILED', CAST(0 AS BIGINT)
+        UNION ALL SELECT 'orders', 'SUCCESS', count(*) FROM orders""",
     "repair_from_worklist": f"""
         SELECT 'orders' AS table_name,
                count(*) FILTER (WHERE o_orderkey % 7 = 0) AS rows_rescued_before,

@@ -24,8 +24,8 @@ from strandline.plans.fixtures import (CUSTOMER, EVENTS, LINEITEM, ORDERS, PLAN_
                                        null_keys, table, write_drop)
 from strandline.session import work_root
 from strandline.sources.inventory import source_inventory
-from strandline.sources.landing import land_folder
-from strandline.streaming.loads import LandingLoad, run_all
+from strandline.sources.landing import land_folder, list_files
+from strandline.streaming.loads import LOAD_RESULT_SCHEMA, LandingLoad, run_all
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -104,7 +104,6 @@ def schema_evolution(spark, sf_dir):
     ld.run()
     write_drop(o.filter(F.col("o_orderkey") % 2 == 1)
                .select("o_orderkey", "o_totalprice", "o_orderpriority"), src)
-    ld.batches.clear()
     ld.run()
     return ld.table.read(spark).select("o_orderkey", "o_orderpriority")
 
@@ -132,6 +131,60 @@ def capture_fractional(spark, sf_dir):
                       F.col(RESCUED).isNotNull().alias("is_rescued"))
 
 
+def capture_lossy(spark, sf_dir):
+    """W4 for casts that would lose something without failing: quantities
+    declared boolean, order keys beyond 2^53 declared double, dates with a
+    time of day declared date, prices of three digits declared
+    decimal(12,2)."""
+    li = table(spark, sf_dir, "lineitem")
+    odd = F.col("l_linenumber") % 2
+    d = li.select("l_orderkey", "l_linenumber",
+                  (F.col("l_linenumber") % 3).cast("double").alias("flag"),
+                  (F.lit(1 << 53) + odd).cast("long").alias("big"),
+                  F.timestamp_seconds(F.lit(1704067200) + odd * 3600).alias("day"),
+                  (F.round(F.col("l_quantity")).cast("decimal(20,3)") + (odd / 1000).cast("decimal(20,3)"))
+                  .cast("decimal(20,3)").alias("price"))
+    out = capture(d, {"flag": "boolean", "big": "double", "day": "date", "price": "decimal(12,2)"})
+    has = F.from_json(RESCUED, "map<string,string>")
+    return out.select("l_orderkey", "l_linenumber", "flag", F.col("big").cast("long").alias("big"), "day",
+                      F.col("price").cast("double").alias("price"),
+                      *[F.coalesce(F.map_contains_key(has, c), F.lit(False)).alias(f"{c}_rescued")
+                        for c in ("flag", "big", "day", "price")])
+
+
+def nested_evolution(spark, sf_dir):
+    """Three drops, one stream run each: orders with a struct, the struct
+    grown by a field, and a column whose name differs in case. None stops
+    the stream: the grown struct is rescued as JSON, the name is one column."""
+    root = work_root(spark, "nested_evolution")
+    src = f"{root}/landing/orders"
+    o = table(spark, sf_dir, "orders")
+    ld = _load(spark, ORDERS, src, root)
+    drops = (F.struct(F.col("o_custkey").alias("c")).alias("info"),
+             F.struct(F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s")).alias("info"),
+             F.struct(F.col("o_custkey").alias("c")).alias("INFO"))
+    for k, info in enumerate(drops):
+        write_drop(o.filter(F.col("o_orderkey") % 3 == k).select("o_orderkey", info), src)
+        ld.run()
+    return ld.table.read(spark).select(
+        "o_orderkey", F.col("info.c").alias("c"),
+        F.get_json_object(F.get_json_object(RESCUED, "$.info"), "$.s").alias("rescued_s"))
+
+
+def evolving_parquet_load(spark, sf_dir):
+    """``mode="parquet"``: the second drop brings a column that the first
+    has not; it is loaded, and NULL in the rows of the first."""
+    root = work_root(spark, "evolving_parquet_load")
+    src = f"{root}/landing/orders"
+    o = table(spark, sf_dir, "orders")
+    ld = _load(spark, ORDERS, src, root, mode="parquet")
+    write_drop(o.filter(F.col("o_orderkey") % 2 == 0).select("o_orderkey", "o_totalprice"), src)
+    ld.run()
+    write_drop(o.filter(F.col("o_orderkey") % 2 == 1).select("o_orderkey", "o_totalprice", "o_orderpriority"), src)
+    ld.run()
+    return ld.table.read(spark).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
 def mixed_schema_landing(spark, sf_dir):
     """Two file schemas in one folder: ``o_totalprice`` double (even keys) and
     string with 'bad' where the key is a multiple of 5, plus
@@ -224,6 +277,26 @@ def self_repair_rows(spark, sf_dir):
                                 F.col(RESCUED).isNotNull().alias("is_rescued"))
 
 
+def self_repair_partitioned(spark, sf_dir):
+    """Self repair of orders stored by (batch, order year). Partitions in
+    which nothing can be recovered share their batch and their year with
+    partitions that change; their rescued rows count once."""
+    t = ParquetTable(f"{work_root(spark, 'self_repair_partitioned')}/orders", ("_batch_id", "order_year"),
+                     {"order_year": "int"})
+    t.exists(spark)
+    o = table(spark, sf_dir, "orders")
+    d = dirty_orders(o).withColumn("order_year", F.year("o_orderdate"))
+    # batch and year of the same parity: only texts that no repair can use
+    d = d.withColumn(RESCUED, F.when(F.col(RESCUED).isNotNull() & (F.col("o_orderkey") % 2 == F.col("order_year") % 2),
+                                     F.lit('{"o_totalprice":"N/A"}')).otherwise(F.col(RESCUED)))
+    for b in (0, 1):
+        t.write_batch(d.filter(F.col("o_orderkey") % 2 == b), b)
+    res = self_repair_table(spark, t, ORDERS, residual="keep")
+    left = t.read(spark).agg(F.count(F.lit(1)).alias("rows_total"), F.count(RESCUED).alias("rows_left"))
+    return (repair_results(spark, [res]).select("rows_rescued_before", "rows_rescued_after", "rows_repaired", "status")
+            .withColumn("k", F.lit(1)).join(left.withColumn("k", F.lit(1)), "k").drop("k"))
+
+
 def repair_by_merge(spark, sf_dir):
     """The join form of the repair: the table's own rescued rows, recovered,
     cleared and projected to key + columns (W10-W13), merged back by key
@@ -258,17 +331,32 @@ def _landed_events(spark, sf_dir, label):
 
 def load_metrics(spark, sf_dir):
     """Events landed in two drops (even ids, then odd ids), one stream run
-    each; per-batch rows and rescued rows as observed during the writes."""
+    each, then a third run with nothing new; in the second run its batch is
+    delivered twice. Per run and batch the rows and rescued rows observed
+    during the writes (a run without a batch as one row of zeros), and
+    whether the "too few rows" alert fires."""
     root = work_root(spark, "load_metrics")
     ev = events_landing(table(spark, sf_dir, "events"))
     src = f"{root}/landing/events"
     ld = _load(spark, EVENTS, src, root)
-    write_drop(ev.filter(F.col("event_id") % 2 == 0), src)
-    ld.run()
-    write_drop(ev.filter(F.col("event_id") % 2 == 1), src)
-    ld.run()
-    return ld.batch_metrics().select("batch_id", "rows_read", "rows_rescued", "rows_unrecovered",
-                                     "rescued_pct")
+    out = None
+    for run, rest in enumerate((0, 1, None)):
+        if rest is not None:
+            write_drop(ev.filter(F.col("event_id") % 2 == rest), src)
+        res = ld.run()
+        if rest == 1:       # again, as after a failure between write and commit
+            odd = list_files(spark, src).filter(~F.col("path").isin(first))
+            ld.process_batch(odd, run)
+            res = ld.summary(res.status, res.duration_secs)
+        first = [r["path"] for r in list_files(spark, src).select("path").collect()] if rest == 0 else first
+        got = ld.batch_metrics().select("batch_id", "rows_read", "rows_rescued", "rows_unrecovered", "rescued_pct")
+        if not res.batches:
+            got = spark.createDataFrame([(None, 0, 0, 0, 0.0)], got.schema)
+        alerts = threshold_alerts(spark.createDataFrame([res.as_row()], LOAD_RESULT_SCHEMA), ["table_name"])
+        few = alerts.filter("rule = 'rows_written'").count() == 1
+        got = got.select(F.lit(run).cast("long").alias("run"), "*", F.lit(few).alias("few_rows_alert"))
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 def run_metrics_query(spark, sf_dir):
@@ -283,12 +371,19 @@ def threshold_alerts_query(spark, sf_dir):
 def run_log(spark, sf_dir):
     root = work_root(spark, "run_log")
     m = run_metrics(_landed_events(spark, sf_dir, "run_log_src"), ["event_type"]) \
-        .withColumnRenamed("event_type", "table_name")
+        .withColumnRenamed("event_type", "table_name") \
+        .withColumns({"status": F.lit("SUCCESS"), "error": F.lit(None).cast("string")})
+    bad = (table(spark, sf_dir, "events").select(F.lit("broken_feed").alias("table_name")).distinct()
+           .withColumns({"rows_read": F.lit(0).cast("long"), "rows_rescued": F.lit(0).cast("long"),
+                         "rescued_pct": F.lit(0.0), "status": F.lit("FAILED"),
+                         "error": F.repeat(F.lit("a long trace "), 500)}))
+    m = m.unionByName(bad)
     rows = log_rows(m, threshold_alerts(m, ["table_name"]), task_name="landing_events")
     log = ParquetTable(f"{root}/run_log", ())
     log.append(rows)
     return log.read(spark).select("task_name", "table_name", "log_level", "rows_read",
-                                  "rows_rescued", "rescued_pct", "status")
+                                  "rows_rescued", "rescued_pct", "status",
+                                  F.length("error_message").cast("long").alias("error_chars"))
 
 
 # ---------------------------------------------------------------------------
@@ -296,16 +391,22 @@ def run_log(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def source_inventory_query(spark, sf_dir):
+    """The given tables, one that is not there, and one under a root that is
+    not there."""
     inv = source_inventory(spark, sf_dir, TABLES + ["transactions"], layout="file")
-    return inv.select("source", "files", "rows", "status")
+    absent = source_inventory(spark, f"{work_root(spark, 'absent')}/nowhere", ["absent_root"])
+    return inv.unionByName(absent).select("source", "files", "rows", "status")
 
 
 def multi_table_load(spark, sf_dir):
+    """Four feeds, one of them missing; orders land twice, by one contract
+    in two targets."""
     root = work_root(spark, "multi_table_load")
     missing = TableContract("missing_feed", "missing_feed", "bronze.missing_feed", "id")
     loads = [_load(spark, c, sf_dir, root, mode="parquet", glob=f"{c.name}.parquet")
              for c in (ORDERS, CUSTOMER, EVENTS)]
     loads.append(_load(spark, missing, f"{root}/no_such_folder", root, mode="parquet"))
+    loads.append(_load(spark, ORDERS, sf_dir, f"{root}/again", mode="parquet", glob="orders.parquet"))
     res = run_all(spark, loads, raise_on_failure=False)
     return res.select("table_name", "status", "rows_written")
 
@@ -340,7 +441,10 @@ QUERIES = {
     "schema_evolution": schema_evolution,
     "rescue_capture": rescue_capture,
     "capture_fractional": capture_fractional,
+    "capture_lossy": capture_lossy,
     "mixed_schema_landing": mixed_schema_landing,
+    "nested_evolution": nested_evolution,
+    "evolving_parquet_load": evolving_parquet_load,
     "rescue_recover": rescue_recover,
     "json_field": json_field,
     "cast_contract": cast_contract,
@@ -350,6 +454,7 @@ QUERIES = {
     "self_repair_keep": self_repair_keep,
     "self_repair_clear": self_repair_clear,
     "self_repair_rows": self_repair_rows,
+    "self_repair_partitioned": self_repair_partitioned,
     "repair_by_merge": repair_by_merge,
     "update_by_key": update_by_key,
     "load_metrics": load_metrics,

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strandline.functions.columns import recover, rescued_filter  # noqa: E402
 from strandline.operators.metrics import observed, run_metrics  # noqa: E402
-from strandline.operators.repair import self_repair, update_by_key  # noqa: E402
+from strandline.operators.repair import self_repair, self_repair_table, update_by_key  # noqa: E402
+from strandline.operators.sink import ParquetTable  # noqa: E402
 from strandline.plans.fixtures import (EVENTS, ORDERS, events_flagship_landing, table,  # noqa: E402
                                        write_drop)
 from strandline.plans.queries import _stored_dirty  # noqa: E402
@@ -48,22 +49,41 @@ def main():
         rescued_filter(d).select("o_orderkey"))
     add("W15 self repair", "One scan, no Exchange; JSON parsed only for guarded rows.",
         self_repair(d, ORDERS.key, ORDERS.rescued_types()))
-    add("Repair job 1: touched partitions", "Partial aggregation before a tiny shuffle; only "
-        "`_rescued_data` and partition values are read.",
-        d.filter(F.col("_rescued_data").isNotNull()).groupBy("_batch_id").count())
+    # the plans that a repair runs, taken from the repair itself
+    ran = {}
+
+    def spy(name):
+        own = getattr(ParquetTable, name)
+
+        def call(self, df):
+            ran[name] = plan(df).replace(root, "<root>")
+            return own(self, df)
+        setattr(ParquetTable, name, call)
+        return own
+    saved = {n: spy(n) for n in ("summary", "replace_partitions")}
+    self_repair_table(spark, t, ORDERS)
+    for n, own in saved.items():
+        setattr(ParquetTable, n, own)
+    for n, title, why in (
+            ("summary", "Repair job 1: partitions with changes", "Only rescued rows (pushed filter) and of "
+             "them only the key, the columns the repair can change and `_rescued_data`; partial "
+             "aggregation before a small shuffle by partition."),
+            ("replace_partitions", "Repair job 2: the rewrite into the stage", "A semi join with the "
+             "summary picks exactly the partitions with changes (dynamic partition pruning).")):
+        out.extend([f"## {title}", "", why, "", "```", ran[n].strip(), "```", ""])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     fixes = (table(spark, SF, "orders").filter(F.col("o_orderkey") % 3 == 0)
              .select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")))
-    add("W14 update by key (broadcast off)", "Source aggregated by key once; the join reuses "
-        "that partitioning; healthy and NULL-key rows bypass the join through the union.",
+    add("W14 update by key (broadcast off)", "Source aggregated by key once, then joined on (key, "
+        "salt); hot keys come from a count by key; healthy and NULL-key rows bypass the join "
+        "through the union.",
         update_by_key(d, fixes, ORDERS.key, ["o_totalprice"]))
     shared = F.when(F.col("o_orderkey") % 2 == 0, F.lit(0)).otherwise(F.col("o_orderkey"))
     hot = d.select(shared.alias("k"), "o_totalprice", "_rescued_data")   # key 0: half the rows
     hot_src = fixes.select(F.col("o_orderkey").alias("k"), "o_totalprice")
-    add("W14 update by key with a hot key (broadcast off)", "Keys with at least "
-        "`hot_key_rows` rescued rows meet their source rows in a broadcast join (one row per "
-        "hot key); the others go through the shuffle join.",
-        update_by_key(hot, hot_src, "k", ["o_totalprice"], hot_key_rows=100))
+    add("W14 update by key with a hot key (broadcast off)", "The same plan: a key with at least one "
+        "in `parts` of the rows is dealt over the salts, its source row copied to each.",
+        update_by_key(hot, hot_src, "k", ["o_totalprice"], parts=10))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     write_drop(events_flagship_landing(table(spark, SF, "events")), f"{root}/land")
     batch = read_landing(spark, schema_groups(list_files(spark, f"{root}/land")), EVENTS.types)
