@@ -137,10 +137,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     held = (d.join(near, F.col("doc_id").eqNullSafe(F.col("p_id")))
             .withColumn("dw", words(F.lower("text")))
             .withColumn("common", F.size(F.array_intersect(_grams("dw", F.col("width")), F.col("grams"))))
-            .withColumn("item_shingles", F.size("grams"))
-            .filter(F.col("common") * SHARE[1] >= F.col("item_shingles") * SHARE[0]))
+            .withColumn("item_shingles", F.size("grams")))
     best = F.max(F.struct(F.col("common") / F.col("item_shingles"), "common", "item_shingles"))
+    # The filter follows the aggregate: ahead of it, Spark would push it down
+    # and split the text anew for every shingle.
     return (held.groupBy("doc_id", "item_id").agg(best.alias("m"))
+            .filter(F.col("m.common") * SHARE[1] >= F.col("m.item_shingles") * SHARE[0])
             .select("doc_id", "item_id", F.col("m.item_shingles").cast("long").alias("item_shingles"),
                     F.col("m.common").cast("long").alias("common"),
                     F.col("m.col1").alias("containment")))
