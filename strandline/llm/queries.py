@@ -134,8 +134,15 @@ w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHI
 g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
              ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
-pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
-          FROM g AS a JOIN g AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+f AS (SELECT g, count(*) AS df FROM g GROUP BY 1),
+-- sets that are linked share one of their n - 0.8 n + 1 rarest shingles
+p AS (SELECT doc_id, g, n FROM (SELECT doc_id, g, n, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS k
+                                FROM g JOIN f USING (g) JOIN n USING (doc_id))
+      WHERE k <= n - (8 * n + 9) // 10 + 1),
+near AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM p AS x JOIN p AS y
+         ON x.g = y.g AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+pairs AS (SELECT a, b, count(*) AS c FROM near JOIN g AS x ON x.doc_id = a
+          JOIN g AS y ON y.doc_id = b AND y.g = x.g GROUP BY 1, 2),
 links AS (SELECT a, b FROM pairs JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
           WHERE 100 * c >= 80 * (x.n + y.n - c)),
 sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
