@@ -1,10 +1,9 @@
 """Fuzzy line deduplication: of lines that are alike, in all documents, one stays.
 
 * Lines are hashed where they are read; equal lines are one class from then on.
-* A class's MinHash signature comes from one 64-bit hash of each of its character
-  shingles: the high 6 bits name one of 64 registers, each keeps its smallest hash, and an
-  empty register takes the next one's. The hashes are sorted once, so the
-  smallest of each register is the first of its run.
+* A line's MinHash signature comes from one 64-bit hash of each of its character
+  shingles: the high 6 bits name one of 64 registers, each keeps its smallest
+  hash, and an empty register takes the next full one's.
 * Bands: 12 of 4 registers, or 8 of 6 for short lines (whose registers repeat each
   other). Lines between the two sizes have both, so lines that can be alike
   share a kind. At a similarity of 0.8 a pair is missed with a probability of 0.002, at 0.9 of 3e-6.
@@ -12,17 +11,28 @@
   union-find (``banding``, ``common``).
 
 Only hashes are shuffled. Texts are read again for the verification of candidates only.
+
+Shingles are hashed in Arrow batches: with DataFrame functions alone they cost
+over twice the CPU time allowed (figures in the README).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
 from strandline.llm.common import fresh, stored
+from strandline.llm.near_dup import distinct, mix64
 
 SHINGLE = 8             # characters
+REGISTERS = 64
+CHARS = 1 << 19         # characters hashed at a time
 SHARE = (8, 10)
 BANDS, ROWS = 12, 4
 SHORT_BANDS, SHORT_ROWS = 8, 6
@@ -39,44 +49,106 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .filter(F.col("line").rlike(HAS_WORD)))
 
 
-def _wide(line: str) -> Column:
-    """Four bytes a character, so that shingles are cut in constant time."""
-    return F.encode(F.col(line), "UTF-32")
-
-
-def _shingles(b: str) -> Column:
-    """Hashes of the character shingles of ``_wide`` text; of a shorter line the
-    whole line's."""
-    chars = F.floor(F.octet_length(b) / 4).cast("int")
-    last = F.greatest(chars - SHINGLE, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last),
-                       lambda i: F.xxhash64(F.substring(F.col(b), i * 4 + 1, F.lit(4 * SHINGLE))))
-
-
-def _register(x: Column) -> Column:
-    return F.shiftright(x, 58) + 32
-
-
-def _bands(s: str) -> Column:
-    """Band keys of ascending shingle hashes ``s``."""
-    a = F.col(s)
-    least = F.filter(a, lambda x, i: (i == 0) | (_register(x) != _register(F.get(a, i - 1))))
-
-    def filled(m):
-        head = F.flatten(F.transform(m, lambda x, j: F.array_repeat(
-            x, (_register(x) - F.coalesce(_register(F.get(m, j - 1)), F.lit(-1))).cast("int"))))
-        return F.concat(head, F.array_repeat(F.get(m, 0), (63 - _register(F.element_at(m, -1))).cast("int")))
-
-    def keys(r):
-        def of(bands, rows):
-            return F.array(*[F.xxhash64(F.lit(rows * 100 + k), *[F.get(r, k * rows + j) for j in range(rows)])
-                             for k in range(bands)])
-        n = F.size(a)
-        none = F.array().cast("array<bigint>")
-        return F.concat(F.when(n >= LONG, of(BANDS, ROWS)).otherwise(none),
-                        F.when(n <= SHORT, of(SHORT_BANDS, SHORT_ROWS)).otherwise(none))
-    # each step's value is made once: a list of one, transformed
-    return F.get(F.transform(F.transform(F.array(least), filled), keys), 0)
+def _parts(texts: list[str]):
+    """Slices of the list of at most CHARS characters together (a longer
+    line is a slice of its own)."""
+    i = 0
+    while i < len(texts):
+        j, n = i + 1, len(texts[i])
+        while j < len(texts) and n + len(texts[j]) <= CHARS:
+            n += len(texts[j])
+            j += 1
+        yield texts[i:j]
+        i = j
+
+
+def _hashes(texts: list[str]):
+    """(hashes, line): a hash for each character shingle of each text, and the
+    text's number; of a text shorter than a shingle one of all of it."""
+    sizes = np.array([len(t) for t in texts])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    h = np.zeros(max(0, len(codes) - SHINGLE + 1), dtype=np.uint64)
+    for k in range(SHINGLE):        # a polynomial in an odd number, mixed once
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += codes[k:k + len(h)]
+    h = mix64(h)
+    ends = np.cumsum(sizes)
+    line = np.repeat(np.arange(len(texts)), sizes)[:len(h)]
+    inside = np.arange(len(h)) + SHINGLE <= ends[line]      # not across two lines
+    h, line = h[inside], line[inside]
+    short = np.flatnonzero(sizes < SHINGLE)
+    if len(short):
+        own = []
+        for k in short:
+            x = np.uint64(sizes[k])
+            for c in texts[k]:
+                x = mix64(np.array([x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(ord(c) + 1)]))[0]
+            own.append(x)
+        order = np.argsort(np.concatenate([line, short]), kind="stable")
+        h = np.concatenate([h, np.array(own, dtype=np.uint64)])[order]
+        line = np.concatenate([line, short])[order]
+    return h, line
+
+
+def _band_keys(h, line, n: int):
+    """Keys of the bands of 4 and of 6 registers: two matrices, a row for each line."""
+    least = np.full(n * REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.minimum.at(least, line * REGISTERS + (h >> np.uint64(58)).astype(np.int64), h)
+    least = least.reshape(n, REGISTERS)
+    # an empty register takes the next full one's, the last ones the first's
+    at = np.where(least != np.iinfo(np.uint64).max, np.arange(REGISTERS), 2 * REGISTERS)
+    nxt = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1]
+    nxt = np.where(nxt < REGISTERS, nxt, at.min(axis=1, keepdims=True))
+    r = np.take_along_axis(least, nxt, axis=1)
+
+    def keys(bands, rows):
+        x = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) + np.uint64(rows << 8), (n, bands))
+        for k in range(rows):
+            x = mix64(x * np.uint64(0x9E3779B97F4A7C15) + r[:, k:bands * rows:rows])
+        return x.view(np.int64)
+    return keys(BANDS, ROWS), keys(SHORT_BANDS, SHORT_ROWS)
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """(doc_id, t, line_no, class, line) -> (doc_id, t, line_no, class, n,
+    bands): the number of distinct shingles and the band keys of each line."""
+    def run(batches):
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                n, bands = [], []
+                for texts in _parts(batch.column("line").to_pylist()):
+                    h, line = _hashes(texts)
+                    long, short = _band_keys(h, line, len(texts))
+                    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
+                    for k in range(len(texts)):
+                        m = len(distinct(h[cuts[k]:cuts[k + 1]]))
+                        n.append(m)
+                        bands.append(np.concatenate([long[k] if m >= LONG else long[k, :0],
+                                                     short[k] if m <= SHORT else short[k, :0]]))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in ("doc_id", "t", "line_no", "class")),
+                     pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "t", "line_no", "class", "n", "bands"])
+    return lines.select("doc_id", "t", "line_no", "class", "line").mapInArrow(
+        run, "doc_id long, t long, line_no int, class long, n int, bands array<long>")
+
+
+def line_sets(lines: DataFrame) -> DataFrame:
+    """(class, line) -> (class, s): the distinct shingle hashes of each line."""
+    def run(batches):
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                sets = []
+                for texts in _parts(batch.column("line").to_pylist()):
+                    h, line = _hashes(texts)
+                    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
+                    sets += [distinct(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
+                                                 names=["class", "s"])
+    return lines.select("class", "line").mapInArrow(run, "class long, s array<long>")
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -92,10 +164,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "line_no")
-    d = lines.select("doc_id", "t", "line_no", F.xxhash64("line").alias("class"), _wide("line").alias("b"))
-    d = d.withColumn("s", F.sort_array(F.array_distinct(_shingles("b")))).drop("b")
-    d = stored(d.select("doc_id", "t", "line_no", "class", F.size("s").alias("n"), _bands("s").alias("bands")),
-               "lines")
+    d = stored(signatures(lines.withColumn("class", F.xxhash64("line"))), "lines")
     classes = stored(d.groupBy("class").agg(F.first("n").alias("n"), F.first("bands").alias("bands"),
                                             F.min(place).alias("first")), "line-classes")
     keys = classes.select("class", F.explode("bands").alias("key"))
@@ -120,9 +189,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts = (_lines(some, "doc_id", "text")
                  .join(at, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("t") == F.col("a_t"))
                        & (F.col("line_no") == F.col("a_no")))
-                 .select("class", _wide("line").alias("b")))
-        sets = stored(texts.select("class", F.array_distinct(_shingles("b")).alias("s")).dropDuplicates(["class"]),
-                      f"{label}-sets")
+                 .select("class", "line"))
+        sets = stored(line_sets(texts).dropDuplicates(["class"]), f"{label}-sets")
         both = (p.join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
                 .join(sets.select(F.col("class").alias("b"), F.col("s").alias("sb")), "b"))
         common = F.size(F.array_intersect("sa", "sb"))

@@ -52,6 +52,14 @@ def mix64(x):
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x):
+    """The sorted distinct values of an array."""
+    x = np.sort(x)
+    keep = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=keep[1:])
+    return x[keep]
+
+
 def _tables():
     """Random numbers for the bytes (A-Z as a-z), the powers of an odd base and their
     inverses, and the order in which an empty bucket looks at the others."""
@@ -123,7 +131,7 @@ def _text_sets(column, width, tables):
         last = np.append(first[1:], len(h))
         for k in range(j - i):
             own = h[first[k]:last[k]] if valid[i + k] else h[:0]
-            yield np.unique(_shingle_hashes(own, width))
+            yield distinct(_shingle_hashes(own, width))
         i = j
 
 
