@@ -65,30 +65,53 @@ class Encoder:
         self.pieces = kind == "ByteLevel" and self.tok.normalizer is None \
             and "add_prefix_space=False" in repr(self.tok.pre_tokenizer)
         self.memo, self.room = {}, memo
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        # byte-level: a token's characters stand for its bytes
+        self.bytes = np.array([len(self.tok.id_to_token(k) or "") for k in range(self.tok.get_vocab_size())])
+
+    def _encode(self, text: str):
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Keep the ids of new pieces, at most the first of which does not
+        begin with a space: they are encoded as one text and cut by length."""
+        ids = self._encode("".join(pieces))
+        ends = np.cumsum([len(p.encode()) for p in pieces])
+        cuts = np.searchsorted(np.cumsum(self.bytes[ids]), ends, side="right")
+        raw, at = ids.tobytes(), 0
+        for p, cut in zip(pieces, cuts.tolist()):
+            self.memo[p] = raw[4 * at:4 * cut]
+            at = cut
 
     def encode(self, text: str) -> bytes:
         """The ids of one text as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
         if not self.pieces or (self.whole and self.whole.search(text)):
-            return self._encode([text])[0]
+            return self._encode(text).tobytes()
         memo = self.memo
         if "  " not in text and " \n" not in text and "\n " not in text \
                 and text.replace("\n", "").isprintable():
-            parts = text.split(" ")     # no white space but line feeds and lone spaces
-            parts[1:] = [" " + p for p in parts[1:]]
+            # no white space but line feeds and lone spaces; and no NUL
+            parts = text.replace(" ", "\0 ").split("\0")
         else:
             parts = PIECE.split(text)
-        if len(memo) > self.room:
-            memo.clear()
-        new = [p for p in set(parts) if p not in memo]
-        if new:
-            memo.update(zip(new, self._encode(new)))
-        return b"".join([memo[p] for p in parts])
+        got = list(map(memo.get, parts))
+        if None in got:
+            if len(memo) > self.room:
+                memo.clear()
+                got = [None]
+            self._learn(list(dict.fromkeys(p for p in parts if p not in memo)))
+            got = map(memo.__getitem__, parts)
+        return b"".join(got)
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, kept from task to task."""
+    import tokenizers
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def planes_of(ids, bits: bool) -> list[bytes]:
@@ -204,18 +227,18 @@ def write_tokens(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
         part = TaskContext.get().partitionId()
         fs.create_dir(root, recursive=True)
         name = f"{root}/ids-{part:06d}-{uuid.uuid4().hex[:12]}.planes"
-        out = writer = encoder = None
+        out = writer = enc = None
         first = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = Encoder(vocab)
+                enc = encoder(vocab)
                 out = fs.open_output_stream(name, compression=None)
                 writer = PlaneWriter(out, block, bits, level)
             end, counts, firsts = np.array([end_id], "<u4"), [], []
             for text in batch.column("text"):
-                ids = np.frombuffer(encoder.encode(text.as_py() or ""), "<u4")
+                ids = np.frombuffer(enc.encode(text.as_py() or ""), "<u4")
                 writer.add(ids)
                 writer.add(end)
                 firsts.append(first)
