@@ -107,15 +107,15 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
            .agg(F.count(F.lit(1)).alias("__n"),
                 *[F.first(col(c)).alias(f"__src_{c}") for c in src_cols],
                 *([F.first(col(rescued_col)).alias("__src_rescued")] if has_rescued else [])))
-    hot = F.broadcast(hot_keys(candidates, key, parts))         # at most ``parts`` rows
+    hot = F.broadcast(hot_keys(candidates, key, parts).withColumnRenamed("k", "__hot"))     # at most ``parts`` rows
     spread = F.pmod(F.xxhash64(*[col(c) for c in target.columns
                                  if not isinstance(target.schema[c].dataType, T.MapType)]), F.lit(SALTS))
-    salted = (candidates.join(hot, col(key) == F.col("k"), "left")
-              .withColumn("__salt", F.when(F.col("k").isNotNull(), spread).otherwise(F.lit(0).cast("long")))
-              .drop("k"))
-    copies = F.when(F.col("k").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))) \
+    salted = (candidates.join(hot, col(key) == F.col("__hot"), "left")
+              .withColumn("__salt", F.when(F.col("__hot").isNotNull(), spread).otherwise(F.lit(0).cast("long")))
+              .drop("__hot"))
+    copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))) \
         .otherwise(F.array(F.lit(0).cast("long")))
-    src = src.join(hot, col(key) == F.col("k"), "left").withColumn("__salt", F.explode(copies)).drop("k")
+    src = src.join(hot, col(key) == F.col("__hot"), "left").withColumn("__salt", F.explode(copies)).drop("__hot")
     joined = salted.join(src, on=[key, "__salt"], how="left")
     n = F.col("__n")
     m = F.when(n > 1, F.raise_error(F.concat(F.lit(f"DUPLICATE_SOURCE_KEY: {key}="),
