@@ -193,7 +193,11 @@ def matched_by(source: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def _same_partition(a: str, b: str, parts: Sequence[str]) -> Column:
-    return reduce(lambda x, y: x & y, [F.col(f"{a}.{_q(c)}").eqNullSafe(F.col(f"{b}.{_q(c)}")) for c in parts])
+    """Equality of partition values, null to null, as plain equalities of the
+    partition columns: Spark prunes folders by these, not by ``<=>``."""
+    def value(side: str, c: str) -> Column:
+        return F.coalesce(F.col(f"{side}.{_q(c)}").cast("string"), F.lit("\0"))
+    return reduce(lambda x, y: x & y, [value(a, c) == value(b, c) for c in parts])
 
 
 def repair_table(spark: SparkSession, table: ParquetTable, name: str,

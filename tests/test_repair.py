@@ -285,13 +285,16 @@ def test_a_repair_that_stops_halfway_loses_no_row(spark, tmp, monkeypatch, where
 
 def test_the_probe_reads_only_what_a_repair_can_change(spark, tmp, monkeypatch):
     t, _ = stored(spark, tmp)
-    seen = []
-    summary = ParquetTable.summary
+    seen, rewrite = [], []
+    summary, replace = ParquetTable.summary, ParquetTable.replace_partitions
+    monkeypatch.setattr(ParquetTable, "replace_partitions", lambda self, df: (
+        rewrite.append(df._jdf.queryExecution().executedPlan().toString()), replace(self, df))[1])
     monkeypatch.setattr(ParquetTable, "summary", lambda self, df: (
         seen.append(df._jdf.queryExecution().executedPlan().toString()), summary(self, df))[1])
     assert self_repair_table(spark, t, ORDERS).status == "SUCCESS"
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,_rescued_data:string>" in seen[0]
     assert "PushedFilters: [IsNotNull(_rescued_data)]" in seen[0]
+    assert "dynamicpruning" in rewrite[0]       # only the folders of changed partitions are read
 
 
 def test_a_worklist_with_an_unknown_table_keeps_the_other_results(spark, tmp):
