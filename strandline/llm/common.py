@@ -87,7 +87,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         if now == seen:
             break
         seen = now
-    return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    roots = e.select(F.col("v").alias("u"), "v").distinct()
+    return e.select("u", "v").unionByName(roots).toDF("id", "component")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need no install
