@@ -59,6 +59,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether each u has one v and no v is a u: all v are roots."""
+    ends = e.select("u", F.lit(1).alias("out"), F.lit(0).alias("root")).unionByName(
+        e.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("root")))
+    return (ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("root").alias("root"))
+            .filter("out > 1 OR (out = 1 AND root = 1)").isEmpty())
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Distributed union-find: edges (a, b) of one orderable type -> rows
     (id, component) for every id in an edge between different ids, with the
@@ -72,21 +80,16 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
                .distinct(), label)
-    seen = None
-    while not e.isEmpty():
+    while not _stars(e):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").filter(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").filter(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         e = stored(small, label)
-        now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == seen:
-            break
-        seen = now
     roots = e.select(F.col("v").alias("u"), "v").distinct()
     return e.select("u", "v").unionByName(roots).toDF("id", "component")
 
