@@ -11,23 +11,23 @@ from pyspark.sql import functions as F
 from strandline.llm.common import components, stored
 
 
-def rare_tokens(tokens: DataFrame, of: int) -> DataFrame:
-    """(class, least, token), ``of`` tokens for each class -> (class, token), the
-    rows by which classes that agree in at least ``least`` of their tokens
+def rare_tokens(tokens: DataFrame) -> DataFrame:
+    """(class, n, least, token), the ``n`` tokens of each class -> (class, token),
+    the rows by which classes that share at least ``least`` of their tokens
     (each by its own ``least``) still meet.
 
     A class is left out where fewer than ``least`` of its tokens occur in
-    another class. Of the others the ``of - least + 1`` rarest tokens
-    stay (prefix filter: two classes that agree in ``least`` tokens agree in one of
-    these), without those that occur nowhere else. A passage that many
+    another class. Of the others the ``n - least + 1`` rarest tokens stay
+    (prefix filter: two classes that share ``least`` tokens share one of these),
+    without those that occur nowhere else. A passage that many
     classes hold is common, so it brings only those together whose other
     tokens are shared as well.
     """
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    t = tokens.join(df, "token").groupBy("class", "least").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))       # ``of`` a class
+    t = tokens.join(df, "token").groupBy("class", "n", "least").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))       # the tokens of one set
     shared = F.size(F.filter("t", lambda x: x["df"] > 1))
-    rare = F.filter(F.slice("t", F.lit(1), F.lit(of + 1) - F.col("least")), lambda x: x["df"] > 1)
+    rare = F.filter(F.slice("t", F.lit(1), F.col("n") - F.col("least") + 1), lambda x: x["df"] > 1)
     return (t.select("class", F.when(shared >= F.col("least"), F.transform(rare, lambda x: x["token"])).alias("t"))
             .select("class", F.explode("t").alias("token")))
 
@@ -54,7 +54,7 @@ def _apart(t: DataFrame, share: tuple[int, int], label: str) -> DataFrame:
 
 def banded_components(keys: DataFrame, sizes: DataFrame, share: tuple[int, int],
                       verify: Callable[[DataFrame, str], DataFrame], label: str,
-                      sample: Callable[[DataFrame], DataFrame] | None = None, of: int = 0) -> DataFrame:
+                      tokens: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(class, key), a row for each band of each class, each once ->
     (id, component) of every class with a link.
 
@@ -68,9 +68,9 @@ def banded_components(keys: DataFrame, sizes: DataFrame, share: tuple[int, int],
     is in one component or was compared, while a group of alike classes costs a
     few comparisons a member.
 
-    With ``sample(classes)``, giving (class, least, token), ``of`` tokens a class,
-    the last round compares of the classes in such buckets those that can
-    still agree in ``least`` tokens (``rare_tokens``).
+    With ``tokens(classes)``, giving (class, n, least, token), the last round
+    compares of the classes in such buckets those that can still share
+    ``least`` tokens (``rare_tokens``).
     """
     many = (keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", "key"), "class")).alias("m"),
                                     F.count(F.lit(1)).alias("c"))
@@ -100,11 +100,11 @@ def banded_components(keys: DataFrame, sizes: DataFrame, share: tuple[int, int],
     split = (m.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count(F.lit(1)).alias("c"))
              .filter("lo <> hi AND c > 2").select("key"))       # a pair met its hub already
     m = m.join(split, "key")
-    if sample is None:
+    if tokens is None:
         t = m.withColumnRenamed("key", "token")
     else:
-        tokens = sample(stored(m.select("class").distinct(), f"{label}-classes"))
-        t = part_of(rare_tokens(stored(tokens, f"{label}-sample"), of), "class", "p")
+        open_ = stored(m.select("class").distinct(), f"{label}-classes")
+        t = part_of(rare_tokens(stored(tokens(open_), f"{label}-sets")), "class", "p")
     rest = _apart(stored(t.join(sizes, "class"), f"{label}-tokens"), share, label)
     rest = stored(rest.join(apart, ["a", "b"], "left_anti"), f"{label}-rest")
     if not rest.isEmpty():

@@ -36,7 +36,6 @@ from strandline.llm.banding import banded_components
 from strandline.llm.common import stored
 
 BUCKETS, BANDS, ROWS, MANTISSA = 256, 42, 6, 10
-SAMPLE = 128        # registers compared by frequency in the last round
 #: Fixed value: expected chance agreements of HyperMinHash registers are
 #: about this constant times 2**(p - r), for sets of equal size.
 CHANCE = 0.1699194871597391
@@ -199,19 +198,6 @@ def _fingerprint(s):
             for x in (s + np.uint64(1), s ^ np.uint64(0xA5A5A5A5A5A5A5A5))]
 
 
-def register_tokens(classes: DataFrame) -> DataFrame:
-    """(class, regs) -> (class, token): SAMPLE registers, each with its place."""
-    def run(batches):
-        step = BUCKETS // SAMPLE
-        place = np.arange(SAMPLE, dtype=np.int64) << 16
-        for batch in batches:
-            r = np.frombuffer(b"".join(batch.column("regs").to_pylist()), "<u2").reshape(-1, BUCKETS)
-            own = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), SAMPLE)
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array((r[:, ::step] + place).ravel())],
-                                             names=["class", "token"])
-    return classes.select("class", "regs").mapInArrow(run, "class long, token long")
-
-
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, text) -> (doc_id, n, f1, f2, regs); nulls and n = 0
     for a text without words."""
@@ -255,6 +241,13 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
         run, "key long, n long, f1 long, f2 long, s array<long>")
 
 
+def sets_of(texts: DataFrame, width: int) -> DataFrame:
+    """(key, text) -> (key, s), one row a class: a text found by its id counts
+    only if it is the class's own."""
+    return (shingle_sets(texts, width).filter(F.xxhash64("n", "f1", "f2") == F.col("key"))
+            .select("key", "s").dropDuplicates(["key"]))
+
+
 def estimates(pairs: DataFrame) -> DataFrame:
     """(a, b, na, nb, ra, rb) -> (a, b, j, slack): the Jaccard estimate, corrected for
     chance agreements, and a generous bound on its error (6 deviations for
@@ -289,9 +282,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], D
     near = stored(estimates(p).filter(F.col("j") + F.col("slack") >= num / den).select("a", "b"),
                   f"{label}-near")
     need = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    # a text found by its id counts only if it is the class's own; one of each
-    sets = stored(shingle_sets(texts(need), width).filter(F.xxhash64("n", "f1", "f2") == F.col("key"))
-                  .select("key", "s").dropDuplicates(["key"]), f"{label}-sets")
+    sets = stored(sets_of(texts(need), width), f"{label}-sets")
     both = (near.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -330,17 +321,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def verify(pairs: DataFrame, label: str) -> DataFrame:
         return _linked(pairs, classes, texts, width, share, label)
 
-    def sample(open_: DataFrame) -> DataFrame:
-        # The registers in which a linked pair agrees, less 5 standard deviations.
-        # Those of a small set repeat each other: they count as 0.7 times its size (of the
-        # smaller one, at most a fifth smaller than this).
-        j = share[0] / share[1]
-        apart = F.sqrt(j * (1 - j) / (0.7 * F.least(F.lit(float(SAMPLE)), j * F.col("n"))))
-        least = F.greatest(F.lit(1), F.floor(SAMPLE * (j - 5 * apart)).cast("int"))
-        some = classes.join(open_, "class")
-        return register_tokens(some).join(some.select("class", least.alias("least")), "class")
+    def tokens(open_: DataFrame) -> DataFrame:
+        # a linked set shares at least ``share`` of its own shingles
+        sets = sets_of(texts(open_), width)
+        n = F.size("s")
+        least = F.ceil(n * share[0] / share[1]).cast("int")
+        return sets.select(F.col("key").alias("class"), n.alias("n"), least.alias("least"),
+                           F.explode("s").alias("token"))
     parts = banded_components(band_keys(classes), classes.select("class", "n"), share, verify, "near",
-                              sample, SAMPLE)
+                              tokens)
 
     group = (classes.select("class", "doc_id").join(parts.withColumnRenamed("id", "class"), "class", "left")
              .withColumn("p", F.coalesce("component", "class")))
