@@ -51,22 +51,24 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     most frequent first.
 
     The sample is drawn by a hash of the text, ``texts`` of each language (twice
-    that are asked for and the smallest hashes kept); of each text
-    ``chars`` characters from its middle. Equal texts count once. Null
-    labels and texts without a letter teach nothing.
+    that are asked for, of its distinct texts, and the smallest hashes kept); of
+    each text ``chars`` characters from its middle. Equal texts count once,
+    however many rows repeat them. Null labels and texts without a letter
+    teach nothing.
     """
+    unit = (F.xxhash64("text").bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
     d = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-         .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")))
-    seen = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+         .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("u", unit))
+    # A text repeated by a third of all rows is one row after the first aggregate.
+    each = d.groupBy("lang", "u").agg(F.count(F.lit(1)).alias("c"))
+    seen = (each.groupBy("lang").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("texts"))
+            .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
     if not seen:
         return {}
-    h = F.xxhash64("text")
-    unit = (h.bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
-    rate = F.create_map(*[F.lit(x) for r in seen for x in (r["lang"], min(1.0, 2.0 * texts / r["n"]))])
-    # A text repeated by a third of all rows is one row after the aggregate.
+    rate = F.create_map(*[F.lit(x) for r in seen for x in (r["lang"], min(1.0, 2.0 * texts / r["texts"]))])
     part = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - chars) / 2).cast("int")), F.lit(chars))
-    got = (d.filter(unit < F.coalesce(F.element_at(rate, F.col("lang")), F.lit(0.0)))
-           .select("lang", unit.alias("u"), part.alias("part")).groupBy("lang", "u")
+    got = (d.filter(F.col("u") < F.coalesce(F.element_at(rate, F.col("lang")), F.lit(0.0)))
+           .select("lang", "u", part.alias("part")).groupBy("lang", "u")
            .agg(F.min("part").alias("part")))
     first = Window.partitionBy("lang").orderBy("u")
     rows = (got.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= texts)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.llm import quality_rules as qr
-from strandline.llm.lang_id import Sizes, accepted_rows, held_out, identify, judge, train
+from strandline.llm.lang_id import SAMPLE_TEXTS, Sizes, accepted_rows, held_out, identify, judge, train
 from strandline.llm.secret_scan import find_secrets, joined
 
 from .helpers import word_list
@@ -99,6 +99,19 @@ def test_language_of_odd_texts(spark):
     assert judge("zzz", same)[0] == "aa" and not judge("zzz", same)[3]      # a tie
 
 
+def test_copies_of_one_text_do_not_thin_the_sample(spark):
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(3)) + "zz"
+    df = (spark.range(40000).selectExpr("'the same copied text' AS text", "'aa' AS lang")
+          .unionByName(spark.createDataFrame([(word(i), lang) for i in range(150) for lang in ("aa", "bb")],
+                                             "text string, lang string")))
+    learned = train(df)
+    assert list(learned) == ["aa", "bb"]
+    assert set(learned["aa"].decode().split()) == {word(i) for i in range(150)} | set("the same copied text".split())
+    more = spark.range(3000).selectExpr("translate(cast(id + 10000 AS string), '0123456789', 'abcdefghij') AS text",
+                                        "'cc' AS lang")
+    assert len(train(df.unionByName(more))["cc"].split()) == SAMPLE_TEXTS
+
+
 # -- quality --------------------------------------------------------------
 
 def plain_counts(text):
