@@ -78,16 +78,22 @@ def _tables():
     return byte, steps["pow"], steps["inv"], probe, space
 
 
-def _word_hashes(data, tables):
-    """(hash, start) of each word of an array of bytes no longer than SLICE."""
+def _word_sums(data, tables):
+    """(sum, start, length) of each word of an array of bytes no longer than
+    SLICE: the sum of a word's bytes times the powers of the base."""
     byte, power, inverse, _, space = tables
     blank = space[data]
     edge = np.diff(np.concatenate(([True], blank, [True])).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(byte[data] * power[:len(data)], out=total[1:])
-    h = (total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64)
-    return mix64(h), start
+    return (total[end] - total[start]) * inverse[start], start, (end - start).astype(np.uint64)
+
+
+def _word_hashes(data, tables):
+    """(hash, start) of each word of an array of bytes no longer than SLICE."""
+    h, start, size = _word_sums(data, tables)
+    return mix64(h + size), start
 
 
 def _shingle_hashes(words, width):
@@ -135,19 +141,27 @@ def _text_sets(column, width, tables):
 
 
 def _long_words(data, tables):
-    """The words of more than SLICE bytes: in slices that end at white space
-    (a single word longer than a slice is hashed in pieces)."""
-    space = tables[4]
-    hashes, starts, at = [], [], 0
-    while at < len(data):
-        end = min(at + SLICE, len(data))
-        if end < len(data):
-            cut = np.flatnonzero(space[data[at:end]])
-            end = at + int(cut[-1]) + 1 if len(cut) else end
-        h, s = _word_hashes(data[at:end], tables)
-        hashes.append(h)
-        starts.append(s + at)
-        at = end
+    """The words of more than SLICE bytes, slice by slice. A word that a
+    slice's end cuts goes on in the next: its sum, start and length so far are
+    carried until white space or the end comes, so it is one word however
+    long it is."""
+    power, space = tables[1], tables[4]
+    hashes, starts, cut = [], [], None
+    for at in range(0, len(data), SLICE):
+        part = data[at:at + SLICE]
+        h, s, size = _word_sums(part, tables)
+        s = s + at
+        if cut is not None and space[part[0]]:
+            h, s, size = (np.insert(x, 0, c) for x, c in zip((h, s, size), cut))
+        elif cut is not None:
+            shift = np.uint64(pow(int(power[1]), int(cut[2]), 1 << 64))
+            h[0], s[0], size[0] = cut[0] + h[0] * shift, cut[1], cut[2] + size[0]
+        cut = None
+        if at + SLICE < len(data) and not space[part[-1]]:
+            cut = h[-1], s[-1], size[-1]
+            h, s, size = h[:-1], s[:-1], size[:-1]
+        hashes.append(mix64(h + size))
+        starts.append(s)
     return np.concatenate(hashes), np.concatenate(starts)
 
 

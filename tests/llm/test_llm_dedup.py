@@ -89,6 +89,27 @@ def test_text_sets_of_long_texts_and_slices():
     assert len(sets[1]) == len(shingles(long, 3))
 
 
+def test_words_longer_than_a_slice_are_one_word():
+    import pyarrow as pa
+    tables = nd._tables()
+    big = "Ab9" * nd.SLICE + "x"        # three slices and a byte
+    han = "\u6f22" * nd.SLICE
+    same = [f"a b {big} c d", f"  a  b\n{big.lower()}\tc d ", f"a b {big}z c d"]
+    # a word up to a slice's end, and from one on
+    edge = "e" * nd.SLICE
+    texts = [big, han, *same, edge + " f " + big, "f " * (nd.SLICE // 2) + edge, f"{big} {big} {han}", edge + "e", big + " "]
+    with np.errstate(over="ignore"):
+        sets = [s.tolist() for s in nd._text_sets(pa.array(texts), 1, tables)]
+        pairs = [len(s) for s in nd._text_sets(pa.array(texts), 2, tables)]
+        short = [list(nd._text_sets(pa.array([x]), 1, tables))[0].tolist() for x in ("a", "b", "c", "d", "f")]
+    assert pairs == [len(shingles(x, 2)) for x in texts]
+    assert [len(s) for s in sets] == [len(shingles(x, 1)) for x in texts] == [1, 1, 5, 5, 5, 3, 2, 2, 1, 1]
+    a, b, c, d, f = (x[0] for x in short)
+    assert set(sets[2]) == {a, b, c, d, sets[0][0]} and sets[2] == sets[3] and len(set(sets[2]) & set(sets[4])) == 4
+    assert set(sets[5]) & set(sets[6]) >= {f} and len(set(sets[5]) & set(sets[6])) == 2
+    assert set(sets[7]) == {sets[0][0], sets[1][0]} and sets[8] != sets[0] and sets[9] == sets[0]
+
+
 def test_estimates_follow_jaccard(spark):
     rng = np.random.default_rng(0)
     tables = nd._tables()
