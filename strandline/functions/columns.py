@@ -97,23 +97,60 @@ def _misfit(src: Column, src_type: T.DataType, cast: Column, dst_type: T.DataTyp
     and back.
 
     Text is held to the value it states, not to its spelling: '1.50' fits a
-    double and 'yes' a boolean, but a number with more digits than a decimal
-    column keeps, or a time of day in a date column, is a misfit. A value
-    always fits text.
+    double and 'yes' a boolean, but a number with more digits than a decimal,
+    float or double column keeps, or a time of day in a date column, is a misfit. A value
+    always fits text. A nested value is a misfit if an element, key or field
+    of it is, or if its fields have other names.
     """
     lost = cast.isNull()
-    if isinstance(src_type, T.StringType):
+    if src_type == dst_type:
+        return F.lit(False)
+    if isinstance(src_type, T.ArrayType) and isinstance(dst_type, T.ArrayType):
+        lost = lost | _any_misfit(src, src_type.elementType, cast, dst_type.elementType)
+    elif isinstance(src_type, T.MapType) and isinstance(dst_type, T.MapType):
+        lost = (lost | _any_misfit(F.map_keys(src), src_type.keyType, F.map_keys(cast), dst_type.keyType)
+                | _any_misfit(F.map_values(src), src_type.valueType, F.map_values(cast), dst_type.valueType)
+                | (F.size(F.array_distinct(F.map_keys(cast))) < F.size(src)))
+    elif isinstance(src_type, T.StructType) and isinstance(dst_type, T.StructType):
+        # Spark casts a struct by place
+        if [f.name.lower() for f in src_type] != [f.name.lower() for f in dst_type]:
+            return src.isNotNull()
+        for f, g in zip(src_type, dst_type):
+            lost = lost | _misfit(src.getField(f.name), f.dataType, cast.getField(g.name), g.dataType)
+    elif isinstance(src_type, T.StringType):
         if isinstance(dst_type, T.DecimalType):
             wide = T.DecimalType(38, min(18, max(dst_type.scale, 18)))
             lost = lost | ~src.try_cast(wide).eqNullSafe(cast.cast(wide))
         elif isinstance(dst_type, T.DateType):
             lost = lost | ~F.coalesce(src.try_cast(T.TimestampNTZType()) == cast.cast(T.TimestampNTZType()),
                                       F.lit(True))
+        elif isinstance(dst_type, (T.DoubleType, T.FloatType)):
+            lost = lost | ~_digits_kept(src, cast, dst_type)
     elif isinstance(src_type, _PLAIN) and isinstance(dst_type, _PLAIN):
         lost = lost | ~cast.try_cast(src_type).eqNullSafe(src)
     return src.isNotNull() & lost
 
 
+def _any_misfit(src: Column, src_type: T.DataType, cast: Column, dst_type: T.DataType) -> Column:
+    """True where an element of an array is a misfit."""
+    both = F.zip_with(src, cast, lambda a, b: _misfit(a, src_type, b, dst_type))
+    return F.coalesce(F.exists(both, lambda x: x), F.lit(False))
+
+
+def _digits_kept(src: Column, cast: Column, dst_type: T.DataType) -> Column:
+    """True where a float or double states the number that its text did: the
+    text's significant digits are those of the number's own text, or so few
+    that every normal number keeps them. Overflow and underflow keep none."""
+    few, least = (15, 2.2250738585072014e-308) if isinstance(dst_type, T.DoubleType) else (6, 1.1754943508222875e-38)
+
+    def digits(text: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(text, "[eE].*$|[^0-9]", ""), "^0+|0+$", "")
+    normal = (F.abs(cast) >= F.lit(least)) & (F.abs(cast) < F.lit(float("inf")))
+    return (F.when((F.length(src) <= few) & ~src.rlike("[eEpP]"), F.lit(True))
+            .otherwise((digits(src) == digits(cast.cast(T.StringType())))
+                       | (normal & (F.length(digits(src)) <= few))))
+
+
 def _castable(df: DataFrame, name: str, dst_type: T.DataType) -> bool:
     """Whether Spark knows a cast of the column to the type at all."""
     try:

@@ -146,3 +146,39 @@ def test_capture_with_a_repeated_json_name(spark):
     assert got[0][0] is None and json.loads(got[0][1]) == {"a": "2", "v": "x"}
     assert got[1] == (7, '{"a":"1","a":"2"}')
     assert json.loads(got[2][1]) == {"_rescued_data": "no json", "v": "y"}
+
+
+def test_capture_keeps_what_a_cast_inside_a_nested_value_would_lose(spark):
+    df = spark.sql("""SELECT array('a', '1') AS a, named_struct('x', 'a', 'y', 2) AS s, array(1.5D, 2D) AS f,
+                             map('k', '1', 'l', 'b') AS m, array(named_struct('v', array('1', 'z'))) AS deep,
+                             named_struct('p', 1, 'q', 2) AS swapped, array('9007199254740993') AS digits,
+                             map(1.5D, 'x') AS keys
+                      UNION ALL
+                      SELECT array('2', NULL), named_struct('x', '1', 'y', NULL), array(3D), map('k', '2'),
+                             array(named_struct('v', array('1', NULL)), NULL), NULL, array('1.50', NULL), map(2D, 'y')
+                      UNION ALL SELECT array(), NULL, NULL, map(), NULL, NULL, NULL, NULL""")
+    types = {"a": "array<int>", "s": "struct<x:int,y:bigint>", "f": "array<int>", "m": "map<string,int>",
+             "deep": "array<struct<v:array<int>>>", "swapped": "struct<q:bigint,p:bigint>", "digits": "array<double>",
+             "keys": "map<int,string>"}
+    bad, good, none = capture(df, types).collect()
+    lost = json.loads(bad["_rescued_data"])
+    assert set(lost) == set(types) and all(bad[c] is None for c in types)
+    assert json.loads(lost["a"]) == ["a", "1"] and json.loads(lost["s"]) == {"x": "a", "y": 2}
+    assert json.loads(lost["swapped"]) == {"p": 1, "q": 2} and json.loads(lost["f"]) == [1.5, 2.0]
+    kept = json.loads(good["_rescued_data"] or "{}")
+    assert set(kept) <= {"keys"}        # Spark has no cast of keys that could become NULL
+    assert (good["a"], tuple(good["s"]), good["m"], good["digits"]) == ([2, None], (1, None), {"k": 2}, [1.5, None])
+    assert good["deep"][0]["v"] == [1, None] and good["deep"][1] is None
+    assert none["_rescued_data"] is None and none["a"] == [] and none["m"] == {}
+
+
+def test_capture_keeps_digits_of_text_in_floats(spark):
+    fits = ["9007199254740992", "1.50", "0.1", "-1e300", "1234567890.12345", " 7 ", "Infinity", "NaN", "0.000", "1.0E23",
+            "0.30000000000000004", "100000000000000000000000", "00000000000000000001.5"]
+    lost = ["9007199254740993", "1e999", "1e-999", "123456789012345678901234567891", "1.2345678901234567890123e-30", "x"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(fits + lost)], "d string, i int")
+    got = [(r["d"], r["_rescued_data"]) for r in capture(df, {"d": "double"}).orderBy("i").collect()]
+    assert all(d is not None and r is None for d, r in got[:len(fits)]), got
+    assert [(d, json.loads(r)["d"]) for d, r in got[len(fits):]] == [(None, t) for t in lost]
+    df = spark.createDataFrame([("16777217",), ("0.1",), ("16777216",)], "d string")
+    assert [r["d"] is None for r in capture(df, {"d": "float"}).collect()] == [True, False, False]
