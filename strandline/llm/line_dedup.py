@@ -7,6 +7,10 @@
 * Bands: 12 of 4 registers, or 8 of 6 for short lines (whose registers repeat each
   other). Lines between the two sizes have both, so lines that can be alike
   share a kind. At a similarity of 0.8 a pair is missed with a probability of 0.002, at 0.9 of 3e-6.
+* With ``short``, lines of at most so many characters are also compared with each
+  other by shingles of ``SHORT_SHINGLE`` characters, since one changed character
+  costs as many shingles as one has characters, too many of a short line's. Such a line
+  has a signature of each kind; what is linked in either kind is one component.
 * Links are verified on the full shingle sets; components by distributed
   union-find (``banding``, ``common``).
 
@@ -27,10 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import fresh, stored
+from strandline.llm.common import components, fresh, stored
 from strandline.llm.near_dup import distinct, mix64
 
 SHINGLE = 8             # characters
+#: Production value of ``short``, in characters: beyond it shingles of 8 link lines
+#: that differ by one word of up to six letters.
+SHORT_SHINGLE, SHORT_CHARS = 5, 128
 REGISTERS = 64
 CHARS = 1 << 19         # characters hashed at a time
 SHARE = (8, 10)
@@ -62,21 +69,21 @@ def _parts(texts: list[str]):
         i = j
 
 
-def _hashes(texts: list[str]):
+def _hashes(texts: list[str], width: int = SHINGLE):
     """(hashes, line): a hash for each character shingle of each text, and the
     text's number; of a text shorter than a shingle one of all of it."""
     sizes = np.array([len(t) for t in texts])
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    h = np.zeros(max(0, len(codes) - SHINGLE + 1), dtype=np.uint64)
-    for k in range(SHINGLE):        # a polynomial in an odd number, mixed once
+    h = np.zeros(max(0, len(codes) - width + 1), dtype=np.uint64)
+    for k in range(width):        # a polynomial in an odd number, mixed once
         h *= np.uint64(0x9E3779B97F4A7C15)
         h += codes[k:k + len(h)]
     h = mix64(h)
     ends = np.cumsum(sizes)
     line = np.repeat(np.arange(len(texts)), sizes)[:len(h)]
-    inside = np.arange(len(h)) + SHINGLE <= ends[line]      # not across two lines
+    inside = np.arange(len(h)) + width <= ends[line]      # not across two lines
     h, line = h[inside], line[inside]
-    short = np.flatnonzero(sizes < SHINGLE)
+    short = np.flatnonzero(sizes < width)
     if len(short):
         own = []
         for k in short:
@@ -90,7 +97,7 @@ def _hashes(texts: list[str]):
     return h, line
 
 
-def _band_keys(h, line, n: int):
+def _band_keys(h, line, n: int, width: int = SHINGLE):
     """Keys of the bands of 4 and of 6 registers: two matrices, a row for each line."""
     least = np.full(n * REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
     np.minimum.at(least, line * REGISTERS + (h >> np.uint64(58)).astype(np.int64), h)
@@ -102,73 +109,94 @@ def _band_keys(h, line, n: int):
     r = np.take_along_axis(least, nxt, axis=1)
 
     def keys(bands, rows):
-        x = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) + np.uint64(rows << 8), (n, bands))
+        x = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) + np.uint64((rows << 8) + (width << 16)),
+                            (n, bands))
         for k in range(rows):
             x = mix64(x * np.uint64(0x9E3779B97F4A7C15) + r[:, k:bands * rows:rows])
         return x.view(np.int64)
     return keys(BANDS, ROWS), keys(SHORT_BANDS, SHORT_ROWS)
 
 
-def signatures(lines: DataFrame) -> DataFrame:
+def _signed(texts: list[str], width: int):
+    """For each text its number of distinct shingles and its band keys."""
+    h, line = _hashes(texts, width)
+    long, few = _band_keys(h, line, len(texts), width)
+    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
+    for k in range(len(texts)):
+        m = len(distinct(h[cuts[k]:cuts[k + 1]]))
+        yield m, np.concatenate([long[k] if m >= LONG else long[k, :0], few[k] if m <= SHORT else few[k, :0]])
+
+
+def signatures(lines: DataFrame, short: int = 0) -> DataFrame:
     """(doc_id, t, line_no, class, line) -> (doc_id, t, line_no, class, n,
-    bands): the number of distinct shingles and the band keys of each line."""
+    bands, n2, bands2): the number of distinct shingles and the band keys of each
+    line; n2 and bands2 of the shorter shingles, null for lines beyond ``short``."""
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                n, bands = [], []
+                rows = []
                 for texts in _parts(batch.column("line").to_pylist()):
-                    h, line = _hashes(texts)
-                    long, short = _band_keys(h, line, len(texts))
-                    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
-                    for k in range(len(texts)):
-                        m = len(distinct(h[cuts[k]:cuts[k + 1]]))
-                        n.append(m)
-                        bands.append(np.concatenate([long[k] if m >= LONG else long[k, :0],
-                                                     short[k] if m <= SHORT else short[k, :0]]))
+                    second = _signed([x for x in texts if len(x) <= short], SHORT_SHINGLE) if short else None
+                    rows += [(*one, *(next(second) if len(x) <= short else (None, None)))
+                             for x, one in zip(texts, _signed(texts, SHINGLE))]
+                n, bands, n2, bands2 = zip(*rows) if rows else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in ("doc_id", "t", "line_no", "class")),
-                     pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "t", "line_no", "class", "n", "bands"])
+                     pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64())),
+                     pa.array(n2, pa.int32()), pa.array(bands2, pa.list_(pa.int64()))],
+                    names=["doc_id", "t", "line_no", "class", "n", "bands", "n2", "bands2"])
     return lines.select("doc_id", "t", "line_no", "class", "line").mapInArrow(
-        run, "doc_id long, t long, line_no int, class long, n int, bands array<long>")
+        run, "doc_id long, t long, line_no int, class long, n int, bands array<long>, n2 int, bands2 array<long>")
 
 
 def line_sets(lines: DataFrame) -> DataFrame:
-    """(class, line) -> (class, s): the distinct shingle hashes of each line."""
+    """(class, width, line) -> (class, s): the distinct hashes of each line's
+    shingles of ``width`` characters."""
     def run(batches):
         with np.errstate(over="ignore"):
-            for batch in batches:
-                sets = []
-                for texts in _parts(batch.column("line").to_pylist()):
-                    h, line = _hashes(texts)
-                    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
-                    sets += [distinct(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
-                                                 names=["class", "s"])
-    return lines.select("class", "line").mapInArrow(run, "class long, s array<long>")
+            for whole in batches:
+                for width in (SHINGLE, SHORT_SHINGLE):
+                    batch = whole.filter(pa.array([x == width for x in whole.column("width").to_pylist()], pa.bool_()))
+                    sets = []
+                    for texts in _parts(batch.column("line").to_pylist()):
+                        h, line = _hashes(texts, width)
+                        cuts = np.searchsorted(line, np.arange(len(texts) + 1))
+                        sets += [distinct(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
+                    yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
+                                                     names=["class", "s"])
+    return lines.select("class", "width", "line").mapInArrow(run, "class long, s array<long>")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   share: tuple[int, int] = SHARE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   share: tuple[int, int] = SHARE, broadcast_rows: int = BROADCAST_ROWS,
+                   short: int = 0) -> DataFrame:
     """One row (doc_id, t, line_no, kept) for each line with a word.
 
     Lines whose sets of 8-character shingles (the whole line where shorter)
     have a similarity of at least ``share`` are linked, in one document or in
-    many. Of each component the line with the smallest (doc_id, t, line_no) is
+    many; so are, of the lines of at most ``short`` characters, those whose sets
+    of 5-character shingles have it. Of each component the line with the smallest (doc_id, t, line_no) is
     kept, null ids last. Lines without a word are in no row. A null text has
     no line. Rows that agree in id and text are one document. Equal lines are
     told by a 64-bit hash. An empty table gives no row.
     """
     lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "line_no")
-    d = stored(signatures(lines.withColumn("class", F.xxhash64("line"))), "lines")
-    classes = stored(d.groupBy("class").agg(F.first("n").alias("n"), F.first("bands").alias("bands"),
+    d = stored(signatures(lines.withColumn("class", F.xxhash64("line")), short), "lines")
+    classes = stored(d.groupBy("class").agg(*[F.first(c).alias(c) for c in ("n", "bands", "n2", "bands2")],
                                             F.min(place).alias("first")), "line-classes")
-    keys = classes.select("class", F.explode("bands").alias("key"))
-    sizes = classes.select("class", "n")
+    # A node for each class, and one more for its shorter shingles, which meet no others.
+    other = F.xxhash64("class", F.lit(SHORT_SHINGLE))
+    nodes = classes.select("class", F.lit(SHINGLE).alias("width"), "n", "bands", "first")
+    if short:
+        nodes = nodes.unionByName(classes.filter("n2 IS NOT NULL").select(
+            other.alias("class"), F.lit(SHORT_SHINGLE).alias("width"), F.col("n2").alias("n"),
+            F.col("bands2").alias("bands"), "first"))
+    keys = nodes.select("class", F.explode("bands").alias("key"))
+    sizes = nodes.select("class", "n")
     num, den = share
 
     def verify(pairs: DataFrame, label: str) -> DataFrame:
@@ -177,7 +205,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         p = stored(p.filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b"),
                    f"{label}-pairs")
         need = p.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        at = stored(classes.join(need, "class").select("class", "first.doc_id", "first.t", "first.line_no"),
+        at = stored(nodes.join(need, "class").select("class", "width", "first.doc_id", "first.t", "first.line_no"),
                     f"{label}-places")
         ids = at.select(F.col("doc_id").alias("need_id"), F.col("t").alias("need_t")).distinct()
         if at.count() <= broadcast_rows:
@@ -185,11 +213,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("need_id"))
                          & (F.xxhash64("text") == F.col("need_t")), "left_semi")
-        at = at.select("class", F.col("doc_id").alias("a_id"), F.col("t").alias("a_t"), F.col("line_no").alias("a_no"))
+        at = at.select("class", "width", F.col("doc_id").alias("a_id"), F.col("t").alias("a_t"),
+                       F.col("line_no").alias("a_no"))
         texts = (_lines(some, "doc_id", "text")
                  .join(at, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("t") == F.col("a_t"))
                        & (F.col("line_no") == F.col("a_no")))
-                 .select("class", "line"))
+                 .select("class", "width", "line"))
         sets = stored(line_sets(texts).dropDuplicates(["class"]), f"{label}-sets")
         both = (p.join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
                 .join(sets.select(F.col("class").alias("b"), F.col("s").alias("sb")), "b"))
@@ -200,6 +229,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = banded_components(keys, sizes, share, verify, "line")
     c = (classes.select("class", "first").join(parts.withColumnRenamed("id", "class"), "class", "left")
          .withColumn("component", F.coalesce("component", "class")))
+    if short:       # components of the two kinds that share a class are one
+        both = c.select(other.alias("id"), F.col("component").alias("a")).join(
+            parts.withColumnRenamed("component", "b"), "id").select("a", "b")
+        one = components(stored(both.distinct(), "line-both"), "line-whole")
+        c = (c.withColumnRenamed("component", "id").join(one, "id", "left")
+             .select("class", "first", F.coalesce("component", "id").alias("component")))
     kept = stored(c.groupBy("component").agg(F.min("first").alias("keep")).join(c.select("component", "class"), "component")
                   .select("class", "keep"), "line-kept")
     return (d.select("doc_id", "t", "line_no", "class").join(kept, "class")

@@ -10,7 +10,7 @@ from strandline.llm.chat_format import format_conversations, read_conversations
 from strandline.llm.common import read, stored, word_count
 from strandline.llm.decontaminate import leaks
 from strandline.llm.lang_id import held_out, identify, train
-from strandline.llm.line_dedup import line_report
+from strandline.llm.line_dedup import SHORT_CHARS, line_report
 from strandline.llm.mixing import mix
 from strandline.llm.near_dup import near_duplicates
 from strandline.llm.quality_rules import judge
@@ -80,7 +80,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(read(spark, sf_dir, "documents"))
+    return line_report(read(spark, sf_dir, "documents"), short=SHORT_CHARS)
 
 
 QUERIES = {

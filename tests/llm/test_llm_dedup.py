@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import near_dup as nd
 from strandline.llm.decontaminate import leaks, without_leaks
-from strandline.llm.line_dedup import line_report, repeated_lines, without_repeated_lines
+from strandline.llm.line_dedup import SHORT_CHARS, line_report, repeated_lines, without_repeated_lines
 
 from .helpers import groups, word_list
 
@@ -240,3 +240,36 @@ def test_lines_match_brute_force(spark):
     out = {r["doc_id"]: r["text"] for r in without_repeated_lines(df).collect()}
     assert out[80] is None and out[82] in (docs[-1][1].split("\n")[0], "")
     assert line_report(df.limit(0)).count() == 0
+
+
+def test_short_lines_that_differ_by_a_word_or_a_character(spark):
+    rng = random.Random(12)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    words = lambda n: " ".join("".join(rng.choice(abc) for _ in range(5)) for _ in range(20))[:n - 1] + "."
+    lines = []
+    for n in (40, 44, 49, 55, 59, 60, 65, 70, 79, 80, 128, 129):
+        x = words(n)
+        k = n // 2
+        word = x[:12] + "no" + x[14:]       # a word of two letters against another
+        lines += [x, x[:k] + "X" + x[k + 1:], x[:k] + x[k + 1:], word, word[:12] + "se" + word[14:], x[:-1] + "!"]
+    docs = list(enumerate(lines)) + [(900, "ab\nab c\nabcd\nabcde\nab")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    places = [((d, k), x) for d, t in docs for k, x in enumerate(t.split("\n"))]
+    u = sorted({x for _, x in places})
+
+    def alike(x, y, w):
+        a, b = (frozenset(z[i:i + w] for i in range(max(1, len(z) - w + 1))) for z in (x, y))
+        return 10 * len(a & b) >= 8 * len(a | b)
+    edges = [(x, y) for i, x in enumerate(u) for y in u[i + 1:]
+             if alike(x, y, 8) or (max(len(x), len(y)) <= 128 and alike(x, y, 5))]
+    g = groups(edges)
+    first = {}
+    for p, x in places:
+        first.setdefault(g.get(x, x), p)
+    want = {p: first[g.get(x, x)] == p for p, x in places}
+    got = {(r["doc_id"], r["line_no"]): r["kept"] for r in repeated_lines(df, short=SHORT_CHARS).collect()}
+    assert got == want
+    at = {n: 6 * i for i, n in enumerate((40, 44, 49, 55, 59, 60, 65, 70, 79, 80))}
+    assert not any(got[at[n] + 1, 0] for n in (49, 55, 59, 60, 65, 70, 79, 80))      # one character
+    plain = {(r["doc_id"], r["line_no"]): r["kept"] for r in repeated_lines(df).collect()}
+    assert plain[at[59] + 1, 0] and sum(plain.values()) > sum(got.values())
