@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandline.llm import line_dedup
 from strandline.llm import near_dup as nd
 from strandline.llm.decontaminate import leaks, without_leaks
 from strandline.llm.line_dedup import SHORT_CHARS, line_report, repeated_lines, without_repeated_lines
@@ -273,3 +274,13 @@ def test_short_lines_that_differ_by_a_word_or_a_character(spark):
     assert not any(got[at[n] + 1, 0] for n in (49, 55, 59, 60, 65, 70, 79, 80))      # one character
     plain = {(r["doc_id"], r["line_no"]): r["kept"] for r in repeated_lines(df).collect()}
     assert plain[at[59] + 1, 0] and sum(plain.values()) > sum(got.values())
+
+
+def test_bands_of_short_lines_miss_few_pairs():
+    rng = np.random.default_rng(5)
+    n, common, trials = 51, 46, 20000       # a similarity of 46 / 56
+    h = rng.integers(0, 1 << 64, (trials, 2 * n - common), dtype=np.uint64)
+    line = np.repeat(np.arange(trials), n)
+    with np.errstate(over="ignore"):
+        a, b = (line_dedup._band_keys(x.ravel(), line, trials)[1] for x in (h[:, :n], h[:, n - common:]))
+    assert (~(a == b).any(axis=1)).sum() <= 20
