@@ -21,10 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bounds of the sample, the only labelled rows that are collected: so many
-#: texts of each language, so many characters of each, so many languages.
+#: texts of each language, so many characters of each. Every label is learned.
 SAMPLE_TEXTS = 160
 SAMPLE_CHARS = 340
-LANGUAGES = 200
 DICTIONARY_BYTES = 48 * 1024
 BLOCK = 2048            # bytes compressed at a time
 MARGIN = 0.005          # of the smallest size
@@ -48,7 +47,7 @@ def held_out(id_col: str) -> Column:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
           texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
     """A dictionary for each language of the labelled rows of ``docs``, the
-    most frequent first.
+    most frequent first, however many there are.
 
     The sample is drawn by a hash of the text, ``texts`` of each language (twice
     that are asked for, of its distinct texts, and the smallest hashes kept); of
@@ -62,12 +61,14 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     # A text repeated by a third of all rows is one row after the first aggregate.
     each = d.groupBy("lang", "u").agg(F.count(F.lit(1)).alias("c"))
     seen = (each.groupBy("lang").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("texts"))
-            .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+            .orderBy(F.desc("n"), "lang").collect())
     if not seen:
         return {}
-    rate = F.create_map(*[F.lit(x) for r in seen for x in (r["lang"], min(1.0, 2.0 * texts / r["texts"]))])
+    # joined, not a map in the plan, which would be searched from its start for each row
+    rate = F.broadcast(docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, 2.0 * texts / r["texts"])) for r in seen], "lang string, rate double"))
     part = F.substring("text", F.greatest(F.lit(1), ((F.length("text") - chars) / 2).cast("int")), F.lit(chars))
-    got = (d.filter(F.col("u") < F.coalesce(F.element_at(rate, F.col("lang")), F.lit(0.0)))
+    got = (d.join(rate, "lang").filter(F.col("u") < F.col("rate"))
            .select("lang", "u", part.alias("part")).groupBy("lang", "u")
            .agg(F.min("part").alias("part")))
     first = Window.partitionBy("lang").orderBy("u")

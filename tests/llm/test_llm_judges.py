@@ -112,6 +112,12 @@ def test_copies_of_one_text_do_not_thin_the_sample(spark):
     assert len(train(df.unionByName(more))["cc"].split()) == SAMPLE_TEXTS
 
 
+def test_every_label_is_learned(spark):
+    label = F.concat(F.lit("l"), F.col("id").cast("string"))
+    df = spark.range(230).select(label.alias("lang"), F.concat(F.lit("word "), label).alias("text"))
+    assert set(train(df)) == {f"l{i}" for i in range(230)}
+
+
 # -- quality --------------------------------------------------------------
 
 def plain_counts(text):
