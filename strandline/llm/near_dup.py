@@ -213,7 +213,7 @@ def _fingerprint(s):
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n, f1, f2, regs); nulls and n = 0
+    """(doc_id, t, text) -> (doc_id, t, n, f1, f2, regs); nulls and n = 0
     for a text without words."""
     def run(batches):
         with np.errstate(over="ignore"):
@@ -231,10 +231,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     f2.append(y)
                     regs.append(_registers(s, tables[3]).astype("<u2").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
+                    [batch.column("doc_id"), batch.column("t"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
                      pa.array(f2, pa.int64()), pa.array(regs, pa.binary())],
-                    names=["doc_id", "n", "f1", "f2", "regs"])
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {SKETCH}")
+                    names=["doc_id", "t", "n", "f1", "f2", "regs"])
+    return docs.select("doc_id", "t", "text").mapInArrow(run, f"doc_id long, t long, {SKETCH}")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -317,19 +317,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are always kept. Rows that repeat an id are linked each by its own text.
     An empty table gives an empty result.
     """
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("t"),
+                    F.col(text_col).alias("text"))
     rows = stored(sketches(d, width).withColumn(
         "class", F.when(F.col("n") > 0, F.xxhash64("n", "f1", "f2"))), "near-sketches")
     # ``regs`` is a function of the set, so any copy's will do.
     classes = stored(rows.filter(F.col("class").isNotNull()).groupBy("class")
-                     .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+                     .agg(F.min("doc_id").alias("doc_id"),
+                          F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t"))["t"].alias("t"),
+                          F.first("n").alias("n"),
                           F.first("regs").alias("regs")), "near-classes")
 
     def texts(need: DataFrame) -> DataFrame:
-        """One text of each class in ``need``, found by its document's id."""
+        """One text of each class in ``need``, found by its document's id and
+        a hash of the text, so that rows that share an id are told apart."""
         named = classes.join(need, "class")
-        named = named.select(F.col("doc_id").alias("c_id"), F.col("class").alias("key"))
-        found = d.join(named, F.col("doc_id").eqNullSafe(F.col("c_id")))
+        named = named.select(F.col("doc_id").alias("c_id"), F.col("t").alias("c_t"), F.col("class").alias("key"))
+        found = d.join(named, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("t") == F.col("c_t")))
         return found.select("key", "text")
 
     def verify(pairs: DataFrame, label: str) -> DataFrame:

@@ -284,3 +284,21 @@ def test_bands_of_short_lines_miss_few_pairs():
     with np.errstate(over="ignore"):
         a, b = (line_dedup._band_keys(x.ravel(), line, trials)[1] for x in (h[:, :n], h[:, n - common:]))
     assert (~(a == b).any(axis=1)).sum() <= 20
+
+
+def test_rows_that_share_an_id_are_read_once_a_class(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = []
+    for i in range(60):
+        w = [f"w{rng.randrange(10 ** 6)}" for _ in range(30)]
+        docs += [(None if i % 2 else 7, " ".join(w)), (None if i % 2 else 7, " ".join(w[:-1]))]
+    read = []
+    plain = nd.sets_of
+
+    def counted(texts, width):
+        read.append((texts.count(), texts.select("key").distinct().count()))
+        return plain(texts, width)
+    monkeypatch.setattr(nd, "sets_of", counted)
+    got = nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == 120 and sum(r["component_id"] == 7 for r in got) == 60
+    assert read and all(n == keys for n, keys in read)
