@@ -10,11 +10,14 @@ from strandline.llm.chat_format import format_conversations, read_conversations
 from strandline.llm.common import read, stored, word_count
 from strandline.llm.decontaminate import leaks
 from strandline.llm.lang_id import held_out, identify, train
+from strandline.llm.lexical_search import search
 from strandline.llm.line_dedup import SHORT_CHARS, line_report
 from strandline.llm.mixing import mix
 from strandline.llm.near_dup import near_duplicates
 from strandline.llm.quality_rules import judge
+from strandline.llm.rule_ensemble import classify
 from strandline.llm.secret_scan import find_secrets, joined
+from strandline.llm.spelling_groups import spelling_groups
 from strandline.llm.token_files import token_digests
 from strandline.llm.warc import read_archives, write_archives
 
@@ -83,6 +86,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read(spark, sf_dir, "documents"), short=SHORT_CHARS)
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
@@ -94,6 +109,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_groups": op13_spelling_groups,
 }
 
 ORACLES: dict[str, str] = {
@@ -167,4 +185,24 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\
 SELECT doc_id, item_id, item_shingles, count(*) AS common, count(*) / item_shingles AS containment
 FROM dg JOIN ig USING (k, g) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, item_shingles HAVING 10 * count(*) >= 8 * item_shingles""",
+    "op12_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+     q AS (SELECT item_id, term, count(*) AS times
+           FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+     c AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS total FROM d),
+     p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d)
+           WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3, 4),
+     w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+           FROM p, c GROUP BY term, n_docs),
+     s AS (SELECT q.item_id, p.r, p.doc_id,
+                  sum(q.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * p.n * c.n_docs) // c.total))))
+                  ::BIGINT AS score
+           FROM q JOIN p USING (term) JOIN w USING (term), c GROUP BY 1, 2, 3),
+     k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+                  doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20""",
 }
