@@ -10,11 +10,14 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.functions.fit import (ENTRIES, castable, conform, held, misfit, parsed, restore, root,
+                                      text_of)
+from strandline.functions.lattice import is_nested, relaxed
+
 RESCUED = "_rescued_data"
 SOURCE_FILE = "_source_file"
 INGESTION_TIME = "_ingestion_time"
@@ -30,15 +33,10 @@ _SIMPLE_TYPES = {
 }
 _NEW = "__sl_new_rescued"
 _BOTH = "__sl_both_rescued"
-_ENTRIES = "array<struct<key:string,value:string>>"
 _MAP_COL = "__sl_map"
 _LEFT = "__sl_left"
 _NAMES = "__sl_resolved"
 _MAP = "map<string,string>"
-_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-#: Types whose values can be cast to one another and compared.
-_PLAIN = (*_INTEGRAL, T.DoubleType, T.FloatType, T.DecimalType, T.BooleanType, T.DateType,
-          T.TimestampType, T.TimestampNTZType)
 
 
 def to_type(t) -> T.DataType:
@@ -92,96 +90,24 @@ def lineage(df: DataFrame, file_col: str | None = "_metadata.file_path",
 # W4 capture: values that do not fit their column's type
 # ---------------------------------------------------------------------------
 
-def _misfit(src: Column, src_type: T.DataType, cast: Column, dst_type: T.DataType) -> Column:
-    """True where a non-NULL source value does not survive the cast there
-    and back.
-
-    Text is held to the value it states, not to its spelling: '1.50' fits a
-    double and 'yes' a boolean, but a number with more digits than a decimal,
-    float or double column keeps, or a time of day in a date column, is a misfit. A value
-    always fits text. A nested value is a misfit if an element, key or field
-    of it is, or if its fields have other names.
-    """
-    lost = cast.isNull()
-    if src_type == dst_type:
-        return F.lit(False)
-    if isinstance(src_type, T.ArrayType) and isinstance(dst_type, T.ArrayType):
-        lost = lost | _any_misfit(src, src_type.elementType, cast, dst_type.elementType)
-    elif isinstance(src_type, T.MapType) and isinstance(dst_type, T.MapType):
-        lost = (lost | _any_misfit(F.map_keys(src), src_type.keyType, F.map_keys(cast), dst_type.keyType)
-                | _any_misfit(F.map_values(src), src_type.valueType, F.map_values(cast), dst_type.valueType)
-                | (F.size(F.array_distinct(F.map_keys(cast))) < F.size(src)))
-    elif isinstance(src_type, T.StructType) and isinstance(dst_type, T.StructType):
-        # Spark casts a struct by place
-        if [f.name.lower() for f in src_type] != [f.name.lower() for f in dst_type]:
-            return src.isNotNull()
-        for f, g in zip(src_type, dst_type):
-            lost = lost | _misfit(src.getField(f.name), f.dataType, cast.getField(g.name), g.dataType)
-    elif isinstance(src_type, T.StringType):
-        if isinstance(dst_type, T.DecimalType):
-            wide = T.DecimalType(38, min(18, max(dst_type.scale, 18)))
-            lost = lost | ~src.try_cast(wide).eqNullSafe(cast.cast(wide))
-        elif isinstance(dst_type, T.DateType):
-            lost = lost | ~F.coalesce(src.try_cast(T.TimestampNTZType()) == cast.cast(T.TimestampNTZType()),
-                                      F.lit(True))
-        elif isinstance(dst_type, (T.DoubleType, T.FloatType)):
-            lost = lost | ~_digits_kept(src, cast, dst_type)
-    elif isinstance(src_type, _PLAIN) and isinstance(dst_type, _PLAIN):
-        lost = lost | ~cast.try_cast(src_type).eqNullSafe(src)
-    return src.isNotNull() & lost
-
-
-def _any_misfit(src: Column, src_type: T.DataType, cast: Column, dst_type: T.DataType) -> Column:
-    """True where an element of an array is a misfit."""
-    both = F.zip_with(src, cast, lambda a, b: _misfit(a, src_type, b, dst_type))
-    return F.coalesce(F.exists(both, lambda x: x), F.lit(False))
-
-
-def _digits_kept(src: Column, cast: Column, dst_type: T.DataType) -> Column:
-    """True where a float or double states the number that its text did: the
-    text's significant digits are those of the number's own text, or so few
-    that every normal number keeps them. Overflow and underflow keep none."""
-    few, least = (15, 2.2250738585072014e-308) if isinstance(dst_type, T.DoubleType) else (6, 1.1754943508222875e-38)
-
-    def digits(text: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(text, "[eE].*$|[^0-9]", ""), "^0+|0+$", "")
-    normal = (F.abs(cast) >= F.lit(least)) & (F.abs(cast) < F.lit(float("inf")))
-    return (F.when((F.length(src) <= few) & ~src.rlike("[eEpP]"), F.lit(True))
-            .otherwise((digits(src) == digits(cast.cast(T.StringType())))
-                       | (normal & (F.length(digits(src)) <= few))))
-
-
-def _castable(df: DataFrame, name: str, dst_type: T.DataType) -> bool:
-    """Whether Spark knows a cast of the column to the type at all."""
-    try:
-        df.select(col(name).try_cast(dst_type)).schema  # noqa: B018  (analysis only)
-        return True
-    except AnalysisException:
-        return False
-
-
-def _text_of(name: str, src_type: T.DataType) -> Column:
-    """A value as text: nested values as JSON."""
-    if isinstance(src_type, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(col(name))
-    return col(name).cast(T.StringType())
-
-
 def capture(df: DataFrame, target: Mapping[str, object],
             rescued_col: str = RESCUED) -> DataFrame:
     """Line ``df`` up with ``target`` (column -> type) in one ``select``.
 
     Columns named in ``target`` are cast with ``try_cast``; a non-NULL value
     that does not fit becomes NULL and its original text goes into the
-    rescued JSON object under the column name. Columns not in ``target``
-    pass through unchanged; a column mapped to ``None`` is dropped and its
-    text rescued. An incoming rescued object is kept, merged with
-    the new captures (new text wins on a repeated name); incoming text that
-    is not an object is kept under the rescued column's name. No value is
-    lost.
+    rescued JSON object under the column name. Of a nested value only the
+    parts that do not fit become NULL, each with an entry under its address
+    (``info.s``, ``tags[2]``, see ``fit``); fields new to the value are NULL
+    where it has none. Columns not in ``target`` pass through unchanged; a column
+    mapped to ``None`` is dropped and its text rescued. An incoming rescued
+    object is kept, merged with the new captures (new text wins on a repeated
+    name); incoming text that is not an object is kept under the rescued
+    column's name. No value is lost.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
-    out, entries = [], []
+    names = list(schema)
+    out, entries, nested = [], [], []
     for name, src_type in schema.items():
         if name == rescued_col:
             continue
@@ -190,27 +116,34 @@ def capture(df: DataFrame, target: Mapping[str, object],
             continue
         if target[name] is None:
             # a column the table does not take (evolution off): text only
-            entries.append((name, _text_of(name, src_type)))
+            entries.append((name, text_of(col(name), src_type)))
             continue
         dst_type = to_type(target[name])
-        if src_type == dst_type:
+        if src_type == dst_type or relaxed(src_type) == relaxed(dst_type):
             out.append(col(name))
             continue
-        if not _castable(df, name, dst_type):
-            # such as a struct that has gained a field: the whole value as JSON
+        if is_nested(src_type) and is_nested(dst_type):
+            value, missed = conform(col(name), relaxed(src_type), relaxed(dst_type), F.lit(root(name, names)))
+            out.append(value.alias(name))
+            nested.append(missed)
+            continue
+        if isinstance(dst_type, T.StringType):
+            out.append(text_of(col(name), src_type).alias(name))
+            continue
+        if not castable(src_type, dst_type):
             out.append(F.lit(None).cast(dst_type).alias(name))
-            entries.append((name, _text_of(name, src_type)))
+            entries.append((name, text_of(col(name), src_type)))
             continue
         cast = col(name).try_cast(dst_type)
-        miss = _misfit(col(name), src_type, cast, dst_type)
+        miss = misfit(col(name), src_type, cast, dst_type)
         out.append(F.when(~miss, cast).alias(name))       # a misfit leaves the column NULL
-        entries.append((name, F.when(miss, _text_of(name, src_type))))
+        entries.append((name, F.when(miss, text_of(col(name), src_type))))
     had = rescued_col in schema
-    if not entries:
+    if not entries and not nested:
         rescued = col(rescued_col) if had else F.lit(None).cast(T.StringType())
         return df.select(*out, rescued.alias(rescued_col))
-    any_miss = reduce(lambda a, b: a | b, [t.isNotNull() for _, t in entries])
-    if not had:
+    any_miss = reduce(lambda a, b: a | b, [t.isNotNull() for _, t in entries]) if entries else F.lit(False)
+    if not had and not nested:
         # fast path: to_json of a struct leaves out NULL fields; clean rows
         # (no misfit) build nothing
         obj = F.struct(*[t.alias(n) for n, t in entries])
@@ -219,23 +152,26 @@ def capture(df: DataFrame, target: Mapping[str, object],
     # Step 1 computes the new captures under a private name; step 2 merges
     # them into the incoming object. (A lambda must not see a same-named
     # alias of the select it sits in.)
-    new = F.when(any_miss, F.filter(
+    none = F.array().cast(ENTRIES)
+    new = none if not entries else F.when(any_miss, F.filter(
         F.array(*[F.struct(F.lit(n).alias("key"), t.alias("value")) for n, t in entries]),
-        lambda e: e["value"].isNotNull()))
-    staged = df.select(*out, col(rescued_col), new.alias(_NEW))
+        lambda e: e["value"].isNotNull())).otherwise(none)
+    new = F.concat(new, *nested) if nested else new
+    raw = col(rescued_col) if had else F.lit(None).cast(T.StringType())
+    staged = df.select(*out, raw.alias(rescued_col), new.cast(ENTRIES).alias(_NEW))
     raw = col(rescued_col)
     old = F.map_entries(rescued_map(rescued_col))
     # incoming text that is not a JSON object is kept whole under the rescued
     # column's own name (no captured column can have that name)
     kept_text = F.array(F.struct(F.lit(rescued_col).alias("key"), raw.alias("value")))
-    both = F.concat(F.when(raw.isNull(), F.array().cast(_ENTRIES)).otherwise(F.coalesce(old, kept_text)),
-                    F.col(_NEW))
+    both = F.concat(F.when(raw.isNull(), none).otherwise(F.coalesce(old, kept_text)), F.col(_NEW))
     # Entries, not maps, are joined: a name may come twice (in the incoming
     # text, or there and here), and then its last text wins.
-    staged = staged.select(*[col(c) for c in staged.columns], both.cast(_ENTRIES).alias(_BOTH))
-    names = F.transform(F.col(_BOTH), lambda e: e["key"])
-    last = F.filter(F.col(_BOTH), lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
-    json = F.when(F.col(_NEW).isNull(), raw).otherwise(F.to_json(F.map_from_entries(last)))
+    staged = staged.select(*[col(c) for c in staged.columns],
+                           F.when(F.size(_NEW) > 0, both).cast(ENTRIES).alias(_BOTH))
+    keys = F.transform(F.col(_BOTH), lambda e: e["key"])
+    last = F.filter(F.col(_BOTH), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    json = F.when(F.size(_NEW) == 0, raw).otherwise(F.to_json(F.map_from_entries(last)))
     return staged.select(*[col(c) for c in staged.columns if c not in (_NEW, _BOTH, rescued_col)],
                          json.cast(T.StringType()).alias(rescued_col))
 
@@ -272,29 +208,38 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
     schema = {f.name: f.dataType for f in df.schema.fields}
     base = [c for c in df.columns]
     raw = col(rescued_col)
-    if residual == "keep":
-        # the whole object as a map: entries not recovered must be kept
-        parsed = rescued_map(rescued_col)
+    whole = residual == "keep" or any(is_nested(t) for t in dtypes.values())
+    if whole:
+        # the whole object as a map: entries not recovered must be kept, and
+        # those of nested values stand under addresses
+        taken = rescued_map(rescued_col)
     else:
         # only the wanted names, as a struct: faster to parse than a map
-        parsed = F.from_json(raw, T.StructType([T.StructField(n, T.StringType()) for n in dtypes]))
+        taken = F.from_json(raw, T.StructType([T.StructField(n, T.StringType()) for n in dtypes]))
     # stage 1: parse once (NULL outside the guard, so those rows stay as they are)
     s1 = df.select(*[col(c) for c in base],
-                   (parsed if guard is None else F.when(guard, parsed)).alias(_MAP_COL))
+                   (taken if guard is None else F.when(guard, taken)).alias(_MAP_COL))
     m = F.col(_MAP_COL)
+    at = {n: F.lit(root(n, base)) if is_nested(dtypes[n]) else F.lit(n) for n in dtypes}
 
     def have(n: str) -> Column:
         return col(n) if schema[n] == dtypes[n] else col(n).try_cast(dtypes[n])
 
     def found(n: str) -> Column:
-        text = m.getItem(n) if residual == "keep" else m.getField(n)
-        return text.try_cast(dtypes[n])
+        return parsed(m.getItem(n) if whole else m.getField(n), dtypes[n])
+
+    def recovered(n: str) -> Column:
+        if is_nested(dtypes[n]):
+            old = F.when(m.isNotNull(), restore(col(n), relaxed(schema[n]), relaxed(dtypes[n]), at[n], m))
+            keep = col(n) if relaxed(schema[n]) == relaxed(dtypes[n]) else \
+                conform(col(n), relaxed(schema[n]), relaxed(dtypes[n]), at[n])[0]
+            return F.coalesce(old, keep)
+        return F.coalesce(have(n), found(n))
 
     # stage 2: recovered columns
     out2 = []
     for name in base:
-        out2.append(F.coalesce(have(name), found(name)).alias(name) if name in dtypes
-                    else col(name))
+        out2.append(recovered(name).alias(name) if name in dtypes else col(name))
     out2 += [found(n).alias(n) for n in dtypes if n not in schema]
     if residual != "none":
         out2.append(m)
@@ -303,10 +248,8 @@ def recover(df: DataFrame, types: Mapping[str, object], residual: str = "none",
         # stage 3: an entry is resolved when its text casts to the column's
         # type and equals the column's value after recovery (it was empty,
         # or already held that value); the rest stays rescued
-        names = F.array_compact(F.array(*[
-            F.when(found(n).isNotNull() & (col(n) == found(n)), F.lit(n)) for n in dtypes]))
         left = F.map_filter(m, lambda k, v: ~F.array_contains(F.col(_NAMES), k))
-        s2 = (s2.select(*[col(c) for c in s2.columns], names.alias(_NAMES))
+        s2 = (s2.select(*[col(c) for c in s2.columns], _resolved(dtypes, base, m).alias(_NAMES))
               .select(*[col(c) for c in s2.columns], left.alias(_LEFT)))
     cols = [c for c in s2.columns if c not in (_MAP_COL, _LEFT)]
     if residual == "none":
@@ -340,18 +283,25 @@ def unrecovered_flag(df: DataFrame, types: Mapping[str, object], name: str,
                        F.when(raw.isNotNull(), rescued_map(rescued_col)).alias(_MAP_COL))
     m = F.col(_MAP_COL)
 
-    def held(k: Column, v: Column) -> Column:
-        out = F.lit(False)
-        for n, t in dtypes.items():
-            out = out | ((k == F.lit(n)) & v.try_cast(t).isNotNull() & (col(n) == v.try_cast(t)))
-        return out
-
+    staged = staged.select(*[col(c) for c in staged.columns], _resolved(dtypes, df.columns, m).alias(_NAMES))
     flag = F.when(raw.isNull(), F.lit(False)).when(m.isNull(), F.lit(True)) \
-        .otherwise(F.exists(F.map_entries(m),
-                            lambda e: ~held(e["key"], e["value"])))
+        .otherwise(F.exists(F.map_keys(m), lambda k: ~F.array_contains(F.col(_NAMES), k)))
     return staged.select(*[col(c) for c in df.columns], flag.alias(name))
 
 
+def _resolved(dtypes: Mapping[str, T.DataType], columns: Iterable[str], m: Column) -> Column:
+    """The names and addresses in the rescued map whose text states the value
+    that their column now holds."""
+    columns = list(columns)
+    flat = F.array_compact(F.array(*[F.when(col(n) == m.getItem(n).try_cast(t), F.lit(n))
+                                     for n, t in dtypes.items() if not is_nested(t)])).cast("array<string>")
+    nested = [held(col(n), t, F.lit(root(n, columns)), m) for n, t in dtypes.items() if is_nested(t)]
+    # a nested value rescued whole stands under the plain name
+    nested += [F.when(F.to_json(col(n)) == F.to_json(parsed(m.getItem(n), t)), F.array(F.lit(n)))
+               .otherwise(F.array().cast("array<string>")) for n, t in dtypes.items() if is_nested(t)]
+    return F.concat(flat, *nested) if nested else flat
+
+
 def clear_rescued(df: DataFrame, rescued_col: str = RESCUED) -> DataFrame:
     """W12 in the source system's form: the rescued value becomes a string NULL."""
     return df.withColumn(rescued_col, F.lit(None).cast(T.StringType()))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions.columns import BATCH_ID, capture, col, to_type
+from strandline.functions.lattice import relaxed, widened
 
 
 def _missing_path(e: Exception) -> bool:
@@ -123,12 +124,7 @@ class ParquetTable:
             if self._empty:     # first write into a new table: its schema is this one
                 self._schema, self._empty = self._layout(df.schema), False
             return              # otherwise learnt from the files on the next read
-        known = {f.name for f in self._schema.fields}
-        extra = [f for f in df.schema.fields if f.name not in known]
-        if extra:
-            data = [f for f in self._schema.fields if f.name not in self.partition_cols]
-            parts = [f for f in self._schema.fields if f.name in self.partition_cols]
-            self._schema = T.StructType(data + extra + parts)
+        self._schema = evolved(self._schema, df.schema, self.partition_cols)
 
     def exists(self, spark: SparkSession) -> bool:
         """Whether the table has data. Looks for the commit marker our writes
@@ -247,16 +243,34 @@ class ParquetTable:
         return True
 
 
+def evolved(table: T.StructType, batch: T.StructType, partition_cols=()) -> T.StructType:
+    """The table's schema after a batch: new columns follow the data columns,
+    and a column takes the batch's type where older files can be read by it
+    (new struct fields, wider numbers). Partition columns stay last."""
+    new = {f.name: f.dataType for f in batch.fields}
+
+    def grown(f: T.StructField) -> T.StructField:
+        if f.name in partition_cols or f.name not in new:
+            return f
+        t = widened(relaxed(f.dataType), relaxed(new[f.name]))
+        return f if t == relaxed(f.dataType) else T.StructField(f.name, t, True)
+    known = {f.name for f in table.fields}
+    data = [grown(f) for f in table.fields if f.name not in partition_cols]
+    extra = [f for f in batch.fields if f.name not in known]
+    return T.StructType(data + extra + [f for f in table.fields if f.name in partition_cols])
+
+
 def align_to_table(df: DataFrame, table_schema: T.StructType | None) -> DataFrame:
-    """Keep a column already in the table at the table's type, so the
-    table's files keep one schema. A value that does not fit that type is
-    captured into the rescued column (see ``capture``), never just nulled.
-    All-NULL columns of no type take the table's type (or string)."""
+    """Keep a column already in the table at the table's type, widened where
+    older files can be read so (``evolved``), so that one schema reads all
+    files. A value that does not fit that type is captured into the rescued
+    column (see ``capture``), never just nulled. All-NULL columns of no type
+    take the table's type (or string)."""
     if table_schema is None:
         return df
     types = {f.name: f.dataType for f in table_schema.fields}
     fixed = df.select(*[col(f.name).cast(types.get(f.name, T.StringType())).alias(f.name)
                         if f.dataType == T.NullType() else col(f.name) for f in df.schema.fields])
-    differing = {f.name: types[f.name] for f in fixed.schema.fields
-                 if f.name in types and types[f.name] != f.dataType}
+    target = {f.name: widened(relaxed(types[f.name]), relaxed(f.dataType)) for f in fixed.schema.fields if f.name in types}
+    differing = {n: t for n, t in target.items() if t != relaxed(fixed.schema[n].dataType)}
     return capture(fixed, differing) if differing else fixed

@@ -51,13 +51,41 @@ ORACLES = {
                CASE WHEN l_linenumber % 2 = 0 THEN 9007199254740992 END AS big,
                CASE WHEN l_linenumber % 2 = 0 THEN DATE '2024-01-01' END AS day,
                CASE WHEN l_linenumber % 2 = 0 THEN round(l_quantity) END AS price,
+               CASE WHEN l_linenumber % 2 = 0 THEN '1234567890123' || lpad(l_orderkey::VARCHAR, 10, '0') END AS code,
+               CASE WHEN l_linenumber % 2 = 0 THEN '0.0000000001' || lpad(l_orderkey::VARCHAR, 10, '0') END AS rate,
+               CASE WHEN l_linenumber % 3 = 2 THEN '2024-01-02 10:30:00.123456' END AS at,
+               CASE WHEN l_linenumber % 2 = 1 THEN '1234567890123' || lpad(l_orderkey::VARCHAR, 10, '0') || '.5' END AS code_text,
+               CASE WHEN l_linenumber % 2 = 1 THEN '0.0000000001' || lpad(l_orderkey::VARCHAR, 10, '0') || '7' END AS rate_text,
+               CASE l_linenumber % 3 WHEN 0 THEN '10:30' WHEN 1 THEN '2024-01-02 10:30:00.1234567' END AS at_text,
                l_linenumber % 3 = 2 AS flag_rescued, l_linenumber % 2 = 1 AS big_rescued,
                l_linenumber % 2 = 1 AS day_rescued, l_linenumber % 2 = 1 AS price_rescued
         FROM lineitem""",
+    "capture_nested": """
+        SELECT o_orderkey,
+               '{' || CASE WHEN o_orderkey % 3 <> 0 THEN '"c":' || o_custkey || ',' ELSE '' END
+                   || '"tags":[' || o_orderkey || ',null,7]}' AS kept,
+               (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END
+                + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END)::BIGINT AS misfits,
+               CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE o_custkey::VARCHAR END AS c,
+               CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END AS tag,
+               CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE '1.5' END AS m, false AS is_rescued
+        FROM orders""",
     "nested_evolution": """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_custkey END AS c,
-               CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS rescued_s
+        SELECT o_orderkey, o_custkey AS c, CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS s,
+               CASE WHEN o_orderkey % 3 = 1 THEN 2 ELSE 1 END::BIGINT AS n_parts, o_custkey AS part_c,
+               CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS part_s, CAST(NULL AS VARCHAR) AS _rescued_data
         FROM orders""",
+    "arrival_order": """
+        SELECT arrival, 'o_orderkey:bigint,n:decimal(22,2),d:timestamp_ntz,t:string,s:struct<a:bigint,b:string>' AS columns,
+               o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice ELSE o_orderkey END::DOUBLE AS n,
+               o_orderdate::DATE AS d,
+               CASE o_orderkey % 3 WHEN 0 THEN o_orderstatus WHEN 1 THEN o_custkey::VARCHAR ELSE 'true' END AS t,
+               CASE WHEN o_orderkey % 3 <> 1 THEN o_orderkey END AS a,
+               CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS b, CAST(NULL AS VARCHAR) AS _rescued_data
+        FROM orders, (VALUES ('forward'), ('backward')) v(arrival)
+        UNION ALL
+        SELECT arrival, 'o_orderkey:bigint,n:bigint', o_orderkey, o_orderkey::DOUBLE, NULL, NULL, NULL, NULL, NULL
+        FROM orders, (VALUES ('int_first'), ('long_first')) v(arrival) WHERE o_orderkey % 3 <> 2""",
     "evolving_parquet_load": """
         SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
         FROM orders""",

@@ -135,40 +135,121 @@ def capture_lossy(spark, sf_dir):
     """W4 for casts that would lose something without failing: quantities
     declared boolean, order keys beyond 2^53 declared double, dates with a
     time of day declared date, prices of three digits declared
-    decimal(12,2)."""
+    decimal(12,2); and text with more than 18 places or 20 digits declared
+    decimal, times without a day and digits beyond microseconds declared timestamp."""
     li = table(spark, sf_dir, "lineitem")
     odd = F.col("l_linenumber") % 2
+    key = F.lpad(F.col("l_orderkey").cast("string"), 10, "0")
     d = li.select("l_orderkey", "l_linenumber",
                   (F.col("l_linenumber") % 3).cast("double").alias("flag"),
                   (F.lit(1 << 53) + odd).cast("long").alias("big"),
                   F.timestamp_seconds(F.lit(1704067200) + odd * 3600).alias("day"),
                   (F.round(F.col("l_quantity")).cast("decimal(20,3)") + (odd / 1000).cast("decimal(20,3)"))
-                  .cast("decimal(20,3)").alias("price"))
-    out = capture(d, {"flag": "boolean", "big": "double", "day": "date", "price": "decimal(12,2)"})
+                  .cast("decimal(20,3)").alias("price"),
+                  F.concat(F.lit("1234567890123"), key, F.when(odd == 1, F.lit(".5")).otherwise(F.lit(".0"))).alias("code"),
+                  F.concat(F.lit("0.0000000001"), key, F.when(odd == 1, F.lit("7")).otherwise(F.lit("0"))).alias("rate"),
+                  F.when(F.col("l_linenumber") % 3 == 0, F.lit("10:30"))
+                  .when(F.col("l_linenumber") % 3 == 1, F.lit("2024-01-02 10:30:00.1234567"))
+                  .otherwise(F.lit("2024-01-02 10:30:00.1234560")).alias("at"))
+    out = capture(d, {"flag": "boolean", "big": "double", "day": "date", "price": "decimal(12,2)",
+                      "code": "decimal(38,0)", "rate": "decimal(22,20)", "at": "timestamp_ntz"})
     has = F.from_json(RESCUED, "map<string,string>")
     return out.select("l_orderkey", "l_linenumber", "flag", F.col("big").cast("long").alias("big"), "day",
-                      F.col("price").cast("double").alias("price"),
+                      F.col("price").cast("double").alias("price"), F.col("code").cast("string").alias("code"),
+                      F.col("rate").cast("string").alias("rate"), F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"),
+                      *[has[c].alias(f"{c}_text") for c in ("code", "rate", "at")],
                       *[F.coalesce(F.map_contains_key(has, c), F.lit(False)).alias(f"{c}_rescued")
                         for c in ("flag", "big", "day", "price")])
 
 
+def capture_nested(spark, sf_dir):
+    """W4 by address: orders with a struct, an array and a map of texts, landed
+    under a contract of numbers. Only the parts that do not fit are rescued,
+    each under its address; recovered as text the whole value is back."""
+    o = table(spark, sf_dir, "orders")
+    k, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    info = F.struct(F.when(k % 3 == 0, status).otherwise(F.col("o_custkey").cast("string")).alias("c"),
+                    F.array(k.cast("string"), F.when(k % 4 == 0, status), F.lit("7")).alias("tags"),
+                    F.create_map(status, F.when(k % 5 == 0, F.lit("n/a")).otherwise(F.lit("1.5"))).alias("m"))
+    d = o.select("o_orderkey", info.alias("info"))
+    wide = d.schema["info"].dataType.simpleString()
+    got = capture(d, {"info": "struct<c:bigint,tags:array<bigint>,m:map<string,double>>"})
+    back = recover(got.withColumn("kept", F.col("info")), {"info": wide}, residual="keep")
+    before = F.to_json(F.struct(F.col("kept.c"), F.col("kept.tags")))
+    n = F.size(F.json_object_keys(RESCUED))
+    return (back.join(got.select("o_orderkey", F.coalesce(n, F.lit(0)).cast("long").alias("misfits")), "o_orderkey")
+            .select("o_orderkey", before.alias("kept"), "misfits", F.col("info.c").alias("c"),
+                    F.col("info.tags")[1].alias("tag"), F.element_at("info.m", status_of("info")).alias("m"),
+                    F.col(RESCUED).isNotNull().alias("is_rescued")))
+
+
+def status_of(col):
+    """The one key of the map in a struct column."""
+    return F.map_keys(F.col(f"{col}.m"))[0]
+
+
 def nested_evolution(spark, sf_dir):
-    """Three drops, one stream run each: orders with a struct, the struct
-    grown by a field, and a column whose name differs in case. None stops
-    the stream: the grown struct is rescued as JSON, the name is one column."""
+    """Three drops, one stream run each: orders with a struct and an array of structs, both
+    grown by a field, and a column whose name differs in case. New fields
+    become columns: of later rows, and NULL of earlier ones; the name is one column."""
     root = work_root(spark, "nested_evolution")
     src = f"{root}/landing/orders"
     o = table(spark, sf_dir, "orders")
     ld = _load(spark, ORDERS, src, root)
-    drops = (F.struct(F.col("o_custkey").alias("c")).alias("info"),
-             F.struct(F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s")).alias("info"),
-             F.struct(F.col("o_custkey").alias("c")).alias("INFO"))
-    for k, info in enumerate(drops):
-        write_drop(o.filter(F.col("o_orderkey") % 3 == k).select("o_orderkey", info), src)
+    c, s = F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s")
+    drops = ((F.struct(c).alias("info"), F.array(F.struct(c)).alias("parts")),
+             (F.struct(c, s).alias("info"), F.array(F.struct(s, c), F.struct(s, c)).alias("parts")),
+             (F.struct(c).alias("INFO"), F.array(F.struct(c)).alias("parts")))
+    for k, cols in enumerate(drops):
+        write_drop(o.filter(F.col("o_orderkey") % 3 == k).select("o_orderkey", *cols), src)
+        ld.run()
+    t = ParquetTable(ld.table.path).read(spark)         # as another process reads it
+    return t.select("o_orderkey", F.col("info.c").alias("c"), F.col("info.s").alias("s"),
+                    F.size("parts").cast("long").alias("n_parts"), F.col("parts")[0]["c"].alias("part_c"),
+                    F.element_at("parts", -1)["s"].alias("part_s"), RESCUED)
+
+
+def arrival_order(spark, sf_dir):
+    """Three drops of orders whose undeclared columns differ in type (int,
+    long and decimal; date and timestamp; text and number; a struct of other fields), landed
+    as one batch under names in either order, and int before long in runs of their own. Each
+    gives one schema and one table; the query returns them all."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    day = F.to_date(F.col("o_orderdate"))
+    kinds = [
+        (k.cast("int").alias("n"), day.alias("d"), F.col("o_orderstatus").alias("t"), F.struct(k.alias("a")).alias("s")),
+        (k.alias("n"), day.cast("timestamp_ntz").alias("d"), F.col("o_custkey").alias("t"),
+         F.struct(F.col("o_orderstatus").alias("b")).alias("s")),
+        (F.col("o_totalprice").cast("decimal(12,2)").alias("n"), day.alias("d"), F.lit(True).alias("t"),
+         F.struct(k.cast("int").alias("a")).alias("s"))]
+    out = None
+    for order in ("forward", "backward"):
+        root = work_root(spark, f"arrival_{order}")
+        for i, cols in enumerate(kinds):
+            place = i if order == "forward" else 2 - i
+            write_drop(o.filter(k % 3 == i).select("o_orderkey", *cols), f"{root}/landing/drop={place}")
+        ld = _load(spark, ORDERS, f"{root}/landing/*", root)
         ld.run()
-    return ld.table.read(spark).select(
-        "o_orderkey", F.col("info.c").alias("c"),
-        F.get_json_object(F.get_json_object(RESCUED, "$.info"), "$.s").alias("rescued_s"))
+        t = ParquetTable(ld.table.path).read(spark)
+        got = t.select(
+            F.lit(order).alias("arrival"), F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in t.schema.fields[:5]))
+            .alias("columns"), "o_orderkey", F.col("n").cast("double").alias("n"), F.col("d").cast("date").alias("d"), "t",
+            F.col("s.a").alias("a"), F.col("s.b").alias("b"), RESCUED)
+        out = got if out is None else out.unionByName(got)
+    for order, first in (("int_first", 0), ("long_first", 1)):
+        root = work_root(spark, f"arrival_{order}")
+        ld = _load(spark, ORDERS, f"{root}/landing", root)
+        for i in (first, 1 - first):
+            write_drop(o.filter(k % 3 == i).select("o_orderkey", kinds[i][0]), f"{root}/landing")
+            ld.run()
+        t = ParquetTable(ld.table.path).read(spark)
+        nothing = F.lit(None)
+        out = out.unionByName(t.select(
+            F.lit(order).alias("arrival"), F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in t.schema.fields[:2]))
+            .alias("columns"), "o_orderkey", F.col("n").cast("double").alias("n"), nothing.cast("date").alias("d"),
+            nothing.cast("string").alias("t"), nothing.cast("long").alias("a"), nothing.cast("string").alias("b"), RESCUED))
+    return out
 
 
 def evolving_parquet_load(spark, sf_dir):
@@ -442,8 +523,10 @@ QUERIES = {
     "rescue_capture": rescue_capture,
     "capture_fractional": capture_fractional,
     "capture_lossy": capture_lossy,
+    "capture_nested": capture_nested,
     "mixed_schema_landing": mixed_schema_landing,
     "nested_evolution": nested_evolution,
+    "arrival_order": arrival_order,
     "evolving_parquet_load": evolving_parquet_load,
     "rescue_recover": rescue_recover,
     "json_field": json_field,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions.columns import RESCUED, SOURCE_FILE, capture, to_type
+from strandline.functions.lattice import join_columns, relaxed, widened
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -91,8 +92,7 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
     """Group file paths so each group can be read as one: footers are read
     on the executors; what comes back is each path with a short hash of its
     schema, and each distinct schema once. Schemas without a conflict (of
-    types, or of names that differ in case only) share a group. Groups and
-    paths are in path order, so 'first seen' is stable."""
+    types, or of names that differ in case only, at any depth) share a group."""
     def footer_keys(batches):
         # defined here so it travels to executors by value, without needing
         # this package installed there
@@ -100,9 +100,23 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
         import json
 
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
+        def parts(at, t):
+            """(address, type) of a column and of every part of a nested one."""
+            if pa.types.is_struct(t):
+                inner = [(f.name, f.type) for f in t]
+            elif pa.types.is_list(t) or pa.types.is_large_list(t):
+                inner = [("[]", t.value_type)]
+            elif pa.types.is_map(t):
+                inner = [("{}", t.key_type), ("{}=", t.item_type)]
+            else:
+                return [[at, str(t)]]
+            own = [[at, type(t).__name__]]
+            return own + [x for name, u in inner for x in parts([*at, name], u)]
+
         opened: dict = {}       # one file system of a scheme and host per task
         said = set()
         for pdf in batches:
@@ -117,7 +131,7 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
                 else:
                     rel = pafs.FileSystem.from_uri(uri)[1] if not uri.startswith("file:") else uri[7:]
                 sch = pq.read_schema(rel, filesystem=opened[where])
-                text = json.dumps([[f.name, str(f.type)] for f in sch])
+                text = json.dumps([x for f in sch for x in parts([f.name], f.type)])
                 key = hashlib.md5(text.encode()).hexdigest()
                 keys.append(key)
                 texts.append(None if key in said else text)     # a schema once per task
@@ -139,7 +153,7 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
     # file brings a different extra column.
     groups: list[tuple[dict, list[str]]] = []
     for key in sorted(by_key, key=lambda k: min(by_key[k])):
-        types = {n.lower(): (n, t) for n, t in json.loads(schema_of[key])}
+        types = {tuple(x.lower() for x in at): (at, t) for at, t in json.loads(schema_of[key])}
         for g_types, g_paths in groups:
             if all(g_types.get(n, t) == t for n, t in types.items()):
                 g_types.update(types)
@@ -152,23 +166,25 @@ def schema_groups(files: DataFrame) -> list[list[str]]:
 
 def resolve_types(declared: Mapping[str, object], table: T.StructType | None,
                   seen: Iterable[T.StructType], evolve: bool = True) -> dict[str, object]:
-    """Target type per column: declared by the contract, else the type
-    already in the table, else the first seen. Without evolution a column
-    new to an existing table maps to ``None`` (its text is rescued)."""
+    """Target type per column: declared by the contract; else the type
+    already in the table, widened where its files can be read so (new
+    fields of structs are taken, ints grow to longs, see ``lattice.widened``);
+    else the least type that holds all seen ones (``lattice.join_columns``). None of it
+    depends on the order of ``seen``. Without evolution the table's types
+    stay and a column new to it maps to ``None`` (its text is rescued)."""
     out: dict[str, object] = {}
-    table_types = {f.name: f.dataType for f in table.fields} if table is not None else {}
-    for sch in seen:
-        for f in sch.fields:
-            if f.name in out or f.name == RESCUED:
-                continue
-            if f.name in declared:
-                out[f.name] = to_type(declared[f.name])
-            elif f.name in table_types:
-                out[f.name] = table_types[f.name]
-            elif table is not None and not evolve:
-                out[f.name] = None
-            else:
-                out[f.name] = f.dataType
+    have = {f.name: f.dataType for f in table.fields} if table is not None else {}
+    for f in join_columns([relaxed(s) for s in seen]).fields:
+        if f.name == RESCUED:
+            continue
+        if f.name in declared:
+            out[f.name] = to_type(declared[f.name])
+        elif f.name in have:
+            out[f.name] = widened(relaxed(have[f.name]), f.dataType) if evolve else have[f.name]
+        elif table is not None and not evolve:
+            out[f.name] = None
+        else:
+            out[f.name] = f.dataType
     return out
 
 
@@ -188,20 +204,27 @@ def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping
         reads = [with_source_file(r) for r in reads]
     reads = one_spelling(spark, reads, [*declared, *(table.names if table is not None else [])])
     target = resolve_types(declared, table, [r.schema for r in reads], evolve)
-    aligned = [capture(r, target) for r in reads]
+    # columns in the target's order, which no order of files changes
+    aligned = [_ordered(capture(r, target), target) for r in reads]
     out = aligned[0]
     for nxt in aligned[1:]:
         out = out.unionByName(nxt, allowMissingColumns=True)
-    return out
+    return _ordered(out, target)
+
+
+def _ordered(df: DataFrame, target: Mapping[str, object]) -> DataFrame:
+    first = [c for c in target if c in df.columns and c != SOURCE_FILE]
+    rest = sorted(c for c in df.columns if c not in first)
+    return df.select(*[F.col(f"`{c}`") for c in [*first, *rest]])
 
 
 def one_spelling(spark: SparkSession, reads: list[DataFrame], first: Iterable[str]) -> list[DataFrame]:
     """Columns whose names differ in case only are one column (unless the
-    session is case-sensitive), spelt as in ``first`` or else as first read."""
+    session is case-sensitive), spelt as in ``first`` or else by the least spelling."""
     if spark.conf.get("spark.sql.caseSensitive", "false") == "true":
         return reads
     spelt: dict[str, str] = {}
-    for name in [*first, RESCUED, SOURCE_FILE, *(c for r in reads for c in r.columns)]:
+    for name in [*first, RESCUED, SOURCE_FILE, *sorted(c for r in reads for c in r.columns)]:
         spelt.setdefault(name.lower(), name)
     return [r.select(*[F.col(f"`{c}`").alias(spelt[c.lower()]) for c in r.columns]) for r in reads]
 

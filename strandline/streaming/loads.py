@@ -24,7 +24,7 @@ from strandline.functions.columns import (BATCH_ID, RESCUED, SOURCE_FILE, captur
                                           lineage, recover, unrecovered_flag)
 from strandline.operators.metrics import (FAILED, SUCCESS, append_log, count_exprs, log_rows, observed,
                                           threshold_alerts)
-from strandline.operators.sink import ParquetTable, align_to_table
+from strandline.operators.sink import ParquetTable, align_to_table, evolved
 from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
                                        parquet_stream, read_landing, resolve_types, schema_groups)
 
@@ -208,13 +208,7 @@ class LandingLoad:
         rescued = int(m["rescued"])
         self.batches[bid] = {"batch_id": bid, "rows": int(m["rows"]), "rescued": rescued,
                              "unrecovered": self._unrecovered(bid) if rescued else 0}
-        new = df.schema
-        if self._schema is None:
-            self._schema = new
-        else:
-            known = {f.name for f in self._schema.fields}
-            extra = [f for f in new.fields if f.name not in known and f.name != BATCH_ID]
-            self._schema = T.StructType(self._schema.fields + extra)
+        self._schema = df.schema if self._schema is None else evolved(self._schema, df.schema, self.table.partition_cols)
 
     def _refuse_unknown_columns(self, batch_df: DataFrame) -> None:
         """A stream of one schema reads only the columns it started with;

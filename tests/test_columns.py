@@ -161,12 +161,12 @@ def test_capture_keeps_what_a_cast_inside_a_nested_value_would_lose(spark):
              "deep": "array<struct<v:array<int>>>", "swapped": "struct<q:bigint,p:bigint>", "digits": "array<double>",
              "keys": "map<int,string>"}
     bad, good, none = capture(df, types).collect()
-    lost = json.loads(bad["_rescued_data"])
-    assert set(lost) == set(types) and all(bad[c] is None for c in types)
-    assert json.loads(lost["a"]) == ["a", "1"] and json.loads(lost["s"]) == {"x": "a", "y": 2}
-    assert json.loads(lost["swapped"]) == {"p": 1, "q": 2} and json.loads(lost["f"]) == [1.5, 2.0]
-    kept = json.loads(good["_rescued_data"] or "{}")
-    assert set(kept) <= {"keys"}        # Spark has no cast of keys that could become NULL
+    assert json.loads(bad["_rescued_data"]) == {
+        "a[0]": "a", "s.x": "a", "f[0]": "1.5", 'm["l"]': "b", "deep[0].v[1]": "z", "digits[0]": "9007199254740993",
+        "keys": '{"1.5":"x"}'}
+    assert (bad["a"], tuple(bad["s"]), bad["f"], bad["m"]) == ([None, 1], (None, 2), [None, 2], {"k": 1, "l": None})
+    assert bad["deep"][0]["v"] == [1, None] and tuple(bad["swapped"]) == (2, 1) and bad["keys"] is None
+    assert good["_rescued_data"] is None and good["keys"] == {2: "y"}
     assert (good["a"], tuple(good["s"]), good["m"], good["digits"]) == ([2, None], (1, None), {"k": 2}, [1.5, None])
     assert good["deep"][0]["v"] == [1, None] and good["deep"][1] is None
     assert none["_rescued_data"] is None and none["a"] == [] and none["m"] == {}
@@ -182,3 +182,69 @@ def test_capture_keeps_digits_of_text_in_floats(spark):
     assert [(d, json.loads(r)["d"]) for d, r in got[len(fits):]] == [(None, t) for t in lost]
     df = spark.createDataFrame([("16777217",), ("0.1",), ("16777216",)], "d string")
     assert [r["d"] is None for r in capture(df, {"d": "float"}).collect()] == [True, False, False]
+
+
+def test_text_into_decimals_and_timestamps_loses_nothing_and_fails_nothing(spark):
+    """(text, type, whether it fits): no text fails the batch."""
+    cases = [("1234567890123456789012345", "decimal(38,0)", True), ("1" * 39, "decimal(38,0)", False),
+             ("1.0000000000000000001", "decimal(12,2)", False), ("1.123456789012345678901234", "decimal(38,20)", False),
+             ("1.12345678901234567890", "decimal(38,20)", True), ("1.500", "decimal(12,2)", True), ("-0.00", "decimal(12,2)", True),
+             ("1.5e1", "decimal(12,2)", True), ("1e-5", "decimal(12,2)", False), ("99999999999999999999", "decimal(12,2)", False),
+             ("x", "decimal(12,2)", False), ("0.005", "decimal(12,2)", False), (" 7 ", "decimal(12,2)", True),
+             ("10:00", "timestamp", False), ("T10:00", "timestamp", False), ("2024-01-02 10:00", "timestamp", True),
+             ("2024-01-02 10:00:00.123456", "timestamp", True), ("2024-01-02 10:00:00.1234560", "timestamp", True),
+             ("2024-01-02 10:00:00.1234567", "timestamp", False), ("2024-01-02T10:00:00Z", "timestamp", True),
+             ("2024-01-02 10:00", "timestamp_ntz", True), ("2024-01-02 10:00:00+05:00", "timestamp_ntz", False),
+             ("2024-01-02 10:00:00 Europe/Paris", "timestamp_ntz", False), ("10:00", "timestamp_ntz", False),
+             ("2024-01-02", "date", True), ("2024-01-02 00:00:00", "date", True), ("2024-01-02 10:00", "date", False),
+             ("2024-01-02 xyz", "date", False), ("2024-01-02 00:00:00.0000001", "date", False), ("10:00", "date", False)]
+    for t in sorted({t for _, t, _ in cases}):
+        own = [(x, fits) for x, u, fits in cases if u == t]
+        df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(own)], "i int, v string")
+        got = capture(df, {"v": t}).orderBy("i").collect()
+        for r, (x, fits) in zip(got, own):
+            assert (r["v"] is not None) == fits, (x, t, r)
+            assert (None if fits else {"v": x}) == (json.loads(r["_rescued_data"]) if r["_rescued_data"] else None), (x, t)
+
+
+def test_nested_values_come_back_from_their_addresses(spark):
+    """capture, then recover as text: the whole value again, whatever its names
+    and depth; entries of healthy parts are none."""
+    wide = "struct<s:string,`odd name`:array<string>,m:map<string,struct<x:string>>,n:struct<d:string>>"
+    narrow = "struct<s:int,`odd name`:array<int>,m:map<string,struct<x:date>>,n:struct<d:decimal(12,2)>>"
+    rows = [("1", ["2", "x", None, "4.5"], {"k": ("2024-01-02",), 'q"] .': ("no day",)}, ("1.25",)),
+            ("no", [], {}, ("1.255",)), (None, None, None, None), ("7", ["8"], {"a.b": ("2024-13-01",)}, (None,))]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)] + [(9, None)], f"i int, info {wide}")
+    got = capture(df, {"info": narrow})
+    lost = {r["i"]: json.loads(r["_rescued_data"] or "{}") for r in got.collect()}
+    assert lost[0] == {"info.`odd name`[1]": "x", "info.`odd name`[3]": "4.5", 'info.m["q\\"] ."].x': "no day"}
+    assert lost[1] == {"info.s": "no", "info.n.d": "1.255"} and lost[2] == lost[9] == {}
+    for residual in ("none", "keep"):
+        back = recover(got, {"info": wide}, residual=residual)
+        assert back.schema["info"].dataType == df.schema["info"].dataType
+        assert sorted(map(repr, back.select("i", "info").collect())) == sorted(map(repr, df.collect()))
+        left = {r["i"]: r["_rescued_data"] for r in back.collect()}
+        assert all(v is None for v in left.values()) if residual == "keep" else left[1] is not None
+    # a column that is called like an address inside another
+    both = spark.createDataFrame([(("x",), "y")], "info struct<s:string>, `info.s` string")
+    r = capture(both, {"info": "struct<s:int>", "info.s": "int"})
+    assert json.loads(r.first()["_rescued_data"]) == {"`info`.s": "x", "info.s": "y"}
+    back = recover(r, {"info": "struct<s:string>", "info.s": "string"}, residual="keep").first()
+    assert (back[0]["s"], back[1], back["_rescued_data"]) == ("x", "y", None)
+
+
+def test_type_joins_do_not_depend_on_order():
+    import itertools
+    from pyspark.sql import types as T
+    from strandline.functions.lattice import join, join_columns
+    names = ["tinyint", "int", "bigint", "decimal(12,2)", "decimal(38,20)", "float", "double", "boolean", "date",
+             "timestamp_ntz", "timestamp", "string", "binary", "array<int>", "array<string>", "struct<z:int,a:int>",
+             "struct<A:bigint,m:struct<x:date>>", "struct<z:int,m:struct<x:int,y:int>>", "map<string,int>", "map<int,double>"]
+    types = [T.DataType.fromDDL(n) for n in names]
+    for a, b in itertools.product(types, types):
+        assert join(a, b) == join(b, a) and join(a, a) == a
+    for a, b, c in itertools.product(types, types, types):
+        assert join(join(a, b), c) == join(a, join(b, c)), (a, b, c)
+    one = [T.DataType.fromDDL(x) for x in ("id bigint, v int", "v double, ID int, w string", "w struct<a:int>, v int, id int")]
+    assert len({join_columns(p).json() for p in itertools.permutations(one)}) == 1
+    assert join_columns(one).simpleString() == "struct<ID:bigint,v:double,w:string>"
