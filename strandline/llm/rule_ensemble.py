@@ -125,8 +125,9 @@ def learn(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty:
     is 0.5; with labels of one kind it is their smoothed share."""
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
-    d = stored(labelled.select(*STATISTICS, "y").repartition(FIT_PARTITIONS, *STATISTICS)
-               .sortWithinPartitions(*STATISTICS, "y"), "rules-labelled")
+    own = [c for c in ("doc_id",) if c in labelled.columns]     # copies have equal statistics, but ids of their own
+    d = stored(labelled.select(*own, *STATISTICS, "y").repartition(FIT_PARTITIONS, *own, *STATISTICS)
+               .sortWithinPartitions(*STATISTICS, "y").drop(*own), "rules-labelled")
     n, good = d.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     prior = (good + 1.0) / (n + 2.0)
     base = RuleModel(math.log(prior / (1 - prior)))
