@@ -86,6 +86,10 @@ ORACLES = {
         UNION ALL
         SELECT arrival, 'o_orderkey:bigint,n:bigint', o_orderkey, o_orderkey::DOUBLE, NULL, NULL, NULL, NULL, NULL
         FROM orders, (VALUES ('int_first'), ('long_first')) v(arrival) WHERE o_orderkey % 3 <> 2""",
+    "ledger_landing": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice ELSE o_orderkey END::DOUBLE AS n,
+               0::BIGINT AS left, true AS bounded
+        FROM orders""",
     "evolving_parquet_load": """
         SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
         FROM orders""",

@@ -25,6 +25,7 @@ from strandline.plans.fixtures import (CUSTOMER, EVENTS, LINEITEM, ORDERS, PLAN_
 from strandline.session import work_root
 from strandline.sources.inventory import source_inventory
 from strandline.sources.landing import land_folder, list_files
+from strandline.sources.ledger import FolderLedger
 from strandline.streaming.loads import LOAD_RESULT_SCHEMA, LandingLoad, run_all
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -252,6 +253,39 @@ def arrival_order(spark, sf_dir):
     return out
 
 
+def ledger_landing(spark, sf_dir):
+    """W1/W2 in batch: orders dropped as two rounds of files whose undeclared
+    columns differ in type, landed by a ledger in batches of at most five files.
+    A run that is cut short after a batch was written is taken up again: its rows are
+    there once. A run with nothing new lands nothing."""
+    root = work_root(spark, "ledger_landing")
+    src = f"{root}/landing"
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    ld = _load(spark, ORDERS, src, root)
+    ledger = FolderLedger(f"{root}/ledger", max_files=5)
+
+    class CutShort(FolderLedger):
+        def landed(self, spark, plan, batch):
+            raise InterruptedError
+
+    for half in (0, 1):
+        part = o.filter(k % 2 == half)
+        for third, kind in enumerate((k.cast("int"), F.col("o_totalprice"), k)):
+            write_drop(part.filter(k % 3 == third).select("o_orderkey", kind.alias("n")), src, 3)
+        try:
+            ld.run_planned(CutShort(ledger.path, ledger.max_files))
+        except InterruptedError:
+            pass
+        ld.run_planned(ledger)
+    idle = ld.run_planned(ledger)
+    t = ParquetTable(ld.table.path).read(spark)
+    batches = ledger.seen(spark).count() if ledger.pending(spark) else 0
+    files = t.groupBy("_batch_id").agg(F.count_distinct(SOURCE_FILE).alias("f")).agg(F.max("f").alias("most"))
+    return (t.select("o_orderkey", F.col("n").cast("double").alias("n"), F.lit(idle.rows_read + batches).cast("long").alias("left"))
+            .join(files, F.lit(True)).select("o_orderkey", "n", "left", (F.col("most") <= 5).alias("bounded")))
+
+
 def evolving_parquet_load(spark, sf_dir):
     """``mode="parquet"``: the second drop brings a column that the first
     has not; it is loaded, and NULL in the rows of the first."""
@@ -527,6 +561,7 @@ QUERIES = {
     "mixed_schema_landing": mixed_schema_landing,
     "nested_evolution": nested_evolution,
     "arrival_order": arrival_order,
+    "ledger_landing": ledger_landing,
     "evolving_parquet_load": evolving_parquet_load,
     "rescue_recover": rescue_recover,
     "json_field": json_field,

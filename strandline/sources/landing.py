@@ -36,9 +36,11 @@ BINARY_FILE_SCHEMA = T.StructType([
 DEFAULT_MAX_FILE_AGE = "36500d"
 
 
-def _file_stream(reader, glob, max_files_per_trigger, max_file_age, clean_source, archive_dir):
+def _file_stream(reader, glob, max_files_per_trigger, max_bytes_per_trigger, max_file_age, clean_source, archive_dir):
     r = reader.option("pathGlobFilter", glob).option("maxFileAge", max_file_age)
-    if max_files_per_trigger:
+    if max_bytes_per_trigger:       # Spark takes one of the two limits
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    elif max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if clean_source:
         r = r.option("cleanSource", clean_source)
@@ -50,21 +52,21 @@ def _file_stream(reader, glob, max_files_per_trigger, max_file_age, clean_source
 def discover_stream(spark: SparkSession, folder: str, glob: str = "*.parquet",
                     max_files_per_trigger: int | None = None,
                     max_file_age: str = DEFAULT_MAX_FILE_AGE, clean_source: str | None = None,
-                    archive_dir: str | None = None) -> DataFrame:
+                    archive_dir: str | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """A stream of files not seen before under ``folder``: ``path``,
     ``length``. The content column is pruned from the scan."""
     r = _file_stream(spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA), glob,
-                     max_files_per_trigger, max_file_age, clean_source, archive_dir)
+                     max_files_per_trigger, max_bytes_per_trigger, max_file_age, clean_source, archive_dir)
     return r.load(folder).select("path", "length")
 
 
 def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType,
                    glob: str = "*.parquet", max_files_per_trigger: int | None = None,
                    max_file_age: str = DEFAULT_MAX_FILE_AGE, clean_source: str | None = None,
-                   archive_dir: str | None = None) -> DataFrame:
+                   archive_dir: str | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """W1 for a folder whose files share one schema: a Parquet stream with
     the source file selected on the scan (W7)."""
-    r = _file_stream(spark.readStream.schema(schema), glob, max_files_per_trigger,
+    r = _file_stream(spark.readStream.schema(schema), glob, max_files_per_trigger, max_bytes_per_trigger,
                      max_file_age, clean_source, archive_dir)
     df = r.parquet(folder)
     return with_source_file(df)
@@ -190,11 +192,13 @@ def resolve_types(declared: Mapping[str, object], table: T.StructType | None,
 
 def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping[str, object],
                  table: T.StructType | None = None, evolve: bool = True,
-                 lineage: bool = True, info: dict | None = None) -> DataFrame | None:
+                 lineage: bool = True, info: dict | None = None,
+                 seen: T.StructType | None = None) -> DataFrame | None:
     """Read each schema group, capture misfits against the resolved
     types, and union by name (a column missing from a group is NULL).
     ``info["incoming_rescued"]`` tells whether any file brought its own
-    rescued column."""
+    rescued column. ``seen``: the joined schema of these and of other files that land
+    with them, so that all their batches take the same types."""
     if not groups:
         return None
     reads = [spark.read.option("mergeSchema", "true").parquet(*paths) for paths in groups]
@@ -204,6 +208,10 @@ def read_landing(spark: SparkSession, groups: list[list[str]], declared: Mapping
         reads = [with_source_file(r) for r in reads]
     reads = one_spelling(spark, reads, [*declared, *(table.names if table is not None else [])])
     target = resolve_types(declared, table, [r.schema for r in reads], evolve)
+    if seen is not None:
+        wide = resolve_types(declared, table, [seen], evolve)
+        by_name = {n.lower(): n for n in wide}
+        target = {n: wide.get(by_name.get(n.lower()), t) for n, t in target.items()}
     # columns in the target's order, which no order of files changes
     aligned = [_ordered(capture(r, target), target) for r in reads]
     out = aligned[0]

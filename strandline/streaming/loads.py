@@ -25,8 +25,9 @@ from strandline.functions.columns import (BATCH_ID, RESCUED, SOURCE_FILE, captur
 from strandline.operators.metrics import (FAILED, SUCCESS, append_log, count_exprs, log_rows, observed,
                                           threshold_alerts)
 from strandline.operators.sink import ParquetTable, align_to_table, evolved
-from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema,
+from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema, list_files,
                                        parquet_stream, read_landing, resolve_types, schema_groups)
+from strandline.sources.ledger import FolderLedger
 
 _UNRECOVERED = "__sl_unrecovered"
 
@@ -141,8 +142,10 @@ class LandingLoad:
     files_per_partition_value: int | None = None
     # what this run wrote, by batch id: a batch that is delivered again counts once
     batches: dict = field(default_factory=dict)
+    max_bytes_per_trigger: int | None = None     # bounds a batch by its files' sizes; takes the place of the file limit
     _schema: T.StructType | None = None
     _offset: int = 0
+    _seen: T.StructType | None = None            # joined schema of the plan a batch belongs to
 
     def _check_start(self) -> None:
         """Batch ids restart at 0 with a new checkpoint. On a table that has
@@ -169,7 +172,7 @@ class LandingLoad:
             .write.mode("overwrite").json(marker)
 
     def _stream(self) -> DataFrame:
-        opts = dict(max_files_per_trigger=self.max_files_per_trigger,
+        opts = dict(max_files_per_trigger=self.max_files_per_trigger, max_bytes_per_trigger=self.max_bytes_per_trigger,
                     max_file_age=self.max_file_age, clean_source=self.clean_source,
                     archive_dir=self.archive_dir)
         if self.mode == "discover":
@@ -187,7 +190,7 @@ class LandingLoad:
         info: dict = {}
         if self.mode == "discover":
             df = read_landing(spark, schema_groups(batch_df), c.types, self._schema, self.evolve,
-                              info=info)
+                              info=info, seen=self._seen)
             if df is None:
                 return
         else:
@@ -241,6 +244,36 @@ class LandingLoad:
              else w.trigger(processingTime=self.processing_time))
         return w.start()
 
+    def run_planned(self, ledger: FolderLedger, files: DataFrame | None = None) -> LoadResult:
+        """Batch form of the load (``mode="discover"``): the files that the
+        ledger has not seen are planned and landed batch by batch, the
+        unfinished batches of earlier runs first. ``files`` (path, length)
+        replaces the listing of the source folder."""
+        t0 = time.time()
+        spark = self.spark
+        self.batches.clear()
+        self.table.finish_stage(spark)
+        has_table = self.table.exists(spark)
+        self._schema = self.table.schema(spark) if has_table else None
+        first = 0
+        if has_table and not ledger.plans(spark):
+            if not self.reset:
+                raise RuntimeError(f"{self.table.path} has data but ledger {ledger.path} is empty; its files would land "
+                                   "again. Pass reset=True.")
+            first = int(self.table.read(spark).agg(F.max(BATCH_ID)).first()[0]) + 1
+        listed = files if files is not None else list_files(spark, self.source, self.glob)
+        self._offset = 0
+        # what was planned before this run was planned before anything newer is
+        for again in (False, True):
+            if again:
+                ledger.plan(listed, first)
+            for plan, batch in ledger.pending(spark):
+                self._seen = ledger.schema(spark, plan)
+                self.process_batch(ledger.files(spark, plan, batch), batch)
+                ledger.landed(spark, plan, batch)
+        self._seen = None
+        return self.summary(SUCCESS, time.time() - t0)
+
     def batch_metrics(self) -> DataFrame:
         """W19 per micro-batch: rows and rescued rows measured in flight by
         ``observe`` while the batch was written, unrecovered rows by the
