@@ -3,74 +3,135 @@ bucket."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import components, stored
 
+SLICE_MEMBERS = 2048    # members of a bucket that one task compares with as many others
+ROUNDS = 2              # rounds with newly drawn hubs
 
-def rare_tokens(tokens: DataFrame) -> DataFrame:
-    """(class, n, least, token), the ``n`` tokens of each class -> (class, token),
-    the rows by which classes that share at least ``least`` of their tokens
-    (each by its own ``least``) still meet.
-
-    A class is left out where fewer than ``least`` of its tokens occur in
-    another class. Of the others the ``n - least + 1`` rarest tokens stay
-    (prefix filter: two classes that share ``least`` tokens share one of these),
-    without those that occur nowhere else. A passage that many
-    classes hold is common, so it brings only those together whose other
-    tokens are shared as well.
-    """
-    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    t = tokens.join(df, "token").groupBy("class", "n", "least").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))       # the tokens of one set
-    shared = F.size(F.filter("t", lambda x: x["df"] > 1))
-    rare = F.filter(F.slice("t", F.lit(1), F.col("n") - F.col("least") + 1), lambda x: x["df"] > 1)
-    return (t.select("class", F.when(shared >= F.col("least"), F.transform(rare, lambda x: x["token"])).alias("t"))
-            .select("class", F.explode("t").alias("token")))
+#: (registers, registers, sizes, sizes) of equally many pairs -> whether each can be linked.
+Passes = Callable[..., np.ndarray]
 
 
-def _apart(t: DataFrame, share: tuple[int, int], label: str) -> DataFrame:
-    """(class, token, p, n) -> pairs (a, b) of classes that share a token, in
-    different parts p, and near enough in size.
+def _sides(members: DataFrame, limit: int) -> DataFrame:
+    """(class, key, p) of buckets with several parts -> (class, key, p, kind,
+    i, j, right): dealt to groups whose left members meet their right ones.
 
-    At a token the members of its largest part are met by the others, not
-    by each other, so a large part costs as much as it has members.
+    The members of a bucket's largest part (kind 0) need only meet the
+    others, and the others (kind 1) each other too. Both are cut into slices
+    of at most about ``limit`` by hash, and each pair of slices is a group, so
+    a large part is dealt once for each slice of the others.
     """
-    parts = t.groupBy("token", "p").agg(F.count(F.lit(1)).alias("c"))
-    split = (parts.groupBy("token").agg(F.max(F.struct("c", "p")).alias("m"), F.count(F.lit(1)).alias("k"))
-             .filter(F.col("k") > 1).select("token", F.col("m.p").alias("top")))
-    t = stored(t.join(split, "token"), f"{label}-open")
-    x, y = t.filter(F.col("p") != F.col("top")).alias("x"), t.alias("y")
-    num, den = share
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.p") != F.col("y.p"))
-                 & ((F.col("y.p") == F.col("y.top")) | (F.col("x.class") < F.col("y.class")))
-                 & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num))
-    return (met.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
-            .distinct())
-
-
-def banded_components(keys: DataFrame, sizes: DataFrame, share: tuple[int, int],
-                      verify: Callable[[DataFrame, str], DataFrame], label: str,
-                      tokens: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    parts = members.groupBy("key", "p").agg(F.count(F.lit(1)).alias("c"))
+    # the largest part by (size, p), from partial aggregates
+    of = parts.groupBy("key").agg(F.max(F.struct("c", "p")).alias("m"), F.sum("c").alias("all")).select(
+        "key", F.col("m.p").alias("top"), F.ceil(F.col("m.c") / limit).cast("int").alias("tops"),
+        F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("m.c")) / limit).cast("int")).alias("rests"))
+    d = members.join(of, "key")
+    first = F.col("p") == F.col("top")
+    own = F.pmod(F.xxhash64("class"), F.when(first, F.col("tops")).otherwise(F.col("rests"))).cast("int")
+    d = d.withColumn("first", first).withColumn("own", own)
+
+    def to(n):
+        return F.sequence(F.lit(0), n - 1)
+
+    def group(kind, i, j, right):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), right.alias("right"))
+    o = F.col("own")
+    tops = F.transform(to(F.col("rests")), lambda x: group(0, o, x, F.lit(False)))
+    rests = F.concat(F.transform(to(F.col("tops")), lambda x: group(0, x, o, F.lit(True))),
+                     F.transform(to(F.col("rests")), lambda x: group(1, F.least(x, o), F.greatest(x, o), o > x)))
+    return (d.withColumn("g", F.explode(F.when(F.col("first"), tops).otherwise(rests)))
+            .select("class", "key", "p", "g.*"))
+
+
+def _meetings(members: DataFrame, sketches: DataFrame, passes: Passes, first_key, limit: int) -> DataFrame:
+    """(class, key, p) -> pairs (a, b) of classes of one bucket, in different
+    parts, whose sketches let them be linked: each once, in the first bucket
+    that they share."""
+    dealt = _sides(members, limit).join(sketches, "class")
+    tasks = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    at = ["key", "kind", "i", "j"]
+
+    def meet(left, right):
+        """Pairs of two lists of (class, p, n, registers); of one list if ``right`` is None."""
+        one = right is None
+        right = left if one else right
+        ca, pa_, na, ra = left
+        cb, pb, nb, rb = right
+        for k in range(len(ca)):
+            lo = k + 1 if one else 0
+            away = np.flatnonzero(pb[lo:] != pa_[k]) + lo
+            if not len(away):
+                continue
+            both = np.broadcast_to(ra[k], (len(away), ra.shape[1]))
+            good = passes(both, rb[away], np.full(len(away), na[k]), nb[away])
+            if good.any():
+                yield ca[k], cb[away[good]], first_key(both[good], rb[away[good]])
+
+    def run(batches):
+        def packed(rows):
+            c, p, n, r = zip(*rows)
+            return (np.array(c, np.int64), np.array(p, np.int64), np.array(n, np.float64),
+                    np.frombuffer(b"".join(r), "<u2").reshape(len(r), -1))
+
+        def groups():
+            where, sides = None, ([], [])
+            for batch in batches:
+                cols = [batch.column(c).to_pylist() for c in (*at, "right", "class", "p", "n", "regs")]
+                for key, kind, i, j, side, *row in zip(*cols):
+                    if where != (key, kind, i, j):
+                        if where is not None:
+                            yield where, sides
+                        where, sides = (key, kind, i, j), ([], [])
+                    sides[side].append(row)
+            if where is not None:
+                yield where, sides
+        with np.errstate(over="ignore"):
+            for (key, kind, i, j), (left, right) in groups():
+                one = kind == 1 and i == j
+                if not left or not (one or right):
+                    continue
+                out_a, out_b = [], []
+                for a, b, firsts in meet(packed(left), None if one else packed(right)):
+                    b = b[firsts == key]
+                    out_a.append(np.minimum(a, b))
+                    out_b.append(np.maximum(a, b))
+                if out_a:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
+                                                     names=["a", "b"])
+    return (dealt.repartition(tasks, *at).sortWithinPartitions(*at)
+            .select(*at, "right", "class", "p", "n", "regs").mapInArrow(run, "a long, b long"))
+
+
+def banded_components(keys: DataFrame, sketches: DataFrame, passes: Passes, first_key,
+                      verify: Callable[[DataFrame, str], DataFrame], label: str, rounds: int = ROUNDS,
+                      limit: int = SLICE_MEMBERS) -> DataFrame:
     """(class, key), a row for each band of each class, each once ->
     (id, component) of every class with a link.
 
-    ``verify(pairs, label)``: of pairs (a, b) those linked. ``sizes``: (class, n),
-    by which sets too different in size for ``share`` are not compared in the last round.
+    ``sketches``: (class, n, regs binary) of 16-bit registers;
+    ``passes(ra, rb, na, nb)``: of pairs those that can be linked;
+    ``first_key(ra, rb)``: the key of the first band that each pair shares;
+    ``verify(pairs, label)``: of pairs (a, b) those linked.
 
     In each bucket a member drawn by hash is the hub. Each class is compared
     with the hub it shares most buckets with; next with all hubs in components
-    other than its own; last, members of a bucket that are still in different
-    components are compared with each other. So every pair that shares a band
-    is in one component or was compared, while a group of alike classes costs a
-    few comparisons a member.
-
-    With ``tokens(classes)``, giving (class, n, least, token), the last round
-    compares of the classes in such buckets those that can still share
-    ``least`` tokens (``rare_tokens``).
+    other than its own; then, ``rounds`` times, the members of buckets that
+    are still in several components with newly drawn hubs of them. A group of alike
+    classes has become one component by then, for a few comparisons a
+    member. Last, in each bucket still split, the members of different
+    components are held against each other by their registers, and the pairs that
+    can be linked are verified. So every pair that shares a band is in one
+    component or was compared; what is stored are pairs that pass.
     """
     many = (keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", "key"), "class")).alias("m"),
                                     F.count(F.lit(1)).alias("c"))
@@ -90,24 +151,32 @@ def banded_components(keys: DataFrame, sizes: DataFrame, share: tuple[int, int],
     links = verify(ordered(best.select("class", F.col("m.hub").alias("hub")), "class", "hub"), f"{label}-1")
     parts = components(links, f"{label}-parts")
 
-    apart = stored(ordered(part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q")),
-                           "class", "hub"), f"{label}-apart")
-    if not apart.isEmpty():
-        links = links.unionByName(verify(apart, f"{label}-2"))
-        parts = components(links, f"{label}-parts")
-
-    m = part_of(members.select("class", "key"), "class", "p")
-    split = (m.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count(F.lit(1)).alias("c"))
-             .filter("lo <> hi AND c > 2").select("key"))       # a pair met its hub already
-    m = m.join(split, "key")
-    if tokens is None:
-        t = m.withColumnRenamed("key", "token")
-    else:
-        open_ = stored(m.select("class").distinct(), f"{label}-classes")
-        t = part_of(rare_tokens(stored(tokens(open_), f"{label}-sets")), "class", "p")
-    rest = _apart(stored(t.join(sizes, "class"), f"{label}-tokens"), share, label)
-    rest = stored(rest.join(apart, ["a", "b"], "left_anti"), f"{label}-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(verify(rest, f"{label}-3"))
-        parts = components(links, f"{label}-components")
+    def compared(pairs: DataFrame, step: str) -> None:
+        nonlocal links, parts
+        pairs = stored(pairs, f"{label}-{step}-pairs")
+        if not pairs.isEmpty():
+            more = verify(pairs, f"{label}-{step}")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                parts = components(links, f"{label}-parts")
+
+    compared(ordered(part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q")),
+                     "class", "hub"), "hubs")
+    rest = members.select("class", "key")
+    for k in range(rounds + 1):
+        m = part_of(rest, "class", "p")
+        split = (m.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count(F.lit(1)).alias("c"),
+                                      F.min(F.struct(F.xxhash64("class", "key", F.lit(k + 1)), "class", "p")).alias("m"))
+                 .filter("lo <> hi AND c > 2")          # a pair met its hub already
+                 .select("key", F.col("m.class").alias("hub"), F.col("m.p").alias("q")))
+        m = stored(m.join(split, "key"), f"{label}-split")
+        rest = m.select("class", "key")
+        if k < rounds:
+            compared(ordered(m.filter(F.col("p") != F.col("q")), "class", "hub"), f"round{k}")
+        else:
+            compared(_meetings(m.select("class", "key", "p"), sketches.select("class", "n", "regs"), passes, first_key,
+                               limit), "last")
     return parts
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -13,9 +13,11 @@
 4. **Verification** of candidate pairs: sizes, then the estimate, which corrects
    for registers that agree by chance, then the full sets.
 5. **Components** by ``banding``: classes are compared with a few hubs of their
-   buckets, and all members of a bucket only where they are still in
-   different components; so every pair that shares a band is in one
-   component or was compared, without listing all pairs of a large group.
+   buckets. Members of a bucket that are still in different components are held
+   against each other by their registers, in the tasks that hold the bucket, and
+   only pairs whose corrected estimate passes are stored and verified; so every
+   pair that shares a band is in one component or was compared, without
+   listing all pairs of a large group.
 
 No count or bucket is capped. What is collected on the driver: nothing but
 row counts.
@@ -39,6 +41,7 @@ BUCKETS, BANDS, ROWS, MANTISSA = 256, 42, 6, 10
 #: Fixed value: expected chance agreements of HyperMinHash registers are
 #: about this constant times 2**(p - r), for sets of equal size.
 CHANCE = 0.1699194871597391
+DEVIATIONS = 5      # of the estimate, allowed for (a miss in 3 million pairs at the threshold)
 SLICE = 1 << 20     # bytes of text hashed at a time
 
 SKETCH = "n long, f1 long, f2 long, regs binary"
@@ -190,19 +193,29 @@ def _registers(s, probe):
     return regs
 
 
+def _keys(r, bands=slice(None)):
+    """The band keys of a matrix of registers, a column for each band."""
+    r = r[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)[:, bands]
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64)[bands], r.shape[:2])
+    for k in range(ROWS):
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + r[:, :, k])
+    return h.view(np.int64)
+
+
+def first_key(ra, rb):
+    """The key of the first band that each pair shares (of no band: of the first)."""
+    same = (ra == rb)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2)
+    return np.take_along_axis(_keys(ra), same.argmax(axis=1)[:, None], axis=1)[:, 0]
+
+
 def band_keys(classes: DataFrame) -> DataFrame:
     """(class, regs) -> (class, key): one row for each band."""
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
                 r = np.frombuffer(b"".join(batch.column("regs").to_pylist()), "<u2").reshape(-1, BUCKETS)
-                r = r[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-                h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), r.shape[:2])
-                for k in range(ROWS):
-                    h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + r[:, :, k])
                 own = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(h.ravel().view(np.int64))],
-                                                 names=["class", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(_keys(r).ravel())], names=["class", "key"])
     return classes.select("class", "regs").mapInArrow(run, "class long, key long")
 
 
@@ -262,19 +275,35 @@ def sets_of(texts: DataFrame, width: int) -> DataFrame:
             .select("key", "s").dropDuplicates(["key"]))
 
 
+def estimate(ra, rb, na, nb):
+    """(Jaccard estimate, corrected for chance agreements; a generous bound on its
+    error, DEVIATIONS for the registers that differ in origin) of pairs."""
+    ratio = np.minimum(na, nb) / np.maximum(na, nb)
+    chance = CHANCE * 2.0 ** (8 - MANTISSA) * 4 * ratio / (1 + ratio) ** 2
+    j = ((ra == rb).sum(axis=1) - chance) / (BUCKETS - chance)
+    return j, DEVIATIONS * np.sqrt(0.16 / np.minimum(BUCKETS, np.minimum(na, nb)))
+
+
+def passing(share: tuple[int, int]):
+    """Whether pairs can have a similarity of ``share``, by sizes and estimate."""
+    num, den = share
+
+    def passes(ra, rb, na, nb):
+        good = np.minimum(na, nb) * den >= np.maximum(na, nb) * num
+        if good.any():
+            j, slack = estimate(ra[good], rb[good], na[good], nb[good])
+            good[good] = j + slack >= num / den
+        return good
+    return passes
+
+
 def estimates(pairs: DataFrame) -> DataFrame:
-    """(a, b, na, nb, ra, rb) -> (a, b, j, slack): the Jaccard estimate, corrected for
-    chance agreements, and a generous bound on its error (6 deviations for
-    the registers that differ in origin)."""
+    """(a, b, na, nb, ra, rb) -> (a, b, j, slack), see ``estimate``."""
     def run(batches):
         for batch in batches:
             a, b, na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "na", "nb"))
-            ra = np.frombuffer(b"".join(batch.column("ra").to_pylist()), "<u2").reshape(-1, BUCKETS)
-            rb = np.frombuffer(b"".join(batch.column("rb").to_pylist()), "<u2").reshape(-1, BUCKETS)
-            ratio = np.minimum(na, nb) / np.maximum(na, nb)
-            chance = CHANCE * 2.0 ** (8 - MANTISSA) * 4 * ratio / (1 + ratio) ** 2
-            j = ((ra == rb).sum(axis=1) - chance) / (BUCKETS - chance)
-            slack = 6 * np.sqrt(0.16 / np.minimum(BUCKETS, np.minimum(na, nb)))
+            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, BUCKETS) for c in ("ra", "rb"))
+            j, slack = estimate(ra, rb, na, nb)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(j), pa.array(slack)],
                                              names=["a", "b", "j", "slack"])
     return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(
@@ -305,7 +334,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], D
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    share: tuple[int, int] = (8, 10)) -> DataFrame:
+                    share: tuple[int, int] = (8, 10), **how) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
 
     A document's set is its distinct ``width``-word shingles (A-Z as a-z; the
@@ -339,15 +368,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def verify(pairs: DataFrame, label: str) -> DataFrame:
         return _linked(pairs, classes, texts, width, share, label)
 
-    def tokens(open_: DataFrame) -> DataFrame:
-        # a linked set shares at least ``share`` of its own shingles
-        sets = sets_of(texts(open_), width)
-        n = F.size("s")
-        least = F.ceil(n * share[0] / share[1]).cast("int")
-        return sets.select(F.col("key").alias("class"), n.alias("n"), least.alias("least"),
-                           F.explode("s").alias("token"))
-    parts = banded_components(band_keys(classes), classes.select("class", "n"), share, verify, "near",
-                              tokens)
+    parts = banded_components(band_keys(classes), classes, passing(share), first_key, verify, "near", **how)
 
     group = (classes.select("class", "doc_id").join(parts.withColumnRenamed("id", "class"), "class", "left")
              .withColumn("p", F.coalesce("component", "class")))
