@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import stored, words
+from strandline.llm.common import fresh, stored, words
 
 WIDTH = 5
 SHARE = (8, 10)         # a document holds an item with at least 8 / 10 of its shingles
@@ -84,10 +84,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     item's distinct word shingles (words in lower case).
 
     An item with fewer than ``width`` words is one shingle of all its words.
-    Null, empty and blank texts hold nothing and are in nothing. Rows with one
+    Null, empty and blank texts hold nothing and are in nothing; very long
+    documents have registers in proportion. Rows with one
     id (also a null id) give one row for each item that any of them holds, with
     the largest share; an item given twice likewise. Empty tables give none.
     """
+    best = F.max(F.struct("containment", "common", "item_shingles"))
+    return (_leaks_by_text(docs, items, id_col, text_col, item_col, item_text, width, miss, broadcast_rows)
+            .groupBy("doc_id", "item_id").agg(best.alias("m"))
+            .select("doc_id", "item_id", "m.item_shingles", "m.common", "m.containment"))
+
+
+def _leaks_by_text(docs, items, id_col, text_col, item_col, item_text, width, miss, broadcast_rows) -> DataFrame:
+    """(doc_id, t, item_id, item_shingles, common, containment): as ``leaks``, by
+    id and hash of the text."""
     it = (items.select(F.col(item_col).alias("item_id"), words(F.lower(item_text)).alias("w"))
           .filter(F.size("w") > 0)
           .withColumn("width", F.least(F.size("w"), F.lit(width))))
@@ -102,14 +112,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         p = F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int")
         return F.greatest(F.lit(1), F.least(F.lit(48), p + 1 + spare))
 
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     hashed = (d.withColumn("wh", F.transform(words(F.lower("text")), lambda x: F.xxhash64(x))))
     sh = [_hashes("wh", k) for k in widths] or [F.array().cast("array<bigint>")]
     # No filter on these arrays: pushed below, it would repeat their making inside
     # the lambdas. A text without shingles has no register, and so no row.
-    s = (hashed.select("doc_id", F.concat(*sh).alias("h"))
-         .select("doc_id", F.sort_array("h").alias("h"), bits(F.size("h")).alias("bits")))
-    regs = s.select("doc_id", "bits", F.explode(_registers("h", F.col("bits"))).alias("x"))
+    s = (hashed.select("doc_id", "t", F.concat(*sh).alias("h"))
+         .select("doc_id", "t", F.sort_array("h").alias("h"), bits(F.size("h")).alias("bits")))
+    regs = s.select("doc_id", "t", "bits", F.explode(_registers("h", F.col("bits"))).alias("x"))
 
     counts = range(1, 49)   # every register count that a document's size can ask for
     per_item = it.select("item_id", "width", "h")
@@ -128,28 +138,39 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     if sketch.count() <= broadcast_rows:
         sketch = F.broadcast(sketch)
     pairs = (regs.join(sketch, (regs["x"] == sketch["x"]) & (regs["bits"] >= sketch["from_bits"]))
-             .select("doc_id", "item_id").distinct())
+             .select("doc_id", "t", "item_id").distinct())
     pairs = stored(pairs, "leak-pairs")
 
     full = it.select("item_id", "width", "grams").withColumnRenamed("item_id", "i")
     near = (pairs.join(full, F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
-            .withColumnRenamed("doc_id", "p_id"))
-    held = (d.join(near, F.col("doc_id").eqNullSafe(F.col("p_id")))
+            .select(F.col("doc_id").alias("p_id"), F.col("t").alias("p_t"), "item_id", "width", "grams"))
+    # a text is split once for all its candidates; equal rows give equal rows
+    near = near.groupBy("p_id", "p_t").agg(F.collect_list(F.struct("item_id", "width", "grams")).alias("items"))
+    held = (d.join(near, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("t") == F.col("p_t")))
             .withColumn("dw", words(F.lower("text")))
-            .withColumn("common", F.size(F.array_intersect(_grams("dw", F.col("width")), F.col("grams"))))
-            .withColumn("item_shingles", F.size("grams")))
+            .select("doc_id", "t", "dw", F.explode("items").alias("i"))
+            .withColumn("common", F.size(F.array_intersect(_grams("dw", F.col("i.width")), F.col("i.grams"))))
+            .select("doc_id", "t", F.col("i.item_id").alias("item_id"), "common",
+                    F.size("i.grams").alias("item_shingles")))
     best = F.max(F.struct(F.col("common") / F.col("item_shingles"), "common", "item_shingles"))
     # The filter follows the aggregate: ahead of it, Spark would push it down
     # and split the text anew for every shingle.
-    return (held.groupBy("doc_id", "item_id").agg(best.alias("m"))
+    return (held.groupBy("doc_id", "t", "item_id").agg(best.alias("m"))
             .filter(F.col("m.common") * SHARE[1] >= F.col("m.item_shingles") * SHARE[0])
-            .select("doc_id", "item_id", F.col("m.item_shingles").cast("long").alias("item_shingles"),
+            .select("doc_id", "t", "item_id", F.col("m.item_shingles").cast("long").alias("item_shingles"),
                     F.col("m.common").cast("long").alias("common"),
                     F.col("m.col1").alias("containment")))
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs``, all columns, of documents that hold no item."""
-    found = leaks(docs, items, id_col=id_col, **kw).select(F.col("doc_id").alias("leak_id")).distinct()
-    a, b = docs.alias("a"), stored(found, "leak-ids").alias("b")
-    return a.join(b, F.col(f"a.{id_col}").eqNullSafe(F.col("b.leak_id")), "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text: str = "text", width: int = WIDTH, miss: float = 1e-6,
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose own text holds no item: rows
+    that share an id, or have none, stay or go each by its text; equal rows alike.
+    Null and empty texts stay. An empty table of items takes nothing away."""
+    found = _leaks_by_text(docs, items, id_col, text_col, item_col, item_text, width, miss, broadcast_rows)
+    found = stored(found.select(F.col("doc_id").alias("leak_id"), F.col("t").alias("leak_t")).distinct(), "leak-ids")
+    t = fresh("leak_row_t", docs.columns)
+    a, b = docs.withColumn(t, F.xxhash64(text_col)).alias("a"), found.alias("b")
+    return a.join(b, F.col(f"a.{id_col}").eqNullSafe(F.col("b.leak_id")) & (F.col(f"a.{t}") == F.col("b.leak_t")),
+                  "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

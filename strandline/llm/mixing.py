@@ -180,17 +180,20 @@ def mix(sized: DataFrame, block: int = 128, seed: int = 17, weights=WEIGHTS,
 def mixed_rows(docs: DataFrame, text_size: Column, id_col: str = "doc_id",
                source_col: str = "source", **kw) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns
-    of ``docs``. Rows with one id and source share a decision."""
+    of ``docs``. Rows equal in all columns are one unit, whose copies are decided
+    together; an id decides nothing, so rows that share one, or have none, are
+    taken each by itself. Null and empty texts move no words and stay once; a very
+    long text is one unit. An empty table gives no row."""
     cols = docs.columns
-    k = fresh("mix_copies", cols)
-    units = (docs.select(F.col(id_col).cast("long").alias("id"),
-                         F.col(source_col).alias("source"), text_size.alias("size"))
-             .groupBy("id", "source").agg(F.sum("size").alias("size")))
-    took = mix(units, **kw).select(F.col("id").alias("mix_id"), F.col("source").alias("mix_source"),
-                                   F.col("copies").alias(k))
-    took = took.filter(F.col(k) > 0)
-    a, b = docs.alias("a"), took.alias("b")
-    return (a.join(b, F.col(f"a.{id_col}").cast("long").eqNullSafe(F.col("b.mix_id"))
-                   & F.col(f"a.{source_col}").eqNullSafe(F.col("b.mix_source")))
-            .select("a.*", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"b.{k}"))))
+    unit, many, k = (fresh(x, cols) for x in ("mix_unit", "mix_many", "mix_copies"))
+    d = docs.withColumn(unit, F.xxhash64(*[F.col(f"`{c}`") for c in cols]))
+    units = d.select(F.col(unit).alias("id"), F.col(source_col).alias("source"), text_size.alias("size"))
+    took = mix(stored(units, "mix-units"), **kw).groupBy("id").agg(F.sum("copies").alias("k"), F.count(F.lit(1)).alias("m"))
+    took = stored(took.filter("k > 0"), "mix-taken")
+    a, b = d.alias("a"), took.alias("b")
+    d = a.join(b, F.col(f"a.{unit}") == F.col("b.id")).select(
+        "a.*", (F.col("b.m") > 1).alias(many), F.col("b.k").alias(k))
+    # equal rows: one of them stands for all
+    d = d.filter(~F.col(many)).unionByName(d.filter(F.col(many)).dropDuplicates([unit]))
+    return (d.withColumn(many, F.explode(F.sequence(F.lit(1).cast("long"), F.col(k))))
             .select(*[F.col(f"`{c}`") for c in cols]))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import stored
+from strandline.llm.common import fresh, stored
 
 BUCKETS, BANDS, ROWS, MANTISSA = 256, 42, 6, 10
 #: Fixed value: expected chance agreements of HyperMinHash registers are
@@ -333,19 +333,10 @@ def _linked(pairs: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], D
     return stored(both.filter(common * den >= union * num).select("a", "b"), f"{label}-links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    share: tuple[int, int] = (8, 10), **how) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
-
-    A document's set is its distinct ``width``-word shingles (A-Z as a-z; the
-    whole sequence where it has fewer words). Documents whose sets have a
-    similarity of at least ``share`` are linked; ``component_id`` is the
-    smallest doc_id reachable and ``kept`` is doc_id = component_id.
-    Null, empty and blank texts have an empty set and no link. Rows with a
-    null id link others but name no component (null if nothing else does) and
-    are always kept. Rows that repeat an id are linked each by its own text.
-    An empty table gives an empty result.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], **how):
+    """(rows, classes): (doc_id, t, n, class) of each row, class null where a
+    text has no words; (class, doc_id, t, p) of each class, its smallest row
+    by id (null last) and the component that it belongs to."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("t"),
                     F.col(text_col).alias("text"))
     rows = stored(sketches(d, width).withColumn(
@@ -369,9 +360,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return _linked(pairs, classes, texts, width, share, label)
 
     parts = banded_components(band_keys(classes), classes, passing(share), first_key, verify, "near", **how)
+    group = (classes.select("class", "doc_id", "t").join(parts.withColumnRenamed("id", "class"), "class", "left")
+             .select("class", "doc_id", "t", F.coalesce("component", "class").alias("p")))
+    return rows.select("doc_id", "t", "n", "class"), group
+
 
-    group = (classes.select("class", "doc_id").join(parts.withColumnRenamed("id", "class"), "class", "left")
-             .withColumn("p", F.coalesce("component", "class")))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                    share: tuple[int, int] = (8, 10), **how) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
+
+    A document's set is its distinct ``width``-word shingles (A-Z as a-z; the
+    whole sequence where it has fewer words). Documents whose sets have a
+    similarity of at least ``share`` are linked; ``component_id`` is the
+    smallest doc_id reachable and ``kept`` is doc_id = component_id.
+    Null, empty and blank texts have an empty set and no link; very long texts
+    are sets like others. Rows with a
+    null id link others but name no component (null if nothing else does) and
+    are always kept. Rows that repeat an id are linked each by its own text.
+    An empty table gives an empty result. ``one_of_each`` decides by row instead.
+    """
+    rows, group = _grouped(docs, id_col, text_col, width, share, **how)
     least = group.groupBy("p").agg(F.min("doc_id").alias("component_id"))
     named = group.join(least, "p").select("class", F.col("component_id").alias("c"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "class").join(named, "class", "left")
@@ -380,10 +388,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs``, all columns, of the documents that are the
-    smallest id of their component; rows with a null id stay."""
-    gone = near_duplicates(docs, id_col=id_col, **kw).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("gone_id")).distinct()
-    a, b = docs.alias("a"), stored(gone, "near-gone").alias("b")
-    return a.join(b, F.col(f"a.{id_col}").cast("long") == F.col("b.gone_id"), "left_anti")
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                share: tuple[int, int] = (8, 10), **how) -> DataFrame:
+    """Of each group of near duplicates one row of ``docs``, with all columns:
+    the one with the smallest (id, hash of the text), null ids last. Of rows equal in
+    id and text, any one. Rows without words are in no group and all stay. An id
+    decides nothing else: rows that share an id, or have none, stay or go each
+    by its own text. Very long texts and an empty table are nothing special.
+    """
+    rows, group = _grouped(docs, id_col, text_col, width, share, **how)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t")
+    keep = group.groupBy("p").agg(F.min(place).alias("keep"))
+    named = group.join(keep, "p").select("class", "keep")
+    # a row for each (id, text) that goes, or that stays but comes more than once
+    seen = rows.filter(F.col("class").isNotNull()).groupBy("doc_id", "t", "class").agg(F.count(F.lit(1)).alias("c"))
+    odd = (seen.join(named, "class").select(F.col("doc_id").alias("g_id"), F.col("t").alias("g_t"),
+                                            (place == F.col("keep")).alias("g_stays"), "c")
+           .filter("NOT g_stays OR c > 1").select("g_id", "g_t", "g_stays"))
+    odd = stored(odd, "near-odd")
+    t, stays = fresh("near_t", docs.columns), fresh("near_stays", docs.columns)
+    d = docs.withColumn(t, F.xxhash64(text_col)).alias("a").join(
+        odd.alias("b"), F.col(f"a.{id_col}").cast("long").eqNullSafe(F.col("b.g_id")) & (F.col(f"a.{t}") == F.col("b.g_t")), "left")
+    d = d.select("a.*", F.col("b.g_stays").alias(stays))
+    one = d.filter(F.col(stays)).dropDuplicates([id_col, t])
+    return d.filter(F.col(stays).isNull()).unionByName(one).select(*[F.col(f"`{c}`") for c in docs.columns])
