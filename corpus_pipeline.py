@@ -21,23 +21,28 @@ from strandline.llm.token_files import token_digests
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told by a clear margin; the others go,
-    among them texts without a letter. Learns from the labels of ``docs``."""
+    among them null and empty texts and texts without a letter. Learns from the
+    labels of ``docs``. Each row is told by its own text, whatever its id."""
     return accepted_rows(docs, train(docs.filter(~held_out("doc_id"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles,
-    similarity of 0.8 or more), the one with the smallest id."""
+    """One row of each group of near duplicates (five-word shingles,
+    similarity of 0.8 or more), the one with the smallest id, null last. Rows that share
+    an id are told apart by their texts; of equal rows one stays; texts
+    without words stay."""
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows whose text holds no benchmark item. A null or repeated id
+    decides nothing; null and empty texts stay."""
     return without_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; not at all if not taken."""
+    """Each row as often as the mix takes it; not at all if not taken. Equal rows
+    are taken together, rows that only share an id each by itself."""
     return mixed_rows(docs, word_count(docs["text"]))
 
 
