@@ -27,10 +27,6 @@ from strandline.operators.metrics import FAILED, SKIPPED, SUCCESS, observed
 from strandline.operators.sink import ParquetTable
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
 def repair_guard(key: str, rescued_col: str = RESCUED) -> Column:
     """Rows a repair may touch: rescued, with a key (NULL keys never match)."""
     return col(rescued_col).isNotNull() & col(key).isNotNull()
@@ -55,15 +51,6 @@ def repair_source(df: DataFrame, key: str, types: Mapping[str, object],
     return merge_projection(fixed, key, list(types), rescued_col)
 
 
-def check_unique(source: DataFrame, key: str) -> None:
-    """Refuse a source with a repeated non-NULL key: a target row would
-    match several rows and the new value would be ambiguous."""
-    dup = (source.select(col(key).alias("k")).filter(F.col("k").isNotNull())
-           .groupBy("k").count().filter(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise DuplicateKeyError(f"source has duplicate key {key}={dup[0]['k']!r}")
-
-
 #: A key is hot when it holds at least this share of the rows to update, so
 #: there are at most HOT_PARTS hot keys whatever the table's size; each is
 #: dealt over SALTS tasks.
@@ -79,8 +66,42 @@ def hot_keys(candidates: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFra
     return counts.filter((F.col("n") > 1) & (F.col("n") * parts >= total)).select("k")
 
 
+#: Bits of the filter of source keys: at most 8 MB travel, whatever the source. With n
+#: keys a row without a match passes with a probability of 1 - exp(-n / BITS).
+BITS = 1 << 26
+_BUCKET, _BITMAP, _MAYBE = "__sl_bucket", "__sl_bitmap", "__sl_maybe"
+
+
+def key_filter(source: DataFrame, key: str, bits: int = BITS) -> DataFrame:
+    """The hashed keys of ``source`` as bitmaps (a row for each 32,768 bits,
+    merged from partial bitmaps): at most ``bits`` / 8 bytes."""
+    h = F.pmod(F.xxhash64(col(key)), F.lit(bits)) + 1
+    return (source.filter(col(key).isNotNull())
+            .groupBy(F.bitmap_bucket_number(h).alias(_BUCKET))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias(_BITMAP)))
+
+
+def may_match(rows: DataFrame, key: str, bitmaps: DataFrame, flag: str, bits: int = BITS) -> DataFrame:
+    """Adds boolean ``flag``: whether the row's key may be one of those in
+    ``bitmaps`` (a broadcast of bounded size, no shuffle of the rows)."""
+    h = F.pmod(F.xxhash64(col(key)), F.lit(bits)) + 1
+    at = F.bitmap_bit_position(h)
+    byte = F.conv(F.hex(F.substring(F.col(_BITMAP), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    joined = rows.withColumn(_BUCKET, F.when(col(key).isNotNull(), F.bitmap_bucket_number(h))) \
+        .join(F.broadcast(bitmaps), _BUCKET, "left")
+    return joined.select(*[col(c) for c in rows.columns], F.coalesce(bit, F.lit(False)).alias(flag))
+
+
+def _filterable(target: DataFrame, source: DataFrame, key: str) -> bool:
+    """Whether equal keys of both sides have equal hashes."""
+    t = target.schema[key].dataType
+    return t == source.schema[key].dataType and not isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType))
+
+
 def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str],
-                  rescued_col: str = RESCUED, parts: int = HOT_PARTS) -> DataFrame:
+                  rescued_col: str = RESCUED, parts: int = HOT_PARTS, hot: DataFrame | None = None,
+                  bits: int = BITS) -> DataFrame:
     """Target rows with ``key`` equal to a source row's and a rescued
     value take the source's ``columns`` and rescued value (NULL if the source
     has none). Nothing is inserted or deleted; NULL keys never match.
@@ -89,14 +110,19 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
     The source is aggregated by key (partial aggregation first, so a hot key
     costs one row per task), keeping a row count; a repeated source key that
     meets a rescued target row fails the job, since its new value would be
-    ambiguous. Only the target's rescued rows with a key enter the join; the
-    rest bypass it. The join is always on (key, salt): rows of a hot key are
-    dealt over ``SALTS`` salts by a hash of the row and its one source row is
-    copied to each; every other row has salt 0.
+    ambiguous. Only the target's rescued rows whose key passes a filter of the
+    source's keys (``key_filter``) enter the join; the rest bypass it. The join
+    is always on (key, salt): rows of a hot key are dealt over ``SALTS`` salts
+    by a hash of the row and its one source row is copied to each; every other
+    row has salt 0. ``hot``: the hot keys (column ``k``, at most ``parts``), if known.
     """
-    guard = repair_guard(key, rescued_col)
-    untouched = target.filter(~guard | guard.isNull())
-    candidates = target.filter(guard)
+    guard = F.coalesce(repair_guard(key, rescued_col), F.lit(False))
+    if _filterable(target, source, key):
+        flagged = may_match(target, key, key_filter(source, key, bits), _MAYBE, bits)
+        untouched = flagged.filter(~(guard & F.col(_MAYBE))).drop(_MAYBE)
+        candidates = flagged.filter(guard & F.col(_MAYBE)).drop(_MAYBE)
+    else:
+        untouched, candidates = target.filter(~guard), target.filter(guard)
     src_cols = [c for c in columns if c != key]
     # Only a source that brings its own rescued column carries it through the
     # aggregate (a string buffer makes Spark sort instead of hash);
@@ -107,7 +133,8 @@ def update_by_key(target: DataFrame, source: DataFrame, key: str, columns: Seque
            .agg(F.count(F.lit(1)).alias("__n"),
                 *[F.first(col(c)).alias(f"__src_{c}") for c in src_cols],
                 *([F.first(col(rescued_col)).alias("__src_rescued")] if has_rescued else [])))
-    hot = F.broadcast(hot_keys(candidates, key, parts).withColumnRenamed("k", "__hot"))     # at most ``parts`` rows
+    hot = hot_keys(candidates, key, parts) if hot is None else hot
+    hot = F.broadcast(hot.withColumnRenamed("k", "__hot"))     # at most ``parts`` rows
     spread = F.pmod(F.xxhash64(*[col(c) for c in target.columns
                                  if not isinstance(target.schema[c].dataType, T.MapType)]), F.lit(SALTS))
     salted = (candidates.join(hot, col(key) == F.col("__hot"), "left")
@@ -183,13 +210,56 @@ def changed_by(transform: Callable[[DataFrame], DataFrame], columns: Sequence[st
     return mark
 
 
-def matched_by(source: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
-    """Marks the rescued rows whose key a source row has."""
-    def mark(rows: DataFrame) -> DataFrame:
-        keys = source.select(col(key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
-        return (rows.join(keys, col(key) == F.col("__k"), "left")
-                .withColumn(_CHANGED, F.col("__k").isNotNull()))
-    return mark
+def _sums() -> dict[str, Column]:
+    """Sums over the partitions, taken while their summary is written: rescued
+    rows, those in partitions without a change, changing rows."""
+    n, changed = F.col("__n"), F.col("__changed")
+    return {"before": F.sum(n), "kept": F.sum(F.when(changed == 0, n).otherwise(0)), "changes": F.sum(changed)}
+
+
+def changed_stats(mark: Callable[[DataFrame], DataFrame]) -> Callable[..., tuple[DataFrame, dict]]:
+    """Job 1 of a narrow repair: the partitions' rescued and changing rows."""
+    def job(table: ParquetTable, rescued: DataFrame, parts: Sequence[str]) -> tuple[DataFrame, dict]:
+        stats = (mark(rescued).groupBy(*[col(c) for c in parts])
+                 .agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(_CHANGED)).alias("__changed")))
+        return table.summary(stats, **_sums())
+    return job
+
+
+class KeyUpdate:
+    """The two jobs of an update by key on a stored table.
+
+    Job 1 aggregates the rescued rows by (partition, key) before it meets the
+    source's keys, so a key with a third of all rows is a few rows there; rows
+    whose key the filter rules out are aggregated by partition alone. What it
+    finds also names the hot keys of job 2.
+    """
+
+    def __init__(self, source: DataFrame, key: str, columns: Sequence[str], rescued_col: str = RESCUED,
+                 parts: int = HOT_PARTS, bits: int = BITS):
+        self.source, self.key, self.columns = source, key, columns
+        self.rescued_col, self.parts, self.bits, self.hot = rescued_col, parts, bits, None
+
+    def stats(self, table: ParquetTable, rescued: DataFrame, parts: Sequence[str]) -> tuple[DataFrame, dict]:
+        key = self.key
+        rows = rescued.select(*[col(c) for c in parts], col(key).alias("__k"))
+        if _filterable(rescued, self.source, key):
+            bitmaps = key_filter(self.source, key, self.bits)
+            rows = may_match(rows, "__k", bitmaps, _MAYBE, self.bits) \
+                .withColumn("__k", F.when(F.col(_MAYBE), F.col("__k"))).drop(_MAYBE)
+        counts = rows.groupBy(*[col(c) for c in parts], "__k").agg(F.count(F.lit(1)).alias("__n"))
+        keys = self.source.select(col(key).alias("__s")).filter(F.col("__s").isNotNull()).distinct()
+        met = counts.join(keys, F.col("__k") == F.col("__s"), "left")
+        met = met.withColumn("__changed", F.when(F.col("__s").isNotNull(), F.col("__n")).otherwise(F.lit(0).cast("long")))
+        found, got = table.summary(met.select(*[col(c) for c in parts], "__k", "__n", "__changed"), changed=F.sum("__changed"))
+        total = int(got["changed"] or 0)
+        self.hot = (found.filter("__changed > 0").groupBy(F.col("__k").alias("k")).agg(F.sum("__n").alias("n"))
+                    .filter((F.col("n") > 1) & (F.col("n") * self.parts >= F.lit(total))).select("k"))
+        stats = found.groupBy(*[col(c) for c in parts]).agg(F.sum("__n").alias("__n"), F.sum("__changed").alias("__changed"))
+        return table.summary(stats, **_sums())
+
+    def transform(self, scope: DataFrame) -> DataFrame:
+        return update_by_key(scope, self.source, self.key, self.columns, self.rescued_col, self.parts, self.hot, self.bits)
 
 
 def _same_partition(a: str, b: str, parts: Sequence[str]) -> Column:
@@ -202,15 +272,16 @@ def _same_partition(a: str, b: str, parts: Sequence[str]) -> Column:
 
 def repair_table(spark: SparkSession, table: ParquetTable, name: str,
                  transform: Callable[[DataFrame], DataFrame],
-                 mark: Callable[[DataFrame], DataFrame], reads: Sequence[str],
+                 stats: Callable[..., tuple[DataFrame, dict]], reads: Sequence[str],
                  rescued_col: str = RESCUED) -> RepairResult:
     """Apply ``transform`` (a DataFrame -> DataFrame repair) to the partitions
     of ``table`` where it changes rows, and write them back in place.
 
     Job 1 reads only rescued rows (``IsNotNull`` pushed to the scan) and of
-    them only the columns in ``reads``; ``mark`` says which would change. Its
+    them only the columns in ``reads``; ``stats(table, rescued, partition
+    columns)`` says how many rows of each partition would change. Its
     summary, a row for each partition with rescued rows, is written beside
-    the table, not collected. Job 2 reads exactly the partitions with
+    the table, not collected; its sums are taken on the way. Job 2 reads exactly the partitions with
     changes (a semi join with the summary, which prunes the other folders),
     writes them repaired into a stage folder and counts rescued rows in
     flight; job 3 replaces the partitions from the stage. A stage whose
@@ -229,17 +300,13 @@ def repair_table(spark: SparkSession, table: ParquetTable, name: str,
             raise ValueError("in-place repair needs a partitioned table")
         need = [c for c in dict.fromkeys([*parts, *reads, rescued_col]) if c in df.columns]
         rescued = df.filter(col(rescued_col).isNotNull()).select(*[col(c) for c in need])
-        stats = (mark(rescued).groupBy(*[col(c) for c in parts])
-                 .agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(_CHANGED)).alias("__changed")))
-        stats = table.summary(stats)
-        sums = stats.agg(F.sum("__n"), F.sum(F.when(F.col("__changed") == 0, F.col("__n")).otherwise(0)),
-                         F.sum("__changed")).first()
-        before, kept, changes = (int(x or 0) for x in sums)
+        found, sums = stats(table, rescued, parts)
+        before, kept, changes = (int(sums[k] or 0) for k in ("before", "kept", "changes"))
         if before == 0:
             return RepairResult(name, 0, 0, 0, time.time() - t0, SKIPPED)
         if changes == 0:
             return RepairResult(name, before, before, 0, time.time() - t0, SUCCESS)
-        todo = stats.filter(F.col("__changed") > 0)
+        todo = found.filter(F.col("__changed") > 0)
         scope = df.alias("a").join(todo.alias("b"), _same_partition("a", "b", parts), "left_semi")
         fixed, obs = observed(transform(scope), rescued_col=rescued_col)
         table.replace_partitions(fixed)
@@ -257,6 +324,7 @@ def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableC
     with a type other than the contract's is recovered into the stored
     type, so the table's files keep one schema."""
     try:
+        table.finish_stage(spark)
         cols = [c for c in (columns or contract.rescued or list(contract.types)) if c]
         have = {f.name: f.dataType for f in table.read(spark).schema.fields} \
             if table.exists(spark) else {}
@@ -267,7 +335,8 @@ def self_repair_table(spark: SparkSession, table: ParquetTable, contract: TableC
     def fix(d: DataFrame) -> DataFrame:
         return self_repair(d, contract.key, types, residual, rescued_col)
     reads = [contract.key, *types]
-    return repair_table(spark, table, contract.name, fix, changed_by(fix, reads, rescued_col), reads, rescued_col)
+    return repair_table(spark, table, contract.name, fix, changed_stats(changed_by(fix, reads, rescued_col)), reads,
+                        rescued_col)
 
 
 def update_table_by_key(spark: SparkSession, table: ParquetTable, name: str, key: str,
@@ -277,9 +346,8 @@ def update_table_by_key(spark: SparkSession, table: ParquetTable, name: str, key
     meets a source row. A repeated source key that meets a rescued row fails
     the write job before anything is committed, and the repair is reported
     FAILED."""
-    return repair_table(spark, table, name,
-                        lambda d: update_by_key(d, source, key, columns, rescued_col),
-                        matched_by(source, key), [key], rescued_col)
+    job = KeyUpdate(source, key, columns, rescued_col)
+    return repair_table(spark, table, name, job.transform, job.stats, [key], rescued_col)
 
 
 def repair_results(spark: SparkSession, results: Sequence[RepairResult]) -> DataFrame:

@@ -14,7 +14,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,11 @@ def _missing_path(e: Exception) -> bool:
     return "PATH_NOT_FOUND" in text or "Path does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text
 
 
+class ReplacementPending(RuntimeError):
+    """Partitions of the table are being replaced, or a replacement was cut
+    short: a read could miss rows."""
+
+
 @dataclass
 class ParquetTable:
     path: str
@@ -42,7 +47,26 @@ class ParquetTable:
         """The whole table, by the schema kept beside it; columns added by
         later batches are NULL in older files. A table without a kept schema
         (written by others) has its footers merged once, and partition
-        columns get their declared types (``_batch_id`` is a long)."""
+        columns get their declared types (``_batch_id`` is a long).
+
+        The files are listed here, at once. No replacement may be pending
+        before or after the listing, and none may have happened meanwhile; so the
+        rows are those before or after a replacement, or the read fails
+        (``ReplacementPending``; ``finish_stage`` completes one that was cut short)."""
+        return self._guarded(spark, lambda: self._read(spark))
+
+    def _guarded(self, spark: SparkSession, listing) -> DataFrame:
+        for _ in range(3):
+            before = self._state(spark)
+            if before[0] == "replace":
+                raise ReplacementPending(f"partitions of {self.path} are being replaced (stage {before[1]}); "
+                                         "read again later, or call finish_stage if that job has ended")
+            df = listing()
+            if self._state(spark) == before:
+                return df
+        raise ReplacementPending(f"partitions of {self.path} were replaced during each attempt to list its files")
+
+    def _read(self, spark: SparkSession) -> DataFrame:
         if self._schema is None:
             self._schema = self._kept_schema(spark)
         if self._schema is not None:
@@ -73,7 +97,7 @@ class ParquetTable:
         r = spark.read.option("basePath", self.path)
         if self._schema is None:
             self.read(spark)
-        return r.schema(self._schema).parquet(path)
+        return self._guarded(spark, lambda: r.schema(self._schema).parquet(path))
 
     def refresh(self) -> None:
         """Forget the remembered schema (another of our writers changed the
@@ -193,14 +217,31 @@ class ParquetTable:
         return f"{self.path}/_stage/pointer"
 
     def _point(self, spark: SparkSession, stage: str, state: str) -> None:
-        (spark.createDataFrame([(stage, state)], "stage string, state string").coalesce(1)
-         .write.mode("overwrite").json(self._pointer))
+        # the folder's names say it all, so that a reader needs no job
+        (spark.createDataFrame([(stage, state, 1)], "stage string, state string, x int").coalesce(1)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("state", "stage")
+         .json(self._pointer))
 
-    def summary(self, df: DataFrame) -> DataFrame:
-        """A small frame about the table, written beside it and read back."""
+    def _state(self, spark: SparkSession) -> tuple[str | None, str | None]:
+        """(state, stage) of the last replacement, from a listing of file names."""
+        try:
+            names = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                     .option("pathGlobFilter", "part-*").load(self._pointer).inputFiles())
+        except AnalysisException as e:
+            if not _missing_path(e):
+                raise
+            return None, None
+        found = [dict(x.split("=", 1) for x in n.split("/") if "=" in x) for n in names]
+        found = [(f["state"], f["stage"]) for f in found if "state" in f and "stage" in f]
+        return found[0] if found else (None, None)
+
+    def summary(self, df: DataFrame, **sums) -> tuple[DataFrame, dict]:
+        """A small frame about the table, written beside it and read back, with
+        aggregates that are taken while it is written."""
         path = f"{self.path}/_stage/summary-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        obs = Observation(f"summary_{uuid.uuid4().hex[:8]}")
+        df.observe(obs, *[e.alias(k) for k, e in sums.items()]).write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path), obs.get
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Replace the partitions present in ``df`` by its rows, where ``df``
@@ -229,16 +270,11 @@ class ParquetTable:
     def finish_stage(self, spark: SparkSession) -> bool:
         """Complete a replacement that was cut short after its stage was
         committed; whether there was one."""
-        try:
-            at = spark.read.schema("stage string, state string").json(self._pointer).first()
-        except AnalysisException as e:
-            if not _missing_path(e):
-                raise
-            return False
-        if at is None or at["state"] != "replace":
+        state, stage = self._state(spark)
+        if state != "replace":
             return False
-        files = spark.read.option("mergeSchema", "true").parquet(f"{self.path}/_stage/{at['stage']}")
-        self._apply(spark, at["stage"], files.schema)
+        files = spark.read.option("mergeSchema", "true").parquet(f"{self.path}/_stage/{stage}")
+        self._apply(spark, stage, files.schema)
         self.refresh()
         return True
 

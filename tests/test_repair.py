@@ -4,10 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.contracts import TableContract
-from strandline.operators.repair import (DuplicateKeyError, check_unique, self_repair,
-                                         self_repair_table,
+from strandline.operators.repair import (key_filter, may_match, self_repair, self_repair_table,
                                          update_by_key, update_table_by_key)
-from strandline.operators.sink import ParquetTable
+from strandline.operators.sink import ParquetTable, ReplacementPending
 from strandline.plans.fixtures import ORDERS, dirty_orders, null_keys
 
 SMOKE = "/root/testdata/sf0.001"
@@ -90,8 +89,6 @@ def test_update_by_key_rejects_duplicate_source_keys(spark, tmp):
     source = spark.createDataFrame([(1, 10.0), (1, 11.0)], "id long, p double")
     with pytest.raises(Exception, match="DUPLICATE_SOURCE_KEY"):
         update_by_key(target, source, "id", ["p"]).collect()
-    with pytest.raises(DuplicateKeyError):
-        check_unique(source, "id")
     # a repeated key that meets no rescued row is harmless
     ok = spark.createDataFrame([(1, 10.0), (2, 20.0), (2, 21.0)], "id long, p double")
     got = sorted(tuple(r) for r in update_by_key(target, ok, "id", ["p"]).collect())
@@ -273,6 +270,15 @@ def test_a_repair_that_stops_halfway_loses_no_row(spark, tmp, monkeypatch, where
         m.setattr(ParquetTable, "_apply", stop_apply)
         r = self_repair_table(spark, t, ORDERS)
         assert r.status == "FAILED" and "here" in r.error
+    # a read sees all rows or fails
+    reader = ParquetTable(f"{tmp}/orders")
+    if where == "before_pointer":
+        assert reader.read(spark).count() == n
+    else:
+        with pytest.raises(ReplacementPending):
+            reader.read(spark)
+        with pytest.raises(ReplacementPending):
+            t.read_batch(spark, 1)
     fresh = ParquetTable(f"{tmp}/orders")      # another process
     r = self_repair_table(spark, fresh, ORDERS)
     assert r.status == "SUCCESS"
@@ -283,14 +289,90 @@ def test_a_repair_that_stops_halfway_loses_no_row(spark, tmp, monkeypatch, where
     assert not fresh.finish_stage(spark)
 
 
+def test_a_read_beside_a_replacement_lists_again(spark, tmp, monkeypatch):
+    """A replacement between the first look and the listing is noticed."""
+    t, d = stored(spark, tmp)
+    reader, done = ParquetTable(f"{tmp}/orders"), []
+    listing = ParquetTable._read
+
+    def slow(self, spark):
+        df = listing(self, spark)
+        if self is reader and not done:
+            done.append(self_repair_table(spark, t, ORDERS).status)
+        return df
+    monkeypatch.setattr(ParquetTable, "_read", slow)
+    back = reader.read(spark)
+    assert done == ["SUCCESS"] and back.count() == d.count()
+    assert back.filter("_rescued_data IS NOT NULL").count() < d.filter("_rescued_data IS NOT NULL").count()
+    monkeypatch.setattr(ParquetTable, "_state", lambda self, spark, n=iter(range(100)): ("done", next(n)))
+    with pytest.raises(ReplacementPending, match="each attempt"):
+        reader.read(spark)
+
+
+def test_the_filter_of_keys_keeps_every_match_and_few_others(spark):
+    bits = 1 << 20
+    source = spark.range(0, 100_000, 2).selectExpr("id * 7919 AS id")       # 50,000 keys
+    rows = spark.range(100_000).selectExpr("IF(id % 1000 = 0, NULL, id * 7919) AS id", "id AS n")
+    got = may_match(rows, "id", key_filter(source, "id", bits), "maybe", bits)
+    r = got.selectExpr("count_if(n % 2 = 0 AND id IS NOT NULL AND NOT maybe) lost", "count_if(id IS NULL AND maybe) nulls",
+                       "count_if(n % 2 = 1 AND maybe) / count_if(n % 2 = 1) share", "count(*) n").first()
+    assert (r["lost"], r["nulls"], r["n"]) == (0, 0, 100_000)
+    assert 0.03 < r["share"] < 0.06         # 1 - exp(-50,000 / 2**20) = 0.047
+    assert key_filter(source, "id", bits).count() <= bits // 32768
+    empty = may_match(rows, "id", key_filter(source.limit(0), "id"), "maybe")
+    assert empty.filter("maybe").count() == 0 and empty.count() == 100_000
+
+
+def test_plan_only_rows_that_pass_the_filter_are_exchanged(spark, tmp):
+    """Of 20,000 rescued rows 100 have a source row: the join's exchange moves these."""
+    path = f"{tmp}/t"
+    spark.range(20_000).selectExpr("id", "CAST(NULL AS DOUBLE) AS p", "'{}' AS _rescued_data").write.parquet(path)
+    target = spark.read.parquet(path)
+    source = spark.range(100).selectExpr("id * 200 AS id", "1.5D AS p")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = update_by_key(target, source, "id", ["p"], hot=spark.createDataFrame([], "k long"))
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert len(rows) == 20_000 and sum(r["p"] == 1.5 and r["_rescued_data"] is None for r in rows) == 100
+
+    def nodes(p):
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            yield from nodes(p.executedPlan())
+            return
+        if "QueryStage" in name:
+            yield from nodes(p.plan())
+            return
+        yield p
+        for i in range(p.children().size()):
+            yield from nodes(p.children().apply(i))
+    moved = [n.metrics().apply("shuffleRecordsWritten").value() for n in nodes(plan) if n.nodeName() == "Exchange"]
+    assert moved and max(moved) <= 200, moved
+    by_text = update_by_key(target.selectExpr("CAST(id AS STRING) AS id", "p", "_rescued_data"), source, "id", ["p"])
+    assert by_text.filter("p = 1.5").count() == 100         # keys of two types: no filter, same rows
+
+
+def test_a_hot_key_is_a_few_rows_in_the_first_job(spark, tmp):
+    t = ParquetTable(f"{tmp}/hot")
+    rows = spark.range(6000).selectExpr("IF(id % 3 = 0, 0, id) AS id", "CAST(NULL AS DOUBLE) AS p", "'{\"p\":\"x\"}' AS _rescued_data")
+    t.write_batch(rows.repartition(4), 0)
+    r = update_table_by_key(spark, t, "t", "id", spark.range(3000).selectExpr("id", "id + 0.5D AS p"), ["p"])
+    n = rows.filter("id < 3000").count()
+    assert (r.status, r.rows_rescued_before, r.rows_repaired) == ("SUCCESS", 6000, n)
+    assert t.read(spark).filter("p = id + 0.5D AND _rescued_data IS NULL").count() == n
+
+
 def test_the_probe_reads_only_what_a_repair_can_change(spark, tmp, monkeypatch):
     t, _ = stored(spark, tmp)
     seen, rewrite = [], []
     summary, replace = ParquetTable.summary, ParquetTable.replace_partitions
     monkeypatch.setattr(ParquetTable, "replace_partitions", lambda self, df: (
         rewrite.append(df._jdf.queryExecution().executedPlan().toString()), replace(self, df))[1])
-    monkeypatch.setattr(ParquetTable, "summary", lambda self, df: (
-        seen.append(df._jdf.queryExecution().executedPlan().toString()), summary(self, df))[1])
+    monkeypatch.setattr(ParquetTable, "summary", lambda self, df, **kw: (
+        seen.append(df._jdf.queryExecution().executedPlan().toString()), summary(self, df, **kw))[1])
     assert self_repair_table(spark, t, ORDERS).status == "SUCCESS"
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,_rescued_data:string>" in seen[0]
     assert "PushedFilters: [IsNotNull(_rescued_data)]" in seen[0]
