@@ -20,8 +20,10 @@ from strandline.functions.columns import RESCUED, col
 MAX_RESCUED_PCT = 0.05        # alert if more than 5 % of rows are rescued
 MAX_DURATION_SECONDS = 3600   # alert if a task runs longer than an hour
 MIN_ROWS_EXPECTED = 1         # alert if fewer rows are written
+RULES = (("rescued_pct", ">", float(MAX_RESCUED_PCT)), ("duration_secs", ">", float(MAX_DURATION_SECONDS)),
+         ("rows_written", "<", float(MIN_ROWS_EXPECTED)))
 LEVEL_INFO, LEVEL_WARN, LEVEL_ERROR, LEVEL_METRIC = "INFO", "WARN", "ERROR", "METRIC"
-SUCCESS, FAILED, SKIPPED = "SUCCESS", "FAILED", "SKIPPED"
+SUCCESS, FAILED, SKIPPED, STARTED = "SUCCESS", "FAILED", "SKIPPED", "STARTED"
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -92,11 +94,7 @@ def threshold_alerts(metrics: DataFrame, key_cols: list[str]) -> DataFrame:
     def measure(name: str) -> Column:
         return (F.col(name) if name in metrics.columns else F.lit(None)).cast(T.DoubleType())
 
-    rules = [
-        ("rescued_pct", measure("rescued_pct"), float(MAX_RESCUED_PCT), ">"),
-        ("duration_secs", measure("duration_secs"), float(MAX_DURATION_SECONDS), ">"),
-        ("rows_written", measure("rows_written"), float(MIN_ROWS_EXPECTED), "<"),
-    ]
+    rules = [(r, measure(r), t, op) for r, op, t in RULES]
     checks = F.array(*[
         F.struct(F.lit(r).alias("rule"), v.alias("observed"), F.lit(t).alias("threshold"),
                  (v > F.lit(t) if op == ">" else v < F.lit(t)).alias("fired"))
@@ -106,6 +104,25 @@ def threshold_alerts(metrics: DataFrame, key_cols: list[str]) -> DataFrame:
             .select(*[F.col(k) for k in key_cols], "c.rule", "c.observed", "c.threshold"))
 
 
+def fired_rules(measures: dict) -> list[tuple[str, float, float]]:
+    """``threshold_alerts`` for the measures of one batch, on the driver:
+    (rule, observed, threshold) of each rule that fires."""
+    out = []
+    for rule, op, least in RULES:
+        v = measures.get(rule)
+        if v is not None and (v > least if op == ">" else v < least):
+            out.append((rule, float(v), least))
+    return out
+
+
+def lifecycle_rows(spark, tables: list[str], task_name: str, run_id: str, status: str) -> DataFrame:
+    """Run-log rows that say that a run of these tables has begun or ended."""
+    now = datetime.now(timezone.utc)
+    rows = [(run_id, None, task_name, t, LEVEL_INFO, f"{t}: {status.lower()}", None, None, None, None, None, status, None,
+             now, None) for t in tables]
+    return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+
+
 def _pct_text(c: Column) -> Column:
     return F.format_string("%.2f%%", c * F.lit(100.0))
 

@@ -202,6 +202,23 @@ ORACLES = {
         SELECT 'events', count(*) FILTER (WHERE {_RESCUED_EVENT}),
                count(*) FILTER (WHERE {_RESCUED_EVENT}), CAST(0 AS BIGINT), 'SUCCESS'
         FROM events""",
+    "rescue_census": f"""
+        WITH o AS (SELECT o_orderkey % 49 = 0 AS bad, o_orderkey % 3 = 0 AS other, o_orderkey % 5 = 0 AS same, o_orderkey
+                   FROM orders WHERE o_orderkey % 7 = 0)
+        SELECT 'orders' AS table_name, 'o_totalprice' AS column, count(*) AS rescued,
+               count(*) FILTER (WHERE NOT bad AND NOT other AND same) AS held,
+               count(*) FILTER (WHERE NOT bad AND NOT other AND NOT same) AS recoverable,
+               count(*) FILTER (WHERE NOT bad AND other) AS conflicting, count(*) FILTER (WHERE bad) AS stuck,
+               0::BIGINT AS unknown, true AS listed FROM o
+        UNION ALL
+        SELECT 'orders', 'no_column', count(*), 0, 0, 0, 0, count(*), false FROM o WHERE o_orderkey % 14 = 0 HAVING count(*) > 0
+        UNION ALL
+        SELECT 'events', 'value', count(*), 0, 0, 0, count(*), 0, false FROM events WHERE {_RESCUED_EVENT} HAVING count(*) > 0""",
+    "resumed_run": """
+        SELECT 'orders' AS table_name, 'SUCCESS' AS first_status, 'SKIPPED' AS second_status, count(*) AS rows_total,
+               1::BIGINT AS starts, 1::BIGINT AS successes, 0::BIGINT AS failures FROM orders
+        UNION ALL SELECT 'events', 'SUCCESS', 'SKIPPED', count(*), 1, 1, 0 FROM events
+        UNION ALL SELECT 'customer', 'FAILED', 'SUCCESS', count(*), 2, 1, 1 FROM customer""",
     "repair_worklist": f"""
         SELECT * FROM (
             SELECT 'orders' AS table_name, 'o_orderkey' AS primary_key, 'o_totalprice' AS rescued_cols,

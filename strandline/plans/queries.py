@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strandline.contracts import TableContract
 from strandline.functions.columns import (RESCUED, SOURCE_FILE, capture, cast_to_contract,
                                           lineage, recover, rescued_filter)
+from strandline.operators.census import census_worklist, rescue_census
 from strandline.operators.metrics import (log_rows, run_metrics, table_counts,
                                           threshold_alerts)
 from strandline.operators.repair import (repair_items, repair_results, repair_source,
@@ -548,6 +549,44 @@ def repair_from_worklist(spark, sf_dir):
         "table_name", "rows_rescued_before", "rows_rescued_after", "rows_repaired", "status")
 
 
+def rescue_census_query(spark, sf_dir):
+    """What the rescued entries of dirty orders (some of whose prices are
+    filled again with another value, some with the same), of landed events and of customers
+    are worth, by column; and whether the worklist made from it names the column."""
+    o = dirty_orders(table(spark, sf_dir, "orders"))
+    k = F.col("o_orderkey")
+    price = F.get_json_object(RESCUED, "$.o_totalprice").try_cast("double")
+    o = o.withColumn("o_totalprice", F.when((k % 7 == 0) & (k % 3 == 0), price + F.lit(1.0))
+                     .when((k % 7 == 0) & (k % 5 == 0), price).otherwise(F.col("o_totalprice")))
+    o = o.withColumn(RESCUED, F.when(k % 14 == 0, F.regexp_replace(RESCUED, "}$", ',"no_column":"1"}')).otherwise(F.col(RESCUED)))
+    tables = {"orders": o, "events": _landed_events(spark, sf_dir, "rescue_census"), "customer": table(spark, sf_dir, "customer")}
+    census = rescue_census(spark, tables, PLAN_CONTRACTS)
+    listed = census_worklist(census, PLAN_CONTRACTS).select(F.col("table_name").alias("t"), F.col("rescued_cols").alias("c"))
+    return (census.join(listed, (F.col("table_name") == F.col("t")) & (F.col("column") == F.col("c")), "left")
+            .select(*census.columns, F.col("c").isNotNull().alias("listed")))
+
+
+def resumed_run(spark, sf_dir):
+    """Three feeds, one of them broken (its folder is missing). The run is
+    resumed after the folder came: only that feed is loaded, the log holds both
+    attempts under one run id, and every table has its rows once."""
+    root = work_root(spark, "resumed_run")
+    log = ParquetTable(f"{root}/log", ())
+    src = f"{root}/landing/customer"
+    loads = lambda: [_load(spark, ORDERS, sf_dir, root, mode="parquet", glob="orders.parquet"),
+                     _load(spark, CUSTOMER, src, root, mode="parquet"),
+                     _load(spark, EVENTS, sf_dir, root, mode="parquet", glob="events.parquet")]
+    first = run_all(spark, loads(), raise_on_failure=False, log_table=log, run_id="nightly")
+    write_drop(table(spark, sf_dir, "customer"), src)
+    second = run_all(spark, loads(), log_table=log, resume="nightly")
+    states = (log.read(spark).filter("run_id = 'nightly'").groupBy("table_name").agg(
+        F.count_if(F.col("status") == "STARTED").alias("starts"), F.count_if(F.col("status") == "SUCCESS").alias("successes"),
+        F.count_if(F.col("status") == "FAILED").alias("failures")))
+    a = first.select("table_name", F.col("status").alias("first_status"))
+    b = second.select("table_name", F.col("status").alias("second_status"), "rows_total")
+    return a.join(b, "table_name").join(states, "table_name")
+
+
 QUERIES = {
     "landing_flagship": landing_flagship,
     "incremental_ingest": incremental_ingest,
@@ -581,6 +620,8 @@ QUERIES = {
     "run_log": run_log,
     "source_inventory": source_inventory_query,
     "multi_table_load": multi_table_load,
+    "rescue_census": rescue_census_query,
+    "resumed_run": resumed_run,
     "repair_worklist": repair_worklist_query,
     "repair_from_worklist": repair_from_worklist,
 }

@@ -8,7 +8,9 @@ batch's own partition. Replays after a failure overwrite that partition.
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -18,12 +20,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.window import Window
 
 from strandline.contracts import TableContract
 from strandline.functions.columns import (BATCH_ID, RESCUED, SOURCE_FILE, capture, cast_to_contract,
                                           lineage, recover, unrecovered_flag)
-from strandline.operators.metrics import (FAILED, SUCCESS, append_log, count_exprs, log_rows, observed,
-                                          threshold_alerts)
+from strandline.operators.metrics import (FAILED, LEVEL_METRIC, SKIPPED, STARTED, SUCCESS, append_log, count_exprs,
+                                          fired_rules, lifecycle_rows, log_rows, observed, threshold_alerts)
 from strandline.operators.sink import ParquetTable, align_to_table, evolved
 from strandline.sources.landing import (DEFAULT_MAX_FILE_AGE, discover_stream, infer_schema, list_files,
                                        parquet_stream, read_landing, resolve_types, schema_groups)
@@ -117,6 +121,79 @@ def cluster_by_partition(df: DataFrame, partition: str, key: str, files: int) ->
     return df.repartition(F.col(f"`{partition}`"), salt)
 
 
+def cluster_by_size(df: DataFrame, partition: str, key: str, rows_per_file: int) -> DataFrame:
+    """Rows dealt to writers in proportion to what each partition value holds:
+    a counting pass over the one column, then a writer for every
+    ``rows_per_file`` rows of a value (rows spread by a hash of the key), while
+    values with fewer share writers, one file each. A retried task reproduces its rows."""
+    part = F.col(f"`{partition}`")
+    counts = df.groupBy(part.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__files", F.greatest(F.lit(1), F.round(F.col("__n") / rows_per_file)).cast("long"))
+    # Writers are numbered by running sums over the values, large ones first: a row a
+    # value, summed within hash buckets, the buckets' totals added up.
+    large = (F.col("__files") > 1).cast("int")
+    bucket = F.pmod(F.xxhash64("__value"), F.lit(_BUCKETS)).cast("int")
+    counts = counts.withColumn("__large", large).withColumn("__bucket", bucket).withColumn(
+        "__weight", F.when(F.col("__files") > 1, F.col("__files") * rows_per_file).otherwise(F.col("__n")))
+    totals = counts.groupBy("__large", "__bucket").agg(F.sum("__weight").alias("__total")).collect()   # bounded: buckets
+    start, at, end = {}, 0, 0
+    for r in sorted(totals, key=lambda r: (-r["__large"], r["__bucket"])):
+        start[r["__large"], r["__bucket"]] = at
+        at += -(-r["__total"] // rows_per_file) * rows_per_file      # a bucket begins with a writer of its own
+        end = at // rows_per_file
+    base = F.create_map(*[x for (big, b), v in start.items() for x in (F.lit(big * _BUCKETS + b), F.lit(v))]) \
+        if start else F.create_map(F.lit(0), F.lit(0))
+    before = Window.partitionBy("__large", "__bucket").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__first", ((base[F.col("__large") * _BUCKETS + F.col("__bucket")]
+                                            + F.coalesce(F.sum("__weight").over(before), F.lit(0))) / rows_per_file).cast("long"))
+    names = df.columns
+    spread = F.xxhash64(F.col(f"`{key}`")) if key in names else F.xxhash64(*[F.col(f"`{c}`") for c in names])
+    dealt = df.join(counts.select("__value", "__files", "__first"), part.eqNullSafe(F.col("__value")))
+    writer = (F.col("__first") + F.pmod(spread, F.col("__files"))).cast("int")
+    return dealt.withColumn("__writer", writer).repartitionById(max(1, int(end)), "__writer").select(
+        *[F.col(f"`{c}`") for c in names])
+
+
+_BUCKETS = 64
+
+
+class LoadAlerts(StreamingQueryListener):
+    """W20 during a run: the measures of each batch (rows and rescued rows, observed
+    while it was written, and the batch's duration) are held against the alert rules as soon as the
+    stream reports the batch, and each alert goes to ``on_alert(table, batch_id,
+    rule, observed, threshold)`` while the stream goes on."""
+
+    def __init__(self, on_alert):
+        self.on_alert, self.watched, self.measured = on_alert, {}, {}
+
+    def watch(self, query, load: "LandingLoad") -> None:
+        self.watched[str(query.id)] = load
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        load = self.watched.get(str(p.id))
+        if load is None:
+            return
+        batch = load.batches.get(load._offset + p.batchId)
+        if batch is None or p.numInputRows == 0 or (str(p.id), p.batchId) in self.measured:
+            return
+        self.measured[str(p.id), p.batchId] = True
+        rows = batch["rows"]
+        measures = {"rescued_pct": batch["rescued"] / rows if rows else 0.0, "rows_written": rows,
+                    "duration_secs": p.durationMs.get("triggerExecution", 0) / 1000}
+        for rule, seen, least in fired_rules(measures):
+            self.on_alert(load.contract.name, batch["batch_id"], rule, seen, least)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.watched.pop(str(event.id), None)
+
+
 @dataclass
 class LandingLoad:
     """W1 + W23 (+ W2-W4, W7-W9, W16, W17, W21) for one contract."""
@@ -140,6 +217,9 @@ class LandingLoad:
     # value per batch (one shuffle). Default: narrow write, one file per task
     # and partition value.
     files_per_partition_value: int | None = None
+    # Opt-in likewise: writers in proportion to each value's rows (a counting pass and one shuffle).
+    rows_per_file: int | None = None
+    on_alert: object = None           # called with (table, batch id, rule, observed, threshold) during a run
     # what this run wrote, by batch id: a batch that is delivered again counts once
     batches: dict = field(default_factory=dict)
     max_bytes_per_trigger: int | None = None     # bounds a batch by its files' sizes; takes the place of the file limit
@@ -202,7 +282,9 @@ class LandingLoad:
             df = capture(batch_df, resolve_types(c.types, self._schema, [batch_df.schema],
                                                  self.evolve))
         df = prepare_batch(df, c, self._schema, info.get("incoming_rescued", True))
-        if self.files_per_partition_value and c.partition and c.partition in df.columns:
+        if self.rows_per_file and c.partition and c.partition in df.columns:
+            df = cluster_by_size(df, c.partition, c.key, self.rows_per_file)
+        elif self.files_per_partition_value and c.partition and c.partition in df.columns:
             df = cluster_by_partition(df, c.partition, c.key, self.files_per_partition_value)
         watched, obs = observed(df)
         bid = self._offset + batch_id
@@ -242,7 +324,13 @@ class LandingLoad:
              .option("checkpointLocation", self.checkpoint))
         w = (w.trigger(availableNow=True) if self.trigger == "available_now"
              else w.trigger(processingTime=self.processing_time))
-        return w.start()
+        if self.on_alert is None:
+            return w.start()
+        alerts = LoadAlerts(self.on_alert)
+        self.spark.streams.addListener(alerts)
+        query = w.start()
+        alerts.watch(query, self)
+        return query
 
     def run_planned(self, ledger: FolderLedger, files: DataFrame | None = None) -> LoadResult:
         """Batch form of the load (``mode="discover"``): the files that the
@@ -338,12 +426,17 @@ def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, Tab
             source_root: str | None = None, table_root: str | None = None,
             checkpoint_root: str | None = None, raise_on_failure: bool = True,
             log_table: ParquetTable | None = None, task_name: str = "bronze_landing",
-            parallel: int = 16, **kw) -> DataFrame:
+            parallel: int = 16, run_id: str | None = None, resume: str | None = None, **kw) -> DataFrame:
     """One query per load, up to ``parallel`` of them at once. A load
     that fails, at start or while running, is reported FAILED and the others
     go on. Table totals come from one unioned job. Raises at the end naming
-    the failed tables, unless told not to. With ``log_table`` the run's
-    metric, error and alert rows are appended to it.
+    the failed tables, unless told not to.
+
+    With ``log_table`` the run's state is logged as it goes: a STARTED row for each
+    table at the beginning, a metric or error row as each table ends, and alerts at the
+    end. ``resume`` names an earlier run in that log: of its loads only those
+    that have not ended in SUCCESS are started, under the same run id; the others are
+    SKIPPED. Loads that share a table's name are all started unless each of them succeeded.
 
     Results are one row per load in the order given, also where two loads
     share a contract. Two loads that share a target or a checkpoint would
@@ -360,9 +453,30 @@ def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, Tab
         twice = sorted({p for p in paths if paths.count(p) > 1})
         if twice:
             raise ValueError(f"several loads have the {what} {twice}")
+    if resume is not None and log_table is None:
+        raise ValueError("a run is resumed from the log it was kept in: pass log_table")
+    run_id = resume or run_id or str(uuid.uuid4())
+    names = [ld.contract.name for ld in loads]
+    done = _succeeded(spark, log_table, run_id) if resume is not None else {}
+    skip = {n for n in set(names) if done.get(n, 0) >= names.count(n)}
+    todo = [n for n in dict.fromkeys(names) if n not in skip]
+    if log_table is not None and todo:
+        append_log(log_table, lifecycle_rows(spark, todo, task_name, run_id, STARTED))
+    appending = threading.Lock()
+
+    def one(ld: LandingLoad) -> LoadResult:
+        if ld.contract.name in skip:
+            return LoadResult(ld.contract.name, SKIPPED)
+        res = _run_one(ld)
+        if log_table is not None:
+            with appending:         # a row as each table ends, so that a run that dies can be resumed
+                append_log(log_table, log_rows(spark.createDataFrame([res.as_row()], LOAD_RESULT_SCHEMA), None,
+                                               task_name, run_id))
+        return res
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        ordered = list(pool.map(_run_one, loads))
-    ok = [k for k, r in enumerate(ordered) if r.status == SUCCESS and loads[k].totals and loads[k].table.exists(spark)]
+        ordered = list(pool.map(one, loads))
+    ok = [k for k, r in enumerate(ordered) if r.status in (SUCCESS, SKIPPED) and loads[k].totals
+          and loads[k].table.exists(spark)]
     if ok:
         try:
             parts = []
@@ -377,9 +491,20 @@ def run_all(spark: SparkSession, loads: Sequence[LandingLoad] | Mapping[str, Tab
                 ordered[k].rows_total, ordered[k].rows_rescued = -1, -1
                 ordered[k].error = f"table totals could not be counted: {e}"
     out = spark.createDataFrame([r.as_row() for r in ordered], LOAD_RESULT_SCHEMA)
-    if log_table is not None:   # W22: metric and alert rows, one append per run
-        append_log(log_table, log_rows(out, threshold_alerts(out, ["table_name"]), task_name))
+    if log_table is not None and todo:      # W22: alerts, one append per run
+        ran = out.filter(F.col("status") != SKIPPED)
+        alerts = log_rows(ran.limit(0), threshold_alerts(ran, ["table_name"]), task_name, run_id)
+        append_log(log_table, alerts)
     failed = [r.table_name for r in ordered if r.status == FAILED]
     if failed and raise_on_failure:
         raise RuntimeError(f"landing failed for: {failed}")
     return out
+
+
+def _succeeded(spark: SparkSession, log_table: ParquetTable, run_id: str) -> dict[str, int]:
+    """How many loads of each table ended in SUCCESS in a run (a row a table)."""
+    if not log_table.exists(spark):
+        return {}
+    log = log_table.read(spark).filter((F.col("run_id") == run_id) & (F.col("log_level") == LEVEL_METRIC)
+                                       & (F.col("status") == SUCCESS))
+    return {r["table_name"]: r["count"] for r in log.groupBy("table_name").count().collect()}
