@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import components, stored
 
 SLICE_MEMBERS = 2048    # members of a bucket that one task compares with as many others
-ROUNDS = 2              # rounds with newly drawn hubs
+ROUNDS = 0              # rounds with newly drawn hubs
 
 #: (registers, registers, sizes, sizes) of equally many pairs -> whether each can be linked.
 Passes = Callable[..., np.ndarray]
@@ -75,7 +75,7 @@ def _meetings(members: DataFrame, sketches: DataFrame, passes: Passes, first_key
             both = np.broadcast_to(ra[k], (len(away), ra.shape[1]))
             good = passes(both, rb[away], np.full(len(away), na[k]), nb[away])
             if good.any():
-                yield ca[k], cb[away[good]], first_key(both[good], rb[away[good]])
+                yield ca[k], cb[away[good]], None if first_key is None else first_key(both[good], rb[away[good]])
 
     def run(batches):
         def packed(rows):
@@ -102,26 +102,29 @@ def _meetings(members: DataFrame, sketches: DataFrame, passes: Passes, first_key
                     continue
                 out_a, out_b = [], []
                 for a, b, firsts in meet(packed(left), None if one else packed(right)):
-                    b = b[firsts == key]
+                    b = b if firsts is None else b[firsts == key]
                     out_a.append(np.minimum(a, b))
                     out_b.append(np.maximum(a, b))
                 if out_a:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
                                                      names=["a", "b"])
-    return (dealt.repartition(tasks, *at).sortWithinPartitions(*at)
-            .select(*at, "right", "class", "p", "n", "regs").mapInArrow(run, "a long, b long"))
+    met = (dealt.repartition(tasks, *at).sortWithinPartitions(*at)
+           .select(*at, "right", "class", "p", "n", "regs").mapInArrow(run, "a long, b long"))
+    return met.distinct() if first_key is None else met
 
 
 def banded_components(keys: DataFrame, sketches: DataFrame, passes: Passes, first_key,
-                      verify: Callable[[DataFrame, str], DataFrame], label: str, rounds: int = ROUNDS,
+                      verify: Callable[[DataFrame, str, bool], DataFrame], label: str, rounds: int = ROUNDS,
                       limit: int = SLICE_MEMBERS) -> DataFrame:
     """(class, key), a row for each band of each class, each once ->
     (id, component) of every class with a link.
 
     ``sketches``: (class, n, regs binary) of 16-bit registers;
     ``passes(ra, rb, na, nb)``: of pairs those that can be linked;
-    ``first_key(ra, rb)``: the key of the first band that each pair shares;
-    ``verify(pairs, label)``: of pairs (a, b) those linked.
+    ``first_key(ra, rb)``: the key of the first band that each pair shares (None: pairs are
+    made distinct instead);
+    ``verify(pairs, label, passed)``: of pairs (a, b) those linked; ``passed``
+    says that they have passed already.
 
     In each bucket a member drawn by hash is the hub. Each class is compared
     with the hub it shares most buckets with; next with all hubs in components
@@ -148,14 +151,14 @@ def banded_components(keys: DataFrame, sketches: DataFrame, passes: Passes, firs
                 .withColumn(name, F.coalesce(name, col)))
 
     best = to_hub.groupBy("class").agg(F.max(F.struct("shared", "hub")).alias("m"))
-    links = verify(ordered(best.select("class", F.col("m.hub").alias("hub")), "class", "hub"), f"{label}-1")
+    links = verify(ordered(best.select("class", F.col("m.hub").alias("hub")), "class", "hub"), f"{label}-1", False)
     parts = components(links, f"{label}-parts")
 
-    def compared(pairs: DataFrame, step: str) -> None:
+    def compared(pairs: DataFrame, step: str, passed: bool = False) -> None:
         nonlocal links, parts
         pairs = stored(pairs, f"{label}-{step}-pairs")
         if not pairs.isEmpty():
-            more = verify(pairs, f"{label}-{step}")
+            more = verify(pairs, f"{label}-{step}", passed)
             if not more.isEmpty():
                 links = links.unionByName(more)
                 parts = components(links, f"{label}-parts")
@@ -175,7 +178,7 @@ def banded_components(keys: DataFrame, sketches: DataFrame, passes: Passes, firs
             compared(ordered(m.filter(F.col("p") != F.col("q")), "class", "hub"), f"round{k}")
         else:
             compared(_meetings(m.select("class", "key", "p"), sketches.select("class", "n", "regs"), passes, first_key,
-                               limit), "last")
+                               limit), "last", True)
     return parts
 
 

@@ -314,15 +314,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int,
-            share: tuple[int, int], label: str) -> DataFrame:
+            share: tuple[int, int], label: str, passed: bool = False) -> DataFrame:
     """Of pairs (a, b) of classes those with similarity of at least
-    ``share``: sizes first, then the estimate, then the full sets."""
+    ``share``: sizes first, then the estimate (unless they have ``passed``
+    both), then the full sets."""
     num, den = share
     c = classes.select("class", "n", "regs")
-    p = (pairs.join(c.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
+    p = None if passed else (pairs.join(c.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
          .join(c.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b")
          .filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-    near = stored(estimates(p).filter(F.col("j") + F.col("slack") >= num / den).select("a", "b"),
+    near = pairs if passed else stored(estimates(p).filter(F.col("j") + F.col("slack") >= num / den).select("a", "b"),
                   f"{label}-near")
     need = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = stored(sets_of(texts(need), width), f"{label}-sets")
@@ -356,8 +357,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, share: tup
         found = d.join(named, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("t") == F.col("c_t")))
         return found.select("key", "text")
 
-    def verify(pairs: DataFrame, label: str) -> DataFrame:
-        return _linked(pairs, classes, texts, width, share, label)
+    def verify(pairs: DataFrame, label: str, passed: bool) -> DataFrame:
+        return _linked(pairs, classes, texts, width, share, label, passed)
 
     parts = banded_components(band_keys(classes), classes, passing(share), first_key, verify, "near", **how)
     group = (classes.select("class", "doc_id", "t").join(parts.withColumnRenamed("id", "class"), "class", "left")
