@@ -1,20 +1,18 @@
 """Fuzzy line deduplication: of lines that are alike, in all documents, one stays.
 
-* Lines are hashed where they are read; equal lines are one class from then on.
-* A line's MinHash signature comes from one 64-bit hash of each of its character
-  shingles: the high 6 bits name one of 64 registers, each keeps its smallest
-  hash, and an empty register takes the next full one's.
-* Bands: 16 of 4 registers, or 10 of 6 for short lines (whose registers repeat each
-  other). Lines between the two sizes have both, so lines that can be alike
-  share a kind. Simulated pairs of equal size n (shingles) with a similarity of 0.80 to 0.83
-  that are missed, of 20,000: none at n = 10 to 30, 3 at 40, 5 at 51, none at
-  52 to 120, 3 at 300.
-* With ``short``, lines of at most so many characters are also compared with each
-  other by shingles of ``SHORT_SHINGLE`` characters, since one changed character
-  costs as many shingles as one has characters, too many of a short line's. Such a line
-  has a signature of each kind; what is linked in either kind is one component.
-* Links are verified on the full shingle sets; components by distributed
-  union-find (``banding``, ``common``).
+* Equal lines are one class, told by a 64-bit hash.
+* A line's MinHash signature comes from one 64-bit hash of each of its
+  character shingles: the high 6 bits name one of 64 registers, each keeps its
+  smallest hash, and an empty register takes the next full one's. 16 bands of 4
+  registers each give a row (key, class, sketch); the sketch is one bit of each of 58
+  registers and the number of registers that were full.
+  Lines shorter than a shingle are like no other line and have no rows.
+* The rows of a band key meet in one task, which reads them as a stream: rows whose
+  sketch is unlike all others' go no further, so lines that meet
+  by chance cost no more than that. Of a key with more than ``KEPT_MEMBERS`` rows all go on.
+* What is left, lines that are alike, goes through ``banding``; links are
+  verified on the full shingle sets, and components come from distributed
+  union-find (``common``).
 
 Only hashes are shuffled. Texts are read again for the verification of candidates only.
 
@@ -33,21 +31,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import components, fresh, stored
+from strandline.llm.common import fresh, stored
 from strandline.llm.near_dup import distinct, mix64
 
-SHINGLE = 8             # characters
-#: Production value of ``short``, in characters: beyond it shingles of 8 link lines
-#: that differ by one word of up to six letters.
-SHORT_SHINGLE, SHORT_CHARS = 5, 128
+SHINGLE = 5             # characters
 REGISTERS = 64
 CHARS = 1 << 19         # characters hashed at a time
 SHARE = (8, 10)
 BANDS, ROWS = 16, 4
-SHORT_BANDS, SHORT_ROWS = 10, 6
-SHORT, LONG = 80, 52    # shingles: short bands up to SHORT, the others from LONG on
+BITS = 58               # of a sketch; the other 6 count the full registers
+#: Bits of two sketches that may differ, by full registers: at a similarity of 0.8 one differs
+#: with a probability of 0.1; five deviations of so many independent bits are allowed.
+ALLOWED = np.ceil(BITS * (0.1 + 5 * np.sqrt(0.09 / np.maximum(1, np.arange(64))))).astype(np.int64)
+KEPT_MEMBERS = 1 << 20  # rows of one key that a task holds
+SEEN = 2_000_000        # lines that a task knows it has signed
 BROADCAST_ROWS = 1_000_000
 HAS_WORD = r"[^\x20\x09-\x0D]"
+BLANK = " \t\x0b\x0c\r"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,21 +86,23 @@ def _hashes(texts: list[str], width: int = SHINGLE):
     inside = np.arange(len(h)) + width <= ends[line]      # not across two lines
     h, line = h[inside], line[inside]
     short = np.flatnonzero(sizes < width)
-    if len(short):
-        own = []
-        for k in short:
-            x = np.uint64(sizes[k])
-            for c in texts[k]:
-                x = mix64(np.array([x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(ord(c) + 1)]))[0]
-            own.append(x)
+    if len(short):      # all of a text that is shorter than a shingle, padded to a matrix
+        at = ends[short] - sizes[short]
+        place = at[:, None] + np.arange(width - 1)
+        within = np.arange(width - 1) < sizes[short][:, None]
+        cells = np.where(within, codes[np.minimum(place, max(0, len(codes) - 1))] + np.uint64(1), np.uint64(0)) \
+            if len(codes) else np.zeros(place.shape, np.uint64)
+        own = sizes[short].astype(np.uint64)
+        for k in range(width - 1):
+            own = mix64(own * np.uint64(0x9E3779B97F4A7C15) + cells[:, k])
         order = np.argsort(np.concatenate([line, short]), kind="stable")
-        h = np.concatenate([h, np.array(own, dtype=np.uint64)])[order]
+        h = np.concatenate([h, own])[order]
         line = np.concatenate([line, short])[order]
     return h, line
 
 
-def _band_keys(h, line, n: int, width: int = SHINGLE):
-    """Keys of the bands of 4 and of 6 registers: two matrices, a row for each line."""
+def _signatures(h, line, n: int):
+    """(band keys, a row a line; sketches) of ``n`` lines with a shingle each."""
     least = np.full(n * REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
     np.minimum.at(least, line * REGISTERS + (h >> np.uint64(58)).astype(np.int64), h)
     least = least.reshape(n, REGISTERS)
@@ -109,105 +111,175 @@ def _band_keys(h, line, n: int, width: int = SHINGLE):
     nxt = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1]
     nxt = np.where(nxt < REGISTERS, nxt, at.min(axis=1, keepdims=True))
     r = np.take_along_axis(least, nxt, axis=1)
-
-    def keys(bands, rows):
-        x = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) + np.uint64((rows << 8) + (width << 16)),
-                            (n, bands))
-        for k in range(rows):
-            x = mix64(x * np.uint64(0x9E3779B97F4A7C15) + r[:, k:bands * rows:rows])
-        return x.view(np.int64)
-    return keys(BANDS, ROWS), keys(SHORT_BANDS, SHORT_ROWS)
-
-
-def _signed(texts: list[str], width: int):
-    """For each text its number of distinct shingles and its band keys."""
-    h, line = _hashes(texts, width)
-    long, few = _band_keys(h, line, len(texts), width)
-    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
-    for k in range(len(texts)):
-        m = len(distinct(h[cuts[k]:cuts[k + 1]]))
-        yield m, np.concatenate([long[k] if m >= LONG else long[k, :0], few[k] if m <= SHORT else few[k, :0]])
-
-
-def signatures(lines: DataFrame, short: int = 0) -> DataFrame:
-    """(doc_id, t, line_no, class, line) -> (doc_id, t, line_no, class, n,
-    bands, n2, bands2): the number of distinct shingles and the band keys of each
-    line; n2 and bands2 of the shorter shingles, null for lines beyond ``short``."""
+    # a band's registers are neighbours: those of a short line that were filled from one
+    # another lie in one band, and the bands differ
+    x = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS))
+    for k in range(ROWS):
+        x = mix64(x * np.uint64(0x9E3779B97F4A7C15) + r[:, k::ROWS])
+    places = np.arange(64 - BITS, 64, dtype=np.uint64)
+    bits = ((r[:, :BITS] & np.uint64(1)) << places).sum(axis=1, dtype=np.uint64)
+    full = np.minimum((at < REGISTERS).sum(axis=1), 63).astype(np.uint64)
+    return x.view(np.int64), (bits | full).view(np.int64)
+
+
+def _near(a, b):
+    """Which of two arrays of sketches are alike."""
+    a, b = np.asarray(a).view(np.uint64), np.asarray(b).view(np.uint64)
+    full = np.minimum(a & np.uint64(63), b & np.uint64(63)).astype(np.int64)
+    return np.bitwise_count((a ^ b) >> np.uint64(64 - BITS)) <= ALLOWED[full]
+
+
+def band_rows(docs: DataFrame, text_col: str) -> DataFrame:
+    """(key, class, sketch): the band rows of the lines of all texts; a line
+    that comes again in the same task is not signed again."""
     def run(batches):
+        import xxhash
+        seen = set()
         with np.errstate(over="ignore"):
             for batch in batches:
-                rows = []
-                for texts in _parts(batch.column("line").to_pylist()):
-                    second = _signed([x for x in texts if len(x) <= short], SHORT_SHINGLE) if short else None
-                    rows += [(*one, *(next(second) if len(x) <= short else (None, None)))
-                             for x, one in zip(texts, _signed(texts, SHINGLE))]
-                n, bands, n2, bands2 = zip(*rows) if rows else ([], [], [], [])
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("doc_id", "t", "line_no", "class")),
-                     pa.array(n, pa.int32()), pa.array(bands, pa.list_(pa.int64())),
-                     pa.array(n2, pa.int32()), pa.array(bands2, pa.list_(pa.int64()))],
-                    names=["doc_id", "t", "line_no", "class", "n", "bands", "n2", "bands2"])
-    return lines.select("doc_id", "t", "line_no", "class", "line").mapInArrow(
-        run, "doc_id long, t long, line_no int, class long, n int, bands array<long>, n2 int, bands2 array<long>")
+                lines, classes = [], []
+                for text in batch.column("text").to_pylist():
+                    for x in (text or "").split("\n"):
+                        if len(x) >= SHINGLE and x.strip(BLANK):
+                            c = xxhash.xxh64_intdigest(x.encode(), 42)     # as Spark's xxhash64
+                            if c not in seen:
+                                seen.add(c)
+                                lines.append(x)
+                                classes.append(c)
+                if len(seen) > SEEN:
+                    seen.clear()
+                at = 0
+                for texts in _parts(lines):
+                    own = np.array(classes[at:at + len(texts)], np.uint64).view(np.int64)
+                    at += len(texts)
+                    keys, sketch = _signatures(*_hashes(texts), len(texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys.ravel()), pa.array(np.repeat(own, BANDS)), pa.array(np.repeat(sketch, BANDS))],
+                        names=["key", "class", "sketch"])
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, class long, sketch long")
+
+
+def _alike(classes, sketches):
+    """Which of a key's rows have another class of an alike sketch: each is held
+    against the leaders so far; one like none of them against all, and leads from then on."""
+    out = np.zeros(len(classes), dtype=bool)
+    leaders = np.zeros(0, np.int64)
+    for k in range(len(classes)):
+        near = leaders[_near(sketches[leaders], sketches[k])]
+        if not len(near):
+            near = np.flatnonzero(_near(sketches[:k], sketches[k]))
+            leaders = np.append(leaders, k)
+        if len(near):
+            out[k] = True
+            out[near] = True
+    return out
+
+
+def alike_rows(rows: DataFrame) -> DataFrame:
+    """(key, class, sketch) -> (class, key, sketch) of the rows that have another
+    class with an alike sketch in their key, each once."""
+    tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def run(batches):
+        def out(*cols):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["class", "key", "sketch"])
+        held = [np.zeros(0, np.int64)] * 3      # the rows of the last key so far
+        passing = None                          # a key of which all rows go on
+        for batch in batches:
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "class", "sketch")]
+            k, c, s = (np.concatenate(x) for x in zip(held, new))
+            if not len(k):
+                continue
+            last = k == k[-1]
+            if passing is not None:
+                own = k == passing
+                if own.any():
+                    yield out(c[own], k[own], s[own])
+                    k, c, s, last = k[~own], c[~own], s[~own], last[~own]
+                    if not len(k):
+                        held = [k, c, s]
+                        continue
+                passing = None
+            if last.sum() > KEPT_MEMBERS:
+                passing = k[-1]
+                yield out(c[last], k[last], s[last])
+                held = [k[:0], c[:0], s[:0]]
+            else:
+                held = [k[last], c[last], s[last]]
+            yield from groups(k[~last], c[~last], s[~last], out)
+        yield from groups(*held, out)
+
+    def groups(k, c, s, out):
+        fresh_ = np.ones(len(k), dtype=bool)    # a class comes once for each task that signed it
+        fresh_[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
+        k, c, s = k[fresh_], c[fresh_], s[fresh_]
+        if not len(k):
+            return
+        at = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        size = np.diff(np.r_[at, len(k)])
+        keep = np.zeros(len(k), dtype=bool)
+        two = at[size == 2]
+        good = two[_near(s[two], s[two + 1])]
+        keep[good] = keep[good + 1] = True
+        for a, n in zip(at[size > 2].tolist(), size[size > 2].tolist()):
+            keep[a:a + n] = _alike(c[a:a + n], s[a:a + n])
+        if keep.any():
+            yield out(c[keep], k[keep], s[keep])
+
+    return (rows.repartition(tasks, "key").sortWithinPartitions("key", "class")
+            .mapInArrow(run, "class long, key long, sketch long").dropDuplicates(["key", "class"]))
+
+
+def passes(ra, rb, na, nb):
+    """Whether pairs of sketches (their eight bytes as four registers) are alike."""
+    return _near(*(np.ascontiguousarray(r).view(">u8")[:, 0].astype(np.uint64) for r in (ra, rb)))
 
 
 def line_sets(lines: DataFrame) -> DataFrame:
-    """(class, width, line) -> (class, s): the distinct hashes of each line's
-    shingles of ``width`` characters."""
+    """(class, line) -> (class, s): the distinct hashes of each line's shingles."""
     def run(batches):
         with np.errstate(over="ignore"):
-            for whole in batches:
-                for width in (SHINGLE, SHORT_SHINGLE):
-                    batch = whole.filter(pa.array([x == width for x in whole.column("width").to_pylist()], pa.bool_()))
-                    sets = []
-                    for texts in _parts(batch.column("line").to_pylist()):
-                        h, line = _hashes(texts, width)
-                        cuts = np.searchsorted(line, np.arange(len(texts) + 1))
-                        sets += [distinct(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
-                    yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
-                                                     names=["class", "s"])
-    return lines.select("class", "width", "line").mapInArrow(run, "class long, s array<long>")
+            for batch in batches:
+                sets = []
+                for texts in _parts(batch.column("line").to_pylist()):
+                    h, line = _hashes(texts)
+                    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
+                    sets += [distinct(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
+                                                 names=["class", "s"])
+    return lines.select("class", "line").mapInArrow(run, "class long, s array<long>")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   share: tuple[int, int] = SHARE, broadcast_rows: int = BROADCAST_ROWS,
-                   short: int = 0) -> DataFrame:
+                   share: tuple[int, int] = SHARE, broadcast_rows: int = BROADCAST_ROWS, **how) -> DataFrame:
     """One row (doc_id, t, line_no, kept) for each line with a word.
 
-    Lines whose sets of 8-character shingles (the whole line where shorter)
+    Lines whose sets of 5-character shingles (the whole line where shorter)
     have a similarity of at least ``share`` are linked, in one document or in
-    many; so are, of the lines of at most ``short`` characters, those whose sets
-    of 5-character shingles have it. Of each component the line with the smallest (doc_id, t, line_no) is
+    many. Of each component the line with the smallest (doc_id, t, line_no) is
     kept, null ids last. Lines without a word are in no row. A null text has
-    no line. Rows that agree in id and text are one document. Equal lines are
-    told by a 64-bit hash. An empty table gives no row.
+    no line. Rows that agree in id and text are one document, with its lines once. Equal lines are
+    told by a 64-bit hash. Very long lines are lines like others. An empty table gives no row.
     """
     lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "line_no")
-    d = stored(signatures(lines.withColumn("class", F.xxhash64("line")), short), "lines")
-    classes = stored(d.groupBy("class").agg(*[F.first(c).alias(c) for c in ("n", "bands", "n2", "bands2")],
-                                            F.min(place).alias("first")), "line-classes")
-    # A node for each class, and one more for its shorter shingles, which meet no others.
-    other = F.xxhash64("class", F.lit(SHORT_SHINGLE))
-    nodes = classes.select("class", F.lit(SHINGLE).alias("width"), "n", "bands", "first")
-    if short:
-        nodes = nodes.unionByName(classes.filter("n2 IS NOT NULL").select(
-            other.alias("class"), F.lit(SHORT_SHINGLE).alias("width"), F.col("n2").alias("n"),
-            F.col("bands2").alias("bands"), "first"))
-    keys = nodes.select("class", F.explode("bands").alias("key"))
-    sizes = nodes.select("class", "n")
+    d = stored(lines.select("doc_id", "t", "line_no", F.xxhash64("line").alias("class")).distinct(), "lines")
+    members = stored(alike_rows(band_rows(docs, text_col)), "line-alike")
+    sketches = members.groupBy("class").agg(F.first("sketch").alias("sketch"))
+    # a sketch's eight bytes, as registers of 16 bits
+    sketches = sketches.select("class", F.lit(0).cast("long").alias("n"), F.unhex(F.lpad(
+        F.hex("sketch"), 16, "0")).alias("regs"))
+    sketches = stored(sketches, "line-sketches")
+    classes = stored(d.join(sketches.select("class"), "class").groupBy("class").agg(F.min(place).alias("first")), "line-classes")
     num, den = share
 
-    def verify(pairs: DataFrame, label: str) -> DataFrame:
-        p = (pairs.join(sizes.select(F.col("class").alias("a"), F.col("n").alias("na")), "a")
-             .join(sizes.select(F.col("class").alias("b"), F.col("n").alias("nb")), "b"))
-        p = stored(p.filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b"),
-                   f"{label}-pairs")
+    def verify(pairs: DataFrame, label: str, passed: bool) -> DataFrame:
+        p = pairs
         need = p.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        at = stored(nodes.join(need, "class").select("class", "width", "first.doc_id", "first.t", "first.line_no"),
+        at = stored(classes.join(need, "class").select("class", "first.doc_id", "first.t", "first.line_no"),
                     f"{label}-places")
         ids = at.select(F.col("doc_id").alias("need_id"), F.col("t").alias("need_t")).distinct()
         if at.count() <= broadcast_rows:
@@ -215,12 +287,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("need_id"))
                          & (F.xxhash64("text") == F.col("need_t")), "left_semi")
-        at = at.select("class", "width", F.col("doc_id").alias("a_id"), F.col("t").alias("a_t"),
-                       F.col("line_no").alias("a_no"))
+        at = at.select("class", F.col("doc_id").alias("a_id"), F.col("t").alias("a_t"), F.col("line_no").alias("a_no"))
         texts = (_lines(some, "doc_id", "text")
                  .join(at, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("t") == F.col("a_t"))
                        & (F.col("line_no") == F.col("a_no")))
-                 .select("class", "width", "line"))
+                 .select("class", "line"))
         sets = stored(line_sets(texts).dropDuplicates(["class"]), f"{label}-sets")
         both = (p.join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
                 .join(sets.select(F.col("class").alias("b"), F.col("s").alias("sb")), "b"))
@@ -228,18 +299,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         union = F.size("sa") + F.size("sb") - common
         return stored(both.filter(common * den >= union * num).select("a", "b"), f"{label}-links")
 
-    parts = banded_components(keys, sizes, share, verify, "line")
-    c = (classes.select("class", "first").join(parts.withColumnRenamed("id", "class"), "class", "left")
+    parts = banded_components(members.select("class", "key"), sketches, passes, None, verify, "line", **how)
+    # equal lines of a class without a link are one component as well
+    c = (d.join(parts.withColumnRenamed("id", "class"), "class", "left")
          .withColumn("component", F.coalesce("component", "class")))
-    if short:       # components of the two kinds that share a class are one
-        both = c.select(other.alias("id"), F.col("component").alias("a")).join(
-            parts.withColumnRenamed("component", "b"), "id").select("a", "b")
-        one = components(stored(both.distinct(), "line-both"), "line-whole")
-        c = (c.withColumnRenamed("component", "id").join(one, "id", "left")
-             .select("class", "first", F.coalesce("component", "id").alias("component")))
-    kept = stored(c.groupBy("component").agg(F.min("first").alias("keep")).join(c.select("component", "class"), "component")
-                  .select("class", "keep"), "line-kept")
-    return (d.select("doc_id", "t", "line_no", "class").join(kept, "class")
+    keep = c.groupBy("component").agg(F.min(place).alias("keep"))
+    return (c.join(keep, "component")
             .select("doc_id", "t", "line_no", (F.col("keep") == place).alias("kept")))
 
 
