@@ -41,7 +41,7 @@ from strandline.llm.common import filesystem, scratch, stored
 
 MAGIC = b"IDPLANE1"
 FOOTER = "<6Q8s"
-MEMO = 300_000      # pieces of text whose ids a task keeps
+MEMO = 400_000      # pieces of text whose ids a task keeps, of two generations each
 ENTRY = "doc_id long, file int, first long, n long"
 
 #: A piece of text ends before a space between two other characters: byte-level
@@ -52,7 +52,8 @@ PIECE = re.compile(r"(?<=\S)(?= \S)")
 
 class Encoder:
     """Encodes texts with a byte-level tokenizer, remembering the ids of
-    pieces. Texts that hold one of the tokenizer's added strings are encoded
+    pieces: those met lately, and those met before these. When there are too many the older
+    ones are forgotten, so common pieces stay and rare ones go. Texts that hold one of the tokenizer's added strings are encoded
     whole."""
 
     def __init__(self, path: str, memo: int = MEMO):
@@ -64,7 +65,7 @@ class Encoder:
         self.whole = None if not added else re.compile("|".join(map(re.escape, added)))
         self.pieces = kind == "ByteLevel" and self.tok.normalizer is None \
             and "add_prefix_space=False" in repr(self.tok.pre_tokenizer)
-        self.memo, self.room = {}, memo
+        self.memo, self.old, self.room = {}, {}, memo
         # byte-level: a token's characters stand for its bytes
         self.bytes = np.array([len(self.tok.id_to_token(k) or "") for k in range(self.tok.get_vocab_size())])
 
@@ -88,7 +89,9 @@ class Encoder:
             return b""
         if not self.pieces or (self.whole and self.whole.search(text)):
             return self._encode(text).tobytes()
-        memo = self.memo
+        if len(self.memo) > self.room:
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
         if "  " not in text and " \n" not in text and "\n " not in text \
                 and text.replace("\n", "").isprintable():
             # no white space but line feeds and lone spaces; and no NUL
@@ -97,10 +100,11 @@ class Encoder:
             parts = PIECE.split(text)
         got = list(map(memo.get, parts))
         if None in got:
-            if len(memo) > self.room:
-                memo.clear()
-                got = [None]
-            self._learn(list(dict.fromkeys(p for p in parts if p not in memo)))
+            new = dict.fromkeys(p for p, ids in zip(parts, got) if ids is None)
+            again = {p: old[p] for p in new if p in old}
+            memo.update(again)
+            if len(again) < len(new):
+                self._learn([p for p in new if p not in again])
             got = map(memo.__getitem__, parts)
         return b"".join(got)
 
