@@ -21,10 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bounds of the sample, the only labelled rows that are collected: so many
-#: texts of each language, so many characters of each. Every label is learned.
+#: texts of each language, so many characters of each, whatever bytes they take. Every
+#: label is learned, of at most ``LABELS``; with more, training fails and says so.
 SAMPLE_TEXTS = 160
 SAMPLE_CHARS = 340
-DICTIONARY_BYTES = 48 * 1024
+LABELS = 500
 BLOCK = 2048            # bytes compressed at a time
 MARGIN = 0.005          # of the smallest size
 UND = "und"
@@ -53,7 +54,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     that are asked for, of its distinct texts, and the smallest hashes kept); of
     each text ``chars`` characters from its middle. Equal texts count once,
     however many rows repeat them. Null labels and texts without a letter
-    teach nothing.
+    teach nothing; null and repeated ids are ids like others. More than ``LABELS``
+    labels are an error.
     """
     unit = (F.xxhash64("text").bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
     d = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -61,9 +63,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     # A text repeated by a third of all rows is one row after the first aggregate.
     each = d.groupBy("lang", "u").agg(F.count(F.lit(1)).alias("c"))
     seen = (each.groupBy("lang").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("texts"))
-            .orderBy(F.desc("n"), "lang").collect())
+            .orderBy(F.desc("n"), "lang").limit(LABELS + 1).collect())
     if not seen:
         return {}
+    if len(seen) > LABELS:
+        raise ValueError(f"more than {LABELS} labels; a dictionary for each is kept in every task")
     # joined, not a map in the plan, which would be searched from its start for each row
     rate = F.broadcast(docs.sparkSession.createDataFrame(
         [(r["lang"], min(1.0, 2.0 * texts / r["texts"])) for r in seen], "lang string, rate double"))
@@ -77,7 +81,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     out: dict[str, bytes] = {}
     for r in rows:
         out[r["lang"]] = out.get(r["lang"], b"") + (normal(r["part"]) + " ").encode()
-    return {r["lang"]: out[r["lang"]][:DICTIONARY_BYTES] for r in seen if r["lang"] in out}
+    return {r["lang"]: out[r["lang"]] for r in seen if r["lang"] in out}
 
 
 class Sizes:
@@ -93,7 +97,7 @@ class Sizes:
         self.by = []
         for k in self.langs:
             d = z.ZstdCompressionDict(dictionaries[k], dict_type=z.DICT_TYPE_RAWCONTENT)
-            p = z.ZstdCompressionParameters(strategy=z.STRATEGY_LAZY, window_log=17, hash_log=16, chain_log=16,
+            p = z.ZstdCompressionParameters(strategy=z.STRATEGY_LAZY, window_log=18, hash_log=16, chain_log=17,
                                             search_log=4, min_match=4, target_length=16,
                                             write_content_size=False, write_dict_id=False)
             d.precompute_compress(compression_params=p)
@@ -125,7 +129,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     """(doc_id, lang_pred, score, margin, accepted) for each row of ``docs``.
 
     ``und`` with score 0, not accepted, for a null text or one without a letter, or
-    if nothing was learned. Ties go to the language with more labels.
+    if nothing was learned. Ties go to the language with more labels. Rows that
+    repeat an id, or have none, are predicted each by its own whole text, however long.
     """
     def run(batches):
         sizes = Sizes(dictionaries)

@@ -37,7 +37,6 @@ END = b"\r\n\r\n"
 
 FILE_BYTES = 256 << 20      # an archive is closed once it is so long
 CHUNK = 1 << 16
-HEAD_BYTES = 1 << 20        # longest header that is not taken for a torn record
 BROADCAST_ROWS = 200_000    # repeated digests, some 30 bytes each
 PAGE_URN = "urn:page:"
 
@@ -113,14 +112,18 @@ class Members:
         return True
 
     def until(self, mark: bytes) -> bytes:
-        """What comes before ``mark``; the mark is skipped."""
-        seen = 0
-        while (k := self.data.find(mark, max(0, seen - len(mark)))) < 0:
-            seen = len(self.data)
-            if seen > HEAD_BYTES or not self.more():
+        """What comes before ``mark``, however long; the mark is skipped."""
+        parts, tail = [], b""
+        while (k := (tail + self.data).find(mark)) < 0:
+            # all but a mark's beginning is done with
+            whole = tail + self.data
+            parts.append(whole[:max(0, len(whole) - len(mark))])
+            tail, self.data = whole[max(0, len(whole) - len(mark)):], b""
+            if not self.more():
                 raise self.torn("no end of its header")
-        out, self.data = self.data[:k], self.data[k + len(mark):]
-        return out
+        whole = tail + self.data
+        self.data = whole[k + len(mark):]
+        return b"".join(parts) + whole[:k]
 
     def take(self, n: int):
         """The next ``n`` bytes, in pieces."""
@@ -149,10 +152,11 @@ def _fields(lines: list[bytes]) -> dict[str, str]:
     return out
 
 
-def read_archive(stream, name: str = "archive", keep: bool = False):
+def read_archive(stream, name: str = "archive", keep: bool = False, strict: bool = False):
     """The records of an archive in order, each a dict of ``type``, ``fields``, ``http``
-    (header fields), ``payload_bytes``, ``payload_digest``, ``block_digest`` and, with
-    ``keep``, ``payload``. A record whose digest differs is an error."""
+    (header fields), ``payload_bytes``, ``payload_digest``, ``block_digest``, ``verified`` (whether it
+    states the digests that were recomputed) and, with ``keep``, ``payload``. A record
+    whose digest differs is an error; with ``strict`` so is a response or revisit that states none."""
     m = Members(stream, name)
     while m.open():
         lines = m.until(END).split(b"\r\n")
@@ -165,31 +169,36 @@ def read_archive(stream, name: str = "archive", keep: bool = False):
             raise m.torn("no Content-Length") from None
         block, payload, kept, size = hashlib.sha1(), hashlib.sha1(), [], 0
         is_http = f.get("content-type", "").startswith("application/http")
-        head, http = b"", None if is_http else {}
+        head, http = bytearray(), None if is_http else {}
         for piece in m.take(length):
             block.update(piece)
             if http is None:        # the HTTP header comes first
+                seen = max(0, len(head) - len(END))
                 head += piece
-                k = head.find(END)
+                k = head.find(END, seen)
                 if k < 0:
-                    if len(head) > HEAD_BYTES:
-                        raise m.torn("no end of its HTTP header")
                     continue
-                http, piece = _fields(head[:k].split(b"\r\n")[1:]), head[k + len(END):]
+                http, piece = _fields(bytes(head[:k]).split(b"\r\n")[1:]), bytes(head[k + len(END):])
             payload.update(piece)
             size += len(piece)
             if keep:
                 kept.append(piece)
+        if http is None:
+            raise m.torn("no end of its HTTP header")
         if b"".join(m.take(len(END))) != END:
             raise m.torn("no end of the record")
         m.close()
         got = {"block": base32_sha1(block), "payload": base32_sha1(payload)}
         kind = f.get("warc-type", "")
-        for what in ("block",) if kind == "revisit" else ("block", "payload"):
-            said = f.get(f"warc-{what}-digest", "")
+        whats = ("block",) if kind == "revisit" else ("block", "payload")
+        stated = {what: f.get(f"warc-{what}-digest", "") for what in whats}
+        for what, said in stated.items():
             if said.startswith("sha1:") and said[5:] != got[what]:
                 raise m.torn(f"its {what} digest is {got[what]}, not {said[5:]}")
-        out = {"type": kind, "fields": f, "http": http or {}, "payload_bytes": size,
+        verified = all(said.startswith("sha1:") for said in stated.values())
+        if strict and kind in ("response", "revisit") and not verified:
+            raise m.torn("it states no SHA-1 digest")
+        out = {"verified": verified,"type": kind, "fields": f, "http": http or {}, "payload_bytes": size,
                "payload_digest": got["payload"], "block_digest": got["block"]}
         yield {**out, "payload": b"".join(kept)} if keep else out
 
@@ -200,7 +209,8 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     """Writes the archives of all pages and returns the stored table of
     files (path, records, bytes).
 
-    A null html is an empty payload, a null url the page's urn. Payloads of at
+    A null html is an empty payload, a null or empty url the page's urn; urls and
+    payloads may be of any length. Payloads of at
     least ``least_bytes`` bytes are deduplicated. Null ids are written as
     ``urn:page:null``; they revisit others and are revisited by none. Rows that repeat
     the smallest id of a payload are responses all. An empty table gives no file.
@@ -272,7 +282,7 @@ def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with fs.open_input_stream(path, compression=None) as stream:
-                    for r in read_archive(stream, path):
+                    for r in read_archive(stream, path, strict=True):
                         f = r["fields"]
                         if r["type"] == "response":
                             rows.append((page(f["warc-record-id"]), r["payload_bytes"], r["payload_digest"],

@@ -143,6 +143,30 @@ def test_torn_archives_are_errors(spoil):
         list(warc.read_archive(io.BytesIO(spoil(raw))))
 
 
+def test_headers_of_any_length(spark):
+    """A url of two million characters is a header line like others."""
+    url = "http://x/" + "a\u00e9" * 1_000_000
+    raw = warc.page_record(1, url, b"hello", None, "2024-01-01T00:00:00Z") + warc.page_record(2, "u", b"", 1, "2024-01-01T00:00:00Z")
+    got = list(warc.read_archive(io.BytesIO(raw), keep=True, strict=True))
+    import urllib.parse
+    assert urllib.parse.unquote(got[0]["fields"]["warc-target-uri"]) == url and got[0]["payload"] == b"hello"
+    assert got[1]["type"] == "revisit" and all(r["verified"] for r in got)
+    df = spark.createDataFrame([(1, url, "same"), (2, "u", "same"), (2, url, None), (None, None, "same")],
+                               "page_id long, url string, html string")
+    rows = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in
+                   warc.read_archives(spark, warc.write_archives(df)).collect()), key=repr)
+    assert rows == sorted([(1, 4, "response", None), (2, 4, "revisit", 1), (2, 0, "response", None), (None, 4, "revisit", 1)], key=repr)
+
+
+def test_records_without_digests_are_told_apart():
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nContent-Length: 23\r\n\r\n"
+    raw = gzip.compress(head + b"HTTP/1.1 200 OK\r\n\r\nabcd" + b"\r\n\r\n")
+    got = list(warc.read_archive(io.BytesIO(raw)))
+    assert [r["verified"] for r in got] == [False] and got[0]["payload_bytes"] == 4
+    with pytest.raises(warc.TornArchive, match="digest"):
+        list(warc.read_archive(io.BytesIO(raw), strict=True))
+
+
 # -- chat -----------------------------------------------------------------
 
 def nasty(seed):

@@ -99,6 +99,56 @@ def test_language_of_odd_texts(spark):
     assert judge("zzz", same)[0] == "aa" and not judge("zzz", same)[3]      # a tie
 
 
+def test_languages_match_a_plain_version(spark):
+    """The sample, the dictionaries and every prediction of a whole table."""
+    import unicodedata      # noqa: F401
+    import zlib
+
+    import xxhash
+
+    from strandline.llm.lang_id import SAMPLE_CHARS, normal
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    by, n = {}, {}
+    for i, t, lang in rows:
+        if lang is not None and t and any(c.isalpha() for c in t) and zlib.crc32(str(i).encode()) % 4 != 2:
+            n[lang] = n.get(lang, 0) + 1
+            u = (xxhash.xxh64_intdigest(t.encode(), 42) & ((1 << 53) - 1)) / (1 << 53)
+            at = max(1, int((len(t) - SAMPLE_CHARS) / 2))
+            by.setdefault(lang, {})[u] = t[at - 1:at - 1 + SAMPLE_CHARS]
+    want = {}
+    for lang in sorted(n, key=lambda x: (-n[x], x)):
+        rate = min(1.0, 2.0 * SAMPLE_TEXTS / len(by[lang]))
+        parts = [by[lang][u] for u in sorted(by[lang]) if u < rate][:SAMPLE_TEXTS]
+        want[lang] = "".join(normal(p) + " " for p in parts).encode()
+    learned = train(docs.filter(~held_out("doc_id")))
+    assert learned == want and list(learned) == list(want)
+    sizes = Sizes(want)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"], r["accepted"]) for r in identify(docs, learned).collect()}
+    for i, t, _ in rows:
+        lang, score, _, accepted = judge(t, sizes)
+        assert got[i] == (lang, score, accepted)
+
+
+def test_scripts_of_three_bytes_have_whole_dictionaries(spark):
+    rng = random.Random(1)
+    han = lambda lo: "".join(chr(rng.randrange(lo, lo + 300)) for _ in range(400))     # noqa: E731
+    rows = [(i, han(0x4E00 if i % 2 else 0x6000), "one" if i % 2 else "two") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = train(df)
+    assert all(len(x.decode()) == SAMPLE_TEXTS * 341 for x in learned.values())        # no text is cut
+    got = {r["doc_id"]: r["lang_pred"] for r in identify(df, learned).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
+def test_too_many_labels_are_an_error(spark, monkeypatch):
+    from strandline.llm import lang_id
+    monkeypatch.setattr(lang_id, "LABELS", 3)
+    df = spark.createDataFrame([(i, "some words", f"l{i}") for i in range(5)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="3 labels"):
+        train(df)
+
+
 def test_copies_of_one_text_do_not_thin_the_sample(spark):
     word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(3)) + "zz"
     df = (spark.range(40000).selectExpr("'the same copied text' AS text", "'aa' AS lang")
