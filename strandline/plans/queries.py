@@ -256,35 +256,37 @@ def arrival_order(spark, sf_dir):
 
 def ledger_landing(spark, sf_dir):
     """W1/W2 in batch: orders dropped as two rounds of files whose undeclared
-    columns differ in type, landed by a ledger in batches of at most five files.
-    A run that is cut short after a batch was written is taken up again: its rows are
+    column differs in type, landed by a ledger in batches of at most three files.
+    The first run is cut short after a batch was written; the next takes it up again: its rows are
     there once. A run with nothing new lands nothing."""
     root = work_root(spark, "ledger_landing")
     src = f"{root}/landing"
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
+    kinds = (k.cast("int"), F.col("o_totalprice"), k)
+
+    def drop(half, files):
+        for third, kind in enumerate(kinds):
+            write_drop(o.filter((k % 2 == half) & (k % 3 == third)).select("o_orderkey", kind.alias("n")), src, files)
     ld = _load(spark, ORDERS, src, root)
-    ledger = FolderLedger(f"{root}/ledger", max_files=5)
+    ledger = FolderLedger(f"{root}/ledger", max_files=3)
 
     class CutShort(FolderLedger):
         def landed(self, spark, plan, batch):
             raise InterruptedError
-
-    for half in (0, 1):
-        part = o.filter(k % 2 == half)
-        for third, kind in enumerate((k.cast("int"), F.col("o_totalprice"), k)):
-            write_drop(part.filter(k % 3 == third).select("o_orderkey", kind.alias("n")), src, 3)
-        try:
-            ld.run_planned(CutShort(ledger.path, ledger.max_files))
-        except InterruptedError:
-            pass
-        ld.run_planned(ledger)
+    drop(0, 2)
+    try:
+        ld.run_planned(CutShort(ledger.path, ledger.max_files))
+    except InterruptedError:
+        pass
+    drop(1, 1)
+    ld.run_planned(ledger)
     idle = ld.run_planned(ledger)
     t = ParquetTable(ld.table.path).read(spark)
-    batches = ledger.seen(spark).count() if ledger.pending(spark) else 0
     files = t.groupBy("_batch_id").agg(F.count_distinct(SOURCE_FILE).alias("f")).agg(F.max("f").alias("most"))
-    return (t.select("o_orderkey", F.col("n").cast("double").alias("n"), F.lit(idle.rows_read + batches).cast("long").alias("left"))
-            .join(files, F.lit(True)).select("o_orderkey", "n", "left", (F.col("most") <= 5).alias("bounded")))
+    return (t.select("o_orderkey", F.col("n").cast("double").alias("n"),
+                     F.lit(idle.rows_read + len(ledger.pending(spark))).cast("long").alias("left"))
+            .join(files, F.lit(True)).select("o_orderkey", "n", "left", (F.col("most") <= 3).alias("bounded")))
 
 
 def evolving_parquet_load(spark, sf_dir):

@@ -55,9 +55,9 @@ def main():
     def spy(name):
         own = getattr(ParquetTable, name)
 
-        def call(self, df):
+        def call(self, df, **kw):
             ran[name] = plan(df).replace(root, "<root>")
-            return own(self, df)
+            return own(self, df, **kw)
         setattr(ParquetTable, name, call)
         return own
     saved = {n: spy(n) for n in ("summary", "replace_partitions")}
@@ -75,8 +75,8 @@ def main():
     fixes = (table(spark, SF, "orders").filter(F.col("o_orderkey") % 3 == 0)
              .select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")))
     add("W14 update by key (broadcast off)", "Source aggregated by key once, then joined on (key, "
-        "salt); hot keys come from a count by key; healthy and NULL-key rows bypass the join "
-        "through the union.",
+        "salt); hot keys come from a count by key; healthy and NULL-key rows, and rows that the broadcast "
+        "bitmap of the source's keys rules out, bypass the join through the union.",
         update_by_key(d, fixes, ORDERS.key, ["o_totalprice"]))
     shared = F.when(F.col("o_orderkey") % 2 == 0, F.lit(0)).otherwise(F.col("o_orderkey"))
     hot = d.select(shared.alias("k"), "o_totalprice", "_rescued_data")   # key 0: half the rows
