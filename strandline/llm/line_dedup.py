@@ -235,19 +235,38 @@ def passes(ra, rb, na, nb):
     return _near(*(np.ascontiguousarray(r).view(">u8")[:, 0].astype(np.uint64) for r in (ra, rb)))
 
 
-def line_sets(lines: DataFrame) -> DataFrame:
-    """(class, line) -> (class, s): the distinct hashes of each line's shingles."""
+def _sets(texts: list[str]):
+    """The sorted distinct hashes of each text's shingles."""
+    out = []
+    for part in _parts(texts):
+        h, line = _hashes(part)
+        cuts = np.searchsorted(line, np.arange(len(part) + 1))
+        out += [distinct(h[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+    return out
+
+
+def linked(pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(a, b, x, y): pairs of classes with their lines -> (a, b) of those whose
+    shingle sets have a similarity of ``share``. Lines travel, not their sets,
+    which take eight times as much."""
+    num, den = share
+
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                sets = []
-                for texts in _parts(batch.column("line").to_pylist()):
-                    h, line = _hashes(texts)
-                    cuts = np.searchsorted(line, np.arange(len(texts) + 1))
-                    sets += [distinct(h[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
-                                                 names=["class", "s"])
-    return lines.select("class", "line").mapInArrow(run, "class long, s array<long>")
+                x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
+                texts = list(dict.fromkeys(x + y))          # a hub meets many
+                sets = dict(zip(texts, _sets(texts)))
+                keep = []
+                for u, v in zip(x, y):
+                    p, q = sets[u], sets[v]
+                    if min(len(p), len(q)) * den < max(len(p), len(q)) * num:
+                        keep.append(False)
+                        continue
+                    common = len(np.intersect1d(p, q, assume_unique=True))
+                    keep.append(common * den >= (len(p) + len(q) - common) * num)
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -274,30 +293,27 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.hex("sketch"), 16, "0")).alias("regs"))
     sketches = stored(sketches, "line-sketches")
     classes = stored(d.join(sketches.select("class"), "class").groupBy("class").agg(F.min(place).alias("first")), "line-classes")
-    num, den = share
+
+    # the lines that are alike to another, read once
+    at = classes.select("class", F.col("first.doc_id").alias("a_id"), F.col("first.t").alias("a_t"),
+                        F.col("first.line_no").alias("a_no"))
+    ids = at.select(F.col("a_id").alias("need_id"), F.col("a_t").alias("need_t")).distinct()
+    if at.count() <= broadcast_rows:
+        at, ids = F.broadcast(at), F.broadcast(ids)
+    some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("need_id"))
+                     & (F.xxhash64("text") == F.col("need_t")), "left_semi")
+    texts = (_lines(some, "doc_id", "text")
+             .join(at, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("t") == F.col("a_t"))
+                   & (F.col("line_no") == F.col("a_no")))
+             .select("class", "line"))
+    # equal rows of a document bring its lines again
+    texts = stored(texts.dropDuplicates(["class"]), "line-texts")
 
     def verify(pairs: DataFrame, label: str, passed: bool) -> DataFrame:
-        p = pairs
-        need = p.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        at = stored(classes.join(need, "class").select("class", "first.doc_id", "first.t", "first.line_no"),
-                    f"{label}-places")
-        ids = at.select(F.col("doc_id").alias("need_id"), F.col("t").alias("need_t")).distinct()
-        if at.count() <= broadcast_rows:
-            at, ids = F.broadcast(at), F.broadcast(ids)
-        some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("need_id"))
-                         & (F.xxhash64("text") == F.col("need_t")), "left_semi")
-        at = at.select("class", F.col("doc_id").alias("a_id"), F.col("t").alias("a_t"), F.col("line_no").alias("a_no"))
-        texts = (_lines(some, "doc_id", "text")
-                 .join(at, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("t") == F.col("a_t"))
-                       & (F.col("line_no") == F.col("a_no")))
-                 .select("class", "line"))
-        sets = stored(line_sets(texts).dropDuplicates(["class"]), f"{label}-sets")
-        both = (p.join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
-                .join(sets.select(F.col("class").alias("b"), F.col("s").alias("sb")), "b"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        union = F.size("sa") + F.size("sb") - common
-        return stored(both.filter(common * den >= union * num).select("a", "b"), f"{label}-links")
+        both = (pairs.join(texts.select(F.col("class").alias("a"), F.col("line").alias("x")), "a")
+                .join(texts.select(F.col("class").alias("b"), F.col("line").alias("y")), "b"))
+        return stored(linked(both, share), f"{label}-links")
 
     parts = banded_components(members.select("class", "key"), sketches, passes, None, verify, "line", **how)
     # equal lines of a class without a link are one component as well
