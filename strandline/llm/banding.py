@@ -127,8 +127,8 @@ def banded_components(keys: DataFrame, sketches: DataFrame, passes: Passes, firs
     says that they have passed already.
 
     In each bucket a member drawn by hash is the hub. Each class is compared
-    with the hub it shares most buckets with; next with all hubs in components
-    other than its own; then, ``rounds`` times, the members of buckets that
+    with the hub it shares most buckets with; next, for each other component, with
+    that of its hubs it shares most buckets with; then, ``rounds`` times, the members of buckets that
     are still in several components with newly drawn hubs of them. A group of alike
     classes has become one component by then, for a few comparisons a
     member. Last, in each bucket still split, the members of different
@@ -163,14 +163,16 @@ def banded_components(keys: DataFrame, sketches: DataFrame, passes: Passes, firs
                 links = links.unionByName(more)
                 parts = components(links, f"{label}-parts")
 
-    compared(ordered(part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q")),
-                     "class", "hub"), "hubs")
+    # of the hubs in one other component the one that a class shares most buckets with
+    away = part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q"))
+    away = away.groupBy("class", "q").agg(F.max(F.struct("shared", "hub")).alias("m"))
+    compared(ordered(away.select("class", F.col("m.hub").alias("hub")), "class", "hub"), "hubs")
     rest = members.select("class", "key")
     for k in range(rounds + 1):
         m = part_of(rest, "class", "p")
         split = (m.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count(F.lit(1)).alias("c"),
                                       F.min(F.struct(F.xxhash64("class", "key", F.lit(k + 1)), "class", "p")).alias("m"))
-                 .filter("lo <> hi AND c > 2")          # a pair met its hub already
+                 .filter("lo <> hi")
                  .select("key", F.col("m.class").alias("hub"), F.col("m.p").alias("q")))
         m = stored(m.join(split, "key"), f"{label}-split")
         rest = m.select("class", "key")
