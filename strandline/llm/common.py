@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.operators.repair import key_filter, may_match
 from strandline.session import checkpoint_dir
 
 #: The white space that separates words, and a word.
@@ -59,6 +60,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_in(rows: DataFrame, key: str, need: DataFrame, need_key: str, flag: str) -> DataFrame:
+    """Adds boolean ``flag``: false only if a row's ``key`` (a long, not null) is not among ``need_key``
+    of ``need``, told by a bitmap of bounded size, so rows without a match need no shuffle."""
+    return may_match(rows, key, key_filter(need, need_key), flag)
+
+
+def may_be_in(rows: DataFrame, need: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be in ``need``, before a join with it."""
+    flag = fresh("may_be_in", rows.columns)
+    return maybe_in(rows, key, need, key, flag).filter(F.col(flag)).drop(flag)
+
+
 def _stars(e: DataFrame) -> bool:
     """Whether each u has one v and no v is a u: all v are roots."""
     ends = e.select("u", F.lit(1).alias("out"), F.lit(0).alias("root")).unionByName(

@@ -10,9 +10,9 @@
 * The rows of a band key meet in one task, which reads them as a stream: rows whose
   sketch is unlike all others' go no further, so lines that meet
   by chance cost no more than that. Of a key with more than ``KEPT_MEMBERS`` rows all go on.
-* What is left, lines that are alike, goes through ``banding``; links are
-  verified on the full shingle sets, and components come from distributed
-  union-find (``common``).
+* What is left, lines that are alike, goes through ``banding``, which compares the lines
+  of a band key in its task; links are verified on the full shingle sets, and components
+  come from distributed union-find (``common``).
 
 Only hashes are shuffled. Texts are read again for the verification of candidates only.
 
@@ -230,9 +230,31 @@ def alike_rows(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "class long, key long, sketch long").dropDuplicates(["key", "class"]))
 
 
-def passes(ra, rb, na, nb):
-    """Whether pairs of sketches (their eight bytes as four registers) are alike."""
-    return _near(*(np.ascontiguousarray(r).view(">u8")[:, 0].astype(np.uint64) for r in (ra, rb)))
+def passing(share: tuple[int, int]):
+    """Whether pairs of rows of ``_packed`` can have a similarity of ``share``, by sizes and sketches."""
+    num, den = share
+
+    def passes(ra, rb, na, nb):
+        return _near(ra[:, BANDS], rb[:, BANDS]) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
+    return passes
+
+
+def first_key(ra, rb):
+    """The key of the first band that each pair of rows of ``_packed`` shares."""
+    at = (ra[:, :BANDS] == rb[:, :BANDS]).argmax(axis=1)
+    return np.take_along_axis(np.broadcast_to(ra, rb.shape), at[:, None], axis=1)[:, 0]
+
+
+def _packed(column):
+    """(sets, band keys and sketch) of an Arrow column of lines, see ``banding``."""
+    sets, rows = [], []
+    for part in _parts(column.to_pylist()):
+        h, line = _hashes(part)
+        keys, sketch = _signatures(h, line, len(part))
+        rows.append(np.column_stack([keys, sketch]))
+        cuts = np.searchsorted(line, np.arange(1, len(part)))
+        sets += [distinct(x) for x in np.split(h, cuts)]
+    return sets, np.concatenate(rows)
 
 
 def _sets(texts: list[str]):
@@ -287,12 +309,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "line_no")
     d = stored(lines.select("doc_id", "t", "line_no", F.xxhash64("line").alias("class")).distinct(), "lines")
     members = stored(alike_rows(band_rows(docs, text_col)), "line-alike")
-    sketches = members.groupBy("class").agg(F.first("sketch").alias("sketch"))
-    # a sketch's eight bytes, as registers of 16 bits
-    sketches = sketches.select("class", F.lit(0).cast("long").alias("n"), F.unhex(F.lpad(
-        F.hex("sketch"), 16, "0")).alias("regs"))
-    sketches = stored(sketches, "line-sketches")
-    classes = stored(d.join(sketches.select("class"), "class").groupBy("class").agg(F.min(place).alias("first")), "line-classes")
+    classes = stored(d.join(members.select("class").distinct(), "class").groupBy("class").agg(F.min(place).alias("first")), "line-classes")
 
     # the lines that are alike to another, read once
     at = classes.select("class", F.col("first.doc_id").alias("a_id"), F.col("first.t").alias("a_t"),
@@ -310,12 +327,17 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # equal rows of a document bring its lines again
     texts = stored(texts.dropDuplicates(["class"]), "line-texts")
 
-    def verify(pairs: DataFrame, label: str, passed: bool) -> DataFrame:
+    def verify(pairs: DataFrame, label: str) -> DataFrame:
         both = (pairs.join(texts.select(F.col("class").alias("a"), F.col("line").alias("x")), "a")
                 .join(texts.select(F.col("class").alias("b"), F.col("line").alias("y")), "b"))
         return stored(linked(both, share), f"{label}-links")
 
-    parts = banded_components(members.select("class", "key"), sketches, passes, None, verify, "line", **how)
+    def contents(need: DataFrame) -> DataFrame:
+        return texts.join(need, "class").select("class", F.length("line").cast("long").alias("size"),
+                                                F.col("line").alias("content"))
+
+    parts = banded_components(members.select("class", "key"), contents, _packed, passing(share), first_key, verify,
+                              share, "line", **how)
     # equal lines of a class without a link are one component as well
     c = (d.join(parts.withColumnRenamed("id", "class"), "class", "left")
          .withColumn("component", F.coalesce("component", "class")))

@@ -14,10 +14,10 @@
    for registers that agree by chance, then the full sets.
 5. **Components** by ``banding``: classes are compared with a few hubs of their
    buckets. Members of a bucket that are still in different components are held
-   against each other by their registers, in the tasks that hold the bucket, and
-   only pairs whose corrected estimate passes are stored and verified; so every
-   pair that shares a band is in one component or was compared, without
-   listing all pairs of a large group.
+   against each other in the tasks that hold the bucket, by their registers and, where the
+   corrected estimate passes, by their full sets; only links that join components are
+   stored. So every pair that shares a band is in one component or was compared, and no
+   step lists the pairs of a large group.
 
 No count or bucket is capped. What is collected on the driver: nothing but
 row counts.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import fresh, stored
+from strandline.llm.common import fresh, may_be_in, maybe_in, stored
 
 BUCKETS, BANDS, ROWS, MANTISSA = 256, 42, 6, 10
 #: Fixed value: expected chance agreements of HyperMinHash registers are
@@ -203,9 +203,10 @@ def _keys(r, bands=slice(None)):
 
 
 def first_key(ra, rb):
-    """The key of the first band that each pair shares (of no band: of the first)."""
+    """The key of the first band that each pair shares (of no band: of the first);
+    ``ra`` may be one row for all."""
     same = (ra == rb)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2)
-    return np.take_along_axis(_keys(ra), same.argmax(axis=1)[:, None], axis=1)[:, 0]
+    return np.take_along_axis(np.broadcast_to(_keys(ra), same.shape), same.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
 def band_keys(classes: DataFrame) -> DataFrame:
@@ -313,18 +314,27 @@ def estimates(pairs: DataFrame) -> DataFrame:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _packed(column):
+    """(sets, registers) of an Arrow column of sets, see ``banding``."""
+    probe = _tables()[3]
+    values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    sets = np.split(values, ends[:-1])
+    return sets, np.array([_registers(s, probe) for s in sets])
+
+
 def _linked(pairs: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int,
-            share: tuple[int, int], label: str, passed: bool = False) -> DataFrame:
+            share: tuple[int, int], label: str) -> DataFrame:
     """Of pairs (a, b) of classes those with similarity of at least
-    ``share``: sizes first, then the estimate (unless they have ``passed``
-    both), then the full sets."""
+    ``share``: sizes first, then the estimate, then the full sets."""
     num, den = share
-    c = classes.select("class", "n", "regs")
-    p = None if passed else (pairs.join(c.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
+    pairs = stored(pairs, f"{label}-ordered")
+    need = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    c = may_be_in(classes.select("class", "n", "regs"), need, "class")
+    p = (pairs.join(c.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
          .join(c.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b")
          .filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-    near = pairs if passed else stored(estimates(p).filter(F.col("j") + F.col("slack") >= num / den).select("a", "b"),
-                  f"{label}-near")
+    near = stored(estimates(p).filter(F.col("j") + F.col("slack") >= num / den).select("a", "b"), f"{label}-near")
     need = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = stored(sets_of(texts(need), width), f"{label}-sets")
     both = (near.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a")
@@ -353,14 +363,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, share: tup
         """One text of each class in ``need``, found by its document's id and
         a hash of the text, so that rows that share an id are told apart."""
         named = classes.join(need, "class")
-        named = named.select(F.col("doc_id").alias("c_id"), F.col("t").alias("c_t"), F.col("class").alias("key"))
-        found = d.join(named, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("t") == F.col("c_t")))
+        named = stored(named.select(F.col("doc_id").alias("c_id"), F.col("t").alias("c_t"), F.col("class").alias("key"),
+                                    F.xxhash64("doc_id", "t").alias("near_h")), "near-named")
+        some = may_be_in(d.withColumn("near_h", F.xxhash64("doc_id", "t")), named, "near_h").drop("near_h")
+        found = some.join(named, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("t") == F.col("c_t")))
         return found.select("key", "text")
 
-    def verify(pairs: DataFrame, label: str, passed: bool) -> DataFrame:
-        return _linked(pairs, classes, texts, width, share, label, passed)
+    def verify(pairs: DataFrame, label: str) -> DataFrame:
+        return _linked(pairs, classes, texts, width, share, label)
+
+    def contents(need: DataFrame) -> DataFrame:
+        return sets_of(texts(need), width).select(F.col("key").alias("class"), F.size("s").cast("long").alias("size"),
+                                                  F.col("s").alias("content"))
 
-    parts = banded_components(band_keys(classes), classes, passing(share), first_key, verify, "near", **how)
+    parts = banded_components(band_keys(classes), contents, _packed, passing(share), first_key, verify, share,
+                              "near", **how)
     group = (classes.select("class", "doc_id", "t").join(parts.withColumnRenamed("id", "class"), "class", "left")
              .select("class", "doc_id", "t", F.coalesce("component", "class").alias("p")))
     return rows.select("doc_id", "t", "n", "class"), group
@@ -406,10 +423,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     odd = (seen.join(named, "class").select(F.col("doc_id").alias("g_id"), F.col("t").alias("g_t"),
                                             (place == F.col("keep")).alias("g_stays"), "c")
            .filter("NOT g_stays OR c > 1").select("g_id", "g_t", "g_stays"))
-    odd = stored(odd, "near-odd")
-    t, stays = fresh("near_t", docs.columns), fresh("near_stays", docs.columns)
-    d = docs.withColumn(t, F.xxhash64(text_col)).alias("a").join(
+    odd = stored(odd.withColumn("g_h", F.xxhash64("g_id", "g_t")), "near-odd")
+    t, h, stays, maybe = (fresh(x, docs.columns) for x in ("near_t", "near_h", "near_stays", "near_maybe"))
+    d = docs.withColumn(t, F.xxhash64(text_col)).withColumn(h, F.xxhash64(F.col(id_col).cast("long"), F.col(t)))
+    d = maybe_in(d, h, odd, "g_h", maybe)       # only rows that may be odd meet them
+    some = d.filter(F.col(maybe)).alias("a").join(
         odd.alias("b"), F.col(f"a.{id_col}").cast("long").eqNullSafe(F.col("b.g_id")) & (F.col(f"a.{t}") == F.col("b.g_t")), "left")
-    d = d.select("a.*", F.col("b.g_stays").alias(stays))
-    one = d.filter(F.col(stays)).dropDuplicates([id_col, t])
-    return d.filter(F.col(stays).isNull()).unionByName(one).select(*[F.col(f"`{c}`") for c in docs.columns])
+    some = some.select("a.*", F.col("b.g_stays").alias(stays))
+    one = some.filter(F.col(stays)).dropDuplicates([id_col, t])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return (d.filter(~F.col(maybe)).select(*columns).unionByName(some.filter(F.col(stays).isNull()).select(*columns))
+            .unionByName(one.select(*columns)))

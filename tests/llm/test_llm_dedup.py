@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import line_dedup
+from strandline.llm import banding, line_dedup
 from strandline.llm import near_dup as nd
 from strandline.llm.decontaminate import leaks, without_leaks
 from strandline.llm.line_dedup import line_report, repeated_lines, without_repeated_lines
@@ -129,6 +129,48 @@ def test_hot_groups_of_alike_but_unlinked_texts(spark):
         assert got == want
 
 
+def test_last_round_stores_fewer_links_than_classes(spark, monkeypatch):
+    """Of many texts that are alike, some linked and most not, the last round stores links
+    that join components, not the pairs of a bucket."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(130)]
+    docs = []
+    for i in range(160):
+        k = rng.randrange(4, 15)
+        m = list(base)
+        for at in rng.sample(range(130), k):
+            m[at] = f"z{rng.randrange(10 ** 6)}"
+        docs.append((i, " ".join(m)))
+    wrote = {}
+    plain = banding.stored
+
+    def counted(frame, label):
+        out = plain(frame, label)
+        wrote[label] = out.count()
+        return out
+    monkeypatch.setattr(banding, "stored", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in nd.near_duplicates(df, width=2).collect()}
+    want = plain_near(docs, 2)
+    assert got == want and len({v[1] for v in want.values()}) > 20
+    last = [n for label, n in wrote.items() if "-last" in label]
+    assert last and sum(last) < len(docs)
+
+
+def test_pairs_of_a_bucket_join_parts_once():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 40, 60, dtype=np.uint64))]
+    for k in range(1, 30):      # each alike to the one before it only
+        sets.append(np.unique(np.append(sets[-1][5:], rng.integers(0, 1 << 40, 5, dtype=np.uint64))))
+    rows = [(k, k // 2, np.array([7]), s) for k, s in enumerate(sets)]
+    every = lambda ra, rb, na, nb: np.ones(len(rb), dtype=bool)     # noqa: E731
+    where = lambda key: lambda ra, rb: np.full(len(rb), key)        # noqa: E731
+    found = list(banding.joining(rows, None, 7, every, where(7), (8, 10)))
+    assert {(a // 2, b // 2) for a, b in found} == {(k, k + 1) for k in range(14)} and len(found) == 14
+    two = list(banding.joining(rows[:20], rows[20:], 7, every, where(7), (8, 10)))
+    assert two == [(19, 20)] and not list(banding.joining(rows, None, 7, every, where(8), (8, 10)))
+
+
 def test_text_sets_of_long_texts_and_slices():
     """Texts longer than a slice of bytes hash like short ones."""
     import pyarrow as pa
