@@ -129,18 +129,8 @@ def test_hot_groups_of_alike_but_unlinked_texts(spark):
         assert got == want
 
 
-def test_last_round_stores_fewer_links_than_classes(spark, monkeypatch):
-    """Of many texts that are alike, some linked and most not, the last round stores links
-    that join components, not the pairs of a bucket."""
-    rng = random.Random(8)
-    base = [f"b{i}" for i in range(130)]
-    docs = []
-    for i in range(160):
-        k = rng.randrange(4, 15)
-        m = list(base)
-        for at in rng.sample(range(130), k):
-            m[at] = f"z{rng.randrange(10 ** 6)}"
-        docs.append((i, " ".join(m)))
+def counting(monkeypatch):
+    """The rows that ``banding`` stores, by label."""
     wrote = {}
     plain = banding.stored
 
@@ -149,6 +139,24 @@ def test_last_round_stores_fewer_links_than_classes(spark, monkeypatch):
         wrote[label] = out.count()
         return out
     monkeypatch.setattr(banding, "stored", counted)
+    return wrote
+
+
+def alike_texts(rng, count, most):
+    """Texts of one template, with 4 to ``most`` words of their own."""
+    base = [f"b{i}" for i in range(130)]
+    for i in range(count):
+        m = list(base)
+        for at in rng.sample(range(130), rng.randrange(4, most)):
+            m[at] = f"z{rng.randrange(10 ** 6)}"
+        yield i, " ".join(m)
+
+
+def test_last_round_stores_fewer_links_than_classes(spark, monkeypatch):
+    """Of many texts that are alike, some linked and most not, the last round stores links
+    that join components, not the pairs of a bucket."""
+    docs = list(alike_texts(random.Random(8), 160, 15))
+    wrote = counting(monkeypatch)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in nd.near_duplicates(df, width=2).collect()}
     want = plain_near(docs, 2)
@@ -157,6 +165,17 @@ def test_last_round_stores_fewer_links_than_classes(spark, monkeypatch):
     assert last and sum(last) < len(docs)
 
 
+def test_one_of_each_of_alike_texts_stores_few_links(spark, monkeypatch):
+    """As the pipeline runs it, with repeated and null ids as well."""
+    docs = list(alike_texts(random.Random(9), 150, 9))
+    docs += [(3, docs[140][1]), (None, docs[5][1]), (7, docs[7][1]), (7, "another text of few words"), (None, None)]
+    wrote = counting(monkeypatch)
+    left = nd.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted([(r["doc_id"], r["text"]) for r in left.collect()], key=repr) == plain_one_of_each(docs)
+    last = [n for label, n in wrote.items() if "-last" in label]
+    assert last and sum(last) < len(docs)
+
+
 def test_pairs_of_a_bucket_join_parts_once():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 40, 60, dtype=np.uint64))]
