@@ -418,6 +418,25 @@ def test_lines_of_alike_families_and_small_limits(spark, monkeypatch):
         assert got == want
 
 
+def test_alike_lines_store_few_links(spark, monkeypatch):
+    """Of lines of one template, most not linked, the last round stores links, not pairs."""
+    rng = random.Random(22)
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(200))
+    docs = []
+    for i in range(120):
+        m = list(base)
+        for _ in range(rng.randrange(2, 9)):
+            m[rng.randrange(200)] = rng.choice("XYZVWU")
+        docs.append((i, "".join(m)))
+    wrote = counting(monkeypatch)
+    want = plain_lines(docs)
+    got = {(False, r["doc_id"], r["line_no"]): r["kept"] for r in
+           repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want and sum(want.values()) > 10
+    last = [n for label, n in wrote.items() if "-last" in label]
+    assert last and sum(last) < len(docs)
+
+
 def test_line_classes_are_spark_hashes(spark):
     df = spark.createDataFrame([("abc d\u00e9\U0001f600 fghij\nshort\nno",)], "text string")
     rows = {r["class"] for r in line_dedup.band_rows(df, "text").collect()}
