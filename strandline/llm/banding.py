@@ -157,8 +157,10 @@ def banded_components(keys: DataFrame, contents: Callable[[DataFrame], DataFrame
     ``verify(pairs, label)``: of pairs (a, b) those linked.
 
     In each bucket a member drawn by hash is the hub. Each class is compared
-    with the hub it shares most buckets with; next with all hubs in components
-    other than its own; then, ``rounds`` times, the members of buckets that
+    with the hub it shares most buckets with; next, of the hubs in components
+    other than its own, with the one it shares most buckets with and with those of buckets
+    of two, so a large group costs two pairs a member however many hubs it has; then,
+    ``rounds`` times, the members of buckets that
     are still in several components with newly drawn hubs of them. A group of alike
     classes has become one component by then, for a few comparisons a
     member. Last, in each bucket still split, the members of different
@@ -169,10 +171,10 @@ def banded_components(keys: DataFrame, contents: Callable[[DataFrame], DataFrame
     keys = keys.repartition("key")      # shuffled once for both sides of the join
     many = (keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", "key"), "class")).alias("m"),
                                     F.count(F.lit(1)).alias("c"))
-            .filter(F.col("c") > 1).select("key", F.col("m.class").alias("hub")))
+            .filter(F.col("c") > 1).select("key", F.col("m.class").alias("hub"), "c"))
     members = stored(keys.join(many, "key"), f"{label}-buckets")
     to_hub = stored(members.filter(F.col("class") != F.col("hub")).groupBy("class", "hub")
-                    .agg(F.count(F.lit(1)).alias("shared")), f"{label}-hubs")
+                    .agg(F.count(F.lit(1)).alias("shared"), F.min("c").alias("c")), f"{label}-hubs")
 
     def ordered(p: DataFrame, a: str, b: str) -> DataFrame:
         return p.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
@@ -196,8 +198,10 @@ def banded_components(keys: DataFrame, contents: Callable[[DataFrame], DataFrame
         if not pairs.isEmpty():
             joined(verify(pairs, f"{label}-{step}"))
 
-    compared(ordered(part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q")),
-                     "class", "hub"), "hubs")
+    # buckets of two are done with this; the last round meets the others that are still split
+    away = part_of(part_of(to_hub, "class", "p"), "hub", "q").filter(F.col("p") != F.col("q"))
+    next_best = away.groupBy("class").agg(F.max(F.struct("shared", "hub")).alias("m")).select("class", F.col("m.hub").alias("hub"))
+    compared(ordered(away.filter(F.col("c") == 2).select("class", "hub").unionByName(next_best), "class", "hub"), "hubs")
     rest = members.select("class", "key")
     for k in range(rounds + 1):
         m = part_of(rest, "class", "p")

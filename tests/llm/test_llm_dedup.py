@@ -165,6 +165,26 @@ def test_last_round_stores_fewer_links_than_classes(spark, monkeypatch):
     assert last and sum(last) < len(docs)
 
 
+def test_hubs_cost_two_pairs_a_text(spark, monkeypatch):
+    """Texts that are alike but mostly not linked share buckets with many hubs; beside pairs of
+    buckets of two, each is compared with one hub of another component, and no link is lost."""
+    docs = list(alike_texts(random.Random(10), 160, 24))
+    wrote, two = counting(monkeypatch), []
+    plain = banding.stored
+
+    def seen(frame, label):
+        out = plain(frame, label)
+        if label == "near-hubs":
+            two.append(out.filter("c = 2").count())
+        return out
+    monkeypatch.setattr(banding, "stored", seen)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in nd.near_duplicates(df, width=2).collect()}
+    want = plain_near(docs, 2)
+    assert got == want and len({v[1] for v in want.values()}) > 40
+    assert wrote["near-hubs"] > 3 * len(docs) and wrote["near-hubs-pairs"] <= len(docs) + two[0]
+
+
 def test_one_of_each_of_alike_texts_stores_few_links(spark, monkeypatch):
     """As the pipeline runs it, with repeated and null ids as well."""
     docs = list(alike_texts(random.Random(9), 150, 9))
