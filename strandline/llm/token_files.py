@@ -42,6 +42,8 @@ from strandline.llm.common import filesystem, scratch, stored
 MAGIC = b"IDPLANE1"
 FOOTER = "<6Q8s"
 MEMO = 400_000      # pieces of text whose ids a task keeps, of two generations each
+MARKS = ".,;:!?)"    # none begins a contraction
+CHARS = 1 << 14     # characters encoded together; with many more, six tasks on one machine lose in cache misses what they save
 ENTRY = "doc_id long, file int, first long, n long"
 
 #: A piece of text ends before a space between two other characters: byte-level
@@ -68,45 +70,75 @@ class Encoder:
         self.memo, self.old, self.room = {}, {}, memo
         # byte-level: a token's characters stand for its bytes
         self.bytes = np.array([len(self.tok.id_to_token(k) or "") for k in range(self.tok.get_vocab_size())])
+        self.marks = {c: self._encode([c])[0].tobytes() for c in MARKS} if self.pieces else {}
 
-    def _encode(self, text: str):
-        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _encode(self, texts: list[str]) -> list:
+        return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Keep the ids of new pieces, at most the first of which does not
-        begin with a space: they are encoded as one text and cut by length."""
-        ids = self._encode("".join(pieces))
-        ends = np.cumsum([len(p.encode()) for p in pieces])
-        cuts = np.searchsorted(np.cumsum(self.bytes[ids]), ends, side="right")
-        raw, at = ids.tobytes(), 0
-        for p, cut in zip(pieces, cuts.tolist()):
-            self.memo[p] = raw[4 * at:4 * cut]
-            at = cut
+        """Keep the ids of new pieces. A letter and a mark after it are never of one token, so of a
+        piece that ends so the ids are those of its stem, which may be known, and of the mark."""
+        memo, old = self.memo, self.old
+        marked = [p for p in pieces if p[-1:] in self.marks and p[-2:-1].isalpha() and p[-2] < "\u0250"]
+        stems = dict.fromkeys(p[:-1] for p in marked)
+        memo.update((p, old[p]) for p in stems if p not in memo and p in old)
+        whole = set(marked)
+        stems.update((p, None) for p in pieces if p not in whole)
+        self._add([p for p in stems if p not in memo])
+        for p in marked:
+            memo[p] = memo[p[:-1]] + self.marks[p[-1]]
+
+    def _add(self, pieces: list[str]) -> None:
+        """Encodes and keeps pieces. Those that begin with a space before another character and
+        end without one are encoded as one text and cut by length, others one by one."""
+        plain, odd = [], []
+        for p in pieces:
+            (plain if p[:1] == " " and not p[:2].isspace() and not p[-1].isspace() else odd).append(p)
+        if odd:
+            self.memo.update((p, ids.tobytes()) for p, ids in zip(odd, self._encode(odd)))
+        if plain:
+            text = "".join(plain)
+            ids = self._encode([text])[0]
+            ends = np.cumsum([len(p) for p in plain] if text.isascii() else [len(p.encode()) for p in plain])
+            cuts = np.searchsorted(np.cumsum(self.bytes[ids]), ends, side="right")
+            raw, at = ids.tobytes(), 0
+            for p, cut in zip(plain, (4 * cuts).tolist()):
+                self.memo[p] = raw[at:cut]
+                at = cut
+
+    def _parts(self, text: str) -> list[str] | None:
+        """The pieces of a text; None if it is encoded whole."""
+        if not self.pieces or (self.whole and self.whole.search(text)):
+            return None
+        if "  " not in text and " \n" not in text and "\n " not in text \
+                and text.replace("\n", "").isprintable():
+            # no white space but line feeds and lone spaces; and no NUL
+            return text.replace(" ", "\0 ").split("\0")
+        return PIECE.split(text)
 
     def encode(self, text: str) -> bytes:
         """The ids of one text as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if not self.pieces or (self.whole and self.whole.search(text)):
-            return self._encode(text).tobytes()
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of each text; the pieces that are new in any of them are learned together."""
         if len(self.memo) > self.room:
             self.memo, self.old = {}, self.memo
         memo, old = self.memo, self.old
-        if "  " not in text and " \n" not in text and "\n " not in text \
-                and text.replace("\n", "").isprintable():
-            # no white space but line feeds and lone spaces; and no NUL
-            parts = text.replace(" ", "\0 ").split("\0")
-        else:
-            parts = PIECE.split(text)
-        got = list(map(memo.get, parts))
-        if None in got:
-            new = dict.fromkeys(p for p, ids in zip(parts, got) if ids is None)
+        split = [self._parts(t) for t in texts]
+        got = [parts and list(map(memo.get, parts)) for parts in split]
+        new: dict[str, None] = {}
+        for parts, ids in zip(split, got):
+            if ids and None in ids:
+                new.update((p, None) for p, x in zip(parts, ids) if x is None)
+        if new:
             again = {p: old[p] for p in new if p in old}
             memo.update(again)
             if len(again) < len(new):
                 self._learn([p for p in new if p not in again])
-            got = map(memo.__getitem__, parts)
-        return b"".join(got)
+        return [self._encode([t])[0].tobytes() if ids is None
+                else b"".join(map(memo.__getitem__, parts) if None in ids else ids)
+                for t, parts, ids in zip(texts, split, got)]
 
 
 def encoder(path: str) -> Encoder:
@@ -118,6 +150,19 @@ def encoder(path: str) -> Encoder:
     return kept[path]
 
 
+def _runs(column):
+    """The texts of an Arrow column (null: empty) in lists of about CHARS characters."""
+    out, held = [], 0
+    for text in column:
+        out.append(text.as_py() or "")
+        held += len(out[-1])
+        if held >= CHARS:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
+
+
 def planes_of(ids, bits: bool) -> list[bytes]:
     """The transposed digits of an array of ids."""
     b = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -240,17 +285,15 @@ def write_tokens(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
                 enc = encoder(vocab)
                 out = fs.open_output_stream(name, compression=None)
                 writer = PlaneWriter(out, block, bits, level)
-            end, counts, firsts = np.array([end_id], "<u4"), [], []
-            for text in batch.column("text"):
-                ids = np.frombuffer(enc.encode(text.as_py() or ""), "<u4")
-                writer.add(ids)
-                writer.add(end)
-                firsts.append(first)
-                counts.append(len(ids) + 1)
-                first += len(ids) + 1
-            m = batch.num_rows
+            end, counts = struct.pack("<I", end_id), []
+            for texts in _runs(batch.column("text")):
+                ids = enc.encode_all(texts)
+                writer.add(np.frombuffer(end.join([*ids, b""]), "<u4"))
+                counts += [len(x) // 4 + 1 for x in ids]
+            ends = first + np.cumsum(counts, dtype=np.int64)
+            first, m = int(ends[-1]), batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([part] * m, pa.int32()), pa.array(firsts, pa.int64()),
+                [batch.column("doc_id"), pa.array([part] * m, pa.int32()), pa.array(ends - counts),
                  pa.array(counts, pa.int64()), pa.array([None] * m, pa.string())],
                 names=["doc_id", "file", "first", "n", "path"])
         if writer is not None:

@@ -70,6 +70,28 @@ def test_pieces_encode_as_the_whole(tok):
     same()
 
 
+def test_texts_encode_together_as_one_by_one(tok):
+    enc = tf.Encoder(VOCAB, memo=50)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from([*"ab .,;?)'sé\n\t1!<", "<|endoftext|>", "  ", " word, ", " élan.", "don't. "]),
+                             max_size=15).map("".join), max_size=6))
+    def same(texts):
+        got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode_all(texts)]
+        assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    same()
+
+
+def test_a_known_stem_is_not_encoded_again_with_a_mark(tok, monkeypatch):
+    enc, asked = tf.Encoder(VOCAB), []
+    plain = enc._encode
+    monkeypatch.setattr(enc, "_encode", lambda texts: asked.extend(texts) or plain(texts))
+    texts = ["one unheardofword two", "one unheardofword, two", "two unheardofword. one", "x1, 5, ?, it's. ñ;"]
+    got = [x for t in texts for x in enc.encode_all([t])]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum("unheardofword" in x for x in asked) == 1
+
+
 def test_token_digests_match_encoding(spark, tok):
     rng = random.Random(2)
     docs = [(i * 7 % 101, " ".join(rng.choice(["the", "Élan", "x1", "don't"]) for _ in range(rng.choice([0, 3, 40]))))
