@@ -51,6 +51,21 @@ def filesystem(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+def slices(batch, column: str | int, size: int):
+    """An Arrow batch in slices of consecutive rows whose ``column`` (strings) takes about
+    ``size`` bytes, so that what is made of a slice is sent before the next one is read."""
+    import pyarrow.compute as pc
+    length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    at = held = 0
+    for k, n in enumerate(length):
+        held += n
+        if held >= size:
+            yield batch.slice(at, k + 1 - at)
+            at, held = k + 1, 0
+    if at < len(length):
+        yield batch.slice(at)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage,
     survives lost executors, and gives later plans its true size."""

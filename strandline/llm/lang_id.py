@@ -20,6 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.llm.common import slices
+
 #: Bounds of the sample, the only labelled rows that are collected: so many
 #: texts of each language, so many characters of each, whatever bytes they take. Every
 #: label is learned, of at most ``LABELS``; with more, training fails and says so.
@@ -27,6 +29,7 @@ SAMPLE_TEXTS = 160
 SAMPLE_CHARS = 340
 LABELS = 500
 BLOCK = 2048            # bytes compressed at a time
+SENT = 1 << 22          # bytes of text judged before the rows that stay are sent on
 MARGIN = 0.005          # of the smallest size
 UND = "und"
 
@@ -153,8 +156,9 @@ def accepted_rows(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str
     def run(batches):
         sizes = Sizes(dictionaries)
         for batch in batches:
-            keep = [judge(t.as_py(), sizes)[3] for t in batch.column(names.index(text_col))]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for part in slices(batch, names.index(text_col), SENT):
+                keep = [judge(t.as_py(), sizes)[3] for t in part.column(names.index(text_col))]
+                yield part.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, types)
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import fresh, may_be_in, maybe_in, stored
+from strandline.llm.common import fresh, may_be_in, maybe_in, slices, stored
 
 BUCKETS, BANDS, ROWS, MANTISSA = 256, 42, 6, 10
 #: Fixed value: expected chance agreements of HyperMinHash registers are
@@ -257,7 +257,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         with np.errstate(over="ignore"):
             tables = _tables()
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
                 sets = list(_text_sets(batch.column("text"), width, tables))
                 marks = np.array([_fingerprint(s) for s in sets], dtype=np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(

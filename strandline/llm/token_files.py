@@ -24,6 +24,7 @@ speculative tasks leave at most files that no table names.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -142,7 +143,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker, kept from task to task."""
+    """The encoder of this Python worker, kept from task to task until files are read back."""
     import tokenizers
     kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
     if path not in kept:
@@ -150,6 +151,13 @@ def encoder(path: str) -> Encoder:
     return kept[path]
 
 
+def forget_encoders() -> None:
+    """Files that are read are written: other work of this Python worker has the encoders' memory."""
+    if "tokenizers" in sys.modules and sys.modules["tokenizers"].__dict__.pop("_kept_encoders", None):
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def _runs(column):
     """The texts of an Arrow column (null: empty) in lists of about CHARS characters."""
     out, held = [], 0
@@ -325,6 +333,7 @@ def read_tokens(spark: SparkSession, files: DataFrame, entries: DataFrame, visit
     names = [x.strip().split(" ")[0] for x in result.split(",")]
 
     def run(batches):
+        forget_encoders()
         fs, _ = filesystem(shared)
         path = reader = f = None
         for batch in batches:

@@ -185,6 +185,23 @@ def test_hubs_cost_two_pairs_a_text(spark, monkeypatch):
     assert wrote["near-hubs"] > 3 * len(docs) and wrote["near-hubs-pairs"] <= len(docs) + two[0]
 
 
+def test_sets_are_sent_in_slices(spark):
+    """What is made of a batch of texts is sent slice by slice, each row once."""
+    import pyarrow as pa
+
+    from strandline.llm.common import slices
+    texts = ["", None, "abc" * 50, "x", None, "é" * 200, "y z", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["key", "text"])
+    parts = list(slices(batch, "text", 150))
+    assert [p.num_rows for p in parts] == [3, 3, 2]
+    assert [x for p in parts for x in p.column("key").to_pylist()] == list(range(8))
+    assert not list(slices(batch.slice(0, 0), "text", 150))
+    df = spark.createDataFrame([(k, " ".join(f"w{(k * 31 + i) % 5000}" for i in range(4000))) for k in range(200)],
+                               "key long, text string")
+    got = {r["key"]: (r["n"], len(r["s"])) for r in nd.shingle_sets(df.coalesce(1), 2).collect()}
+    assert got == {k: (3999, 3999) for k in range(200)}
+
+
 def test_one_of_each_of_alike_texts_stores_few_links(spark, monkeypatch):
     """As the pipeline runs it, with repeated and null ids as well."""
     docs = list(alike_texts(random.Random(9), 150, 9))

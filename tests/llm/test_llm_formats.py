@@ -92,6 +92,15 @@ def test_a_known_stem_is_not_encoded_again_with_a_mark(tok, monkeypatch):
     assert sum("unheardofword" in x for x in asked) == 1
 
 
+def test_encoders_are_let_go_when_files_are_read():
+    import tokenizers
+    kept = tf.encoder(VOCAB)
+    assert tf.encoder(VOCAB) is kept
+    tf.forget_encoders()
+    assert "_kept_encoders" not in tokenizers.__dict__ and tf.encoder(VOCAB) is not kept
+    tf.forget_encoders()
+
+
 def test_token_digests_match_encoding(spark, tok):
     rng = random.Random(2)
     docs = [(i * 7 % 101, " ".join(rng.choice(["the", "Élan", "x1", "don't"]) for _ in range(rng.choice([0, 3, 40]))))
