@@ -4,15 +4,21 @@
 * A line's MinHash signature comes from one 64-bit hash of each of its
   character shingles: the high 6 bits name one of 64 registers, each keeps its
   smallest hash, and an empty register takes the next full one's. 16 bands of 4
-  registers each give a row (key, class, sketch); the sketch is one bit of each of 58
+  registers each give a row (key, class, sketch, more); the sketch is two bits of each of 58
   registers and the number of registers that were full.
   Lines shorter than a shingle are like no other line and have no rows.
+* Most band keys belong to one line only, so the texts are signed twice. The first time
+  36 bits of each key go out, 5 bytes in all, and come back as a bitmap of the keys that
+  several classes have (``shared_keys``); the second time only rows of such keys go out.
+  The bitmap lets some others pass, and misses a key of two classes if 16 bits of both agree.
 * The rows of a band key meet in one task, which reads them as a stream: rows whose
   sketch is unlike all others' go no further, so lines that meet
   by chance cost no more than that. Of a key with more than ``KEPT_MEMBERS`` rows all go on.
 * What is left, lines that are alike, goes through ``banding``, which compares the lines
-  of a band key in its task; links are verified on the full shingle sets, and components
-  come from distributed union-find (``common``).
+  of a band key in its task; pairs of unlike sketches are not read, links are verified on
+  the full shingle sets, and components come from distributed union-find (``common``).
+* Which line of a component stays is found among the lines that may go: those
+  of a component, and those whose class the first reading saw more than once.
 
 Only hashes are shuffled. Texts are read again for the verification of candidates only.
 
@@ -31,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import fresh, stored
+from strandline.llm.common import filesystem, fresh, may_be_in, scratch, stored
 from strandline.llm.near_dup import distinct, mix64
 
 SHINGLE = 5             # characters
@@ -39,10 +45,16 @@ REGISTERS = 64
 CHARS = 1 << 19         # characters hashed at a time
 SHARE = (8, 10)
 BANDS, ROWS = 16, 4
-BITS = 58               # of a sketch; the other 6 count the full registers
-#: Bits of two sketches that may differ, by full registers: at a similarity of 0.8 one differs
-#: with a probability of 0.1; five deviations of so many independent bits are allowed.
-ALLOWED = np.ceil(BITS * (0.1 + 5 * np.sqrt(0.09 / np.maximum(1, np.arange(64))))).astype(np.int64)
+BITS = 58               # of each word of a sketch; the other 6 of the first count the full registers
+#: Registers of two sketches that may differ, by full registers: at a similarity of 0.8 one differs
+#: in two bits with a probability of 0.15; five deviations of so many independent ones are allowed.
+ALLOWED = np.ceil(BITS * (0.15 + 5 * np.sqrt(0.1275 / np.maximum(1, np.arange(64))))).astype(np.int64)
+#: Of a hash the highest 12 bits name the part it is dealt to, and 24 more tell it from others there.
+PARTS, LOW = 1 << 12, 24
+DEALT = 1 << 20         # keys dealt at a time
+SPARE = 16              # bits of a bitmap for each shared key, up to
+MOST = 18               # ... two to this power for a part (128 MB in all)
+ALL_PAIRS = 512         # rows of a key that are all held against each other
 KEPT_MEMBERS = 1 << 20  # rows of one key that a task holds
 SEEN = 2_000_000        # lines that a task knows it has signed
 BROADCAST_ROWS = 1_000_000
@@ -58,6 +70,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .filter(F.col("line").rlike(HAS_WORD)))
 
 
+def _line_numbers(text_col: str):
+    """The numbers of a text's lines with a word."""
+    split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    return F.filter(F.transform(split, lambda x, k: F.when(x.rlike(HAS_WORD), k)), lambda k: k.isNotNull())
+
+
 def _parts(texts: list[str]):
     """Slices of the list of at most CHARS characters together (a longer
     line is a slice of its own)."""
@@ -102,7 +120,7 @@ def _hashes(texts: list[str], width: int = SHINGLE):
 
 
 def _signatures(h, line, n: int):
-    """(band keys, a row a line; sketches) of ``n`` lines with a shingle each."""
+    """(band keys, a row a line; sketches of two words) of ``n`` lines with a shingle each."""
     least = np.full(n * REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
     np.minimum.at(least, line * REGISTERS + (h >> np.uint64(58)).astype(np.int64), h)
     least = least.reshape(n, REGISTERS)
@@ -117,54 +135,204 @@ def _signatures(h, line, n: int):
     for k in range(ROWS):
         x = mix64(x * np.uint64(0x9E3779B97F4A7C15) + r[:, k::ROWS])
     places = np.arange(64 - BITS, 64, dtype=np.uint64)
-    bits = ((r[:, :BITS] & np.uint64(1)) << places).sum(axis=1, dtype=np.uint64)
-    full = np.minimum((at < REGISTERS).sum(axis=1), 63).astype(np.uint64)
-    return x.view(np.int64), (bits | full).view(np.int64)
+    words = [((r[:, :BITS] >> np.uint64(k) & np.uint64(1)) << places).sum(axis=1, dtype=np.uint64) for k in (0, 1)]
+    words[0] |= np.minimum((at < REGISTERS).sum(axis=1), 63).astype(np.uint64)
+    return x.view(np.int64), np.column_stack(words).view(np.int64)
 
 
 def _near(a, b):
     """Which of two arrays of sketches are alike."""
     a, b = np.asarray(a).view(np.uint64), np.asarray(b).view(np.uint64)
-    full = np.minimum(a & np.uint64(63), b & np.uint64(63)).astype(np.int64)
-    return np.bitwise_count((a ^ b) >> np.uint64(64 - BITS)) <= ALLOWED[full]
-
-
-def band_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """(key, class, sketch): the band rows of the lines of all texts; a line
+    full = np.minimum(a[..., 0] & np.uint64(63), b[..., 0] & np.uint64(63)).astype(np.int64)
+    differ = (a[..., 0] ^ b[..., 0]) | (a[..., 1] ^ b[..., 1])
+    return np.bitwise_count(differ >> np.uint64(64 - BITS)) <= ALLOWED[full]
+
+
+def _near_columns(a: tuple[str, str], b: tuple[str, str]):
+    """``_near`` of the sketches in columns."""
+    (x, u), (y, v) = [[F.col(c) for c in side] for side in (a, b)]
+    differ = F.shiftrightunsigned(x.bitwiseXOR(y).bitwiseOR(u.bitwiseXOR(v)), 64 - BITS)
+    full = F.least(x.bitwiseAND(F.lit(63)), y.bitwiseAND(F.lit(63))).cast("int")
+    return F.bit_count(differ) <= F.element_at(F.array(*[F.lit(int(n)) for n in ALLOWED]), full + 1)
+
+
+def _signed(batches):
+    """(classes, classes seen before, band keys, sketches) of slices of the lines of all texts; a
+    line that comes again in the same task is not signed again."""
+    import xxhash
+    seen = set()
+    for batch in batches:
+        lines, classes, again = [], [], []
+        for text in batch.column("text").to_pylist():
+            for x in (text or "").split("\n"):
+                if len(x) >= SHINGLE:
+                    if x.strip(BLANK):
+                        c = xxhash.xxh64_intdigest(x.encode(), 42)     # as Spark's xxhash64
+                        if c in seen:
+                            again.append(c)
+                        else:
+                            seen.add(c)
+                            lines.append(x)
+                            classes.append(c)
+                elif x.strip(BLANK):
+                    again.append(xxhash.xxh64_intdigest(x.encode(), 42))
+        if len(seen) > SEEN:
+            seen.clear()
+        if again:
+            yield np.zeros(0, np.uint64), np.array(again, np.uint64), None, None
+        at = 0
+        for texts in _parts(lines):
+            own = np.array(classes[at:at + len(texts)], np.uint64)
+            at += len(texts)
+            yield own, np.zeros(0, np.uint64), *_signatures(*_hashes(texts), len(texts))
+
+
+def _dealt(entries: list):
+    """Arrow batches (part, entries) of arrays of 64-bit entries: 13 bits of the part, 24 of the
+    hash and 16 that tell classes apart; 5 bytes of each go on, their high four and their lowest."""
+    v = np.sort(np.concatenate(entries))
+    v = v[np.r_[np.ones(min(2, len(v)), dtype=bool), v[2:] != v[:-2]]]      # each twice at most
+    part = (v >> np.uint64(LOW + 16)).astype(np.int32)
+    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    high, lowest = (v >> np.uint64(8)).astype("<u4"), v.astype(np.uint8)
+    ends = np.r_[at[1:], len(v)]
+    for k in range(0, len(at), 512):
+        some = list(zip(at[k:k + 512].tolist(), ends[k:k + 512].tolist()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part[at[k:k + 512]]), pa.array([high[a:b].tobytes() + lowest[a:b].tobytes() for a, b in some])],
+            names=["part", "entries"])
+
+
+def _shared(part: int, entries: list[bytes]):
+    """The sorted 24 bits of the hashes that come from several classes, of all ``_dealt`` entries of a
+    part; in the parts of the classes themselves, of those that come more than once."""
+    v = []
+    for x in entries:
+        n = len(x) // 5
+        v.append(np.frombuffer(x, "<u4", n).astype(np.uint64) << np.uint64(8) | np.frombuffer(x, np.uint8, n, 4 * n))
+    v = np.sort(np.concatenate(v))
+    h = v >> np.uint64(16)
+    same = h[1:] == h[:-1]
+    if part < PARTS:
+        same &= v[1:] != v[:-1]
+    return distinct(h[1:][same])
+
+
+def _bitmap(h):
+    """A bitmap of sorted 24-bit hashes, by their highest bits."""
+    size = min(MOST, max(3, int(SPARE * len(h) - 1).bit_length()))
+    bits = np.zeros(1 << size, dtype=bool)
+    bits[(h >> np.uint64(LOW - size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _key_filter(folder: str):
+    """keys -> which of them may be shared, by the bitmaps stored in the folder."""
+    import pyarrow.dataset as ds
+    fs, root = filesystem(folder)
+    t = ds.dataset(root, filesystem=fs, format="parquet", schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())])
+                   ).to_table(filter=ds.field("bits").is_valid())
+    parts, bits = t.column("part").to_numpy(), t.column("bits").to_pylist()
+    sizes = np.array([len(b) for b in bits], np.int64)
+    # a part without shared keys has the last byte, of no bits
+    start, shift = np.full(PARTS, 8 * sizes.sum(), np.int64), np.full(PARTS, LOW, np.uint64)
+    start[parts] = 8 * (np.cumsum(sizes) - sizes)
+    shift[parts] = LOW + 1 - np.array([(8 * n).bit_length() for n in sizes.tolist()], np.uint64)
+    every = np.frombuffer(b"".join(bits) + b"\0", np.uint8)
+
+    def check(keys):
+        k = keys.view(np.uint64)
+        part = (k >> np.uint64(52)).astype(np.int64)
+        at = start[part] + ((k >> np.uint64(52 - LOW) & np.uint64((1 << LOW) - 1)) >> shift[part]).astype(np.int64)
+        return (every[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).astype(bool)
+    return check
+
+
+def shared_keys(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """(rows, folder): in the folder bitmaps of the band keys that lines of several classes
+    have, for ``band_rows``; rows (short): the highest 36 bits of the classes that come more than once.
+    Both have some others as well."""
+    spark = docs.sparkSession
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    folder = scratch(spark, "line-shared")
+
+    def deal(batches):
+        held, n = [], 0
+        low, at = np.uint64(52 - LOW), np.arange(0, 3 * BANDS, 3, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for classes, again, keys, _ in _signed(batches):
+                new = [(c >> low | np.uint64(1 << LOW + 12)) << np.uint64(16) for c in (classes, again)]
+                if keys is not None:
+                    tag = classes[:, None] >> at & np.uint64(0xFFFF)    # other bits for each band
+                    new.append(((keys.view(np.uint64) >> low) << np.uint64(16) | tag).ravel())
+                held += new
+                n += sum(len(x) for x in new)
+                if n >= DEALT:
+                    yield from _dealt(held)
+                    held, n = [], 0
+            if n:
+                yield from _dealt(held)
+
+    def find(batches):
+        def out(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                              names=["part", "bits", "short"])
+
+        def found(part, entries):
+            h = _shared(part, entries)
+            if len(h):
+                yield (part, _bitmap(h), None) if part < PARTS else \
+                    (part, None, ((np.uint64(part - PARTS) << np.uint64(LOW)) | h).view(np.int64))
+        types = pa.int32(), pa.binary(), pa.list_(pa.int64())
+        last, held = None, []
+        for batch in batches:
+            rows = []
+            for part, entries in zip(batch.column("part").to_pylist(), batch.column("entries").to_pylist()):
+                if part != last:
+                    if held:
+                        rows += found(last, held)
+                    last, held = part, []
+                held.append(entries)
+            if rows:
+                yield out(rows)
+        if held:
+            rows = list(found(last, held))
+            if rows:
+                yield out(rows)
+
+    dealt = docs.select(F.col(text_col).alias("text")).mapInArrow(deal, "part int, entries binary")
+    found = (dealt.repartition(tasks, "part").sortWithinPartitions("part")
+             .mapInArrow(find, "part int, bits binary, short array<long>"))
+    found.write.parquet(folder)
+    rows = spark.read.schema(found.schema).parquet(folder)
+    return rows.select(F.explode("short").alias("short")), folder
+
+
+def band_rows(docs: DataFrame, text_col: str, shared: str | None = None) -> DataFrame:
+    """(key, class, sketch, more): the band rows of the lines of all texts, or those
+    whose key may be among the ``shared_keys`` in a folder; a line
     that comes again in the same task is not signed again."""
     def run(batches):
-        import xxhash
-        seen = set()
         with np.errstate(over="ignore"):
-            for batch in batches:
-                lines, classes = [], []
-                for text in batch.column("text").to_pylist():
-                    for x in (text or "").split("\n"):
-                        if len(x) >= SHINGLE and x.strip(BLANK):
-                            c = xxhash.xxh64_intdigest(x.encode(), 42)     # as Spark's xxhash64
-                            if c not in seen:
-                                seen.add(c)
-                                lines.append(x)
-                                classes.append(c)
-                if len(seen) > SEEN:
-                    seen.clear()
-                at = 0
-                for texts in _parts(lines):
-                    own = np.array(classes[at:at + len(texts)], np.uint64).view(np.int64)
-                    at += len(texts)
-                    keys, sketch = _signatures(*_hashes(texts), len(texts))
+            check = _key_filter(shared) if shared else None
+            for classes, _, keys, sketch in _signed(batches):
+                if keys is None:
+                    continue
+                keep = check(keys) if check else np.ones(keys.shape, dtype=bool)
+                own = np.repeat(np.arange(len(keys)), keep.sum(axis=1))
+                if len(own):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.ravel()), pa.array(np.repeat(own, BANDS)), pa.array(np.repeat(sketch, BANDS))],
-                        names=["key", "class", "sketch"])
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, class long, sketch long")
+                        [pa.array(x) for x in (keys[keep], classes.view(np.int64)[own], sketch[own, 0], sketch[own, 1])],
+                        names=["key", "class", "sketch", "more"])
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, class long, sketch long, more long")
 
 
-def _alike(classes, sketches):
+def _alike(sketches):
     """Which of a key's rows have another class of an alike sketch: each is held
     against the leaders so far; one like none of them against all, and leads from then on."""
-    out = np.zeros(len(classes), dtype=bool)
+    out = np.zeros(len(sketches), dtype=bool)
     leaders = np.zeros(0, np.int64)
-    for k in range(len(classes)):
+    for k in range(len(sketches)):
         near = leaders[_near(sketches[leaders], sketches[k])]
         if not len(near):
             near = np.flatnonzero(_near(sketches[:k], sketches[k]))
@@ -176,58 +344,69 @@ def _alike(classes, sketches):
 
 
 def alike_rows(rows: DataFrame) -> DataFrame:
-    """(key, class, sketch) -> (class, key, sketch) of the rows that have another
+    """(key, class, sketch, more) -> (class, key, sketch, more) of the rows that have another
     class with an alike sketch in their key, each once."""
     tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
-        def out(*cols):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["class", "key", "sketch"])
-        held = [np.zeros(0, np.int64)] * 3      # the rows of the last key so far
-        passing = None                          # a key of which all rows go on
+        def out(k, c, s):
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (c, k, s[:, 0], s[:, 1])],
+                                              names=["class", "key", "sketch", "more"])
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)     # the rows of the last key so far
+        passing = sent = None                   # a key of which all rows go on; its last class
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "class", "sketch")]
-            k, c, s = (np.concatenate(x) for x in zip(held, new))
-            if not len(k):
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "class", "sketch", "more")]
+            if not len(cols[0]):
                 continue
-            last = k == k[-1]
+            # a class comes once for each task that signed it
+            k, c, s = once(*(np.concatenate(x) for x in zip(held, (cols[0], cols[1], np.column_stack(cols[2:])))))
             if passing is not None:
                 own = k == passing
-                if own.any():
-                    yield out(c[own], k[own], s[own])
-                    k, c, s, last = k[~own], c[~own], s[~own], last[~own]
-                    if not len(k):
-                        held = [k, c, s]
-                        continue
+                more = own & (c != sent)
+                if more.any():
+                    yield out(k[more], c[more], s[more])
+                    sent = c[own][-1]
+                k, c, s = k[~own], c[~own], s[~own]
+                if not len(k):
+                    held = k, c, s
+                    continue
                 passing = None
+            last = k == k[-1]
             if last.sum() > KEPT_MEMBERS:
-                passing = k[-1]
-                yield out(c[last], k[last], s[last])
-                held = [k[:0], c[:0], s[:0]]
+                passing, sent = k[-1], c[-1]
+                yield out(k[last], c[last], s[last])
+                held = k[:0], c[:0], s[:0]
             else:
-                held = [k[last], c[last], s[last]]
+                held = k[last], c[last], s[last]
             yield from groups(k[~last], c[~last], s[~last], out)
         yield from groups(*held, out)
 
-    def groups(k, c, s, out):
-        fresh_ = np.ones(len(k), dtype=bool)    # a class comes once for each task that signed it
+    def once(k, c, s):
+        fresh_ = np.ones(len(k), dtype=bool)
         fresh_[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-        k, c, s = k[fresh_], c[fresh_], s[fresh_]
+        return k[fresh_], c[fresh_], s[fresh_]
+
+    def groups(k, c, s, out):
         if not len(k):
             return
         at = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         size = np.diff(np.r_[at, len(k)])
         keep = np.zeros(len(k), dtype=bool)
-        two = at[size == 2]
-        good = two[_near(s[two], s[two + 1])]
-        keep[good] = keep[good + 1] = True
-        for a, n in zip(at[size > 2].tolist(), size[size > 2].tolist()):
-            keep[a:a + n] = _alike(c[a:a + n], s[a:a + n])
+        # in keys of some rows each is held against the next one, the one after it, and so on
+        end = np.repeat(at + size, size)
+        row = np.flatnonzero(np.repeat(size <= ALL_PAIRS, size))
+        step = 1
+        while len(row := row[row + step < end[row]]):
+            near = row[_near(s[row], s[row + step])]
+            keep[near] = keep[near + step] = True
+            step += 1
+        for a, n in zip(at[size > ALL_PAIRS].tolist(), size[size > ALL_PAIRS].tolist()):
+            keep[a:a + n] = _alike(s[a:a + n])
         if keep.any():
-            yield out(c[keep], k[keep], s[keep])
+            yield out(k[keep], c[keep], s[keep])
 
     return (rows.repartition(tasks, "key").sortWithinPartitions("key", "class")
-            .mapInArrow(run, "class long, key long, sketch long").dropDuplicates(["key", "class"]))
+            .mapInArrow(run, "class long, key long, sketch long, more long"))
 
 
 def passing(share: tuple[int, int]):
@@ -235,7 +414,7 @@ def passing(share: tuple[int, int]):
     num, den = share
 
     def passes(ra, rb, na, nb):
-        return _near(ra[:, BANDS], rb[:, BANDS]) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
+        return _near(ra[:, BANDS:], rb[:, BANDS:]) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
     return passes
 
 
@@ -305,31 +484,25 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     no line. Rows that agree in id and text are one document, with its lines once. Equal lines are
     told by a 64-bit hash. Very long lines are lines like others. An empty table gives no row.
     """
-    lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "line_no")
-    d = stored(lines.select("doc_id", "t", "line_no", F.xxhash64("line").alias("class")).distinct(), "lines")
-    members = stored(alike_rows(band_rows(docs, text_col)), "line-alike")
-    classes = stored(d.join(members.select("class").distinct(), "class").groupBy("class").agg(F.min(place).alias("first")), "line-classes")
-
-    # the lines that are alike to another, read once
-    at = classes.select("class", F.col("first.doc_id").alias("a_id"), F.col("first.t").alias("a_t"),
-                        F.col("first.line_no").alias("a_no"))
-    ids = at.select(F.col("a_id").alias("need_id"), F.col("a_t").alias("need_t")).distinct()
-    if at.count() <= broadcast_rows:
-        at, ids = F.broadcast(at), F.broadcast(ids)
-    some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("need_id"))
-                     & (F.xxhash64("text") == F.col("need_t")), "left_semi")
-    texts = (_lines(some, "doc_id", "text")
-             .join(at, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("t") == F.col("a_t"))
-                   & (F.col("line_no") == F.col("a_no")))
-             .select("class", "line"))
-    # equal rows of a document bring its lines again
-    texts = stored(texts.dropDuplicates(["class"]), "line-texts")
+    again, shared = shared_keys(docs, text_col)
+    members = stored(alike_rows(band_rows(docs, text_col, shared)), "line-alike")
+    marks = stored(members.groupBy("class").agg(F.first("sketch").alias("sketch"), F.first("more").alias("more")), "line-marks")
+
+    def among(rows: DataFrame, need: DataFrame, key: str) -> DataFrame:
+        """The rows whose key may be needed; of many needed ones a few others as well."""
+        return rows.join(F.broadcast(need), key, "left_semi") if need.count() <= broadcast_rows else may_be_in(rows, need, key)
+
+    # the lines that are alike to another, once each
+    every = _lines(docs, id_col, text_col).withColumn("class", F.xxhash64("line"))
+    texts = stored(among(every.select("class", "line"), marks.select("class"), "class").dropDuplicates(["class"]), "line-texts")
 
     def verify(pairs: DataFrame, label: str) -> DataFrame:
-        both = (pairs.join(texts.select(F.col("class").alias("a"), F.col("line").alias("x")), "a")
-                .join(texts.select(F.col("class").alias("b"), F.col("line").alias("y")), "b"))
+        for side in "ab":
+            pairs = pairs.join(marks.toDF(side, f"s{side}", f"m{side}"), side)
+        both = pairs.filter(_near_columns(("sa", "ma"), ("sb", "mb"))).select("a", "b")
+        for side, name in (("a", "x"), ("b", "y")):
+            both = both.join(texts.select(F.col("class").alias(side), F.col("line").alias(name)), side)
         return stored(linked(both, share), f"{label}-links")
 
     def contents(need: DataFrame) -> DataFrame:
@@ -339,11 +512,24 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = banded_components(members.select("class", "key"), contents, _packed, passing(share), first_key, verify,
                               share, "line", **how)
     # equal lines of a class without a link are one component as well
+    short = F.shiftrightunsigned("class", 52 - LOW).alias("short")
+    need = stored(again.union(parts.select(F.col("id").alias("class")).select(short)).distinct(), "line-needed")
+    d = stored(among(every.select("doc_id", "t", "line_no", "class", short), need, "short").drop("short"), "line-places")
     c = (d.join(parts.withColumnRenamed("id", "class"), "class", "left")
-         .withColumn("component", F.coalesce("component", "class")))
-    keep = c.groupBy("component").agg(F.min(place).alias("keep"))
-    return (c.join(keep, "component")
-            .select("doc_id", "t", "line_no", (F.col("keep") == place).alias("kept")))
+         .select(F.coalesce("component", "class").alias("component"), "doc_id", "t", "line_no"))
+    keep = (c.groupBy("component").agg(F.min(place).alias("keep"), F.max(place).alias("end"))
+            .filter(F.col("keep") != F.col("end")).select("component", "keep"))
+    gone = (c.join(keep, "component").filter(F.col("keep") != place)
+            .groupBy(F.col("doc_id").alias("g_id"), F.col("t").alias("g_t")).agg(F.collect_set("line_no").alias("gone")))
+    rows = (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("t"), _line_numbers(text_col).alias("all"))
+            .dropDuplicates(["doc_id", "t"])
+            .join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("t") == F.col("g_t")), "left"))
+
+    def flagged(numbers, kept: bool):
+        return F.transform(numbers, lambda n: F.struct(n.alias("line_no"), F.lit(kept).alias("kept")))
+    none = F.array().cast("array<int>")
+    left = F.when(F.col("gone").isNull(), F.col("all")).otherwise(F.array_except("all", "gone"))
+    return rows.select("doc_id", "t", F.inline(F.concat(flagged(left, True), flagged(F.coalesce("gone", none), False))))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

@@ -481,6 +481,98 @@ def test_line_classes_are_spark_hashes(spark):
     assert rows == want and len(rows) == 2
 
 
+def test_only_rows_of_shared_keys_are_dealt(spark, monkeypatch):
+    """Of lines like no other no band row goes out, though some come again in other tasks; lines
+    that share a key by chance go no further than it."""
+    rng = random.Random(23)
+    line = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    pool = [line(90) for _ in range(300)]
+    half = [line(45) for _ in range(40)]
+    # pairs of a similarity of about 0.4, in keys of their own halves
+    pool += [x + line(35) for x in half for _ in range(2)]
+    twins = [line(120) for _ in range(12)]
+    twins += [x[:60] + "Q" + x[61:] for x in twins]
+    docs = [(i, "\n".join(rng.sample(pool, 6))) for i in range(150)] + list(enumerate(twins, 1000))
+    docs += [(2000 + i, pool[0] + "\nab\n" + pool[0]) for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    seen = []
+    plain = line_dedup.alike_rows
+
+    def counted(rows):
+        out = plain(rows)
+        seen.append((rows.count(), out.select("class").distinct().count()))
+        return out
+    monkeypatch.setattr(line_dedup, "alike_rows", counted)
+    got = {(False, r["doc_id"], r["line_no"]): r["kept"] for r in repeated_lines(df).collect()}
+    assert got == plain_lines(docs)
+    lines = {x for _, t in docs for x in t.split("\n")}
+    assert seen[0][0] < 4 * len(lines) and len(twins) <= seen[0][1] < len(twins) + 20
+
+
+def test_shared_keys_are_of_several_classes(spark, monkeypatch):
+    rng = random.Random(24)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([6, 30, 80]))) + "." for _ in range(200)]
+    lines += [x[:-1] + "!" for x in lines[:60]]
+    texts = [(x,) for x in lines for _ in range(3)] + [("ab\nab\n \n" + lines[0],)] * 3 + [("cd",), (None,)]
+    monkeypatch.setattr(line_dedup, "DEALT", 300)
+    df = spark.createDataFrame(texts, "text string").repartition(4)
+    again, folder = line_dedup.shared_keys(df, "text")
+    rows = {(r["key"], r["class"]) for r in line_dedup.band_rows(df, "text").collect()}
+    classes = {}
+    for k, c in rows:
+        classes.setdefault(k, set()).add(c)
+    want = {(k, c) for k, c in rows if len(classes[k]) > 1}
+    got = {(r["key"], r["class"]) for r in line_dedup.band_rows(df, "text", folder).collect()}
+    assert want <= got <= rows and len(want) > 100 and len(got) < len(want) + 0.2 * len(rows)
+    short = {r["short"] for r in again.collect()}
+    all_of = {x: n for x, n in spark.createDataFrame(texts, "text string").selectExpr("explode(split(text, '\\n')) x")
+              .filter("trim(x) <> ''").selectExpr("shiftrightunsigned(xxhash64(x), 28) h").groupBy("h").count().collect()}
+    assert short == {x for x, n in all_of.items() if n > 1} and len(short) == len(all_of) - 1
+
+
+@pytest.mark.parametrize("kept,every", [(1 << 20, 512), (1 << 20, 3), (4, 512)])
+def test_alike_rows_of_small_batches(spark, monkeypatch, kept, every):
+    """Keys that span Arrow batches, large groups and keys beyond what a task holds; each row once."""
+    monkeypatch.setattr(line_dedup, "KEPT_MEMBERS", kept)
+    monkeypatch.setattr(line_dedup, "ALL_PAIRS", every)
+    rng = np.random.default_rng(25)
+    own = rng.integers(0, 1 << 58, (9, 2)) << 6        # sketches unlike each other
+    rows = []
+    for key, size in enumerate([1, 2, 2, 3, 7, 8, 9, 30, 5]):
+        for c in range(size):
+            s = own[rng.integers(0, 9)] ^ (1 << rng.integers(7, 63, 2))
+            rows += [(key, 100 * key + c, int(s[0]) | 60, int(s[1]))] * int(rng.integers(1, 4))
+    df = spark.createDataFrame(rows, "key long, class long, sketch long, more long").repartition(3)
+    want = set()
+    for k, c, *s in rows:
+        if sum(k == r[0] for r in set(rows)) > kept or any(
+                k == r[0] and c != r[1] and line_dedup._near(np.array(s), np.array(r[2:])) for r in rows):
+            want.add((k, c))
+    with_conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(with_conf)
+    spark.conf.set(with_conf, "5")
+    try:
+        got = [(r["key"], r["class"]) for r in line_dedup.alike_rows(df).collect()]
+    finally:
+        spark.conf.set(with_conf, old)
+    assert len(got) == len(set(got)) and 10 < len(want) < len(set(rows))
+    # a key of which all rows go on is known by its rows held at a time
+    assert set(got) == want if kept > 100 else want >= set(got) >= {x for x in want if x[0] == 7}
+
+
+def test_sketches_in_columns(spark):
+    rng = np.random.default_rng(26)
+    a = rng.integers(-(1 << 63), 1 << 63, (3000, 2))
+    b = a.copy()
+    for k, x in enumerate(b):
+        x ^= np.bitwise_or.reduce(1 << rng.integers(6, 63, k % 50)) if k % 50 else 0
+    near = line_dedup._near(a, b)
+    df = spark.createDataFrame([(k, *map(int, x), *map(int, y)) for k, (x, y) in enumerate(zip(a, b))],
+                               "k long, s long, m long, t long, n long")
+    got = {r["k"] for r in df.filter(line_dedup._near_columns(("s", "m"), ("t", "n"))).collect()}
+    assert got == set(np.flatnonzero(near).tolist()) and 300 < len(got) < 2700
+
+
 @pytest.mark.parametrize("n,common", [(10, 9), (16, 15), (36, 32), (51, 46), (120, 107), (300, 267)])
 def test_bands_miss_few_pairs(n, common):
     rng = np.random.default_rng(5)
