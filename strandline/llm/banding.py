@@ -107,7 +107,7 @@ def joining(left, right, key: int, passes: Passes, first_key, share: tuple[int,
 
 
 def _meetings(members: DataFrame, contents: DataFrame, pack, passes: Passes, first_key, share: tuple[int, int],
-              limit: int) -> DataFrame:
+              limit: int, band: int) -> DataFrame:
     """(class, key, p, size) -> links (a, b) between classes of one bucket that join its
     parts, compared in the tasks that hold the bucket: fewer than the rows dealt."""
     dealt = _sides(members, limit).join(contents.select("class", "content"), "class")
@@ -135,7 +135,7 @@ def _meetings(members: DataFrame, contents: DataFrame, pack, passes: Passes, fir
                 one = kind == 1 and i == j
                 if not left or not (one or right):
                     continue
-                found = list(joining(left, None if one else right, key, passes, first_key, share))
+                found = list(joining(left, None if one else right, key & band, passes, first_key, share))
                 if found:
                     a, b = zip(*found)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -145,7 +145,7 @@ def _meetings(members: DataFrame, contents: DataFrame, pack, passes: Passes, fir
 
 def banded_components(keys: DataFrame, contents: Callable[[DataFrame], DataFrame], pack, passes: Passes, first_key,
                       verify: Callable[[DataFrame, str], DataFrame], share: tuple[int, int], label: str,
-                      rounds: int = ROUNDS, limit: int = SLICE_MEMBERS) -> DataFrame:
+                      rounds: int = ROUNDS, limit: int = SLICE_MEMBERS, band: int = -1) -> DataFrame:
     """(class, key), a row for each band of each class, each once ->
     (id, component) of every class with a link.
 
@@ -153,7 +153,8 @@ def banded_components(keys: DataFrame, contents: Callable[[DataFrame], DataFrame
     ``pack(column)``: of an Arrow column of contents the sets (sorted distinct hashes) and
     their registers, a row each;
     ``passes(ra, rb, na, nb)``: of pairs those that can be linked;
-    ``first_key(ra, rb)``: the key of the first band that each pair shares;
+    ``first_key(ra, rb)``: the key of the first band that each pair shares, as far as the bits
+    ``band`` of a bucket's key tell it;
     ``verify(pairs, label)``: of pairs (a, b) those linked.
 
     In each bucket a member drawn by hash is the hub. Each class is compared
@@ -216,7 +217,7 @@ def banded_components(keys: DataFrame, contents: Callable[[DataFrame], DataFrame
         elif not m.isEmpty():
             have = stored(contents(m.select("class").distinct()), f"{label}-contents")
             m = stored(m.select("class", "key", "p").join(have.select("class", "size"), "class"), f"{label}-sizes")
-            joined(stored(_meetings(m, have, pack, passes, first_key, share, limit), f"{label}-last"))
+            joined(stored(_meetings(m, have, pack, passes, first_key, share, limit, band), f"{label}-last"))
     return parts
 
 

@@ -8,12 +8,14 @@
   registers and the number of registers that were full.
   Lines shorter than a shingle are like no other line and have no rows.
 * Most band keys belong to one line only, so the texts are signed twice. The first time
-  36 bits of each key go out, 5 bytes in all, and come back as a bitmap of the keys that
+  36 bits of each key go out, 6 bytes in all, and come back as a bitmap of the keys that
   several classes have (``shared_keys``); the second time only rows of such keys go out.
-  The bitmap lets some others pass, and misses a key of two classes if 16 bits of both agree.
+  The bitmap lets some others pass, and misses a key of two classes if 24 bits of both agree.
 * The rows of a band key meet in one task, which reads them as a stream: rows whose
   sketch is unlike all others' go no further, so lines that meet
-  by chance cost no more than that. Of a key with more than ``KEPT_MEMBERS`` rows all go on.
+  by chance cost no more than that. Rows that are alike, directly or by way of others, go on as
+  a bucket of their own, so groups that meet by chance are not held against each other.
+  Of a key with more than ``KEPT_MEMBERS`` rows all go on.
 * What is left, lines that are alike, goes through ``banding``, which compares the lines
   of a band key in its task; pairs of unlike sketches are not read, links are verified on
   the full shingle sets, and components come from distributed union-find (``common``).
@@ -37,12 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.banding import banded_components
-from strandline.llm.common import filesystem, fresh, may_be_in, scratch, stored
+from strandline.llm.common import filesystem, fresh, may_be_in, scratch, slices, stored
 from strandline.llm.near_dup import distinct, mix64
 
 SHINGLE = 5             # characters
 REGISTERS = 64
 CHARS = 1 << 19         # characters hashed at a time
+SLICE = 1 << 22         # bytes of text split into lines at a time
 SHARE = (8, 10)
 BANDS, ROWS = 16, 4
 BITS = 58               # of each word of a sketch; the other 6 of the first count the full registers
@@ -51,10 +54,12 @@ BITS = 58               # of each word of a sketch; the other 6 of the first cou
 ALLOWED = np.ceil(BITS * (0.15 + 5 * np.sqrt(0.1275 / np.maximum(1, np.arange(64))))).astype(np.int64)
 #: Of a hash the highest 12 bits name the part it is dealt to, and 24 more tell it from others there.
 PARTS, LOW = 1 << 12, 24
+TAG = 24                # bits of a class beside a key
 DEALT = 1 << 20         # keys dealt at a time
 SPARE = 16              # bits of a bitmap for each shared key, up to
-MOST = 18               # ... two to this power for a part (128 MB in all)
+MOST = 17               # ... two to this power for a part (64 MB in all)
 ALL_PAIRS = 512         # rows of a key that are all held against each other
+BAND = -1 << 16         # the bits of a bucket's key that it has from the band; the others tell groups apart
 KEPT_MEMBERS = 1 << 20  # rows of one key that a task holds
 SEEN = 2_000_000        # lines that a task knows it has signed
 BROADCAST_ROWS = 1_000_000
@@ -161,7 +166,7 @@ def _signed(batches):
     line that comes again in the same task is not signed again."""
     import xxhash
     seen = set()
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
         lines, classes, again = [], [], []
         for text in batch.column("text").to_pylist():
             for x in (text or "").split("\n"):
@@ -189,17 +194,17 @@ def _signed(batches):
 
 def _dealt(entries: list):
     """Arrow batches (part, entries) of arrays of 64-bit entries: 13 bits of the part, 24 of the
-    hash and 16 that tell classes apart; 5 bytes of each go on, their high four and their lowest."""
+    hash and TAG that tell classes apart; 6 bytes of each go on, the high four and the low two."""
     v = np.sort(np.concatenate(entries))
     v = v[np.r_[np.ones(min(2, len(v)), dtype=bool), v[2:] != v[:-2]]]      # each twice at most
-    part = (v >> np.uint64(LOW + 16)).astype(np.int32)
+    part = (v >> np.uint64(LOW + TAG)).astype(np.int32)
     at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    high, lowest = (v >> np.uint64(8)).astype("<u4"), v.astype(np.uint8)
+    high, low = (v >> np.uint64(16)).astype("<u4"), v.astype("<u2")
     ends = np.r_[at[1:], len(v)]
     for k in range(0, len(at), 512):
         some = list(zip(at[k:k + 512].tolist(), ends[k:k + 512].tolist()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part[at[k:k + 512]]), pa.array([high[a:b].tobytes() + lowest[a:b].tobytes() for a, b in some])],
+            [pa.array(part[at[k:k + 512]]), pa.array([high[a:b].tobytes() + low[a:b].tobytes() for a, b in some])],
             names=["part", "entries"])
 
 
@@ -208,10 +213,10 @@ def _shared(part: int, entries: list[bytes]):
     part; in the parts of the classes themselves, of those that come more than once."""
     v = []
     for x in entries:
-        n = len(x) // 5
-        v.append(np.frombuffer(x, "<u4", n).astype(np.uint64) << np.uint64(8) | np.frombuffer(x, np.uint8, n, 4 * n))
+        n = len(x) // 6
+        v.append(np.frombuffer(x, "<u4", n).astype(np.uint64) << np.uint64(16) | np.frombuffer(x, "<u2", n, 4 * n))
     v = np.sort(np.concatenate(v))
-    h = v >> np.uint64(16)
+    h = v >> np.uint64(TAG)
     same = h[1:] == h[:-1]
     if part < PARTS:
         same &= v[1:] != v[:-1]
@@ -230,15 +235,15 @@ def _key_filter(folder: str):
     """keys -> which of them may be shared, by the bitmaps stored in the folder."""
     import pyarrow.dataset as ds
     fs, root = filesystem(folder)
-    t = ds.dataset(root, filesystem=fs, format="parquet", schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())])
-                   ).to_table(filter=ds.field("bits").is_valid())
-    parts, bits = t.column("part").to_numpy(), t.column("bits").to_pylist()
-    sizes = np.array([len(b) for b in bits], np.int64)
-    # a part without shared keys has the last byte, of no bits
-    start, shift = np.full(PARTS, 8 * sizes.sum(), np.int64), np.full(PARTS, LOW, np.uint64)
-    start[parts] = 8 * (np.cumsum(sizes) - sizes)
-    shift[parts] = LOW + 1 - np.array([(8 * n).bit_length() for n in sizes.tolist()], np.uint64)
-    every = np.frombuffer(b"".join(bits) + b"\0", np.uint8)
+    found = ds.dataset(root, filesystem=fs, format="parquet", schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
+    start, shift = np.zeros(PARTS, np.int64), np.full(PARTS, LOW, np.uint64)
+    every = bytearray(1)        # a part without shared keys has the first byte, of no bits
+    for batch in found.to_batches(filter=ds.field("bits").is_valid()):
+        for part, bits in zip(batch.column("part").to_pylist(), batch.column("bits")):
+            bits = bits.as_buffer()
+            start[part], shift[part] = 8 * len(every), LOW + 1 - (8 * bits.size).bit_length()
+            every += bits
+    every = np.frombuffer(every, np.uint8)
 
     def check(keys):
         k = keys.view(np.uint64)
@@ -258,13 +263,13 @@ def shared_keys(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
 
     def deal(batches):
         held, n = [], 0
-        low, at = np.uint64(52 - LOW), np.arange(0, 3 * BANDS, 3, dtype=np.uint64)
+        low, beside, at = np.uint64(52 - LOW), np.uint64(TAG), np.arange(0, 2 * BANDS, 2, dtype=np.uint64)
         with np.errstate(over="ignore"):
             for classes, again, keys, _ in _signed(batches):
-                new = [(c >> low | np.uint64(1 << LOW + 12)) << np.uint64(16) for c in (classes, again)]
+                new = [(c >> low | np.uint64(1 << LOW + 12)) << beside for c in (classes, again)]
                 if keys is not None:
-                    tag = classes[:, None] >> at & np.uint64(0xFFFF)    # other bits for each band
-                    new.append(((keys.view(np.uint64) >> low) << np.uint64(16) | tag).ravel())
+                    tag = classes[:, None] >> at & np.uint64((1 << TAG) - 1)    # other bits for each band
+                    new.append(((keys.view(np.uint64) >> low) << beside | tag).ravel())
                 held += new
                 n += sum(len(x) for x in new)
                 if n >= DEALT:
@@ -343,14 +348,26 @@ def _alike(sketches):
     return out
 
 
+def _labels(n: int, i, j):
+    """Of n numbers the smallest each is joined with, directly or by way of others, by pairs (i, j)."""
+    label = np.arange(n)
+    while (label[i] != label[j]).any():
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        label = label[label]
+    return label
+
+
 def alike_rows(rows: DataFrame) -> DataFrame:
     """(key, class, sketch, more) -> (class, key, sketch, more) of the rows that have another
-    class with an alike sketch in their key, each once."""
+    class with an alike sketch in their key, each once. The low bits of the key then name the
+    group of those alike directly or by way of others (0 where a key's rows were not all compared)."""
     tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
-        def out(k, c, s):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (c, k, s[:, 0], s[:, 1])],
+        def out(k, c, s, group=0):
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (c, k & BAND | group, s[:, 0], s[:, 1])],
                                               names=["class", "key", "sketch", "more"])
         held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)     # the rows of the last key so far
         passing = sent = None                   # a key of which all rows go on; its last class
@@ -395,15 +412,20 @@ def alike_rows(rows: DataFrame) -> DataFrame:
         # in keys of some rows each is held against the next one, the one after it, and so on
         end = np.repeat(at + size, size)
         row = np.flatnonzero(np.repeat(size <= ALL_PAIRS, size))
-        step = 1
+        i, j, step = [row[:0]], [row[:0]], 1
         while len(row := row[row + step < end[row]]):
             near = row[_near(s[row], s[row + step])]
-            keep[near] = keep[near + step] = True
+            i.append(near)
+            j.append(near + step)
             step += 1
+        i, j = np.concatenate(i), np.concatenate(j)
+        keep[i] = keep[j] = True
+        group = c[_labels(len(k), i, j)] & ~BAND
         for a, n in zip(at[size > ALL_PAIRS].tolist(), size[size > ALL_PAIRS].tolist()):
             keep[a:a + n] = _alike(s[a:a + n])
+            group[a:a + n] = 0
         if keep.any():
-            yield out(k[keep], c[keep], s[keep])
+            yield out(k[keep], c[keep], s[keep], group[keep])
 
     return (rows.repartition(tasks, "key").sortWithinPartitions("key", "class")
             .mapInArrow(run, "class long, key long, sketch long, more long"))
@@ -419,9 +441,9 @@ def passing(share: tuple[int, int]):
 
 
 def first_key(ra, rb):
-    """The key of the first band that each pair of rows of ``_packed`` shares."""
+    """The key of the first band that each pair of rows of ``_packed`` shares, as far as a bucket's key has it."""
     at = (ra[:, :BANDS] == rb[:, :BANDS]).argmax(axis=1)
-    return np.take_along_axis(np.broadcast_to(ra, rb.shape), at[:, None], axis=1)[:, 0]
+    return np.take_along_axis(np.broadcast_to(ra, rb.shape), at[:, None], axis=1)[:, 0] & BAND
 
 
 def _packed(column):
@@ -510,15 +532,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                 F.col("line").alias("content"))
 
     parts = banded_components(members.select("class", "key"), contents, _packed, passing(share), first_key, verify,
-                              share, "line", **how)
+                              share, "line", band=BAND, **how)
     # equal lines of a class without a link are one component as well
     short = F.shiftrightunsigned("class", 52 - LOW).alias("short")
     need = stored(again.union(parts.select(F.col("id").alias("class")).select(short)).distinct(), "line-needed")
     d = stored(among(every.select("doc_id", "t", "line_no", "class", short), need, "short").drop("short"), "line-places")
     c = (d.join(parts.withColumnRenamed("id", "class"), "class", "left")
          .select(F.coalesce("component", "class").alias("component"), "doc_id", "t", "line_no"))
-    keep = (c.groupBy("component").agg(F.min(place).alias("keep"), F.max(place).alias("end"))
-            .filter(F.col("keep") != F.col("end")).select("component", "keep"))
+    # stored, so that the join can split a line that comes very often
+    keep = stored(c.groupBy("component").agg(F.min(place).alias("keep"), F.max(place).alias("end"))
+                  .filter(F.col("keep") != F.col("end")).select("component", "keep"), "line-keep")
     gone = (c.join(keep, "component").filter(F.col("keep") != place)
             .groupBy(F.col("doc_id").alias("g_id"), F.col("t").alias("g_t")).agg(F.collect_set("line_no").alias("gone")))
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("t"), _line_numbers(text_col).alias("all"))
